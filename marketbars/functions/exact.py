@@ -50,7 +50,11 @@ def mean_price(sum_cents: Column, count: Column) -> Column:
 
 
 def mean_volume(total: Column, count: Column) -> Column:
-    return from_cents(rounded_quotient(total.cast(_WIDE) * 100, count.cast(_WIDE)), VOLUME_AVG)
+    """Mean of BIGINT volumes. Whole part and rest are divided apart: both fit BIGINT."""
+    whole = _integral_div(total, count.cast(_WIDE)).cast("decimal(19,0)")
+    rest = (total % count.cast(_WIDE)).cast("bigint")
+    cents_ = rounded_quotient(rest * 100, count.cast("bigint")).cast("decimal(19,0)")
+    return (whole + cents_ * F.lit(Decimal("0.01"))).cast(VOLUME_AVG)
 
 
 def weighted_price(traded_cents: Column, volume: Column) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)
-# A mean volume above 99,999,999.99 is legal input, so this column is wider than a price.
-VOLUME_AVG = T.DecimalType(20, 2)
+# Wide enough for the mean of any BIGINT volumes.
+VOLUME_AVG = T.DecimalType(21, 2)
 
 PRICE_COLUMNS = ("open_price", "high_price", "low_price", "close_price")
 

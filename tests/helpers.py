@@ -1,0 +1,109 @@
+"""Small frames and brute-force references for the tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+from marketbars.schemas import DAILY, INTRADAY
+
+DAY0 = dt.date(2024, 1, 1)
+TIME0 = dt.datetime(2024, 1, 1, 9, 30)
+
+
+def money(value) -> Decimal:
+    return Decimal(str(value)).quantize(Decimal("0.01"))
+
+
+def bar(symbol, time, close, volume=10, open_=None, high=None, low=None):
+    close = money(close)
+    return (
+        symbol,
+        time,
+        money(open_) if open_ is not None else close,
+        money(high) if high is not None else close,
+        money(low) if low is not None else close,
+        close,
+        volume,
+    )
+
+
+def daily_frame(spark, rows):
+    return spark.createDataFrame(rows, DAILY.staging_schema)
+
+
+def intraday_frame(spark, rows):
+    return spark.createDataFrame(rows, INTRADAY.staging_schema)
+
+
+def half_away(value: Fraction) -> Decimal:
+    """A fraction rounded to cents, ties away from zero."""
+    cents = Decimal(value.numerator * 100) / Decimal(value.denominator)
+    exact = value * 100
+    whole, rest = divmod(abs(exact), 1)
+    whole = int(whole) + (1 if rest >= Fraction(1, 2) else 0)
+    assert abs(Decimal(whole) - abs(cents)) <= Decimal("0.5001")
+    return (Decimal(whole if exact >= 0 else -whole) / 100).quantize(
+        Decimal("0.01"), ROUND_HALF_UP
+    )
+
+
+def brute_daily(rows):
+    """symbol, date -> (pct, avg 50, avg 200, volume avg 20)."""
+    out = {}
+    for symbol in {r[0] for r in rows}:
+        series = sorted((r for r in rows if r[0] == symbol), key=lambda r: r[1])
+        for i, row in enumerate(series):
+            def mean(n, column):
+                frame = [Fraction(r[column]) for r in series[max(0, i - n + 1) : i + 1]]
+                return half_away(sum(frame) / len(frame))
+
+            out[symbol, row[1]] = (
+                brute_pct(series[i - 1][5] if i else None, row[5]),
+                mean(50, 5),
+                mean(200, 5),
+                mean(20, 6),
+            )
+    return out
+
+
+def brute_pct(before, now):
+    if not before:
+        return None
+    return half_away(Fraction(now - before) / Fraction(before) * 100)
+
+
+def brute_intraday(rows):
+    """symbol, time -> (previous close, pct, vwap)."""
+    out = {}
+    for symbol in {r[0] for r in rows}:
+        series = sorted((r for r in rows if r[0] == symbol), key=lambda r: r[1])
+        for i, row in enumerate(series):
+            before = series[i - 1][5] if i else None
+            day = [r for r in series if r[1].date() == row[1].date()]
+            volume = sum(r[6] for r in day)
+            vwap = (
+                half_away(sum(Fraction(r[5]) * r[6] for r in day) / volume) if volume else None
+            )
+            out[symbol, row[1]] = (before, brute_pct(before, row[5]), vwap)
+    return out
+
+
+FIELDS = ("1. open", "2. high", "3. low", "4. close", "5. volume")
+
+
+def fields(close="1.50", volume="10", **changes):
+    values = dict(zip(FIELDS, ("1.00", "2.00", "0.50", close, volume), strict=True))
+    values.update(changes)
+    return {k: v for k, v in values.items() if v is not None}
+
+
+def message(symbol, time, close="1.50", cadence="intraday", **changes):
+    name = "timestamp" if cadence == "intraday" else "date"
+    return json.dumps({"symbol": symbol, name: time, "data": {time: fields(close, **changes)}})
+
+
+def document(last, series, key="Time Series (5min)"):
+    return json.dumps({"Meta Data": {"3. Last Refreshed": last}, key: series})

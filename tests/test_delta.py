@@ -1,0 +1,113 @@
+import datetime as dt
+import json
+
+from helpers import TIME0, bar, daily_frame, document, fields, intraday_frame
+from pyspark.sql import functions as F
+
+from marketbars.operators.delta import (
+    classify_documents,
+    delta_messages,
+    document_entries,
+    latest_bar_per_symbol,
+    latest_per_symbol,
+    rejected_documents,
+    tracked,
+)
+from marketbars.schemas import DAILY, INTRADAY, LANDED_SCHEMA
+
+LAST = "2025-01-31 13:00:00"
+GOOD = document(LAST, {LAST: fields()})
+
+
+def landed(spark, rows):
+    return spark.createDataFrame(rows, LANDED_SCHEMA)
+
+
+def sent(spark, rows, staged, cadence=INTRADAY):
+    found = delta_messages(landed(spark, rows), staged, cadence).collect()
+    return sorted(
+        (m["symbol"], m["timestamp" if cadence is INTRADAY else "date"])
+        for m in (json.loads(r.value) for r in found)
+    )
+
+
+def test_document_reasons(spark):
+    cases = [
+        (200, GOOD, None),
+        (500, GOOD, "http_status"),
+        (None, GOOD, "http_status"),
+        (200, '{"Error Message": "x"}', "api_error"),
+        (200, '{"Note": null}', "rate_limit"),
+        (200, json.dumps({"Meta Data": {"3. Last Refreshed": LAST}}), "missing_section"),
+        (200, json.dumps({"Time Series (5min)": {LAST: fields()}}), "missing_section"),
+        (200, document(LAST, {}), "missing_section"),
+        (200, document(LAST, {LAST: fields()}, "Time Series (Daily)"), "missing_section"),
+        (200, document("soon", {LAST: fields()}), "bad_value"),
+        (200, "[" + GOOD + "]", "not_object"),
+        (200, "null", "not_object"),
+        (200, GOOD[:-1], "bad_json"),
+    ]
+    rows = [(str(i), status, body) for i, (status, body, _) in enumerate(cases)]
+    classified = classify_documents(landed(spark, rows), INTRADAY)
+    got = {int(r.symbol): r.reason for r in classified.collect()}
+    assert got == {i: reason for i, (_, _, reason) in enumerate(cases)}
+    assert rejected_documents(classified).count() == len(cases) - 1
+
+
+def test_entry_without_time_is_left_out(spark):
+    body = document(LAST, {"soon": fields(), LAST: fields()})
+    entries = document_entries(classify_documents(landed(spark, [("A", 200, body)]), INTRADAY), INTRADAY)
+    assert [r.time_text for r in entries.collect()] == [LAST]
+
+
+def test_only_newer_than_staged(spark):
+    series = {f"2025-01-31 12:{m:02d}:00": fields() for m in (0, 5, 10)}
+    rows = [("A", 200, document("2025-01-31 12:10:00", series))]
+    staged = intraday_frame(spark, [bar("A", dt.datetime(2025, 1, 31, 12, 5), 1)])
+    # Strictly newer: the bar at the last update is not sent again.
+    assert sent(spark, rows, staged) == [("A", "2025-01-31 12:10:00")]
+
+
+def test_unseen_symbol_starts_a_day_before_last_refresh(spark):
+    series = {
+        t: fields() for t in ("2025-01-30 13:00:00", "2025-01-30 13:00:01", LAST)
+    }
+    rows = [("NEW", 200, document(LAST, series))]
+    staged = intraday_frame(spark, [bar("A", TIME0, 1)])
+    assert sent(spark, rows, staged) == [("NEW", "2025-01-30 13:00:01"), ("NEW", LAST)]
+
+
+def test_daily_cutoff(spark):
+    series = {f"2025-01-{d}": fields() for d in (29, 30, 31)}
+    body = document("2025-01-31", series, "Time Series (Daily)")
+    staged = daily_frame(spark, [bar("A", dt.date(2025, 1, 29), 1)])
+    got = sent(spark, [("A", 200, body), ("B", 200, body)], staged, DAILY)
+    assert got == [("A", "2025-01-30"), ("A", "2025-01-31"), ("B", "2025-01-31")]
+
+
+def test_message_keeps_texts(spark):
+    rows = [("A", 200, document(LAST, {LAST: fields(close="1.2500")}))]
+    value = delta_messages(landed(spark, rows), intraday_frame(spark, []), INTRADAY).head().value
+    assert json.loads(value) == {
+        "symbol": "A",
+        "timestamp": LAST,
+        "data": {LAST: fields(close="1.2500")},
+    }
+
+
+def test_latest(spark):
+    later = TIME0 + dt.timedelta(hours=1)
+    staged = intraday_frame(
+        spark, [bar("A", TIME0, 5), bar("A", later, 3, 7), bar("B", TIME0, 9)]
+    )
+    latest = {r.symbol: r.last_update for r in latest_per_symbol(staged, INTRADAY).collect()}
+    assert latest == {"A": later, "B": TIME0}
+    whole = latest_bar_per_symbol(staged, INTRADAY)
+    assert sorted(tuple(r) for r in whole.collect()) == [bar("A", later, 3, 7), bar("B", TIME0, 9)]
+    assert "SortAggregate" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tracked_symbols(spark):
+    frame = spark.createDataFrame([("A",), ("B",), (None,)], "symbol string")
+    assert [r.symbol for r in tracked(frame, ["A", "C"]).collect()] == ["A"]
+    assert tracked(frame, []).filter(F.lit(True)).count() == 0
