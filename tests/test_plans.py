@@ -1,0 +1,75 @@
+"""The physical plans the queries are meant to have."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketbars.operators.indicators import daily_indicators, intraday_indicators
+from marketbars.operators.upsert import upsert
+from marketbars.plans.registry import QUERIES
+from marketbars.schemas import DAILY, INTRADAY
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    """Staged bars as files, as the jobs read them."""
+    base = tmp_path_factory.mktemp("staged")
+    for cadence in (INTRADAY, DAILY):
+        path = str(base / cadence.name)
+        spark.createDataFrame([], cadence.staging_schema).write.parquet(path)
+    return {
+        c.name: spark.read.schema(c.staging_schema).parquet(str(base / c.name))
+        for c in (INTRADAY, DAILY)
+    }
+
+
+def plan(frame, mode="simple"):
+    return frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), mode)
+
+
+def count(text, node):
+    return len(re.findall(rf"(?m)^[ +\-:]*(?:\*\(\d+\) )?{node}\b", text))
+
+
+def test_daily_indicators_shuffle_and_sort_once(staged):
+    text = plan(daily_indicators(staged["daily"]))
+    assert count(text, "Exchange") == 1
+    assert count(text, "Sort") == 1
+
+
+def test_intraday_indicators_shuffle_and_sort_once(staged):
+    text = plan(intraday_indicators(staged["intraday"]))
+    assert count(text, "Exchange") == 1
+    assert count(text, "Sort") == 1
+
+
+def test_only_needed_columns_are_read(staged):
+    text = plan(daily_indicators(staged["daily"]).select("symbol", "date", "moving_avg_50d"))
+    assert "ReadSchema: struct<symbol:string,date:date,close_price:decimal(10,2)>" in text
+
+
+def test_symbol_filter_reaches_the_scan(staged):
+    text = plan(daily_indicators(staged["daily"]).filter(F.col("symbol") == "A"))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(symbol,A\)", text)
+
+
+def test_time_filter_stays_above_the_window(staged):
+    text = plan(daily_indicators(staged["daily"]).filter(F.col("date") > "2024-01-01"))
+    assert not re.search(r"PushedFilters: \[[^\]]*GreaterThan\(date", text)
+
+
+def test_upsert_shuffles_each_side_once(staged, spark):
+    path = staged["daily"].inputFiles()
+    rows = spark.read.schema(DAILY.final_schema).parquet(*path)
+    text = plan(upsert(rows, rows, DAILY))
+    assert count(text, "Exchange") == 2
+
+
+@pytest.mark.parametrize(
+    "name", sorted(n for n in QUERIES if not n.startswith(("stream", "late")))
+)
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    for forbidden in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert forbidden not in text
