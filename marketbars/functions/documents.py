@@ -149,3 +149,9 @@ def encode_message(cadence: Cadence, time_text: Column, fields: Column) -> Colum
     return F.to_json(
         F.struct(F.col("symbol"), time_text.alias(cadence.time_col), data.alias("data"))
     )
+
+
+def bar_message(cadence: Cadence) -> Column:
+    """A raw-table row as the one-bar message it would come in."""
+    data = F.from_json("raw_data", _SERIES_TYPE)
+    return encode_message(cadence, F.map_keys(data)[0], F.map_values(data)[0])

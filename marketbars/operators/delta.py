@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketbars.functions import documents as doc
+from marketbars.operators.skew import small_side
 from marketbars.schemas import LAST_REFRESHED_KEY, META_KEY, Cadence
+from marketbars.session import ensure_checkpoint_dir
 
 
 def tracked(df: DataFrame, symbols) -> DataFrame:
@@ -27,18 +29,22 @@ def rejected_documents(classified: DataFrame) -> DataFrame:
     )
 
 
+def with_last_refreshed(classified: DataFrame, cadence: Cadence) -> DataFrame:
+    last = doc.parse_time(F.col("_document")[META_KEY][LAST_REFRESHED_KEY], cadence)
+    return classified.withColumn("last_refreshed", last)
+
+
 def document_entries(classified: DataFrame, cadence: Cadence) -> DataFrame:
     """One row per series entry: symbol, last refreshed, time text, typed time, fields.
 
     An entry whose time does not parse is left out, its neighbours are not.
     """
     time = cadence.time_col
-    last = doc.parse_time(F.col("_document")[META_KEY][LAST_REFRESHED_KEY], cadence)
     return (
-        classified.filter(F.col("reason").isNull())
+        with_last_refreshed(classified.filter(F.col("reason").isNull()), cadence)
         .select(
             "symbol",
-            last.alias("last_refreshed"),
+            "last_refreshed",
             F.explode(F.col("_document")[cadence.series_key]).alias("time_text", "fields"),
         )
         .withColumn(time, doc.parse_time(F.col("time_text"), cadence))
@@ -64,18 +70,19 @@ def latest_bar_per_symbol(staging: DataFrame, cadence: Cadence) -> DataFrame:
     )
 
 
-def newer_than_staged(entries: DataFrame, staging: DataFrame, cadence: Cadence) -> DataFrame:
-    """Entries strictly newer than their symbol's last staged time.
+def newer_than(entries: DataFrame, last_updates: DataFrame, cadence: Cadence) -> DataFrame:
+    """Entries strictly newer than their symbol's ``last_update``.
 
-    A symbol without staged bars starts one day before its document's last refresh. The
-    lookup has one row per symbol; Catalyst broadcasts it when its size allows, else
-    adaptive execution splits the entries of a symbol that outgrows a partition.
+    A symbol without one starts a day before its document's last refresh. The lookup has
+    one row per symbol; pass it through ``small_side``: counted and broadcast, so that a
+    symbol with many entries is not gathered, and beyond that size a plain shuffle join
+    over a materialised side, which adaptive execution can split.
     """
     cutoff = F.coalesce(
         F.col("last_update"), (F.col("last_refreshed") - F.expr("INTERVAL 1 DAY"))
     ).cast(cadence.time_type)
     return (
-        entries.join(latest_per_symbol(staging, cadence), "symbol", "left")
+        entries.join(last_updates, "symbol", "left")
         .filter(F.col(cadence.time_col) > cutoff)
         .drop("last_update")
     )
@@ -92,4 +99,7 @@ def delta_messages(
 ) -> DataFrame:
     """Landed responses to the messages still missing from staging."""
     entries = document_entries(classify_documents(landed, cadence), cadence)
-    return encode_messages(newer_than_staged(entries, staging, cadence), cadence, *keep)
+    ensure_checkpoint_dir(staging.sparkSession)
+    known = small_side(latest_per_symbol(staging, cadence).checkpoint())
+    fresh = newer_than(entries, known, cadence)
+    return encode_messages(fresh, cadence, *keep)

@@ -28,6 +28,15 @@ _WIDTHS = (3600, 60, 1)
 SLICE_KEYS = ["symbol", _DAY, _PART]
 
 
+def by_symbol(bars: DataFrame) -> DataFrame:
+    """Bring each series together.
+
+    The windows ask for the same exchange; asked for here, it carries the plain columns
+    instead of the window inputs derived from them.
+    """
+    return bars.repartition("symbol")
+
+
 # --- daily -----------------------------------------------------------------------------
 
 
@@ -41,7 +50,7 @@ def daily_indicators(bars: DataFrame) -> DataFrame:
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close = F.col("close_price")
 
-    running = bars.select(
+    running = by_symbol(bars).select(
         "*",
         F.lag(close).over(series).alias("_before"),
         F.row_number().over(series).alias("_row"),
@@ -104,7 +113,7 @@ def _volume() -> Column:
 
 def _by_symbol(bars: DataFrame) -> DataFrame:
     # Ordering by day and time sorts once for both windows.
-    dated = bars.withColumn(_DAY, F.to_date("timestamp"))
+    dated = by_symbol(bars).withColumn(_DAY, F.to_date("timestamp"))
     series = Window.partitionBy("symbol").orderBy(_DAY, "timestamp")
     whole_day = Window.partitionBy("symbol", _DAY)
     return dated.select(
@@ -178,24 +187,6 @@ def _by_slice(bars: DataFrame, touched: DataFrame | None, max_group: int) -> Dat
     )
 
 
-def days_reached(batch: DataFrame, bars: DataFrame) -> DataFrame:
-    """(symbol, day) pairs whose intraday indicators a batch of bars can change.
-
-    That is each day the batch touches (VWAP, previous close inside the day) and the
-    symbol's next day with bars (its first previous close).
-    """
-    day = F.to_date("timestamp").alias("day")
-    touched = batch.select("symbol", day).distinct().withColumn("_touched", F.lit(True))
-    days = bars.select("symbol", day).distinct()
-    following = F.lag("_touched").over(Window.partitionBy("symbol").orderBy("day"))
-    return (
-        days.join(touched, ["symbol", "day"], "left")
-        .select("symbol", "day", F.coalesce("_touched", following).alias("_reached"))
-        .filter("_reached")
-        .drop("_reached")
-    )
-
-
 # --- analytics rows --------------------------------------------------------------------
 
 

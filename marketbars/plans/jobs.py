@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.operators import delta
-from marketbars.operators.indicators import analytics, days_reached
+from marketbars.operators.indicators import analytics
 from marketbars.operators.metrics import observed
+from marketbars.operators.reach import latest_bars, reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
 from marketbars.operators.upsert import affected_rows, upsert
-from marketbars.schemas import DEFAULT_SYMBOLS, Cadence
+from marketbars.schemas import DEFAULT_SYMBOLS
 from marketbars.session import ensure_checkpoint_dir
 from marketbars.sources.tables import BATCH, Tables
 from marketbars.streaming.ingest import stream_ingest
@@ -37,7 +39,8 @@ def extract_delta(
     classified = delta.classify_documents(landed, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         entries = delta.document_entries(classified, cadence)
-        fresh = delta.newer_than_staged(entries, tables.read(spark, "staging"), cadence)
+        known = small_side(last_updates(spark, tables, classified).checkpoint())
+        fresh = delta.newer_than(entries, known, cadence)
         messages, sent = observed(
             delta.encode_messages(fresh, cadence), n_messages=F.count(F.lit(1))
         )
@@ -73,36 +76,27 @@ def refresh_batches(
 
     Values equal a full refresh; untouched rows also keep their ``last_refreshed``.
     """
-    staging = tables.read(spark, "staging")
     arrived = tables.read(spark, "staging", where=F.col(BATCH).isin(*batches))
-    rows = reached_analytics(staging, arrived, tables.cadence, _stamp(as_of), max_group)
+    read = partial(tables.read_bars, spark)
+    rows = reached_analytics(read, arrived, tables.cadence, _stamp(as_of), max_group)
     ensure_checkpoint_dir(spark)
     rows = rows.checkpoint()
     target = tables.read(spark, "final", where=tables.periods_of(rows))
     return _merge(rows, target, tables)
 
 
-def reached_analytics(
-    staging: DataFrame,
-    arrived: DataFrame,
-    cadence: Cadence,
-    as_of: Column,
-    max_group: int = GROUP_ROWS,
-) -> DataFrame:
-    """Analytics rows that bars in ``arrived`` (already part of ``staging``) can change.
-
-    Intraday: the touched symbol-days and each symbol's next day. Daily: the touched
-    symbols from their first arrived date on. The touched keys are written out and counted,
-    so staging is filtered map-side, before any shuffle, whenever they are few.
-    """
-    ensure_checkpoint_dir(staging.sparkSession)
-    if cadence.name == "intraday":
-        touched = small_side(days_reached(arrived, staging).checkpoint())
-        return analytics(staging, cadence, as_of, touched=touched, max_group=max_group)
-    first = arrived.groupBy("symbol").agg(F.min("date").alias("_first"))
-    first = small_side(first.checkpoint())
-    rows = analytics(staging.join(first, "symbol", "left_semi"), cadence, as_of)
-    return rows.join(first, "symbol").filter(F.col("date") >= F.col("_first")).drop("_first")
+def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) -> DataFrame:
+    """Last staged time of every symbol in the landed documents."""
+    cadence = tables.cadence
+    ensure_checkpoint_dir(spark)
+    good = classified.filter(F.col("reason").isNull())
+    symbols = small_side(good.select("symbol").distinct().checkpoint())
+    newest = delta.with_last_refreshed(good, cadence).agg(F.max("last_refreshed")).head()[0]
+    day = newest.date() if isinstance(newest, datetime) else newest or date.today()
+    found = latest_bars(
+        partial(tables.read_bars, spark), symbols, cadence, cadence.lookback(day)
+    )
+    return found.select("symbol", F.col(cadence.time_col).alias("last_update"))
 
 
 def run(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from marketbars.operators import messages as msg
 from marketbars.operators.constraints import constraint_violations
 from marketbars.operators.dedupe import first_write_wins
 from marketbars.operators.indicators import analytics, bar_columns, generated_columns, indicators
+from marketbars.operators.reach import Reader, reached_analytics
 from marketbars.operators.upsert import upsert
-from marketbars.plans.jobs import reached_analytics
 from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence
 from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
@@ -325,12 +325,24 @@ def upsert_guard_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reader_of(bars: DataFrame, cadence: Cadence) -> Reader:
+    """Period-wise reading of bars that are not stored by period."""
+
+    def read(since: date | None, until: date | None) -> DataFrame:
+        rows = bars if since is None else bars.filter(cadence.period() >= F.lit(since))
+        return rows if until is None else rows.filter(cadence.period() < F.lit(until))
+
+    return read
+
+
 def late_bar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of one afternoon arrive late; only what they reach is recomputed and merged."""
     bars = fx.intraday_bars(spark, sf_dir)
     late = _time(INTRADAY).between(_at(INTRADAY, LATE_FROM), _at(INTRADAY, LATE_UNTIL))
     before = analytics(bars.filter(~late), INTRADAY, F.lit(FIRST_RUN))
-    reached = reached_analytics(bars, bars.filter(late), INTRADAY, F.lit(SECOND_RUN))
+    reached = reached_analytics(
+        reader_of(bars, INTRADAY), bars.filter(late), INTRADAY, F.lit(SECOND_RUN)
+    )
     return upsert(before, reached, INTRADAY).drop("last_refreshed", "action")
 
 
@@ -339,7 +351,9 @@ def late_bar_repair_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = fx.daily_bars(spark, sf_dir)
     late = F.trunc("date", "month") == F.lit(STAGED_UNTIL["daily"]).cast("date")
     before = analytics(bars.filter(~late), DAILY, F.lit(FIRST_RUN))
-    reached = reached_analytics(bars, bars.filter(late), DAILY, F.lit(SECOND_RUN))
+    reached = reached_analytics(
+        reader_of(bars, DAILY), bars.filter(late), DAILY, F.lit(SECOND_RUN)
+    )
     return upsert(before, reached, DAILY).drop("last_refreshed", "action")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,6 +55,12 @@ class Cadence:
         time = F.col(self.time_col) if time is None else time
         return F.to_date(F.date_trunc(self.period_unit, time))
 
+    def lookback(self, day: date) -> date:
+        """Start of the periods searched first for bars just before ``day``."""
+        if self.period_unit == "day":
+            return day - timedelta(days=7)
+        return (day - timedelta(days=62)).replace(day=1)
+
     def _bar_fields(self, prices: tuple[str, ...]) -> list[T.StructField]:
         return [
             T.StructField("symbol", T.StringType(), False),

@@ -9,6 +9,7 @@ which makes a replay harmless.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,15 @@ class Tables:
             rows = rows.filter(where)
         return rows.select(*self.schema(layer).fieldNames())
 
+    def read_bars(self, spark: SparkSession, since: date | None, until: date | None) -> DataFrame:
+        """Staged bars of the periods in [since, until); other periods are not read."""
+        where = F.lit(True)
+        if since is not None:
+            where = where & (F.col(PERIOD) >= F.lit(since))
+        if until is not None:
+            where = where & (F.col(PERIOD) < F.lit(until))
+        return self.read(spark, "staging", where)
+
     def write(self, rows: DataFrame, layer: str, batch: str | None = None) -> None:
         """Replace the partitions that ``rows`` covers; all others stay as they are.
 

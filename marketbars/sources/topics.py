@@ -44,9 +44,10 @@ def write_kafka(messages: DataFrame, cadence: Cadence, servers: str) -> None:
 
 
 def _file_position() -> Column:
-    # A file may be read in several splits; lines inside a split are ordered on arrival.
+    # Files in order of arrival, splits of a file by offset.
     return F.struct(
-        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+        F.col("_metadata.file_name").alias("source"),
         F.col("_metadata.file_block_start").alias("offset"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketbars.functions.documents import bar_message
 from marketbars.operators.dedupe import mark_duplicates
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
 from marketbars.operators.skew import GROUP_ROWS
@@ -27,7 +28,7 @@ def ingest_batch(
     arrival = F.struct("position.*", F.monotonically_increasing_id().alias("row"))
     messages = messages.select("value", arrival.alias("position"))
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
-    bars = good_bars(classified, cadence, "value", "position")
+    bars = good_bars(classified, cadence, "position")
     staged = tables.read(
         spark, "staging", where=tables.periods_of(bars) & (F.col(BATCH) != batch)
     )
@@ -38,7 +39,9 @@ def ingest_batch(
         accepted = marked.filter(~F.col("duplicate"))
         tables.write(accepted, "raw", batch)
         copies = marked.filter("duplicate").select(
-            F.lit("message").alias("source"), "value", F.lit("duplicate_key").alias("reason")
+            F.lit("message").alias("source"),
+            bar_message(cadence).alias("value"),
+            F.lit("duplicate_key").alias("reason"),
         )
         rejected = rejected_messages(classified, "message").unionByName(copies)
         tables.write(rejected, "quarantine", batch)

@@ -20,7 +20,8 @@ from marketbars.operators.indicators import (
     intraday_indicators,
     with_slices,
 )
-from marketbars.plans.jobs import reached_analytics
+from marketbars.operators.reach import latest_bars, reached_analytics
+from marketbars.plans.registry import reader_of as reader
 from marketbars.schemas import DAILY, INTRADAY
 
 D = Decimal
@@ -182,7 +183,7 @@ def test_reached_rows_equal_full_recompute_intraday(spark, max_group):
     frame = intraday_frame(spark, rows)
     late = rows[:7]
     reached = reached_analytics(
-        frame, intraday_frame(spark, late), INTRADAY, F.lit(None), max_group
+        reader(frame, INTRADAY), intraday_frame(spark, late), INTRADAY, F.lit(None), max_group
     ).drop("last_refreshed")
     full = analytics(frame, INTRADAY, F.lit(None)).drop("last_refreshed")
     before = analytics(intraday_frame(spark, rows[7:]), INTRADAY, F.lit(None)).drop(
@@ -200,7 +201,9 @@ def test_reached_rows_equal_full_recompute_daily(spark):
     rows = random_daily(seed=7, days=260)
     frame = daily_frame(spark, rows)
     late = rows[:3]
-    reached = reached_analytics(frame, daily_frame(spark, late), DAILY, F.lit(None))
+    reached = reached_analytics(
+        reader(frame, DAILY), daily_frame(spark, late), DAILY, F.lit(None)
+    )
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     stale = {
         (r.symbol, r.date): r
@@ -209,3 +212,46 @@ def test_reached_rows_equal_full_recompute_daily(spark):
     got = {(r.symbol, r.date): r for r in reached.collect()}
     assert all(full[k] == v for k, v in got.items())
     assert {k for k, v in full.items() if stale.get(k) != v} <= set(got)
+
+
+def test_reached_daily_rows_of_long_and_sparse_series(spark):
+    """One symbol's recent rows cover the longest frame, the other's do not."""
+    dense = [bar("DENSE", DAY0 + dt.timedelta(days=i), i % 37 + 1, i) for i in range(900)]
+    sparse = [bar("SPARSE", DAY0 + dt.timedelta(days=9 * i), i % 11 + 1, i) for i in range(100)]
+    rows = dense + sparse
+    frame = daily_frame(spark, rows)
+    late = [dense[880], dense[890], sparse[98]]
+    reached = reached_analytics(
+        reader(frame, DAILY), daily_frame(spark, late), DAILY, F.lit(None)
+    ).collect()
+    full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
+    assert sorted((r.symbol, r.date) for r in reached) == sorted(
+        (r[0], r[1]) for r in dense[880:] + sparse[98:]
+    )
+    assert all(full[r.symbol, r.date] == r for r in reached)
+
+
+def test_latest_bars_looks_back_only_for_missing_symbols(spark):
+    rows = [
+        bar("NEW", TIME0, 1),
+        bar("NEW", TIME0 + dt.timedelta(days=40), 2),
+        bar("OLD", TIME0, 3),
+        bar("OLD", TIME0 + dt.timedelta(days=1), 4),
+        bar("OTHER", TIME0, 5),
+    ]
+    frame = intraday_frame(spark, rows)
+    asked = []
+
+    def read(since, until):
+        asked.append((since, until))
+        return reader(frame, INTRADAY)(since, until)
+
+    symbols = spark.createDataFrame([("NEW",), ("OLD",), ("NEVER",)], "symbol string")
+    since = DAY0 + dt.timedelta(days=30)
+    found = latest_bars(read, symbols, INTRADAY, since)
+    assert sorted(tuple(r) for r in found.collect()) == [rows[1], rows[3]]
+    assert asked == [(since, None), (None, since)]
+    asked.clear()
+    found = latest_bars(read, symbols.filter("symbol = 'NEW'"), INTRADAY, since)
+    assert [tuple(r) for r in found.collect()] == [rows[1]]
+    assert asked == [(since, None)]

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from helpers import DAY0, TIME0, message
@@ -58,6 +59,8 @@ def test_stream_with_restart(spark, tables, tmp_path):
     assert {str(r[5]) for r in staged} == {"1.50"}
     assert [r[:7] for r in rows(spark, tables, "raw")] == staged
     assert reasons(spark, tables) == ["duplicate_key", "not_object"]
+    loser = tables.read(spark, "quarantine").filter("reason = 'duplicate_key'").head()
+    assert json.loads(loser.value) == json.loads(message("A", times(1)[0], close="9.99"))
     # Nothing new: nothing changes.
     run_stream(spark, tables, topic, offsets)
     assert rows(spark, tables, "staging") == staged
