@@ -69,11 +69,10 @@ def has_key(text: Column, key: str) -> Column:
 
 def shape_problem(parsed: Column, text: Column) -> Column:
     """``bad_json`` / ``not_object`` for text that is no JSON object, else NULL."""
-    kind = F.schema_of_variant(F.try_parse_json(text))
     suspect = parsed.isNull() | parsed[_CORRUPT].isNotNull()
     return F.when(
-        suspect,
-        F.when(kind.isNull(), "bad_json").when(~kind.startswith("OBJECT"), "not_object"),
+        suspect & F.json_object_keys(text).isNull(),
+        F.when(F.try_parse_json(text).isNull(), "bad_json").otherwise("not_object"),
     )
 
 

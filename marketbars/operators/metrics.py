@@ -47,7 +47,10 @@ def message_totals(classified: DataFrame) -> DataFrame:
 
 
 def observed(df: DataFrame, **aggregates) -> tuple[DataFrame, Observation]:
-    """Count while another action runs, so a live run needs no second pass."""
+    """Count while another action runs, so a live run needs no second pass.
+
+    For logs: a stage that reruns after an executor loss is counted again.
+    """
     observation = Observation()
     return df.observe(
         observation, *[a.alias(name) for name, a in aggregates.items()]

@@ -21,12 +21,17 @@ def hot_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | Non
     neither recount nor depend on the executors that counted.
     """
     hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys)
-    if hot.isEmpty():
+    found = hot.count()
+    if found == 0:
         return None
     ensure_checkpoint_dir(df.sparkSession)
-    return small_side(hot.checkpoint())
+    return _sized(hot.checkpoint(), found)
 
 
 def small_side(df: DataFrame) -> DataFrame:
     """Mark a materialised side for broadcast only when its counted size allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return _sized(df, df.count())
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

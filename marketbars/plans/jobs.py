@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import partial
@@ -17,7 +18,7 @@ from marketbars.operators.metrics import observed
 from marketbars.operators.reach import latest_bars, reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
 from marketbars.operators.upsert import affected_rows, upsert
-from marketbars.schemas import DEFAULT_SYMBOLS
+from marketbars.schemas import DEFAULT_SYMBOLS, moment
 from marketbars.session import ensure_checkpoint_dir
 from marketbars.sources.tables import BATCH, Tables
 from marketbars.streaming.ingest import stream_ingest
@@ -99,6 +100,14 @@ def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) ->
     return found.select("symbol", F.col(cadence.time_col).alias("last_update"))
 
 
+def ingest(messages: DataFrame, tables: Tables, checkpoint: str) -> dict[str, int]:
+    """Store what the topic holds now; returns message counts summed over its batches."""
+    totals: Counter[str] = Counter()
+    tables.create(messages.sparkSession)
+    stream_ingest(messages, tables, checkpoint, on_batch=totals.update).awaitTermination()
+    return dict(totals)
+
+
 def run(
     spark: SparkSession,
     tables: Tables,
@@ -112,15 +121,20 @@ def run(
     """One scheduled run: extract, ingest, refresh. Scheduling is left to the caller."""
     tables.create(spark)
     sent = extract_delta(landed, tables, send, symbols)
-    query = stream_ingest(receive(), tables, checkpoint)
-    query.awaitTermination()
-    return {"messages_sent": sent, "rows_affected": refresh(spark, tables, as_of)}
+    totals = ingest(receive(), tables, checkpoint)
+    affected = refresh(spark, tables, as_of)
+    return {
+        "messages_sent": sent,
+        "messages_processed": totals.get("n_processed", 0),
+        "messages_rejected": totals.get("n_rejected", 0),
+        "rows_affected": affected,
+    }
 
 
 def _stamp(as_of: datetime | Column | None) -> Column:
     if as_of is None:
         return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return as_of if isinstance(as_of, Column) else moment(as_of)
 
 
 def _merge(rows: DataFrame, target: DataFrame, tables: Tables) -> int:

@@ -15,7 +15,7 @@ from marketbars.operators.dedupe import first_write_wins
 from marketbars.operators.indicators import analytics, bar_columns, generated_columns, indicators
 from marketbars.operators.reach import Reader, reached_analytics
 from marketbars.operators.upsert import upsert
-from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence
+from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence, moment
 from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
 from marketbars.sources import topics
@@ -72,7 +72,7 @@ def _generated(cadence: Cadence, *columns: str) -> Query:
 def _analytics(cadence: Cadence, **options) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = bars_of(spark, sf_dir, cadence)
-        return analytics(bars, cadence, F.lit(FIRST_RUN), **options)
+        return analytics(bars, cadence, moment(FIRST_RUN), **options)
 
     return query
 
@@ -295,8 +295,8 @@ def _upsert(cadence: Cadence) -> Query:
         old = bars.filter(_time(cadence) < _at(cadence, TARGET_UNTIL[cadence.name]))
         new = bars.filter(_time(cadence) >= _at(cadence, STAGED_UNTIL[cadence.name]))
         return upsert(
-            analytics(old, cadence, F.lit(FIRST_RUN)),
-            analytics(new, cadence, F.lit(SECOND_RUN)),
+            analytics(old, cadence, moment(FIRST_RUN)),
+            analytics(new, cadence, moment(SECOND_RUN)),
             cadence,
         )
 
@@ -310,12 +310,12 @@ def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_guard_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets stamped older, equal, newer or not at all; only the older ones are replaced."""
     bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
-    rows = analytics(bars.drop("event_id"), INTRADAY, F.lit(SECOND_RUN))
+    rows = analytics(bars.drop("event_id"), INTRADAY, moment(SECOND_RUN))
     kind = F.pmod(F.second("timestamp"), F.lit(4))
     stamp = (
-        F.when(kind == 0, F.lit(FIRST_RUN))
-        .when(kind == 1, F.lit(SECOND_RUN))
-        .when(kind == 2, F.lit(datetime(2025, 1, 31, 14, 0)))
+        F.when(kind == 0, moment(FIRST_RUN))
+        .when(kind == 1, moment(SECOND_RUN))
+        .when(kind == 2, moment(datetime(2025, 1, 31, 14, 0)))
     )
     target = rows.withColumn("last_refreshed", stamp.cast("timestamp_ntz")).withColumn(
         "volume", F.lit(-1).cast("bigint")
@@ -339,9 +339,9 @@ def late_bar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of one afternoon arrive late; only what they reach is recomputed and merged."""
     bars = fx.intraday_bars(spark, sf_dir)
     late = _time(INTRADAY).between(_at(INTRADAY, LATE_FROM), _at(INTRADAY, LATE_UNTIL))
-    before = analytics(bars.filter(~late), INTRADAY, F.lit(FIRST_RUN))
+    before = analytics(bars.filter(~late), INTRADAY, moment(FIRST_RUN))
     reached = reached_analytics(
-        reader_of(bars, INTRADAY), bars.filter(late), INTRADAY, F.lit(SECOND_RUN)
+        reader_of(bars, INTRADAY), bars.filter(late), INTRADAY, moment(SECOND_RUN)
     )
     return upsert(before, reached, INTRADAY).drop("last_refreshed", "action")
 
@@ -350,9 +350,9 @@ def late_bar_repair_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month of daily bars arrives late; only the rows from there on are recomputed."""
     bars = fx.daily_bars(spark, sf_dir)
     late = F.trunc("date", "month") == F.lit(STAGED_UNTIL["daily"]).cast("date")
-    before = analytics(bars.filter(~late), DAILY, F.lit(FIRST_RUN))
+    before = analytics(bars.filter(~late), DAILY, moment(FIRST_RUN))
     reached = reached_analytics(
-        reader_of(bars, DAILY), bars.filter(late), DAILY, F.lit(SECOND_RUN)
+        reader_of(bars, DAILY), bars.filter(late), DAILY, moment(SECOND_RUN)
     )
     return upsert(before, reached, DAILY).drop("last_refreshed", "action")
 

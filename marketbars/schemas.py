@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,7 +53,8 @@ class Cadence:
     def period(self, time: Column | None = None) -> Column:
         """Storage partition (a DATE) of a bar time."""
         time = F.col(self.time_col) if time is None else time
-        return F.to_date(F.date_trunc(self.period_unit, time))
+        day = F.to_date(time)
+        return day if self.period_unit == "day" else F.trunc(day, self.period_unit)
 
     def lookback(self, day: date) -> date:
         """Start of the periods searched first for bars just before ``day``."""
@@ -132,6 +133,12 @@ DAILY = Cadence(
 )
 CADENCES = {c.name: c for c in (INTRADAY, DAILY)}
 
+
+def moment(time: datetime) -> Column:
+    """A zone-free time literal, whatever zone driver and session are in."""
+    return F.lit(time.isoformat(sep=" ")).cast(T.TimestampNTZType())
+
+
 LANDED_SCHEMA = T.StructType(
     [
         T.StructField("symbol", T.StringType()),

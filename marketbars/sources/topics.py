@@ -32,10 +32,9 @@ def stream_kafka(spark: SparkSession, cadence: Cadence, servers: str, **options)
 
 
 def write_kafka(messages: DataFrame, cadence: Cadence, servers: str) -> None:
-    """Keyed by symbol: a symbol's bars keep their order inside one topic partition."""
-    key = F.get_json_object("value", "$.symbol").alias("key")
+    """Without a key, so that a busy symbol spreads over all topic partitions."""
     (
-        messages.select(key, "value")
+        messages.select("value")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", cadence.topic)

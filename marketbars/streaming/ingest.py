@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,14 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 from marketbars.functions.documents import bar_message
 from marketbars.operators.dedupe import mark_duplicates
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
+from marketbars.operators.metrics import message_totals
 from marketbars.operators.skew import GROUP_ROWS
 from marketbars.sources.tables import BATCH, Tables
 
 
 def ingest_batch(
     messages: DataFrame, tables: Tables, batch: str, max_group: int = GROUP_ROWS
-) -> None:
-    """Store one batch of ``value`` / ``position`` rows.
+) -> dict[str, int]:
+    """Store one batch of ``value`` / ``position`` rows; returns its message counts.
 
     All three outputs are derived from the same input and replace only the files of
     ``batch``. A replay after a failure between two writes therefore completes the missing
@@ -28,6 +31,7 @@ def ingest_batch(
     arrival = F.struct("position.*", F.monotonically_increasing_id().alias("row"))
     messages = messages.select("value", arrival.alias("position"))
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = message_totals(classified).head().asDict()
     bars = good_bars(classified, cadence, "position")
     staged = tables.read(
         spark, "staging", where=tables.periods_of(bars) & (F.col(BATCH) != batch)
@@ -50,13 +54,20 @@ def ingest_batch(
     finally:
         marked.unpersist()
         classified.unpersist()
+    return totals
 
 
 def stream_ingest(
-    messages: DataFrame, tables: Tables, checkpoint: str, max_group: int = GROUP_ROWS
+    messages: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    max_group: int = GROUP_ROWS,
+    on_batch: Callable[[dict[str, int]], None] = lambda totals: None,
 ) -> StreamingQuery:
     """Ingest everything the topic holds now, then stop.
 
+    ``on_batch`` receives the message counts of every stored batch.
+
     Offsets live in ``checkpoint``: the next start resumes behind the last finished batch.
     Batch names start with the query's id, so a new checkpoint never overwrites old batches.
     """
@@ -64,7 +75,7 @@ def stream_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = context.getLocalProperty("sql.streaming.queryId")
-        ingest_batch(batch, tables, f"{query}-{batch_id}", max_group)
+        on_batch(ingest_batch(batch, tables, f"{query}-{batch_id}", max_group))
 
     return (
         messages.writeStream.foreachBatch(store)

@@ -22,7 +22,7 @@ from marketbars.operators.indicators import (
 )
 from marketbars.operators.reach import latest_bars, reached_analytics
 from marketbars.plans.registry import reader_of as reader
-from marketbars.schemas import DAILY, INTRADAY
+from marketbars.schemas import DAILY, INTRADAY, moment
 
 D = Decimal
 
@@ -156,7 +156,7 @@ def test_vwap_survives_huge_totals(spark):
 def test_analytics_columns_and_types(spark):
     as_of = dt.datetime(2025, 1, 1)
     rows = [bar("A", DAY0, "2.00", 5, open_="1.00", high="3.00", low="0.50")]
-    frame = analytics(daily_frame(spark, rows), DAILY, F.lit(as_of))
+    frame = analytics(daily_frame(spark, rows), DAILY, moment(as_of))
     assert [(f.name, f.dataType) for f in frame.schema] == [
         (f.name, f.dataType) for f in DAILY.final_schema
     ]
@@ -164,7 +164,7 @@ def test_analytics_columns_and_types(spark):
     assert (row.daily_range, row.rsi_14, row.last_refreshed) == (D("2.50"), None, as_of)
 
     rows = [bar("A", TIME0, "2.00", 5, open_="3.00", high="3.00", low="0.50")]
-    frame = analytics(intraday_frame(spark, rows), INTRADAY, F.lit(as_of))
+    frame = analytics(intraday_frame(spark, rows), INTRADAY, moment(as_of))
     assert [(f.name, f.dataType) for f in frame.schema] == [
         (f.name, f.dataType) for f in INTRADAY.final_schema
     ]

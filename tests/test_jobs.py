@@ -4,6 +4,7 @@ import json
 import pytest
 from helpers import brute_daily, brute_intraday, document, fields
 
+from marketbars.__main__ import main
 from marketbars.operators.metrics import bars_per_symbol, message_totals
 from marketbars.operators.messages import classify_messages
 from marketbars.plans import jobs
@@ -29,6 +30,15 @@ def land(folder, envelopes):
     return str(folder)
 
 
+def counts(sent, processed, affected):
+    return {
+        "messages_sent": sent,
+        "messages_processed": processed,
+        "messages_rejected": 0,
+        "rows_affected": affected,
+    }
+
+
 class World:
     """One cadence's folders and a shorthand for a scheduled run."""
 
@@ -76,13 +86,13 @@ def test_intraday_runs(spark, tmp_path, hours):
         RUN1,
     )
     # Untracked X is not sent.
-    assert first == {"messages_sent": 80, "rows_affected": 80}
+    assert first == counts(80, 80, 80)
     # Landed again with new bars: only these are sent, every staged row is refreshed.
     second = world.run([envelope("A", hours[-1], series(hours))], RUN2)
-    assert second == {"messages_sent": 20, "rows_affected": 100}
+    assert second == counts(20, 20, 100)
     # Nothing new and not a newer stamp: no row changes.
     third = world.run([envelope("A", hours[-1], series(hours))], RUN2)
-    assert third == {"messages_sent": 0, "rows_affected": 0}
+    assert third == counts(0, 0, 0)
 
     expected = brute_intraday(world.rows("staging"))
     final = world.tables.read(spark, "final").collect()
@@ -108,7 +118,7 @@ def test_daily_runs_and_batch_refresh(spark, tmp_path):
     (tmp_path / "topic" / "history.json").write_text("\n".join(history) + "\n")
     first = world.run([envelope("A", days[99], series(days[:100]), key)], RUN1)
     # A one-day look-back exclusive of its start: only the newest bar, staged before as history.
-    assert first == {"messages_sent": 1, "rows_affected": 200}
+    assert first == counts(1, 201, 200)
 
     full = {r[:2]: r for r in world.rows("final")}
     known = {r.batch for r in spark.read.parquet(world.tables.path("staging")).collect()}
@@ -197,3 +207,23 @@ def test_metrics(spark):
     assert totals.asDict() == {
         "n_messages": 3, "n_processed": 2, "n_rejected": 1, "n_bars": 2,
     }
+
+
+def test_command_line(spark, tmp_path, hours, capsys):
+    folder = land(tmp_path / "landed", [envelope("AAPL", hours[-1], series(hours))])
+    common = ["--cadence", "intraday", "--tables", str(tmp_path / "tables")]
+    topic = ["--topic-dir", str(tmp_path / "topic")]
+    offsets = ["--offsets", str(tmp_path / "offsets")]
+    stamp = ["--as-of", "2025-02-01T10:00:00"]
+
+    def call(*arguments):
+        main(list(arguments))
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    assert call("extract", *common, *topic, "--landed", folder) == {"messages_sent": 60}
+    assert call("ingest", *common, *topic, *offsets)["n_bars"] == 60
+    assert call("refresh", *common, *stamp) == {"rows_affected": 60}
+    again = call("run", *common, *topic, *offsets, *stamp, "--landed", folder)
+    assert again == counts(0, 0, 0)
+    with pytest.raises(SystemExit):
+        main(["extract", *common, *topic])
