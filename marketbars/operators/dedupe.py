@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from marketbars.operators.skew import GROUP_ROWS, hot_groups, small_side
 
-# Tasks a group too large for one task is spread over.
-_SPREAD = 512
-
 
 def mark_duplicates(
     incoming: DataFrame,
@@ -22,8 +19,8 @@ def mark_duplicates(
 
     ``position`` orders the batch. Staged keys take part as rows ranked before every
     incoming one, so one exchange settles both questions. A key with more than
-    ``max_group`` copies is spread over many tasks; its first position, found by a
-    partially aggregated MIN, then decides instead of the rank inside a task.
+    ``max_group`` copies is spread over as many tasks as its copies need; its first position,
+    found by a partially aggregated MIN, then decides instead of the rank inside a task.
     """
     names = incoming.columns
     known = staged.select(*keys, F.lit(True).alias("_staged"))
@@ -36,13 +33,16 @@ def mark_duplicates(
     spread, repeats = [], F.col("_rank") > 1
     hot = hot_groups(rows, keys, max_group)
     if hot is not None:
-        first = rows.join(hot, keys).groupBy(*keys).agg(F.min("_order").alias("_first"))
+        first = (
+            rows.join(hot, keys)
+            .groupBy(*keys)
+            .agg(F.min("_order").alias("_first"), F.count("*").alias("_copies"))
+        )
         # One row per hot key: written out and counted like ``hot`` itself.
         rows = rows.join(small_side(first.checkpoint()), keys, "left")
-        task = F.when(
-            F.col("_first").isNotNull(), F.pmod(F.xxhash64(position), F.lit(_SPREAD))
-        )
-        rows = rows.withColumn("_task", task)
+        # NULL, hence no spread, for keys that are not hot.
+        tasks = F.ceil(F.col("_copies") / max_group)
+        rows = rows.withColumn("_task", F.pmod(F.xxhash64(position), tasks))
         spread = ["_task"]
         repeats = F.coalesce(F.col("_order") != F.col("_first"), repeats)
 

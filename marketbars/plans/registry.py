@@ -15,12 +15,12 @@ from marketbars.operators.dedupe import first_write_wins
 from marketbars.operators.indicators import analytics, bar_columns, generated_columns, indicators
 from marketbars.operators.reach import Reader, reached_analytics
 from marketbars.operators.upsert import upsert
+from marketbars.plans import jobs
 from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence, moment
 from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
-from marketbars.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,19 +255,50 @@ def stage_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(cadence: Cadence) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """All bars as messages in a folder, streamed into the tables; the staged rows."""
         base = work_dir(spark, f"stream-{cadence.name}")
         topics.write_files(
             fx.messages(bars_of(spark, sf_dir, cadence), cadence), f"{base}/topic"
         )
         tables = Tables(f"{base}/tables", cadence)
-        tables.create(spark)
         stream = topics.stream_files(spark, f"{base}/topic")
-        stream_ingest(stream, tables, f"{base}/offsets").awaitTermination()
+        jobs.ingest(stream, tables, f"{base}/offsets")
         return tables.read(spark, "staging")
 
     return query
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The defective messages streamed into the tables; rejected messages per reason."""
+    base = work_dir(spark, "stream-quarantine")
+    topics.write_files(defective_messages(spark, sf_dir), f"{base}/topic")
+    tables = Tables(f"{base}/tables", INTRADAY)
+    stream = topics.stream_files(spark, f"{base}/topic")
+    jobs.ingest(stream, tables, f"{base}/offsets")
+    rejected = tables.read(spark, "quarantine")
+    return rejected.groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
+def _scheduled_run(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Landed documents through extract, ingest and refresh into the final table."""
+        base = work_dir(spark, f"run-{cadence.name}")
+        tables = Tables(f"{base}/tables", cadence)
+        jobs.run(
+            spark,
+            tables,
+            landed(spark, sf_dir, cadence),
+            send=lambda messages: topics.write_files(messages, f"{base}/topic"),
+            receive=lambda: topics.stream_files(spark, f"{base}/topic"),
+            checkpoint=f"{base}/offsets",
+            as_of=FIRST_RUN,
+            symbols=None,
+        )
+        return tables.read(spark, "final")
+
+    return query
+
+
 def constraint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars sent twice with missing symbols, volumes and over-large prices; violation counts."""
     bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
@@ -393,6 +424,9 @@ QUERIES: dict[str, Query] = {
     "stage_hot_key": stage_hot_key,
     "stream_ingest_intraday": _stream(INTRADAY),
     "stream_ingest_daily": _stream(DAILY),
+    "stream_quarantine": stream_quarantine,
+    "scheduled_run_intraday": _scheduled_run(INTRADAY),
+    "scheduled_run_daily": _scheduled_run(DAILY),
     "constraint_check": constraint_check,
     "upsert_intraday": _upsert(INTRADAY),
     "upsert_daily": _upsert(DAILY),

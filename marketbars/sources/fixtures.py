@@ -74,9 +74,12 @@ def intraday_bars(
 
 
 def time_text(cadence: Cadence) -> Column:
-    if cadence.name == "intraday":
-        return F.date_format(cadence.time_col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.date_format(cadence.time_col, "yyyy-MM-dd")
+    """Bar time as text, microseconds always written out; independent of the session zone."""
+    text = F.col(cadence.time_col).cast("string")
+    if cadence.name == "daily":
+        return text
+    micros = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), micros)
 
 
 def payload() -> Column:

@@ -67,7 +67,7 @@ def test_upsert_shuffles_each_side_once(staged, spark):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in QUERIES if not n.startswith(("stream", "late")))
+    "name", sorted(n for n in QUERIES if not n.startswith(("stream", "scheduled", "late")))
 )
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
