@@ -1,7 +1,8 @@
 """Command line for spark-submit: one job per call, counts as one JSON line.
 
     python -m marketbars run --cadence daily --tables s3a://bucket/bars \
-        --landed s3a://bucket/landed/today --servers broker:9092 --offsets s3a://bucket/offsets/daily
+        --landed s3a://bucket/landed/today --servers broker:9092 \
+        --offsets s3a://bucket/offsets/daily
 """
 
 from __future__ import annotations

@@ -39,9 +39,8 @@ def plain(value):
 
 def canonical(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(
-        (tuple(plain(r[i]) for i in order) for r in rows), key=lambda r: [(c is None, c or "") for c in r]
-    )
+    values = (tuple(plain(r[i]) for i in order) for r in rows)
+    return sorted(values, key=lambda r: [(c is None, c or "") for c in r])
 
 
 def spark_rows(df):

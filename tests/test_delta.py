@@ -56,7 +56,8 @@ def test_document_reasons(spark):
 
 def test_entry_without_time_is_left_out(spark):
     body = document(LAST, {"soon": fields(), LAST: fields()})
-    entries = document_entries(classify_documents(landed(spark, [("A", 200, body)]), INTRADAY), INTRADAY)
+    classified = classify_documents(landed(spark, [("A", 200, body)]), INTRADAY)
+    entries = document_entries(classified, INTRADAY)
     assert [r.time_text for r in entries.collect()] == [LAST]
 
 

@@ -28,7 +28,9 @@ def test_pct_change_edges(spark):
     assert [r.pct for r in frame.collect()] == [Decimal("-0.01"), None, None, None]
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 @given(
     st.lists(
         st.tuples(st.integers(-(10**12), 10**12), st.integers(1, 10**6)), min_size=1, max_size=30

@@ -144,7 +144,7 @@ def test_daily_runs_and_batch_refresh(spark, tmp_path):
     expected = brute_daily(world.rows("staging"))
     assert {k: (r[8], r[9], r[10], r[11]) for k, r in final.items()} == expected
     assert jobs.refresh(spark, world.tables, RUN3) == 230
-    assert {k: (r[8], r[9], r[10], r[11]) for k, r in map(lambda r: (r[:2], r), world.rows("final"))} == expected
+    assert {r[:2]: (r[8], r[9], r[10], r[11]) for r in world.rows("final")} == expected
 
 
 def test_late_intraday_bar_is_repaired(spark, tmp_path, hours):
