@@ -100,6 +100,7 @@ def document_problem(status: Column, parsed: Column, text: Column, cadence: Cade
         shape_problem(parsed, text),
         F.when(has_key(text, ERROR_KEY), "api_error"),
         F.when(has_key(text, RATE_LIMIT_KEY), "rate_limit"),
+        F.when(parsed[_CORRUPT].isNotNull(), "bad_value"),
         F.when(
             F.coalesce((F.size(meta) <= 0) | (F.size(series) <= 0), F.lit(True)),
             "missing_section",

@@ -34,21 +34,29 @@ def with_last_refreshed(classified: DataFrame, cadence: Cadence) -> DataFrame:
     return classified.withColumn("last_refreshed", last)
 
 
+def _all_entries(classified: DataFrame, cadence: Cadence) -> DataFrame:
+    good = with_last_refreshed(classified.filter(F.col("reason").isNull()), cadence)
+    entries = good.select(
+        "symbol",
+        "last_refreshed",
+        F.explode(F.col("_document")[cadence.series_key]).alias("time_text", "fields"),
+    )
+    return entries.withColumn(cadence.time_col, doc.parse_time(F.col("time_text"), cadence))
+
+
 def document_entries(classified: DataFrame, cadence: Cadence) -> DataFrame:
-    """One row per series entry: symbol, last refreshed, time text, typed time, fields.
+    """One row per series entry: symbol, last refreshed, time text, fields, typed time.
 
-    An entry whose time does not parse is left out, its neighbours are not.
+    An entry whose time does not parse is rejected alone, its neighbours are not.
     """
-    time = cadence.time_col
-    return (
-        with_last_refreshed(classified.filter(F.col("reason").isNull()), cadence)
-        .select(
-            "symbol",
-            "last_refreshed",
-            F.explode(F.col("_document")[cadence.series_key]).alias("time_text", "fields"),
-        )
-        .withColumn(time, doc.parse_time(F.col("time_text"), cadence))
-        .filter(F.col(time).isNotNull())
+    return _all_entries(classified, cadence).filter(F.col(cadence.time_col).isNotNull())
+
+
+def rejected_entries(classified: DataFrame, cadence: Cadence) -> DataFrame:
+    """Entries without a usable time, as the messages they would have been."""
+    bad = _all_entries(classified, cadence).filter(F.col(cadence.time_col).isNull())
+    return encode_messages(bad, cadence).select(
+        F.lit("entry").alias("source"), "value", F.lit("bad_value").alias("reason")
     )
 
 

@@ -46,9 +46,10 @@ def extract_delta(
             delta.encode_messages(fresh, cadence), n_messages=F.count(F.lit(1))
         )
         send(messages)
-        tables.write(
-            delta.rejected_documents(classified), "quarantine", f"extract-{uuid.uuid4().hex}"
+        rejected = delta.rejected_documents(classified).unionByName(
+            delta.rejected_entries(classified, cadence)
         )
+        tables.write(rejected, "quarantine", f"extract-{uuid.uuid4().hex}")
     finally:
         classified.unpersist()
     return sent.get["n_messages"]

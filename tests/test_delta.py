@@ -11,6 +11,7 @@ from marketbars.operators.delta import (
     latest_bar_per_symbol,
     latest_per_symbol,
     rejected_documents,
+    rejected_entries,
     tracked,
 )
 from marketbars.schemas import DAILY, INTRADAY, LANDED_SCHEMA
@@ -43,6 +44,8 @@ def test_document_reasons(spark):
         (200, document(LAST, {}), "missing_section"),
         (200, document(LAST, {LAST: fields()}, "Time Series (Daily)"), "missing_section"),
         (200, document("soon", {LAST: fields()}), "bad_value"),
+        (200, document(LAST, {LAST: "text"}), "bad_value"),
+        (200, '{"Meta Data": "text", "Time Series (5min)": {}}', "bad_value"),
         (200, "[" + GOOD + "]", "not_object"),
         (200, "null", "not_object"),
         (200, GOOD[:-1], "bad_json"),
@@ -54,11 +57,15 @@ def test_document_reasons(spark):
     assert rejected_documents(classified).count() == len(cases) - 1
 
 
-def test_entry_without_time_is_left_out(spark):
+def test_entry_without_time_is_rejected_alone(spark):
     body = document(LAST, {"soon": fields(), LAST: fields()})
     classified = classify_documents(landed(spark, [("A", 200, body)]), INTRADAY)
     entries = document_entries(classified, INTRADAY)
     assert [r.time_text for r in entries.collect()] == [LAST]
+    rejected = rejected_entries(classified, INTRADAY).collect()
+    assert [(r.source, json.loads(r.value)["data"], r.reason) for r in rejected] == [
+        ("entry", {"soon": fields()}, "bad_value")
+    ]
 
 
 def test_only_newer_than_staged(spark):
