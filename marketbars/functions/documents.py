@@ -68,11 +68,15 @@ def has_key(text: Column, key: str) -> Column:
 
 
 def shape_problem(parsed: Column, text: Column) -> Column:
-    """``bad_json`` / ``not_object`` for text that is no JSON object, else NULL."""
+    """``bad_json`` / ``not_object`` for text that is no JSON object, else NULL.
+
+    ``from_json`` stops after the first value. Read as the content of an array, the text
+    must be one complete value with nothing behind it.
+    """
+    single = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(1)
     suspect = parsed.isNull() | parsed[_CORRUPT].isNotNull()
-    return F.when(
-        suspect & F.json_object_keys(text).isNull(),
-        F.when(F.try_parse_json(text).isNull(), "bad_json").otherwise("not_object"),
+    return F.when(~single, "bad_json").when(
+        suspect & F.json_object_keys(text).isNull(), "not_object"
     )
 
 

@@ -25,6 +25,10 @@ CASES = [
     ("{bad", "bad_json"),
     ("", "bad_json"),
     (message("A", T0)[:-1], "bad_json"),
+    (message("A", T0) + " trailing", "bad_json"),
+    (message("A", T0) + message("B", T0), "bad_json"),
+    (message("A", T0) + "," + message("B", T0), "bad_json"),
+    (" " + message("A", T0) + " \n", None),
     ('{"terminate": true}', "control"),
     ('{"terminate": "yes", "symbol": "A"}', "control"),
     ('{"terminate": false}', "missing_field"),
