@@ -15,7 +15,7 @@ def classify_messages(messages: DataFrame, cadence: Cadence) -> DataFrame:
     """Add ``reason`` (NULL when good), ``symbol`` and typed ``bars`` to rows of ``value``.
 
     A message is taken or rejected as a whole: one bad bar rejects all bars of its message.
-    No shuffle, no Python; one JSON parse per message.
+    No shuffle, no Python; each message is turned into columns once.
     """
     parsed = doc.computed_once(messages, _message=doc.parse_message(F.col("value")))
     typed = doc.computed_once(parsed, bars=doc.typed_bars(F.col("_message.data"), cadence))

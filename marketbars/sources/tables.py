@@ -85,7 +85,9 @@ class Tables:
         """Replace the partitions that ``rows`` covers; all others stay as they are.
 
         The rebalance hint lets adaptive execution merge small and split large partitions,
-        so a period holding a third of the rows is written by many tasks.
+        so a period holding a third of the rows is written by many tasks. Files are sorted
+        by key: that compresses well and lets scans skip row groups of other symbols. The
+        sort starts with the partition columns, so it is the one the writer needs anyway.
         """
         columns = self.schema(layer).fieldNames()
         if layer == "quarantine":
@@ -96,6 +98,7 @@ class Tables:
             )
             if layer != "final":
                 stored = stored.withColumn(BATCH, F.lit(batch))
+            stored = stored.sortWithinPartitions(*self.partitions(layer), *self.cadence.keys)
         (
             stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

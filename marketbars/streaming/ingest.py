@@ -75,6 +75,8 @@ def stream_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = context.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the batch does not know its streaming query")
         on_batch(ingest_batch(batch, tables, f"{query}-{batch_id}", max_group))
 
     return (

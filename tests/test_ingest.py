@@ -162,6 +162,14 @@ def test_created_tables_keep_their_rows(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(period" in plan
 
 
+def test_files_are_sorted_by_key(spark, tables, tmp_path):
+    lines = [message(s, t) for t in reversed(times(30)) for s in ("C", "A", "B")]
+    ingest_batch(read_batch(spark, tmp_path, lines), tables, "q-0")
+    for file in spark.read.parquet(tables.path("staging")).inputFiles():
+        keys = [(r.symbol, r.timestamp) for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)
+
+
 def test_bars_of_other_periods_are_not_read(spark, tables, tmp_path):
     batch = read_batch(spark, tmp_path, [message("A", t) for t in times(2)])
     ingest_batch(batch, tables, "q-0")
