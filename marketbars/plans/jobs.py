@@ -83,6 +83,8 @@ def refresh_batches(
     rows = reached_analytics(read, arrived, tables.cadence, _stamp(as_of), max_group)
     ensure_checkpoint_dir(spark)
     rows = rows.checkpoint()
+    if rows.isEmpty():
+        return 0
     target = tables.read(spark, "final", where=tables.periods_of(rows))
     return _merge(rows, target, tables)
 

@@ -180,9 +180,17 @@ def test_empty_tables_refresh(spark, tmp_path):
         tables = Tables(str(tmp_path / cadence.name), cadence)
         tables.create(spark)
         assert jobs.refresh(spark, tables, RUN1) == 0
+        assert jobs.refresh_batches(spark, tables, ["unknown"], RUN1) == 0
         assert tables.read(spark, "final").count() == 0
 
 
+@pytest.mark.parametrize("envelopes", [[], [{"symbol": "A", "status": 500, "body": "{}"}]])
+def test_nothing_usable_landed(spark, tmp_path, envelopes):
+    world = World(spark, tmp_path, INTRADAY)
+    assert world.run(envelopes, RUN1) == counts(0, 0, 0)
+    assert len(world.rows("quarantine")) == len(envelopes)
+
+
 def test_bare_bodies(spark, tmp_path):
     folder = tmp_path / "bodies" / "symbol=A"
     folder.mkdir(parents=True)
