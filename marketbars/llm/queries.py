@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marketbars.llm.decontamination import contaminated
+from marketbars.llm.language import predict
+from marketbars.llm.mixing import mix
 from marketbars.llm.quality import quality
 from marketbars.llm.separators import document_token_counts
+from marketbars.llm.simhash import near_duplicates
 from marketbars.llm.tokenfile import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +33,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = predict(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_spans", F.size("spans").cast("bigint")).drop("spans")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_token_counts(table(spark, sf_dir, "documents"), tokenizer(), FLAT_END)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
@@ -41,7 +63,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
+    "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op10_token_files": op10_token_files,
 }
