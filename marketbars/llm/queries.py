@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +12,13 @@ from pyspark.sql import functions as F
 
 from marketbars.llm.decontamination import contaminated
 from marketbars.llm.language import predict
+from marketbars.llm.linechunks import dedup_lines
 from marketbars.llm.mixing import mix
 from marketbars.llm.quality import quality
 from marketbars.llm.separators import document_token_counts
 from marketbars.llm.simhash import near_duplicates
+from marketbars.llm.superkmers import dedup
+from marketbars.llm.surrogates import pseudonymised
 from marketbars.llm.tokenfile import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +28,8 @@ TOKENIZER = "word_bpe_49k.json"
 FLAT_END = 49407
 # Ends a document in token-id files.
 FILE_END = 1
+# Whoever knows the key can tell which surrogate an entity has; set your own.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "public test key")
 
 
 def tokenizer() -> str:
@@ -30,6 +37,11 @@ def tokenizer() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers find this package wherever the driver was started from.
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in (paths := environment.get("PYTHONPATH", "").split(os.pathsep)):
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +70,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonymised(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "n_entities")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer(), FILE_END)
 
@@ -69,6 +98,9 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_pii_surrogates": op9_pii_surrogates,
     "op10_token_files": op10_token_files,
 }
 ORACLE: dict[str, str] = {}
