@@ -14,6 +14,7 @@ from marketbars.llm.decontamination import contaminated
 from marketbars.llm.language import predict
 from marketbars.llm.linechunks import dedup_lines
 from marketbars.llm.mixing import mix
+from marketbars.llm.oracle import ORACLE
 from marketbars.llm.quality import quality
 from marketbars.llm.separators import document_token_counts
 from marketbars.llm.simhash import near_duplicates
@@ -23,6 +24,8 @@ from marketbars.llm.tokenfile import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+__all__ = ["ORACLE", "QUERIES"]
+
 TOKENIZER = "word_bpe_49k.json"
 # Ends a document in flat files: <|endoftext|> of that vocabulary.
 FLAT_END = 49407
@@ -103,4 +106,3 @@ QUERIES: dict[str, Query] = {
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_token_files": op10_token_files,
 }
-ORACLE: dict[str, str] = {}
