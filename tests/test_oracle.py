@@ -4,6 +4,8 @@ import pytest
 from compare import connect, oracle_rows, spark_rows
 
 import __spark_entry__ as entry_point
+from marketbars.plans.oracle import ORACLE
+from marketbars.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +14,12 @@ def oracle(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, oracle, name):
     frame = entry_point.queries()[name](spark, sf_dir)
     sql = entry_point.oracle_sql()[name]
