@@ -72,6 +72,16 @@ def text_key() -> Column:
     return F.xxhash64("text")
 
 
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """Written to the shared folder and read again.
+
+    Cuts the lineage. An aggregate that is stored joins through a shuffle of its own, so that
+    adaptive execution can split the other side's partitions where one key has most of the rows.
+    """
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 # --- files in the shared folder ----------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.session import ensure_checkpoint_dir
+from marketbars.llm.common import stored
+from marketbars.session import ensure_checkpoint_dir, work_dir
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -14,10 +15,16 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), digest).first())
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """Each node's smallest neighbour; stored, so that a hub's edges can be split in the join."""
+    least = edges.groupBy("u").agg(F.min("v").alias("least"))
+    return stored(least, work_dir(edges.sparkSession, "components"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour or itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("least"))
+    least = _least(both)
     return (
         both.filter("v > u")
         .join(least, "u")
@@ -27,7 +34,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("least"))
+    least = _least(edges)
     others = edges.join(least, "u").filter("v != least").select(F.col("v").alias("u"), "least")
     return least.unionByName(others).withColumnRenamed("least", "v")
 

@@ -67,6 +67,21 @@ def best_stretch(equal: Column, stretch: Column) -> Column:
     return F.when(F.length(equal) >= stretch, F.array_max(counts)).otherwise(0)
 
 
+def _laid(hits: DataFrame, stretch: int, masks) -> DataFrame:
+    """The words of document and item around a piece, as far as both go, and what must agree."""
+    reach = stretch + max(map(len, masks))
+    shift, piece = F.col("shift"), F.col("piece")
+    first = F.greatest(F.lit(0), piece * PIECE - reach, -shift)
+    stop = F.least(F.size("item"), (piece + 1) * PIECE + reach, F.size("words") - shift)
+    return hits.withColumns(
+        {
+            "length": F.least(F.lit(stretch), F.size("item")),
+            "found": F.slice("words", first + shift + 1, stop - first),
+            "given": F.slice("item", first + 1, stop - first),
+        }
+    ).drop("words", "item")
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -87,43 +102,52 @@ def leaks(
     match nothing. Repeated rows of either table give one row per pair. A null doc_id or item_id
     is reported as null. An empty table gives no rows; other columns are not read.
     """
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("item")).filter(
-        F.size("item") >= max(map(len, masks))
+    items = (
+        benchmark.select("item_id", words_of(F.col("text")).alias("item"))
+        .filter(F.size("item") >= max(map(len, masks)))
+        .distinct()
+        .withColumn("item_key", F.xxhash64("item_id", "item"))
     )
-    items = items.distinct()
     probes = _placed(items, "item", "item_at", "seed", masks)
-    if probes.count() <= broadcast_seeds:
-        probes = F.broadcast(probes)
-    rows = docs.select("doc_id", text_key().alias("text_key"), words_of(F.col("text")).alias("words"))
-    hits = _placed(rows, "words", "at", "seed", masks).join(probes, "seed")
-    # Hits on one diagonal are verified together, piece by piece of the item, with what lies
-    # around. Aggregated before the comparison, which is no part of the compiled join then.
-    shift = F.col("at") - F.col("item_at")
-    reach = stretch + max(map(len, masks))
-    piece = F.floor(F.col("item_at") / PIECE).cast("int")
-    first = F.greatest(F.lit(0), piece * PIECE - reach, -shift)
-    stop = F.least(F.size("item"), (piece + 1) * PIECE + reach, F.size("words") - shift)
-    aligned = hits.select(
-        "doc_id",
-        "text_key",
-        "item_id",
-        shift.alias("shift"),
-        piece.alias("piece"),
-        "at",
-        F.least(F.lit(stretch), F.size("item")).alias("length"),
-        F.slice("words", first + shift + 1, stop - first).alias("found"),
-        F.slice("item", first + 1, stop - first).alias("given"),
+    rows = docs.select(
+        "doc_id", text_key().alias("text_key"), words_of(F.col("text")).alias("words")
     )
-    verified = (
-        aligned.groupBy("doc_id", "text_key", "item_id", "shift", "piece", "length")
-        .agg(
-            F.min("at").alias("from"),
-            F.max("at").alias("to"),
-            F.count("*").alias("hits"),
-            F.first("found").alias("found"),
-            F.first("given").alias("given"),
+    placed = _placed(rows, "words", "at", "seed", masks)
+    shift = (F.col("at") - F.col("item_at")).alias("shift")
+    piece = F.floor(F.col("item_at") / PIECE).cast("int").alias("piece")
+    keys = ["doc_id", "text_key", "item_id", "item_key", "shift", "piece"]
+    extent = [
+        F.min("at").alias("from"),
+        F.max("at").alias("to"),
+        F.count("*").alias("hits"),
+    ]
+    # Hits on one diagonal are verified together, piece by piece of the item, with what lies
+    # around: aggregated before the comparison, which is no part of the compiled join then.
+    if probes.count() <= broadcast_seeds:
+        hits = placed.join(F.broadcast(probes), "seed").select(
+            *keys[:4], shift, piece, "at", "words", "item"
         )
-        .withColumn("equal", matches(F.col("found"), F.col("given")))
+        laid = _laid(hits, stretch, masks).groupBy(*keys, "length").agg(
+            *extent, F.first("found").alias("found"), F.first("given").alias("given")
+        )
+    else:
+        # Words stay behind: only places travel to the seeds and back to their documents.
+        probes = probes.select("seed", "item_id", "item_key", "item_at")
+        met = (
+            placed.select("seed", "doc_id", "text_key", "at")
+            .join(probes, "seed")
+            .select(*keys[:4], shift, piece, "at")
+            .groupBy(*keys)
+            .agg(*extent)
+        )
+        texts = rows.groupBy("doc_id", "text_key").agg(F.first("words").alias("words")).select(
+            F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "words"
+        )
+        same = met["doc_id"].eqNullSafe(texts["of_id"]) & (met["text_key"] == texts["of_text"])
+        of_item = items.select("item_key", "item")
+        laid = _laid(met.join(of_item, "item_key").join(texts, same), stretch, masks)
+    verified = (
+        laid.withColumn("equal", matches(F.col("found"), F.col("given")))
         .withColumn("n_equal", best_stretch(F.col("equal"), F.col("length")))
         .filter(F.col("n_equal") >= F.ceil(F.col("length") * F.lit(share)))
     )

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import byte_texts, map_slices, slices, text_key
+from marketbars.llm.common import byte_texts, map_slices, slices, stored, text_key
 from marketbars.llm.superkmers import order_id
 from marketbars.session import work_dir
 
@@ -162,19 +162,19 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, average: int = AVERAGE) -> Da
     folder = work_dir(spark, "line-chunks")
     keyed = docs.select("doc_id", order_id().alias("id"), text_key().alias("text_key"), "text")
     keys = ["id", "text_key"]
-    _listed(keyed, roll, average).write.parquet(f"{folder}/all")
     # Rows equal in id and text have equal chunks; one of each is enough.
-    rows = spark.read.parquet(f"{folder}/all").distinct()
+    rows = stored(_listed(keyed, roll, average), f"{folder}/all").distinct()
     met = rows.groupBy("hash").agg(F.count("*").alias("held")).filter("held > 1").select("hash")
+    met = stored(met, f"{folder}/met")
     asked = (
         rows.join(met, "hash")
         .groupBy(*keys)
         .agg(F.collect_list(F.struct("start", "stop", "hash")).alias("asked"))
     )
-    _bodies(keyed.join(asked, keys)).write.parquet(f"{folder}/repeated")
-    bodies = spark.read.parquet(f"{folder}/repeated")
+    bodies = stored(_bodies(keyed.join(asked, keys)), f"{folder}/repeated")
     place = F.struct("id", "text_key", "start")
     first = bodies.groupBy("hash", "body").agg(F.min(place).alias("first"))
+    first = stored(first, f"{folder}/first")
     gone = (
         bodies.join(first, ["hash", "body"])
         .filter(place != F.col("first"))

@@ -16,14 +16,15 @@ LEAST_CHUNK = 512
 # Share of chunks that may lie outside the band.
 CHUNK_SHARE = 1 / 3
 # (bytes from, lowest ratio, highest ratio) of whole documents. Short texts hardly compress,
-# long ones repeat more words: each length has its own limits.
+# long ones repeat more words: each length has its own limits. Base64 comes to 1.33 at most.
 BANDS = (
     (0, 0.0, 3.0),
-    (256, 1.15, 3.0),
-    (512, 1.25, 3.0),
-    (2048, 1.3, 3.2),
-    (16384, 1.35, 3.6),
-    (131072, 1.4, 4.5),
+    (256, 1.2, 3.0),
+    (512, 1.3, 3.0),
+    (1024, 1.4, 3.0),
+    (2048, 1.45, 3.2),
+    (16384, 1.5, 3.6),
+    (131072, 1.5, 4.5),
 )
 
 LEAST_WORDS = 50

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketbars.llm.common import byte_texts, free_names, kind_of, map_slices, text_key
+from marketbars.llm.common import byte_texts, free_names, kind_of, map_slices, stored, text_key
 from marketbars.llm.components import components
 from marketbars.session import work_dir
 
@@ -163,10 +163,8 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS, seed:
     group. A null doc_id takes part and gets its group's smallest id, null if there is none. An
     empty table gives no rows; other columns are not read.
     """
-    spark = docs.sparkSession
-    folder = work_dir(spark, "simhash")
-    fingerprints(docs, shingle, seed).write.parquet(folder)
-    rows = spark.read.parquet(folder)
+    folder = work_dir(docs.sparkSession, "simhash")
+    rows = stored(fingerprints(docs, shingle, seed), f"{folder}/rows")
     prints = rows.groupBy("print").agg(F.min("doc_id").alias("first"))
     found = components(links(prints.select("print"), most))
     rooted = prints.join(found, prints["print"] == found["node"], "left").select(
@@ -174,7 +172,7 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST_BITS, seed:
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("print", "component_id", "root")
-    return rows.join(classes, "print")
+    return rows.join(stored(classes, f"{folder}/classes"), "print")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
