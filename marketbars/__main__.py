@@ -24,6 +24,8 @@ NEEDS = {
     "extract": ("landed", "topic"),
     "ingest": ("topic", "offsets"),
     "refresh": (),
+    "merge": (),
+    "compact": (),
     "run": ("landed", "topic", "offsets"),
 }
 
@@ -66,6 +68,14 @@ def main(arguments: list[str] | None = None) -> None:
         counts = {"messages_sent": jobs.extract_delta(landed, tables, send, symbols)}
     elif options.job == "ingest":
         counts = jobs.ingest(receive(), tables, options.offsets)
+    elif options.job == "merge":
+        affected = jobs.refresh_outstanding(spark, tables, options.as_of)
+        counts = {"rows_affected": affected}
+    elif options.job == "compact":
+        counts = {"periods_compacted": jobs.compact(spark, tables)}
+        counts["folders_removed"] = sum(
+            tables.remove_dead(spark, layer) for layer in ("staging", "final")
+        )
     elif options.job == "refresh":
         counts = {"rows_affected": jobs.refresh(spark, tables, options.as_of)}
     else:

@@ -27,7 +27,7 @@ MESSAGE_SCHEMA = (
     f"{_CORRUPT} string"
 )
 
-# JSON texts that count as "not set".
+# JSON texts this package takes for "not set".
 FALSY = ("false", "0", "0.0", "", "{}", "[]")
 
 
@@ -118,7 +118,12 @@ def is_truthy(text: Column) -> Column:
 
 
 def parse_time(text: Column, cadence: Cadence) -> Column:
-    return text.try_cast(cadence.time_type)
+    """A typed time; NULL for text that is none, and for years outside 1..9999.
+
+    Spark reads those too, but neither a date on the driver nor a folder name can hold them.
+    """
+    time = text.try_cast(cadence.time_type)
+    return F.when(F.year(time).between(1, 9999), time)
 
 
 def typed_bars(series: Column, cadence: Cadence) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketbars.schemas import PRICE, VOLUME_AVG
+from marketbars.schemas import PERCENT, PRICE, VOLUME_AVG
 
 _WIDE = T.DecimalType(38, 0)
 
@@ -42,7 +42,7 @@ def from_cents(amount: Column, kind: T.DecimalType = PRICE) -> Column:
 def pct_change(current: Column, previous: Column) -> Column:
     """Percentage change between two prices, two decimals; NULL on a zero or NULL base."""
     now, before = cents(current), cents(previous)
-    return from_cents(rounded_quotient((now - before) * 10_000, before))
+    return from_cents(rounded_quotient((now - before) * 10_000, before), PERCENT)
 
 
 def mean_price(sum_cents: Column, count: Column) -> Column:

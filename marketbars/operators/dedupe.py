@@ -31,7 +31,8 @@ def mark_duplicates(
     rows = rows.withColumn("_order", order)
 
     spread, repeats = [], F.col("_rank") > 1
-    hot = hot_groups(rows, keys, max_group)
+    # Staged keys are unique: only copies that arrive can crowd a key.
+    hot = hot_groups(incoming, keys, max_group)
     if hot is not None:
         first = (
             rows.join(hot, keys)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from marketbars.functions import exact
 from marketbars.operators.skew import GROUP_ROWS, hot_groups
-from marketbars.schemas import PRICE, Cadence
+from marketbars.schemas import PRICE, SPREAD, Cadence
 
 _DAY, _PART = "_day", "_part"
 # Successive slice widths in seconds below a day. A second holds at most a million
@@ -88,10 +88,16 @@ def intraday_indicators(
     The previous close runs across days; the VWAP is one value per symbol and day.
     ``touched`` (symbol, day) limits the result to those days, still computed over all bars.
     """
-    if touched is None and hot_groups(bars, ["symbol"], max_group) is None:
+    if touched is not None:
+        priced = _by_slice(bars, touched, max_group)
+    elif (hot := hot_groups(bars, ["symbol"], max_group)) is None:
         priced = _by_symbol(bars)
     else:
-        priced = _by_slice(bars, touched, max_group)
+        # Only the few large series are cut into slices.
+        sliced = _by_slice(bars.join(hot, "symbol", "left_semi"), None, max_group)
+        whole = _by_symbol(bars.join(hot, "symbol", "left_anti"))
+        wanted = [*bars.columns, "prev_close", "vwap"]
+        priced = whole.select(*wanted).unionByName(sliced.select(*wanted))
     return priced.select(
         *bars.columns,
         "prev_close",
@@ -182,8 +188,9 @@ def _by_slice(bars: DataFrame, touched: DataFrame | None, max_group: int) -> Dat
     inside = Window.partitionBy(*SLICE_KEYS).orderBy("timestamp")
     return (
         sliced.withColumn("_inside", F.lag("close_price").over(inside))
+        .withColumn("_row", F.row_number().over(inside))
         .join(edges, SLICE_KEYS)
-        .withColumn("prev_close", F.coalesce("_inside", "_carried"))
+        .withColumn("prev_close", F.when(F.col("_row") == 1, F.col("_carried")).otherwise(F.col("_inside")))
     )
 
 
@@ -198,10 +205,10 @@ def indicators(bars: DataFrame, cadence: Cadence, **options) -> DataFrame:
 
 def generated_columns(rows: DataFrame, cadence: Cadence) -> DataFrame:
     """Spread columns that always follow from the row's own prices."""
-    spread = (F.col("high") - F.col("low")).try_cast(PRICE)
+    spread = (F.col("high") - F.col("low")).cast(SPREAD)
     if cadence.name == "daily":
         return rows.withColumn("daily_range", spread)
-    change = (F.col("close") - F.col("open")).try_cast(PRICE)
+    change = (F.col("close") - F.col("open")).cast(SPREAD)
     return rows.withColumn("high_low_spread", spread).withColumn("price_change", change)
 
 

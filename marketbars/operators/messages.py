@@ -25,13 +25,22 @@ def classify_messages(messages: DataFrame, cadence: Cadence) -> DataFrame:
     )
 
 
-def good_bars(classified: DataFrame, cadence: Cadence, *keep: str) -> DataFrame:
-    """One row per bar of the good messages, in raw-table columns."""
+def good_bars(
+    classified: DataFrame, cadence: Cadence, *keep: str, position: str | None = None
+) -> DataFrame:
+    """One row per bar of the good messages, in raw-table columns.
+
+    ``position`` names the column that orders messages; the bar's place in its message is added
+    to it, because one message can hold a key twice (one time, written in two ways).
+    """
     names = [n for n in cadence.raw_schema.fieldNames() if n != "symbol"]
+    kept = [F.col(c) for c in keep]
+    if position:
+        kept.append(F.struct(F.col(position).alias("message"), F.col("bar_no")).alias(position))
     return (
         classified.filter(F.col("reason").isNull())
-        .select("symbol", F.explode("bars").alias("bar"), *keep)
-        .select("symbol", *[F.col("bar")[n].alias(n) for n in names], *keep)
+        .select("*", F.posexplode("bars").alias("bar_no", "bar"))
+        .select("symbol", *[F.col("bar")[n].alias(n) for n in names], *kept)
     )
 
 

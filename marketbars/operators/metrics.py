@@ -6,28 +6,30 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marketbars.operators.messages import CONTROL
+from marketbars.session import ensure_checkpoint_dir
 
 
 def bars_per_symbol(bars: DataFrame) -> DataFrame:
     """Bars per symbol and the running total in symbol order.
 
-    The running total is split by the first two characters of the symbol: totals per
-    prefix carry over between prefixes, so no window ever holds all symbols.
+    Counts are dealt to tasks by ranges of symbols, whatever the symbols look like, and written
+    out, so that a range stays what it is. Running totals inside a range then start from the sum
+    of the ranges before it: one row per task.
     """
+    ensure_checkpoint_dir(bars.sparkSession)
     counts = bars.groupBy("symbol").agg(F.count("*").alias("n_bars"))
-    counts = counts.withColumn("_prefix", F.substring("symbol", 1, 2))
-    carried = (
-        counts.groupBy("_prefix")
-        .agg(F.sum("n_bars").alias("_total"))
-        # At most a few thousand prefixes, whatever the number of symbols.
-        .withColumn(
-            "_before",
-            F.sum("_total").over(Window.orderBy("_prefix")) - F.col("_total"),
-        )
-        .drop("_total")
+    ranged = counts.repartitionByRange("symbol")
+    ranged = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    sums = ranged.groupBy("_range").agg(F.sum("n_bars").alias("_total")).collect()
+    before, total = {}, 0
+    for row in sorted(sums):
+        before[row["_range"]] = total
+        total += row["_total"]
+    started = bars.sparkSession.createDataFrame(
+        list(before.items()), "_range int, _before bigint"
     )
-    inside = Window.partitionBy("_prefix").orderBy("symbol")
-    return counts.join(carried, "_prefix").select(
+    inside = Window.partitionBy("_range").orderBy("symbol")
+    return ranged.join(F.broadcast(started), "_range").select(
         "symbol",
         "n_bars",
         (F.col("_before") + F.sum("n_bars").over(inside)).alias("running_total"),

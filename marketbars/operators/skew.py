@@ -9,8 +9,8 @@ from marketbars.session import ensure_checkpoint_dir
 
 # Rows one task may hold as a single group.
 GROUP_ROWS = 1_000_000
-# Most rows a side may have to be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+# Largest side, as JSON text, to be broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 64_000_000
 
 
 def hot_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | None:
@@ -20,18 +20,12 @@ def hot_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | Non
     rows / ``max_rows`` entries. It is written to the checkpoint folder, so later joins
     neither recount nor depend on the executors that counted.
     """
-    hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys)
-    found = hot.count()
-    if found == 0:
-        return None
     ensure_checkpoint_dir(df.sparkSession)
-    return _sized(hot.checkpoint(), found)
+    hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys).checkpoint()
+    return None if hot.isEmpty() else small_side(hot)
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """Mark a materialised side for broadcast only when its counted size allows it."""
-    return _sized(df, df.count())
-
-
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """Mark a materialised side for broadcast only when its measured size allows it."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).head()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

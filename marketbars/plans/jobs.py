@@ -20,7 +20,7 @@ from marketbars.operators.skew import GROUP_ROWS, small_side
 from marketbars.operators.upsert import affected_rows, upsert
 from marketbars.schemas import DEFAULT_SYMBOLS, moment
 from marketbars.session import ensure_checkpoint_dir
-from marketbars.sources.tables import BATCH, Tables
+from marketbars.sources.tables import FINAL, MERGED, RETIRED, STAGED, Tables
 from marketbars.streaming.ingest import stream_ingest
 
 
@@ -42,9 +42,9 @@ def extract_delta(
         entries = delta.document_entries(classified, cadence)
         known = small_side(last_updates(spark, tables, classified).checkpoint())
         fresh = delta.newer_than(entries, known, cadence)
-        messages, sent = observed(
-            delta.encode_messages(fresh, cadence), n_messages=F.count(F.lit(1))
-        )
+        # Written once: what is counted is what is sent, and ``send`` may do as it likes.
+        messages = delta.encode_messages(fresh, cadence).checkpoint()
+        sent = messages.count()
         send(messages)
         rejected = delta.rejected_documents(classified).unionByName(
             delta.rejected_entries(classified, cadence)
@@ -52,7 +52,7 @@ def extract_delta(
         tables.write(rejected, "quarantine", f"extract-{uuid.uuid4().hex}")
     finally:
         classified.unpersist()
-    return sent.get["n_messages"]
+    return sent
 
 
 def refresh(
@@ -61,10 +61,19 @@ def refresh(
     as_of: datetime | Column | None = None,
     max_group: int = GROUP_ROWS,
 ) -> int:
-    """Recompute the analytics of all staged bars and merge them; returns affected rows."""
+    """Recompute the analytics of all staged bars and merge them; returns affected rows.
+
+    The explicit repair; scheduled runs merge what is outstanding (``refresh_outstanding``).
+    """
     options = {"max_group": max_group} if tables.cadence.name == "intraday" else {}
-    rows = analytics(tables.read(spark, "staging"), tables.cadence, _stamp(as_of), **options)
-    return _merge(rows, tables.read(spark, "final"), tables)
+    staged, final = tables.live(spark, "staging"), tables.live(spark, "final")
+    if not staged:
+        return 0
+    bars = tables.read_folders(spark, "staging", staged)
+    bars = bars.select(*tables.schema("staging").fieldNames())
+    rows = analytics(bars, tables.cadence, _stamp(as_of), **options)
+    periods = {period for period, _ in staged + final}
+    return _merge(spark, rows, tables, periods, {batch for _, batch in staged})
 
 
 def refresh_batches(
@@ -78,15 +87,57 @@ def refresh_batches(
 
     Values equal a full refresh; untouched rows also keep their ``last_refreshed``.
     """
-    arrived = tables.read(spark, "staging", where=F.col(BATCH).isin(*batches))
+    wanted = set(batches)
+    arrived = tables.read(spark, "staging", where=lambda _, batch: batch in wanted)
     read = partial(tables.read_bars, spark)
     rows = reached_analytics(read, arrived, tables.cadence, _stamp(as_of), max_group)
     ensure_checkpoint_dir(spark)
     rows = rows.checkpoint()
-    if rows.isEmpty():
+    return _merge(spark, rows, tables, tables.periods_of(rows), wanted)
+
+
+def refresh_outstanding(
+    spark: SparkSession,
+    tables: Tables,
+    as_of: datetime | Column | None = None,
+    max_group: int = GROUP_ROWS,
+) -> int:
+    """Merge the batches staged since the last merge, and those a failed merge left over.
+
+    The first merge of a table takes everything.
+    """
+    batches = tables.outstanding(spark)
+    if not batches:
         return 0
-    target = tables.read(spark, "final", where=tables.periods_of(rows))
-    return _merge(rows, target, tables)
+    if not tables.live(spark, "final"):
+        return refresh(spark, tables, as_of, max_group)
+    return refresh_batches(spark, tables, batches, as_of, max_group)
+
+
+def compact(spark: SparkSession, tables: Tables, most: int = 1) -> int:
+    """Join the merged batches of every period that has more than ``most`` of them.
+
+    Returns the number of periods rewritten. No row changes; old folders stay until
+    ``Tables.remove_dead``.
+    """
+    outstanding = set(tables.outstanding(spark))
+    by_period: dict[date, list[str]] = {}
+    for period, batch in tables.live(spark, "staging"):
+        if batch not in outstanding:
+            by_period.setdefault(period, []).append(batch)
+    old = [(p, b) for p, batches in by_period.items() if len(batches) > most for b in batches]
+    if not old:
+        return 0
+    batch = f"compact-{uuid.uuid4().hex}"
+    tables.write(tables.read_folders(spark, "staging", old), "staging", batch)
+    periods = sorted({p for p, _ in old})
+    tables.commit(
+        spark,
+        [(MERGED, None, batch)]
+        + [(STAGED, p, batch) for p in periods]
+        + [(RETIRED, p, b) for p, b in old],
+    )
+    return len(periods)
 
 
 def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) -> DataFrame:
@@ -97,6 +148,8 @@ def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) ->
     symbols = small_side(good.select("symbol").distinct().checkpoint())
     newest = delta.with_last_refreshed(good, cadence).agg(F.max("last_refreshed")).head()[0]
     day = newest.date() if isinstance(newest, datetime) else newest or date.today()
+    # One document dated far ahead must not move the look-back past all bars.
+    day = min(day, date.today())
     found = latest_bars(
         partial(tables.read_bars, spark), symbols, cadence, cadence.lookback(day)
     )
@@ -121,11 +174,11 @@ def run(
     as_of: datetime | Column | None = None,
     symbols=DEFAULT_SYMBOLS,
 ) -> dict[str, int]:
-    """One scheduled run: extract, ingest, refresh. Scheduling is left to the caller."""
+    """One scheduled run: extract, ingest, merge what is new. Scheduling is left to the caller."""
     tables.create(spark)
     sent = extract_delta(landed, tables, send, symbols)
     totals = ingest(receive(), tables, checkpoint)
-    affected = refresh(spark, tables, as_of)
+    affected = refresh_outstanding(spark, tables, as_of)
     return {
         "messages_sent": sent,
         "messages_processed": totals.get("n_processed", 0),
@@ -140,9 +193,22 @@ def _stamp(as_of: datetime | Column | None) -> Column:
     return as_of if isinstance(as_of, Column) else moment(as_of)
 
 
-def _merge(rows: DataFrame, target: DataFrame, tables: Tables) -> int:
-    merged, counted = observed(upsert(target, rows, tables.cadence), affected=affected_rows())
-    # Rows leave the merge already grouped by key; reading the table being replaced is safe
-    # because dynamic partition overwrite moves finished files in at the end of the job.
-    tables.write(merged, "final")
-    return counted.get["affected"] or 0
+def _merge(
+    spark: SparkSession,
+    rows: DataFrame,
+    tables: Tables,
+    periods: set[date],
+    batches: set[str],
+) -> int:
+    """Write a new version of the ``periods`` that ``rows`` reach, then put it in force."""
+    version, affected = f"v-{uuid.uuid4().hex}", 0
+    if periods:
+        target = tables.read(spark, "final", where=lambda period, _: period in periods)
+        merged, counted = observed(upsert(target, rows, tables.cadence), affected=affected_rows())
+        tables.write(merged, "final", version)
+        affected = counted.get["affected"] or 0
+    tables.commit(
+        spark,
+        [(FINAL, p, version) for p in sorted(periods)] + [(MERGED, None, b) for b in sorted(batches)],
+    )
+    return affected

@@ -127,7 +127,7 @@ def _land(cadence: Cadence) -> Query:
 
 
 def validate_api(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses with nine kinds of defects, one kind per page; counts per reason."""
+    """Responses with ten kinds of defects, one kind per page; counts per reason."""
     documents = landed(spark, sf_dir, INTRADAY)
     kind, body = F.pmod(F.col("page"), F.lit(11)), F.col("body")
     broken = (
@@ -139,6 +139,7 @@ def validate_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.replace(body, F.lit("}}"), F.lit("")))
         .when(kind == 7, F.replace(body, F.lit('Refreshed":"2'), F.lit('Refreshed":"x')))
         .when(kind == 8, F.lit('{"Meta Data": {}, "Time Series (5min)": {}}'))
+        .when(kind == 9, F.replace(body, F.lit('Refreshed":"2'), F.lit('Refreshed":"12')))
         .otherwise(body)
     )
     defective = documents.withColumn("body", broken).withColumn(
@@ -206,6 +207,8 @@ def defective_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 9, F.replace(value, F.lit('"5. volume":"'), F.lit('"5. volume":"1.')))
         .when(kind == 10, F.replace(value, F.lit('"1. open":"'), F.lit('"1. open":"nan')))
         .when(kind == 11, F.replace(value, F.lit('{"2024-'), F.lit('{"2024-13-')))
+        .when(kind == 12, F.replace(value, F.lit('{"2024-'), F.lit('{"12345-')))
+        .when(kind == 13, F.replace(value, F.lit('{"2024-'), F.lit('{"0000-')))
         .otherwise(value)
     )
     return texts.select("event_id", broken.alias("value"))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)
+# Wide enough for the difference of any two prices, and for any change in percent.
+SPREAD = T.DecimalType(11, 2)
+PERCENT = T.DecimalType(18, 2)
 # Wide enough for the mean of any BIGINT volumes.
 VOLUME_AVG = T.DecimalType(21, 2)
 
@@ -85,16 +88,16 @@ class Cadence:
         """Columns of the final table after symbol, time, OHLC and volume."""
         if self.name == "intraday":
             types = {
-                "high_low_spread": PRICE,
-                "price_change": PRICE,
+                "high_low_spread": SPREAD,
+                "price_change": SPREAD,
                 "prev_close": PRICE,
-                "price_change_pct": PRICE,
+                "price_change_pct": PERCENT,
                 "vwap": PRICE,
             }
         else:
             types = {
-                "daily_range": PRICE,
-                "price_change_pct_daily": PRICE,
+                "daily_range": SPREAD,
+                "price_change_pct_daily": PERCENT,
                 "moving_avg_50d": PRICE,
                 "moving_avg_200d": PRICE,
                 "volume_avg_20d": VOLUME_AVG,

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files go when what was checkpointed is no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

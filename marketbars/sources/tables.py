@@ -1,25 +1,36 @@
-"""The stored tables: raw, staging and final per cadence, plus quarantine.
+"""The stored tables: raw, staging and final per cadence, plus quarantine and a log.
 
 Layout below one root folder, Parquet, partitioned by ``period`` (day of an intraday bar,
-month of a daily bar) so that ingest and upsert only read and rewrite the periods they
-touch. Raw and staging add ``batch``: writing a batch again replaces exactly its own files,
-which makes a replay harmless.
+month of a daily bar) and ``batch``, so that ingest and merge only read and write the periods
+they touch. Writing a batch again replaces exactly its own files, which makes a replay
+harmless.
+
+The log says which (period, batch) folders of staging and final are live. A merge writes a
+new version of the periods it touches beside the old one, and one appended log file then puts
+all of them in force: readers see the old or the new version, and no path is overwritten while
+it is read. Readers open the live folders by name; nothing else is listed.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.schemas import QUARANTINE_SCHEMA, Cadence
 
 PERIOD, BATCH = "period", "batch"
-# Partition filters longer than this are replaced by their first and last period.
-_LISTED_PERIODS = 1000
+LAYERS = ("raw", "staging", "final", "quarantine")
+# Log entries: a staged folder, a folder merged into others, a final version, a merged batch.
+STAGED, RETIRED, FINAL, MERGED = "staged", "retired", "final", "merged"
+LOG_SCHEMA = "kind string, period date, batch string, at bigint"
+
+Folder = tuple[date, str]
 
 
 @dataclass(frozen=True)
@@ -35,6 +46,7 @@ class Tables:
             "staging": f"staging/{self.cadence.bars_table}",
             "final": f"final/{self.cadence.analytics_table}",
             "quarantine": f"quarantine/{self.cadence.bars_table}",
+            "log": f"log/{self.cadence.bars_table}",
         }
         return f"{self.root.rstrip('/')}/{names[layer]}"
 
@@ -47,15 +59,16 @@ class Tables:
         }[layer]
 
     def partitions(self, layer: str) -> list[str]:
-        return {"final": [PERIOD], "quarantine": [BATCH]}.get(layer, [PERIOD, BATCH])
+        return [BATCH] if layer == "quarantine" else [PERIOD, BATCH]
 
     def create(self, spark: SparkSession) -> None:
         """Create missing tables, empty; existing ones stay untouched."""
-        for layer in ("raw", "staging", "final", "quarantine"):
+        for layer in LAYERS:
             empty = spark.createDataFrame([], self._stored(layer))
             empty.write.mode("ignore").partitionBy(*self.partitions(layer)).parquet(
                 self.path(layer)
             )
+        spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(self.path("log"))
 
     def _stored(self, layer: str) -> T.StructType:
         schema = T.StructType(list(self.schema(layer)))
@@ -63,26 +76,75 @@ class Tables:
             schema = schema.add(name, T.DateType() if name == PERIOD else T.StringType())
         return schema
 
+    # --- the log -------------------------------------------------------------------------
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(LOG_SCHEMA).parquet(self.path("log"))
+
+    def commit(self, spark: SparkSession, entries: Iterable[tuple[str, date | None, str]]) -> None:
+        """Append entries in one file: all of them count, or none. One writer at a time."""
+        now = time.time_ns()
+        rows = [(kind, period, batch, now) for kind, period, batch in entries]
+        if rows:
+            frame = spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
+            frame.write.mode("append").parquet(self.path("log"))
+
+    def live(self, spark: SparkSession, layer: str) -> list[Folder]:
+        """Folders in force: a few per period, and periods are bounded by the calendar."""
+        log = self.log(spark)
+        if layer == "final":
+            newest = log.filter(F.col("kind") == FINAL).groupBy(PERIOD)
+            found = newest.agg(F.max_by(BATCH, "at").alias(BATCH))
+        else:
+            gone = log.filter(F.col("kind") == RETIRED).select(PERIOD, BATCH)
+            staged = log.filter(F.col("kind") == STAGED).select(PERIOD, BATCH).distinct()
+            found = staged.join(gone, [PERIOD, BATCH], "left_anti")
+        return sorted((r[PERIOD], r[BATCH]) for r in found.collect())
+
+    def outstanding(self, spark: SparkSession) -> list[str]:
+        """Staged batches that no merge has covered yet."""
+        log = self.log(spark)
+        merged = log.filter(F.col("kind") == MERGED).select(BATCH)
+        staged = log.filter(F.col("kind") == STAGED).select(BATCH).distinct()
+        return sorted(r[BATCH] for r in staged.join(merged, BATCH, "left_anti").collect())
+
+    # --- rows ----------------------------------------------------------------------------
+
     def read(
-        self, spark: SparkSession, layer: str, where: Column | None = None
+        self,
+        spark: SparkSession,
+        layer: str,
+        where: Callable[[date, str], bool] | None = None,
     ) -> DataFrame:
-        """Rows of a layer in table columns; ``where`` may use the partition columns."""
-        rows = spark.read.schema(self._stored(layer)).parquet(self.path(layer))
-        if where is not None:
-            rows = rows.filter(where)
-        return rows.select(*self.schema(layer).fieldNames())
+        """Rows of a layer in table columns; of staging and final only folders ``where`` takes."""
+        names = self.schema(layer).fieldNames()
+        if layer not in ("staging", "final"):
+            rows = spark.read.schema(self._stored(layer)).parquet(self.path(layer))
+            return rows.select(*names)
+        folders = [f for f in self.live(spark, layer) if where is None or where(*f)]
+        return self.read_folders(spark, layer, folders).select(*names)
+
+    def read_folders(self, spark: SparkSession, layer: str, folders: list[Folder]) -> DataFrame:
+        """Rows of the given folders, partition columns included."""
+        if not folders:
+            return spark.createDataFrame([], self._stored(layer))
+        reader = spark.read.schema(self._stored(layer)).option("basePath", self.path(layer))
+        return reader.parquet(*[self.folder(layer, f) for f in folders])
+
+    def folder(self, layer: str, folder: Folder) -> str:
+        return f"{self.path(layer)}/{PERIOD}={folder[0].isoformat()}/{BATCH}={folder[1]}"
 
     def read_bars(self, spark: SparkSession, since: date | None, until: date | None) -> DataFrame:
         """Staged bars of the periods in [since, until); other periods are not read."""
-        where = F.lit(True)
-        if since is not None:
-            where = where & (F.col(PERIOD) >= F.lit(since))
-        if until is not None:
-            where = where & (F.col(PERIOD) < F.lit(until))
-        return self.read(spark, "staging", where)
+        return self.read(
+            spark,
+            "staging",
+            lambda period, _: (since is None or period >= since)
+            and (until is None or period < until),
+        )
 
-    def write(self, rows: DataFrame, layer: str, batch: str | None = None) -> None:
-        """Replace the partitions that ``rows`` covers; all others stay as they are.
+    def write(self, rows: DataFrame, layer: str, batch: str) -> None:
+        """Replace the folders of ``batch`` that ``rows`` covers; all others stay as they are.
 
         The rebalance hint lets adaptive execution merge small and split large partitions,
         so a period holding a third of the rows is written by many tasks. Files are sorted
@@ -96,9 +158,8 @@ class Tables:
             stored = rows.select(*columns, self.cadence.period().alias(PERIOD)).hint(
                 "rebalance", F.col(PERIOD)
             )
-            if layer != "final":
-                stored = stored.withColumn(BATCH, F.lit(batch))
-            stored = stored.sortWithinPartitions(*self.partitions(layer), *self.cadence.keys)
+            stored = stored.withColumn(BATCH, F.lit(batch))
+            stored = stored.sortWithinPartitions(PERIOD, BATCH, *self.cadence.keys)
         (
             stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -106,15 +167,20 @@ class Tables:
             .parquet(self.path(layer))
         )
 
-    def periods_of(self, rows: DataFrame) -> Column:
-        """Partition filter for the periods of ``rows``.
+    def periods_of(self, rows: DataFrame) -> set[date]:
+        """The periods of ``rows``: years 1 to 9999, so bounded by the calendar."""
+        period = self.cadence.period().alias(PERIOD)
+        return {r[0] for r in rows.select(period).distinct().collect()}
+
+    def remove_dead(self, spark: SparkSession, layer: str) -> int:
+        """Delete the folders of staging or final that are logged but no longer in force.
 
-        The list comes to the driver; it is bounded by the calendar, not by the data.
+        For when no reader of an older version is left. Returns how many there were.
         """
-        periods = [
-            r[0]
-            for r in rows.select(self.cadence.period().alias(PERIOD)).distinct().collect()
-        ]
-        if len(periods) > _LISTED_PERIODS:
-            return F.col(PERIOD).between(min(periods), max(periods))
-        return F.col(PERIOD).isin(*periods) if periods else F.lit(False)
+        kind = FINAL if layer == "final" else STAGED
+        logged = self.log(spark).filter(F.col("kind") == kind).select(PERIOD, BATCH).distinct()
+        dead = {tuple(r) for r in logged.collect()} - set(self.live(spark, layer))
+        for folder in sorted(dead):
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.folder(layer, folder))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(dead)

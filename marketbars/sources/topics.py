@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 from marketbars.schemas import Cadence
 
 
-def _offset() -> Column:
-    return F.struct(F.col("partition").cast("string").alias("source"), "offset")
+def kafka_rows(rows: DataFrame) -> DataFrame:
+    """Kafka's columns as ``value`` and ``position``.
+
+    Time of arrival first: original and correction of one bar may lie in different partitions.
+    Then the partition as a number and the offset, which orders a partition's messages.
+    """
+    position = F.struct(F.col("timestamp").alias("arrived"), F.col("partition"), F.col("offset"))
+    return rows.select(F.col("value").cast("string").alias("value"), position.alias("position"))
 
 
 def kafka_options(cadence: Cadence, servers: str) -> dict[str, str]:
@@ -28,7 +34,7 @@ def stream_kafka(spark: SparkSession, cadence: Cadence, servers: str, **options)
         .options(**kafka_options(cadence, servers), startingOffsets="earliest", **options)
         .load()
     )
-    return rows.select(F.col("value").cast("string").alias("value"), _offset().alias("position"))
+    return kafka_rows(rows)
 
 
 def write_kafka(messages: DataFrame, cadence: Cadence, servers: str) -> None:

@@ -14,7 +14,7 @@ from marketbars.operators.dedupe import mark_duplicates
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
 from marketbars.operators.metrics import message_totals
 from marketbars.operators.skew import GROUP_ROWS
-from marketbars.sources.tables import BATCH, Tables
+from marketbars.sources.tables import STAGED, Tables
 
 
 def ingest_batch(
@@ -32,9 +32,10 @@ def ingest_batch(
     messages = messages.select("value", arrival.alias("position"))
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     totals = message_totals(classified).head().asDict()
-    bars = good_bars(classified, cadence, "position")
+    bars = good_bars(classified, cadence, position="position")
+    periods = tables.periods_of(bars)
     staged = tables.read(
-        spark, "staging", where=tables.periods_of(bars) & (F.col(BATCH) != batch)
+        spark, "staging", where=lambda period, name: period in periods and name != batch
     )
     marked = mark_duplicates(bars, staged, cadence.keys, "position", max_group).persist(
         StorageLevel.MEMORY_AND_DISK
@@ -49,8 +50,9 @@ def ingest_batch(
         )
         rejected = rejected_messages(classified, "message").unionByName(copies)
         tables.write(rejected, "quarantine", batch)
-        # Last, because it replaces files that ``marked`` was computed from.
         tables.write(accepted, "staging", batch)
+        # From here on the bars count, for readers and for the next merge.
+        tables.commit(spark, [(STAGED, p, batch) for p in sorted(tables.periods_of(accepted))])
     finally:
         marked.unpersist()
         classified.unpersist()
