@@ -302,6 +302,77 @@ def _scheduled_run(cadence: Cadence) -> Query:
     return query
 
 
+def _second_run(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Half of the documents, then late messages and all documents: two merges, one table."""
+        base = work_dir(spark, f"second-run-{cadence.name}")
+        tables = Tables(f"{base}/tables", cadence)
+        documents = landed(spark, sf_dir, cadence)
+        for envelopes, as_of in (
+            (documents.filter(F.col("page") % 4 < 2), FIRST_RUN),
+            (documents, SECOND_RUN),
+        ):
+            if as_of == SECOND_RUN:
+                late = bars_of(spark, sf_dir, cadence, "event_id").filter(is_late(cadence))
+                topics.write_files(fx.messages(late, cadence), f"{base}/topic")
+            jobs.run(
+                spark,
+                tables,
+                envelopes,
+                send=lambda messages: topics.write_files(messages, f"{base}/topic"),
+                receive=lambda: topics.stream_files(spark, f"{base}/topic"),
+                checkpoint=f"{base}/offsets",
+                as_of=as_of,
+                symbols=None,
+            )
+        return tables.read(spark, "final").drop("last_refreshed")
+
+    return query
+
+
+def is_late(cadence: Cadence) -> Column:
+    """The bars that come as messages between the two runs."""
+    if cadence.name == "intraday":
+        return F.col("event_id") % 50 == 7
+    return (F.month("date") == 2) & (F.dayofmonth("date") == 13)
+
+
+def _null_edges(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Zero closes, and days on which nothing was traded: ratios without a base."""
+        bars = bars_of(spark, sf_dir, cadence, "event_id")
+        number = F.col("event_id") if cadence.name == "intraday" else F.dayofmonth("date")
+        day = F.dayofmonth(cadence.time_col)
+        edged = bars.withColumns(
+            {
+                "close_price": F.when(number % 7 == 0, 0).otherwise(F.col("close_price")).cast(PRICE),
+                "volume": F.when(day % 3 == 0, 0).otherwise(F.col("volume")).cast("bigint"),
+            }
+        ).select(*cadence.staging_schema.fieldNames())
+        return indicators(edged, cadence)
+
+    return query
+
+
+def stage_same_key_in_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message holds its bar's time in two spellings; the first counts on either path."""
+    texts = fx.messages(fx.intraday_bars(spark, sf_dir, extra=("event_id",)), INTRADAY, "event_id")
+    fields = '{"1. open":"9","2. high":"9","3. low":"9","4. close":"9","5. volume":"9"}'
+    again = F.replace(F.get_json_object("value", "$.timestamp"), F.lit(" "), F.lit("T"))
+    head = F.left("value", F.length("value") - 2)
+    doubled = F.concat(head, F.lit(',"'), again, F.lit(f'":{fields}}}}}'))
+    classified = msg.classify_messages(texts.withColumn("value", doubled), INTRADAY)
+    bars = msg.good_bars(classified, INTRADAY, position="event_id")
+    names = INTRADAY.staging_schema.fieldNames()
+    paths = [
+        first_write_wins(bars, bars.limit(0), INTRADAY.keys, "event_id", max_group=limit)
+        .select(*names)
+        .withColumn("max_group", F.lit(limit))
+        for limit in (1, 1_000_000)
+    ]
+    return paths[0].unionAll(paths[1])
+
+
 def constraint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars sent twice with missing symbols, volumes and over-large prices; violation counts."""
     bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
@@ -430,6 +501,11 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "scheduled_run_intraday": _scheduled_run(INTRADAY),
     "scheduled_run_daily": _scheduled_run(DAILY),
+    "scheduled_run_second_intraday": _second_run(INTRADAY),
+    "scheduled_run_second_daily": _second_run(DAILY),
+    "indicator_null_edges_intraday": _null_edges(INTRADAY),
+    "indicator_null_edges_daily": _null_edges(DAILY),
+    "stage_same_key_in_message": stage_same_key_in_message,
     "constraint_check": constraint_check,
     "upsert_intraday": _upsert(INTRADAY),
     "upsert_daily": _upsert(DAILY),
