@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import text_key
+from marketbars.llm.common import stored, text_key
 from marketbars.llm.superkmers import order_id
-from marketbars.session import ensure_checkpoint_dir
+from marketbars.session import ensure_checkpoint_dir, work_dir
 
 # Titles and a few given names that tell a gender.
 MALE = "Mr Herr Señor Sr Monsieur господин".split()
@@ -20,34 +20,36 @@ _UPPER = r"[\p{Lu}][\p{L}'’-]+"
 _TITLES = "|".join(MALE + FEMALE)
 _GIVEN = "|".join(MEN + WOMEN)
 _SECRET = "token|secret|password|passwd|api[_-]?key|access[_-]?key|auth|bearer"
-_APART = (r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])")
-# What must stand before, the entity, what must not follow; tried in this order at each place.
+# Every entity begins where no letter or digit stands before: one test rules most places out.
+_BEGIN = r"(?<![\p{L}\p{N}_])"
+_END = r"(?![\p{L}\p{N}_])"
+# What is tested first, the entity, what must not follow; tried in this order at each beginning.
 PATTERNS = {
     "email": ("", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", ""),
-    "key": (_APART[0], r"(?:AKIA|ASIA)[A-Z0-9]{16}", _APART[1]),
-    "secret": (_APART[0], r"(?:gh[opsu]_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}", ""),
+    "key": ("", r"(?:AKIA|ASIA)[A-Z0-9]{16}", _END),
+    "secret": ("", r"(?:gh[opsu]_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}", ""),
     # Long hexadecimal numbers are secrets only behind a word that says so; else they are sums.
     "hex": (
-        rf"(?<=(?i:{_SECRET})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)",
+        rf"(?=[0-9A-Fa-f]{{24}})(?<=(?i:{_SECRET})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)",
         r"(?:[0-9a-f]{24,128}|[0-9A-F]{24,128})",
-        _APART[1],
+        _END,
     ),
-    "ip": (r"(?<![\d.])", rf"(?:{_OCTET}\.){{3}}{_OCTET}", r"(?!\.?\d)"),
-    "ssn": (r"(?<![\d-])", r"\d{3}-\d{2}-\d{4}", r"(?![\d-])"),
-    "iban": (_APART[0], r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _APART[1]),
-    "card": (r"(?<![\d-])", r"[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?:\d{3})?", r"(?![\d-])"),
+    "ip": (r"(?<!\d\.)", rf"(?:{_OCTET}\.){{3}}{_OCTET}", r"(?!\.?\d)"),
+    "ssn": (r"(?<!\d-)", r"\d{3}-\d{2}-\d{4}", r"(?![\d-])"),
+    "iban": ("", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
+    "card": (r"(?<!\d-)", r"[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?:\d{3})?", r"(?![\d-])"),
     "phone": (
-        r"(?<![\w+])",
+        r"(?=[+(\d])(?<!\+)",
         r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}",
         r"(?!\d)",
     ),
     "name": (
-        r"(?<!\p{L})",
+        rf"(?=[{''.join(sorted({n[0] for n in MALE + FEMALE + MEN + WOMEN}))}])",
         rf"(?:(?:{_TITLES})\.? {_UPPER}(?: {_UPPER})?|(?:{_GIVEN}) {_UPPER})",
         "",
     ),
 }
-ANY = "|".join("".join(parts) for parts in PATTERNS.values())
+ANY = f"{_BEGIN}(?:{'|'.join(''.join(parts) for parts in PATTERNS.values())})"
 DIGITS_ONLY = ("phone", "card", "ssn")
 # Letters that a surrogate's letters come from: by script and case, vowels and consonants apart.
 ALPHABETS = (
@@ -269,11 +271,15 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         docs = docs.withColumnRenamed("n_entities", "n_entities_before")
     found = F.coalesce(F.regexp_like("text", F.lit(ANY)), F.lit(False))
     clean = docs.filter(~found).withColumn("n_entities", F.lit(0).cast("bigint"))
-    keyed = docs.filter(found).select(
-        F.struct(*docs.columns).alias("row"),
-        "text",
-        order_id().alias("id"),
-        text_key().alias("text_key"),
+    # Texts are searched twice: for those without, and once for those with entities.
+    keyed = stored(
+        docs.filter(found).select(
+            F.struct(*docs.columns).alias("row"),
+            "text",
+            order_id().alias("id"),
+            text_key().alias("text_key"),
+        ),
+        work_dir(docs.sparkSession, "surrogates"),
     )
     mentions = keyed.select(
         "id",
