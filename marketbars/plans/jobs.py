@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marketbars.operators import delta
 from marketbars.operators.indicators import analytics
 from marketbars.operators.metrics import observed
-from marketbars.operators.reach import latest_bars, reached_analytics
+from marketbars.operators.reach import reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
 from marketbars.operators.upsert import affected_rows, upsert
 from marketbars.schemas import DEFAULT_SYMBOLS, moment
@@ -40,6 +40,7 @@ def extract_delta(
     classified = delta.classify_documents(landed, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         entries = delta.document_entries(classified, cadence)
+        ensure_checkpoint_dir(spark)
         known = small_side(last_updates(spark, tables, classified).checkpoint())
         fresh = delta.newer_than(entries, known, cadence)
         # Written once: what is counted is what is sent, and ``send`` may do as it likes.
@@ -141,19 +142,9 @@ def compact(spark: SparkSession, tables: Tables, most: int = 1) -> int:
 
 
 def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) -> DataFrame:
-    """Last staged time of every symbol in the landed documents."""
-    cadence = tables.cadence
-    ensure_checkpoint_dir(spark)
-    good = classified.filter(F.col("reason").isNull())
-    symbols = small_side(good.select("symbol").distinct().checkpoint())
-    newest = delta.with_last_refreshed(good, cadence).agg(F.max("last_refreshed")).head()[0]
-    day = newest.date() if isinstance(newest, datetime) else newest or date.today()
-    # One document dated far ahead must not move the look-back past all bars.
-    day = min(day, date.today())
-    found = latest_bars(
-        partial(tables.read_bars, spark), symbols, cadence, cadence.lookback(day)
-    )
-    return found.select("symbol", F.col(cadence.time_col).alias("last_update"))
+    """Last staged time of every symbol in the landed documents, without reading any bar."""
+    good = classified.filter(F.col("reason").isNull()).select("symbol").distinct()
+    return tables.latest(spark).join(good, "symbol", "left_semi")
 
 
 def ingest(messages: DataFrame, tables: Tables, checkpoint: str) -> dict[str, int]:

@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from marketbars.schemas import QUARANTINE_SCHEMA, Cadence
 
 PERIOD, BATCH = "period", "batch"
-LAYERS = ("raw", "staging", "final", "quarantine")
-# Log entries: a staged folder, a folder merged into others, a final version, a merged batch.
-STAGED, RETIRED, FINAL, MERGED = "staged", "retired", "final", "merged"
+LAYERS = ("raw", "staging", "final", "latest", "quarantine")
+# Log entries: a staged folder, a folder merged into others, a final version, a merged batch,
+# a version of the last staged times.
+STAGED, RETIRED, FINAL, MERGED, LATEST = "staged", "retired", "final", "merged", "latest"
 LOG_SCHEMA = "kind string, period date, batch string, at bigint"
 
 Folder = tuple[date, str]
@@ -45,6 +46,7 @@ class Tables:
             "raw": f"raw/{self.cadence.bars_table}",
             "staging": f"staging/{self.cadence.bars_table}",
             "final": f"final/{self.cadence.analytics_table}",
+            "latest": f"latest/{self.cadence.bars_table}",
             "quarantine": f"quarantine/{self.cadence.bars_table}",
             "log": f"log/{self.cadence.bars_table}",
         }
@@ -55,11 +57,17 @@ class Tables:
             "raw": self.cadence.raw_schema,
             "staging": self.cadence.staging_schema,
             "final": self.cadence.final_schema,
+            "latest": T.StructType(
+                [
+                    T.StructField("symbol", T.StringType()),
+                    T.StructField("last_update", self.cadence.time_type),
+                ]
+            ),
             "quarantine": QUARANTINE_SCHEMA,
         }[layer]
 
     def partitions(self, layer: str) -> list[str]:
-        return [BATCH] if layer == "quarantine" else [PERIOD, BATCH]
+        return [BATCH] if layer in ("latest", "quarantine") else [PERIOD, BATCH]
 
     def create(self, spark: SparkSession) -> None:
         """Create missing tables, empty; existing ones stay untouched."""
@@ -108,6 +116,15 @@ class Tables:
         staged = log.filter(F.col("kind") == STAGED).select(BATCH).distinct()
         return sorted(r[BATCH] for r in staged.join(merged, BATCH, "left_anti").collect())
 
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """Last staged time of every symbol, as the newest batch left it: one row per symbol."""
+        names = self.schema("latest").fieldNames()
+        newest = self.log(spark).filter(F.col("kind") == LATEST).agg(F.max_by(BATCH, "at")).head()
+        if newest[0] is None:
+            return spark.createDataFrame([], self.schema("latest"))
+        path = f"{self.path('latest')}/{BATCH}={newest[0]}"
+        return spark.read.schema(self.schema("latest")).parquet(path).select(*names)
+
     # --- rows ----------------------------------------------------------------------------
 
     def read(
@@ -152,7 +169,7 @@ class Tables:
         sort starts with the partition columns, so it is the one the writer needs anyway.
         """
         columns = self.schema(layer).fieldNames()
-        if layer == "quarantine":
+        if layer in ("latest", "quarantine"):
             stored = rows.select(*columns).withColumn(BATCH, F.lit(batch))
         else:
             stored = rows.select(*columns, self.cadence.period().alias(PERIOD)).hint(

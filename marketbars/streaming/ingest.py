@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -11,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketbars.functions.documents import bar_message
 from marketbars.operators.dedupe import mark_duplicates
+from marketbars.operators.delta import latest_per_symbol
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
 from marketbars.operators.metrics import message_totals
 from marketbars.operators.skew import GROUP_ROWS
-from marketbars.sources.tables import STAGED, Tables
+from marketbars.sources.tables import LATEST, STAGED, Tables
 
 
 def ingest_batch(
@@ -51,8 +53,15 @@ def ingest_batch(
         rejected = rejected_messages(classified, "message").unionByName(copies)
         tables.write(rejected, "quarantine", batch)
         tables.write(accepted, "staging", batch)
-        # From here on the bars count, for readers and for the next merge.
-        tables.commit(spark, [(STAGED, p, batch) for p in sorted(tables.periods_of(accepted))])
+        periods = sorted(tables.periods_of(accepted))
+        # From here on the bars count, for readers, the next merge and the next extract.
+        if periods:
+            version = f"{batch}-{uuid.uuid4().hex}"
+            newest = tables.latest(spark).unionByName(latest_per_symbol(accepted, cadence))
+            newest = newest.groupBy("symbol").agg(F.max("last_update").alias("last_update"))
+            tables.write(newest, "latest", version)
+            staged_now = [(STAGED, period, batch) for period in periods]
+            tables.commit(spark, [*staged_now, (LATEST, None, version)])
     finally:
         marked.unpersist()
         classified.unpersist()

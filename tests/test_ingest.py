@@ -205,3 +205,15 @@ def test_a_key_twice_in_one_message(spark, tables, tmp_path, limit):
     ingest_batch(batch, tables, "q-0", max_group=limit)
     assert [str(r[5]) for r in rows(spark, tables, "staging")] == ["1.00", "1.50"]
     assert reasons(spark, tables) == ["duplicate_key"]
+
+
+def test_last_times_follow_every_batch(spark, tables, tmp_path):
+    topic, offsets = tmp_path / "topic", tmp_path / "offsets"
+    assert tables.latest(spark).collect() == []
+    write_lines(topic, "a.json", [message("A", t) for t in times(5)] + [message("B", times(9)[8])])
+    run_stream(spark, tables, topic, offsets)
+    # Older bars and rejected ones do not move a time back or on.
+    write_lines(topic, "b.json", [message("B", times(1)[0]), message("C", times(2)[1]), "[]"])
+    run_stream(spark, tables, topic, offsets)
+    got = {r.symbol: str(r.last_update) for r in tables.latest(spark).collect()}
+    assert got == {"A": times(5)[4], "B": times(9)[8], "C": times(2)[1]}

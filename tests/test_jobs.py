@@ -268,7 +268,7 @@ def test_a_document_dated_far_ahead(spark, tmp_path, hours):
     )
     landed = landed_source.read_landed(spark, path)
     sent = jobs.extract_delta(landed, world.tables, lambda messages: None, symbols=None)
-    # B has nothing within a day of its date, C is rejected alone.
+    # B has nothing within a day of its date, C is rejected alone; A is looked up as ever.
     assert sent == 30
     assert [r[2] for r in world.rows("quarantine")] == ["bad_value"]
 
