@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Text bytes that a task works on at once; one longer document is a slice of its own.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 2_000_000
 
 
 def words(text: bytes | None) -> list[bytes]:

@@ -4,16 +4,33 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-# Words a task remembers; when there would be more it starts anew.
-MEMORY = 500_000
-# Words given to the tokenizer in one call.
-CALL = 256
-# A run of unaccented letters and what commonly ends a word.
-PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)").fullmatch
+# Words of each of two generations that a worker remembers.
+MEMORY = 250_000
+# A run of western letters, each one code point in any case, and then of signs but apostrophes.
+LETTERS = "A-Za-zÀ-ÖØ-Þà-öø-þ"
+PLAIN = re.compile(rf"([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)").fullmatch
+PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
+class Words(dict):
+    """Ids of words; a word not met before is worked out when it is asked for."""
+
+    def __init__(self, make, older: dict[str, bytes] | None = None):
+        super().__init__()
+        self.make, self.older = make, older or {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        self[word] = ids
+        return ids
 
 
 class WordEncoder:
@@ -29,72 +46,65 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.model = self.tokenizer.model.tokenize
+        self.octets = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.memory = memory
-        self.known: dict[str, bytes] = {}
-        self.pieces = self.tokenizer.model.tokenize
         self.folds = self._folds()
+        self.known = Words(self._word)
+        self.ends: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _folds(self) -> bool:
-        def parts(*words: str) -> list[int]:
-            return [piece.id for word in words for piece in self.pieces(word)]
+    def _part(self, part: str) -> bytes:
+        """The model's ids of lower-case letters alone, or of punctuation alone."""
+        spelt = part if part.isascii() else self.octets(part)[0][0]
+        ids = [piece.id for piece in self.model(spelt)]
+        return PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
 
+    def _folds(self) -> bool:
         return all(
-            self._whole(word.title() + end) == parts(word, *([end] if end else []))
-            for word in ("the", "zqxjv", "internationalisation")
-            for end in ("", ".", ",", "?!")
+            self._whole(word.title() + end) == self._part(word) + (self._part(end) if end else b"")
+            for word in ("the", "zqxjv", "internationalisation", "élan", "straße", "ñandú")
+            for end in ("", ".", ",", "?!", "###", "_/")
         )
 
-    def _learn(self, words: list[str]) -> None:
-        known, pieces, rest, own = self.known, self.pieces, words, {}
-        if self.folds:
-            rest = []
-            for word in words:
-                if not (found := PLAIN(word)):
-                    rest.append(word)
-                    continue
-                ids = b""
-                for part in (found[1].lower(), found[2]):
-                    if part:
-                        if (got := known.get(part) or own.get(part)) is None:
-                            got = own[part] = b"".join(
-                                piece.id.to_bytes(4, "little") for piece in pieces(part)
-                            )
-                        ids += got
-                known[word] = ids
-        for start in range(0, len(rest), CALL):
-            call = rest[start : start + CALL]
-            found = self.tokenizer.encode(call, is_pretokenized=True, add_special_tokens=False)
-            owners = found.word_ids
-            if None in owners:  # special tokens belong to no word
-                known.update((word, self._alone(word)) for word in call)
-                continue
-            data = np.array(found.ids, dtype="<u4").tobytes()
-            ends = 4 * np.cumsum(np.bincount(np.array(owners, dtype=np.int64), minlength=len(call)))
-            at = 0
-            for word, end in zip(call, ends.tolist(), strict=True):
-                known[word] = data[at:end]
-                at = end
-
-    def _alone(self, text: str) -> bytes:
-        return np.array(self._whole(text), dtype="<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        if not self.folds or not (found := PLAIN(word)):
+            return self._whole(word)
+        letters, end = found.groups()
+        low = letters.lower()
+        ids = self._part(low) if low == word else self.known[low]
+        if not end:
+            return ids
+        if end not in self.ends:
+            if len(self.ends) > 1000:
+                self.ends = {}
+            self.ends[end] = self._part(end)
+        return ids + self.ends[end]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers; a null has none."""
+    def ids(self, text: str | None) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers; a null has none."""
+        if not text:
+            return b""
         # Python takes these four for white space, a tokenizer does not.
-        odd = {t for t in texts if t and any(c in t for c in "\x1c\x1d\x1e\x1f")}
-        split = [text.split() if text and text not in odd else [] for text in texts]
-        met: set[str] = set()
-        for words in split:
-            met.update(words)
-        new = met.difference(self.known)
-        if len(self.known) + len(new) > self.memory:
-            self.known, new = {}, met
-        self._learn(list(new))
-        ids = self.known.__getitem__
-        return [
-            self._alone(text) if text in odd else b"".join(map(ids, words))
-            for text, words in zip(texts, split, strict=True)
-        ]
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+            return self._whole(text)
+        if len(self.known) > self.memory:
+            # Words met lately stay at hand; those not met for two generations are forgotten.
+            self.known = Words(self._word, older=dict(self.known))
+        return b"".join(map(self.known.__getitem__, text.split()))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return [self.ids(text) for text in texts]
+
+
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
+
+
+def encoder(path: str, *, special_as_text: bool = False) -> WordEncoder:
+    """This Python worker's encoder, kept from task to task."""
+    key = path, special_as_text
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(path, special_as_text=special_as_text)
+    return _ENCODERS[key]

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketbars.llm.common import fresh_file, kind_of, open_folder, slices
-from marketbars.llm.encode import WordEncoder
+from marketbars.llm.encode import encoder
 from marketbars.session import ensure_checkpoint_dir, work_dir
 
 # Ids of one block; a block is what one step of a task reads.
@@ -31,14 +31,14 @@ def flat_files(
     system.create_dir(path, recursive=True)
 
     def run(batches):
-        encoder = WordEncoder(tokenizer, special_as_text=True)
+        encode = encoder(tokenizer, special_as_text=True).encode
         name, out, at = None, None, 0
         for part in slices(batches):
             if out is None:
                 name = fresh_file(parts, f"{TaskContext.get().partitionId():06d}", "bin")
                 system, path = open_folder(name)
                 out = system.open_output_stream(path)
-            for data in encoder.encode(part.column("text").to_pylist()):
+            for data in encode(part.column("text").to_pylist()):
                 ids = np.append(np.frombuffer(data, "<u4"), end_id)
                 out.write(ids.astype(f"<u{width}").tobytes())
             rows = np.arange(at, at + part.num_rows)
@@ -97,14 +97,14 @@ def scan(found: DataFrame, end_id: int, width: int) -> DataFrame:
                     source.seek(row["first"] * width)
                     data = source.read(row["n_ids"] * width)
                 at = np.flatnonzero(np.frombuffer(data, f"<u{width}") == end_id) + row["first"]
-                before = pa.array(np.append(-1, at[:-1]), mask=np.arange(len(at)) == 0)
+                before = pa.array([None, *at[:-1].tolist()] if len(at) else [], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["file"]] * len(at), pa.string()),
-                        pa.array(np.full(len(at), row["first"])),
+                        pa.array(np.full(len(at), row["first"], np.int64)),
                         pa.array(np.arange(len(at))),
                         pa.array(at),
-                        before if len(at) else pa.array([], pa.int64()),
+                        before,
                     ],
                     ["file", "first", "rank", "ends_at", "before"],
                 )

@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketbars.llm.common import fresh_file, free_names, kind_of, open_folder, slices
-from marketbars.llm.encode import WordEncoder
+from marketbars.llm.encode import encoder
 from marketbars.session import work_dir
 
 MAGIC = b"IDSZSTD1"
@@ -139,10 +139,10 @@ def encode_rows(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFram
     """doc_id and ids (little-endian u32) of each document; a null text is empty."""
 
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        encode = encoder(tokenizer).encode
         tail = b"" if end_id is None else end_id.to_bytes(4, "little")
         for part in slices(batches):
-            ids = [x + tail for x in encoder.encode(part.column("text").to_pylist())]
+            ids = [x + tail for x in encode(part.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )
@@ -188,7 +188,7 @@ def write_token_files(
     kind = dict(docs.dtypes)["doc_id"]
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError(f"doc_id must be an integer, not {kind}")
-    vocabulary = WordEncoder(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True)
+    vocabulary = encoder(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True)
     width = id_width(max(vocabulary, end_id + 1))
     dictionary = train_dictionary(docs, tokenizer, end_id, width)
     tie, row = free_names(docs, "text_hash", "row_number")
@@ -208,14 +208,14 @@ def write_token_files(
     _write(f"{folder}/dictionary", dictionary)
 
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        encode = encoder(tokenizer).encode
         place, seq, shard = TaskContext.get().partitionId(), 0, None
         done = []
         tail = end_id.to_bytes(4, "little")
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             ids = part.column("doc_id").to_pylist()
-            for doc_id, data in zip(ids, encoder.encode(texts), strict=True):
+            for doc_id, data in zip(ids, encode(texts), strict=True):
                 if shard is None:
                     shard = ShardWriter(shards, f"{place:06d}-{seq:04d}", dictionary, width)
                 shard.add(doc_id, np.frombuffer(data + tail, "<u4"))
