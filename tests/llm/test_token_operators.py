@@ -283,6 +283,28 @@ def test_pipeline_stages_against_brute_force(spark, sf_dir):
         assert r.ids_crc32 == zlib.crc32(ids.tobytes())
 
 
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = clashing(frame(spark, ODD))
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        result = stage(spark, docs, sf_dir)
+        kept[name] = result.count()
+        if name != "token_files":
+            assert result.columns == docs.columns
+        assert stage(spark, docs.limit(0), sf_dir).collect() == []
+    unknown = sum(not any(c.isalpha() for c in r[1] or "") for r in ODD)
+    assert kept == {
+        "language_id": len(ODD) - unknown,
+        "simhash_near_dedup": len(
+            set(brute_groups([brute_fingerprint(r[1]) for r in ODD], 2).values())
+        ),
+        "decontamination": len(ODD),
+        "mixing": len(ODD),
+        "token_files": len(ODD),
+    }
+
+
 def test_queries_have_stable_columns():
     from marketbars.llm.queries import ORACLE, QUERIES
 
