@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from marketbars.llm.common import byte_texts, map_slices, slices, text_key
+from marketbars.llm.common import byte_texts, map_slices, slices, stored, text_key
 from marketbars.session import work_dir
 
 WINDOW = 50
@@ -18,6 +20,7 @@ MINIMISER = 8
 BUCKET = 1000
 # Super-k-mers sorted together: whole buckets up to about so many.
 CHUNK = 20_000
+DIGEST = ["high", "low"]
 # Stands for a null id: not smaller than any other.
 LAST = (1 << 63) - 1
 
@@ -71,22 +74,31 @@ def minimisers(hashes: np.ndarray, ends: np.ndarray, window: int, size: int):
 
 
 def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
-    """id, text_key, minimiser and run (first window, number, lead) of every super-k-mer."""
+    """id, text_key, minimiser, run (first window, number, lead) of every super-k-mer, and the
+    128-bit hash of its words in two halves."""
 
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             numbers: dict[bytes, int] = {}
             number = numbers.setdefault
-            ids, lengths = [], []
+            ids, lengths, joined, places = [], [], [], []
             for text in byte_texts(part.column("text")):
                 found = text.split() if text else []
                 lengths.append(len(found))
                 ids += [number(w, len(numbers)) for w in found]
+                joined.append(b" ".join(found))
+                places.append([0, *(np.cumsum([len(w) for w in found]) + range(1, len(found) + 1)).tolist()])
             table = np.array([xxh64_intdigest(w) for w in numbers], dtype=np.uint64)
             hashes = table[np.array(ids, dtype=np.int64)] if ids else np.zeros(0, np.uint64)
             mini, document, first, count, lead = minimisers(
                 hashes, np.cumsum(lengths), window, size
             )
+            runs = zip(document.tolist(), first.tolist(), count.tolist(), strict=True)
+            digests = b"".join(
+                xxh3_128_digest(joined[d][places[d][f] : places[d][f + n + window - 1] - 1])
+                for d, f, n in runs
+            )
+            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
             rows = pa.array(document)
             return pa.RecordBatch.from_arrays(
                 [
@@ -96,8 +108,10 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
                     pa.array(first.astype(np.int32)),
                     pa.array(count.astype(np.int16)),
                     pa.array(lead.astype(np.int16)),
+                    pa.array(halves[:, 0].copy()),
+                    pa.array(halves[:, 1].copy()),
                 ],
-                ["id", "text_key", "mini", "first", "n", "lead"],
+                ["id", "text_key", "mini", "first", "n", "lead", *DIGEST],
             )
 
         return step
@@ -105,7 +119,8 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
     return map_slices(
         docs.select("id", "text_key", "text"),
         make,
-        "id bigint, text_key bigint, mini bigint, first int, n smallint, lead smallint",
+        "id bigint, text_key bigint, mini bigint, first int, n smallint, lead smallint, "
+        "high bigint, low bigint",
     )
 
 
@@ -216,78 +231,58 @@ def sorted_windows(packed: DataFrame, window: int, chunk: int) -> DataFrame:
 
 # --- the whole table ---------------------------------------------------------------------
 
-RUNS = "array<struct<first: int, n: smallint, lead: smallint, mini: bigint>>"
+CUT = (
+    "mini bigint, id bigint, text_key bigint, first int, n smallint, lead smallint, "
+    "high bigint, low bigint, packed binary"
+)
+KINDS = (pa.int64(),) * 3 + (pa.int32(), pa.int16(), pa.int16(), pa.int64(), pa.int64(), pa.binary())
+
 
+def _cut_out(joined: DataFrame, window: int) -> DataFrame:
+    """The runs asked for: as one string of their words each, or as hashes of single windows."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * len(KINDS)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, KINDS, strict=True)],
+            [field.split()[0] for field in CUT.split(", ")],
+        )
 
-def _pack(joined: DataFrame, window: int) -> DataFrame:
-    """The super-k-mers asked for, each as one string of its words."""
+    def cut(found: list[bytes], key: int, mark: int, runs: list[dict]):
+        for r in runs:
+            first, n, mini = r["first"], r["n"], r["mini"]
+            if r["crowded"]:
+                for s in range(first, first + n):
+                    digest = xxh3_128_digest(b" ".join(found[s : s + window]))
+                    yield mini, key, mark, s, 1, 0, *struct.unpack("<qq", digest), None
+            else:
+                packed = b" ".join(found[first : first + n + window - 1])
+                yield mini, key, mark, first, n, r["lead"], None, None, packed
 
     def run(batches):
         for part in slices(batches):
             out: list[tuple] = []
-            size = 0
             columns = (part.column(c).to_pylist() for c in ("id", "text_key", "runs"))
-            for text, key, mark, runs in zip(
-                byte_texts(part.column("text")), *columns, strict=True
-            ):
-                found = text.split()
-                for r in runs:
-                    first, n = r["first"], r["n"]
-                    packed = b" ".join(found[first : first + n + window - 1])
-                    out.append((r["mini"], key, mark, first, n, r["lead"], packed))
-                    size += len(packed)
-                if size > 16_000_000:
-                    yield _packed(out)
-                    out, size = [], 0
-            yield _packed(out)
-
-    return joined.select("doc_id", "id", "text_key", "text", "runs").mapInArrow(
-        run,
-        "mini bigint, id bigint, text_key bigint, first int, n smallint, lead smallint, "
-        "packed binary",
-    )
+            for text, *of in zip(byte_texts(part.column("text")), *columns, strict=True):
+                out += cut(text.split(), *of)
+                if len(out) > 20_000:
+                    yield batch(out)
+                    out = []
+            yield batch(out)
 
+    return joined.select("id", "text_key", "text", "runs").mapInArrow(run, CUT)
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 7
-    kinds = (pa.int64(),) * 3 + (pa.int32(), pa.int16(), pa.int16(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-        ["mini", "id", "text_key", "first", "n", "lead", "packed"],
-    )
 
+def _judged(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows with the least id that has the same words, by their hash."""
+    least = stored(rows.groupBy(*DIGEST).agg(F.min("id").alias("least")), folder)
+    return rows.join(least, DIGEST)
 
-def _digests(joined: DataFrame, window: int) -> DataFrame:
-    """Single windows of crowded buckets, by a 128-bit hash of their words."""
 
-    def run(batches):
-        for part in slices(batches):
-            columns = (part.column(c).to_pylist() for c in ("id", "text_key", "runs"))
-            for text, key, mark, runs in zip(
-                byte_texts(part.column("text")), *columns, strict=True
-            ):
-                found = text.split()
-                starts = [s for r in runs for s in range(r["first"], r["first"] + r["n"])]
-                digests = [xxh3_128_digest(b" ".join(found[s : s + window])) for s in starts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(digests, pa.binary()),
-                        pa.array([key] * len(starts), pa.int64()),
-                        pa.array([mark] * len(starts), pa.int64()),
-                        pa.array(starts, pa.int64()),
-                    ],
-                    ["digest", "id", "text_key", "start"],
-                )
-
-    return joined.select("doc_id", "id", "text_key", "text", "runs").mapInArrow(
-        run, "digest binary, id bigint, text_key bigint, start bigint"
-    )
-
-
-def _asked(runs: DataFrame) -> DataFrame:
-    """Per document the runs wanted of it; a set, so that repeated rows add nothing."""
-    return runs.groupBy("id", "text_key").agg(
-        F.collect_set(F.struct("first", "n", "lead", "mini")).alias("runs")
+def _covered(late: DataFrame, window: int) -> DataFrame:
+    start = F.col("first").cast("bigint")
+    return late.select(
+        "id", "text_key", start.alias("start"), (start + F.col("n") - 1 + window).alias("stop")
     )
 
 
@@ -304,8 +299,10 @@ def dedup(
     with a smaller doc_id, judged on the whole input. Consecutive windows with the same minimiser
     are one super-k-mer. Minimisers met under one id only cannot repeat and go no further. The
     super-k-mers of the others are cut out as packed strings, dealt by minimiser, and their
-    windows sorted. Buckets of over ``bucket`` super-k-mers send their windows singly, by 128-bit
-    hash, to a partially aggregated minimum, and so fill no task.
+    windows sorted. Buckets of over ``bucket`` super-k-mers are aggregated before: of equal ones,
+    by a 128-bit hash of their words, only those with the least id need sorting, all windows of
+    the others are known to repeat. What is still crowded sends its windows singly to the same
+    partially aggregated minimum. So no bucket fills a task.
 
     Kept words are joined by one space. A null or empty text has no words. A null doc_id counts as
     larger than any: its words go if another document has them, and remove none. Rows that share
@@ -315,32 +312,42 @@ def dedup(
     spark = docs.sparkSession
     folder = work_dir(spark, "super-kmers")
     keyed = docs.select("doc_id", order_id().alias("id"), text_key().alias("text_key"), "text")
-    super_kmers(keyed, window, size).write.parquet(f"{folder}/all")
-    rows = spark.read.parquet(f"{folder}/all")
+    rows = stored(super_kmers(keyed, window, size), f"{folder}/all")
     shared = (
         rows.groupBy("mini")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("held"))
         .filter("low < high")
         .select("mini", (F.col("held") > bucket).alias("crowded"))
     )
-    rows.join(shared, "mini").write.parquet(f"{folder}/shared")
-    found = spark.read.parquet(f"{folder}/shared")
+    shared = stored(shared, f"{folder}/shared")
+    found = stored(rows.join(shared, "mini"), f"{folder}/found")
     keys = ["id", "text_key"]
-    ordinary = keyed.join(_asked(found.filter(~F.col("crowded"))), keys)
-    packed = _pack(ordinary, window).repartition("mini").sortWithinPartitions("mini")
-    marks = sorted_windows(packed, window, chunk)
+    wanted = [*keys, "first", "n", "lead", "mini", "crowded"]
+    runs, marks = found.filter(~F.col("crowded")).select(*wanted), None
     if not found.filter("crowded").isEmpty():
-        crowded = keyed.join(_asked(found.filter("crowded")), keys)
-        _digests(crowded, window).write.parquet(f"{folder}/digests")
-        singles = spark.read.parquet(f"{folder}/digests")
-        least = singles.groupBy("digest").agg(F.min("id").alias("least"))
-        late = singles.join(least, "digest").filter("id > least")
-        marks = marks.unionByName(late.select(*keys, "start", (F.col("start") + window).alias("stop")))
+        whole = _judged(found.filter("crowded").drop("crowded"), f"{folder}/least")
+        marks = _covered(whole.filter("id > least"), window)
+        own = stored(whole.filter("id = least").select(wanted[:-1]), f"{folder}/own")
+        still = own.groupBy("mini").agg((F.count("*") > bucket).alias("crowded"))
+        still = stored(still, f"{folder}/still")
+        runs = runs.unionByName(own.join(still, "mini").select(*wanted))
+    # A set, so that repeated rows add nothing.
+    asked = runs.groupBy(*keys).agg(F.collect_set(F.struct(*wanted[2:])).alias("runs"))
+    cut = stored(_cut_out(keyed.join(asked, keys), window), f"{folder}/cut")
+    packed = cut.filter(F.col("packed").isNotNull()).drop(*DIGEST)
+    ordinary = sorted_windows(
+        packed.repartition("mini").sortWithinPartitions("mini"), window, chunk
+    )
+    marks = ordinary if marks is None else marks.unionByName(ordinary)
+    single = cut.filter(F.col("packed").isNull()).drop("packed")
+    if not single.isEmpty():
+        late = _judged(single, f"{folder}/single").filter("id > least")
+        marks = marks.unionByName(_covered(late, window))
     spans = marks.groupBy(*keys).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    return _cut(keyed.join(spans, keys, "left"), docs.schema["doc_id"].dataType.simpleString())
+    return _without(keyed.join(spans, keys, "left"), docs.schema["doc_id"].dataType.simpleString())
 
 
-def _cut(joined: DataFrame, kind: str) -> DataFrame:
+def _without(joined: DataFrame, kind: str) -> DataFrame:
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
     def one(text: bytes | None, spans: list[dict] | None):
