@@ -160,23 +160,30 @@ class Tables:
             and (until is None or period < until),
         )
 
-    def write(self, rows: DataFrame, layer: str, batch: str) -> None:
-        """Replace the folders of ``batch`` that ``rows`` covers; all others stay as they are.
+    def arrange(self, rows: DataFrame, batch: str) -> DataFrame:
+        """Rows as they are stored: with period and batch, rebalanced and sorted.
 
         The rebalance hint lets adaptive execution merge small and split large partitions,
         so a period holding a third of the rows is written by many tasks. Files are sorted
         by key: that compresses well and lets scans skip row groups of other symbols. The
         sort starts with the partition columns, so it is the one the writer needs anyway.
         """
+        dealt = rows.withColumn(PERIOD, self.cadence.period()).hint("rebalance", F.col(PERIOD))
+        dealt = dealt.withColumn(BATCH, F.lit(batch))
+        return dealt.sortWithinPartitions(PERIOD, BATCH, *self.cadence.keys)
+
+    def write(self, rows: DataFrame, layer: str, batch: str, arranged: bool = False) -> None:
+        """Replace the folders of ``batch`` that ``rows`` covers; all others stay as they are.
+
+        ``arranged`` rows come from ``arrange`` and are not dealt and sorted again.
+        """
         columns = self.schema(layer).fieldNames()
         if layer in ("latest", "quarantine"):
             stored = rows.select(*columns).withColumn(BATCH, F.lit(batch))
+        elif arranged:
+            stored = rows.select(*columns, PERIOD, BATCH)
         else:
-            stored = rows.select(*columns, self.cadence.period().alias(PERIOD)).hint(
-                "rebalance", F.col(PERIOD)
-            )
-            stored = stored.withColumn(BATCH, F.lit(batch))
-            stored = stored.sortWithinPartitions(PERIOD, BATCH, *self.cadence.keys)
+            stored = self.arrange(rows.select(*columns), batch)
         (
             stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -16,7 +16,7 @@ from marketbars.operators.delta import latest_per_symbol
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
 from marketbars.operators.metrics import message_totals
 from marketbars.operators.skew import GROUP_ROWS
-from marketbars.sources.tables import LATEST, STAGED, Tables
+from marketbars.sources.tables import LATEST, PERIOD, STAGED, Tables
 
 
 def ingest_batch(
@@ -42,9 +42,12 @@ def ingest_batch(
     marked = mark_duplicates(bars, staged, cadence.keys, "position", max_group).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    # Raw and staging hold the same rows: dealt and sorted once for both.
+    accepted = tables.arrange(marked.filter(~F.col("duplicate")), batch).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     try:
-        accepted = marked.filter(~F.col("duplicate"))
-        tables.write(accepted, "raw", batch)
+        tables.write(accepted, "raw", batch, arranged=True)
         copies = marked.filter("duplicate").select(
             F.lit("message").alias("source"),
             bar_message(cadence).alias("value"),
@@ -52,8 +55,8 @@ def ingest_batch(
         )
         rejected = rejected_messages(classified, "message").unionByName(copies)
         tables.write(rejected, "quarantine", batch)
-        tables.write(accepted, "staging", batch)
-        periods = sorted(tables.periods_of(accepted))
+        tables.write(accepted, "staging", batch, arranged=True)
+        periods = sorted(r[0] for r in accepted.select(PERIOD).distinct().collect())
         # From here on the bars count, for readers, the next merge and the next extract.
         if periods:
             version = f"{batch}-{uuid.uuid4().hex}"
@@ -63,6 +66,7 @@ def ingest_batch(
             staged_now = [(STAGED, period, batch) for period in periods]
             tables.commit(spark, [*staged_now, (LATEST, None, version)])
     finally:
+        accepted.unpersist()
         marked.unpersist()
         classified.unpersist()
     return totals

@@ -96,10 +96,10 @@ def test_replay_completes_a_half_written_batch(spark, tables, tmp_path, monkeypa
     batch = read_batch(spark, tmp_path, [message("A", t) for t in times(5)])
     write = Tables.write
 
-    def failing(self, frame, layer, name=None):
+    def failing(self, frame, layer, name, **options):
         if layer == "staging":
             raise OSError("storage is gone")
-        write(self, frame, layer, name)
+        write(self, frame, layer, name, **options)
 
     monkeypatch.setattr(Tables, "write", failing)
     with pytest.raises(OSError):
