@@ -87,7 +87,8 @@ class Tables:
     # --- the log -------------------------------------------------------------------------
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(LOG_SCHEMA).parquet(self.path("log"))
+        """All entries in one task: a few short rows per batch and merge."""
+        return spark.read.schema(LOG_SCHEMA).parquet(self.path("log")).coalesce(1)
 
     def commit(self, spark: SparkSession, entries: Iterable[tuple[str, date | None, str]]) -> None:
         """Append entries in one file: all of them count, or none. One writer at a time."""
