@@ -34,7 +34,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id files in the order of the stored rows: what was written, read back."""
+    """Token-id files in the order of the stored rows: what was written, read back.
+
+    Rows that do not come from Parquet files have no such order; they go by doc_id.
+    """
+    if not docs.inputFiles():
+        return token_files(docs, tokenizer(), FILE_END)
     part, row = free_names(docs, "part", "row")
     number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
     placed = docs.withColumns({part: number, row: F.col("_metadata.row_index")})

@@ -16,6 +16,8 @@ UNKNOWN = "und"
 TRAIN_DOCS = 20_000
 # Hashed letter groups per language: the model has languages x BUCKETS numbers, whatever the data.
 BUCKETS = 1 << 16
+# Words whose letter groups are counted at once.
+COUNTED = 50_000
 # Log-odds one word may carry, and the price of a change of language between two words.
 WORD_LIMIT = 4.0
 SWITCH = 16.0
@@ -66,7 +68,7 @@ class Letters:
 
     def __init__(self):
         self.letter = np.zeros(0x110000, bool)
-        for code in range(0x30000):
+        for code in range(0x33480):
             if chr(code).isalpha():
                 self.letter[code] = True
         starts = np.array([start for start, _ in RANGES])
@@ -122,12 +124,12 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS) -> Model:
             for text, lang in zip(texts, langs, strict=True):
                 by_lang.setdefault(lang, []).extend(text.lower().split())
             for lang, found in by_lang.items():
-                _, pair, triple, script = letters.groups(found)
-                counted = np.bincount(pair, minlength=BUCKETS) + np.bincount(
-                    triple, minlength=BUCKETS
-                )
-                both = np.append(counted, np.bincount(script, minlength=len(SCRIPTS)))
-                sums[lang] = sums.get(lang, 0) + both
+                counts = sums.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                for start in range(0, len(found), COUNTED):
+                    _, pair, triple, script = letters.groups(found[start : start + COUNTED])
+                    counts[:BUCKETS] += np.bincount(pair, minlength=BUCKETS)
+                    counts[:BUCKETS] += np.bincount(triple, minlength=BUCKETS)
+                    counts[BUCKETS:] += np.bincount(script, minlength=len(SCRIPTS))
         for lang, counted in sums.items():
             at = np.flatnonzero(counted)
             yield pa.RecordBatch.from_arrays(
