@@ -1,7 +1,7 @@
 """JSON payload expressions: classification, typing and encoding, all JVM-side.
 
-Every document is parsed once. The corrupt-record column of ``from_json`` tells well-formed
-objects apart; only the rare other rows pay for a second look at what they are.
+A message as this package writes it is parsed once. The corrupt-record column of ``from_json``
+tells well-formed objects apart; other shapes pay for a second look at what stands behind them.
 """
 
 from __future__ import annotations
@@ -67,13 +67,37 @@ def has_key(text: Column, key: str) -> Column:
     ).otherwise(F.lit(False))
 
 
-def shape_problem(parsed: Column, text: Column) -> Column:
+def surely_single(parsed: Column, text: Column) -> Column:
+    """True for a one-bar message with nothing behind it, told without a second parse.
+
+    Such a message opens three objects: itself, ``data`` and the bar. If the text has no other
+    brace, and its three closing ones stand at the end, nothing can follow them.
+    """
+
+    def braces(brace: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(brace), F.lit("")))
+
+    return F.coalesce(
+        parsed[_CORRUPT].isNull()
+        & (F.size(parsed["data"]) == 1)
+        & F.map_values(parsed["data"])[0].isNotNull()
+        & (braces("{") == 3)
+        & (braces("}") == 3)
+        & text.rlike(r"\}[ \t\r\n]*\}[ \t\r\n]*\}[ \t\r\n]*$"),
+        F.lit(False),
+    )
+
+
+def shape_problem(parsed: Column, text: Column, known_single: Column | None = None) -> Column:
     """``bad_json`` / ``not_object`` for text that is no JSON object, else NULL.
 
     ``from_json`` stops after the first value. Read as the content of an array, the text
-    must be one complete value with nothing behind it.
+    must be one complete value with nothing behind it. That second pass is left out where
+    ``known_single`` says so.
     """
     single = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(1)
+    if known_single is not None:
+        single = F.when(known_single, F.lit(True)).otherwise(single)
     suspect = parsed.isNull() | parsed[_CORRUPT].isNotNull()
     return F.when(~single, "bad_json").when(
         suspect & F.json_object_keys(text).isNull(), "not_object"
@@ -86,7 +110,7 @@ def message_problem(parsed: Column, text: Column, bars: Column, cadence: Cadence
     wrong_type = parsed["data"].isNull() & parsed[_CORRUPT].isNotNull()
     no_data = F.coalesce(F.size(parsed["data"]) <= 0, F.lit(True)) & ~wrong_type
     return F.coalesce(
-        shape_problem(parsed, text),
+        shape_problem(parsed, text, surely_single(parsed, text)),
         F.when(is_truthy(parsed["terminate"]), "control"),
         F.when(has_key(text, ERROR_KEY), "api_error"),
         F.when(has_key(text, RATE_LIMIT_KEY), "rate_limit"),

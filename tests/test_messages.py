@@ -29,6 +29,21 @@ CASES = [
     (message("A", T0) + message("B", T0), "bad_json"),
     (message("A", T0) + "," + message("B", T0), "bad_json"),
     (" " + message("A", T0) + " \n", None),
+    # Braces that must not pass for the message's own.
+    (message("A", T0) + "}", "bad_json"),
+    (message("A", T0)[:-3] + "}} }", None),
+    (message("A", T0)[:-1] + "\f}", "bad_json"),
+    (message("A", T0) + "\f", "bad_json"),
+    (message("{", T0), None),
+    (message("}", T0), None),
+    (message("{", T0)[:-1] + "}}", "bad_json"),
+    (message("A}", T0)[:-1], "bad_json"),
+    ('{"symbol":"A","data":{"%s":null},"more":{}}' % T0, "bad_value"),
+    ('{"symbol":"A","data":{},"more":{"a":{}}}', "missing_field"),
+    (message("A", "12345-01-01 00:00:00"), "bad_value"),
+    (message("A", "0000-01-01 00:00:00"), "bad_value"),
+    (message("A", "-0001-01-01 00:00:00"), "bad_value"),
+    (message("A", "9999-12-31 23:59:59"), None),
     ('{"terminate": true}', "control"),
     ('{"terminate": "yes", "symbol": "A"}', "control"),
     ('{"terminate": false}', "missing_field"),
