@@ -123,19 +123,23 @@ def leaks(
     ]
     # Hits on one diagonal are verified together, piece by piece of the item, with what lies
     # around: aggregated before the comparison, which is no part of the compiled join then.
-    if probes.count() <= broadcast_seeds:
-        hits = placed.join(F.broadcast(probes), "seed").select(
-            *keys[:4], shift, piece, "at", "words", "item"
+    of_item = items.select("item_key", "item")
+    narrow = probes.select("seed", "item_id", "item_key", "item_at")
+    if narrow.count() <= broadcast_seeds:
+        # A word begins two seeds at most, so that the items' words are as bounded.
+        hits = (
+            placed.join(F.broadcast(narrow), "seed")
+            .join(F.broadcast(of_item), "item_key")
+            .select(*keys[:4], shift, piece, "at", "words", "item")
         )
         laid = _laid(hits, stretch, masks).groupBy(*keys, "length").agg(
             *extent, F.first("found").alias("found"), F.first("given").alias("given")
         )
     else:
         # Words stay behind: only places travel to the seeds and back to their documents.
-        probes = probes.select("seed", "item_id", "item_key", "item_at")
         met = (
             placed.select("seed", "doc_id", "text_key", "at")
-            .join(probes, "seed")
+            .join(narrow, "seed")
             .select(*keys[:4], shift, piece, "at")
             .groupBy(*keys)
             .agg(*extent)
@@ -144,7 +148,6 @@ def leaks(
             F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "words"
         )
         same = met["doc_id"].eqNullSafe(texts["of_id"]) & (met["text_key"] == texts["of_text"])
-        of_item = items.select("item_key", "item")
         laid = _laid(met.join(of_item, "item_key").join(texts, same), stretch, masks)
     verified = (
         laid.withColumn("equal", matches(F.col("found"), F.col("given")))
