@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import free_names, kind_of, slices
+from marketbars.llm.common import kind_of, slices
 
 UNKNOWN = "und"
 # About so many labelled documents, chosen by hash, train the model.

@@ -183,7 +183,8 @@ def schedule(
     bases = sums.select(
         "lane", "bucket", F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("base")
     )
-    lanes = {r["lane"]: r["amount"] for r in sums.groupBy("lane").agg(F.sum("amount").alias("amount")).collect()}
+    by_lane = sums.groupBy("lane").agg(F.sum("amount").alias("amount"))
+    lanes = {r["lane"]: r["amount"] for r in by_lane.collect()}
     blocks = {k: max(1, -(-n // block_words)) for k, n in lanes.items()}
     plan = phases(blocks, quanta_of({k: shares[k] for k in sorted(lanes)}, quanta))
     # Lanes x phases rows, at most most_sources squared, with one period's slots each.
@@ -192,6 +193,8 @@ def schedule(
         "quanta bigint, slots array<bigint>"
     )
     placed = spark.createDataFrame([tuple(vars(s).values()) for s in plan], schema)
+    of_lane = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
+    last_block = F.element_at(of_lane, F.col("lane")) - 1 if blocks else F.lit(0)
     inside = W.partitionBy("lane", "bucket").orderBy("key", "doc_id", "text_key", "source")
     running = F.sum(F.col("n_words") * F.col("copies")).over(
         inside.rowsBetween(W.unboundedPreceding, -1)
@@ -202,12 +205,7 @@ def schedule(
         # Behind a lane's last word (documents without words): still its last block.
         .withColumn(
             "block",
-            F.least(
-                F.floor(F.col("start") / block_words),
-                F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("lane")) - 1,
-            ).cast("bigint")
-            if blocks
-            else F.lit(0).cast("bigint"),
+            F.least(F.floor(F.col("start") / block_words), last_block).cast("bigint"),
         )
     )
     found = numbered.join(F.broadcast(placed), "lane").filter(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import struct
 
 import numpy as np
@@ -87,7 +88,7 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
                 lengths.append(len(found))
                 ids += [number(w, len(numbers)) for w in found]
                 joined.append(b" ".join(found))
-                places.append([0, *(np.cumsum([len(w) for w in found]) + range(1, len(found) + 1)).tolist()])
+                places.append([0, *itertools.accumulate(len(w) + 1 for w in found)])
             table = np.array([xxh64_intdigest(w) for w in numbers], dtype=np.uint64)
             hashes = table[np.array(ids, dtype=np.int64)] if ids else np.zeros(0, np.uint64)
             mini, document, first, count, lead = minimisers(

@@ -185,13 +185,18 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
         F.filter(F.split(value, ""), lambda c: c != ""),
         lambda c, i: F.when(
             F.regexp_like(c, F.lit("[0-9]")),
-            F.substr(made, F.length(F.regexp_replace(F.left(value, i + 1), "[^0-9]", "")), F.lit(1)),
+            F.substr(
+                made, F.length(F.regexp_replace(F.left(value, i + 1), "[^0-9]", "")), F.lit(1)
+            ),
         ).otherwise(c),
     )
     spaced = F.transform(
         F.filter(F.split(value, ""), lambda c: c != ""),
         lambda c, i: F.when(
-            c != " ", F.substr(made, F.length(F.replace(F.left(value, i + 1), F.lit(" "), F.lit(""))), F.lit(1))
+            c != " ",
+            F.substr(
+                made, F.length(F.replace(F.left(value, i + 1), F.lit(" "), F.lit(""))), F.lit(1)
+            ),
         ).otherwise(c),
     )
     cased = F.transform(
