@@ -160,22 +160,25 @@ def word_scores(model: Model, letters: Letters, words: list[str]):
     distance from the candidates' mean. Words without letters, and those in a script that no
     language uses, favour none.
     """
-    owner, pair, triple, script = letters.groups(words)
-    n = len(words)
-    n_letters = np.bincount(owner, minlength=n)
-    scores = np.zeros((n, len(model.languages)), np.float32)
-    if len(owner):
+    n_letters = np.zeros(len(words), np.int64)
+    scores = np.zeros((len(words), len(model.languages)), np.float32)
+    known = np.zeros(len(words), bool)
+    for start in range(0, len(words), COUNTED):
+        call = words[start : start + COUNTED]
+        owner, pair, triple, script = letters.groups(call)
+        n_letters[start : start + len(call)] = np.bincount(owner, minlength=len(call))
+        if not len(owner) or not model.languages:
+            continue
         heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         sums = np.add.reduceat(model.logs[pair] + model.logs[triple], heads, axis=0)
         may = model.candidate[script[heads]]
         some = may.any(axis=1, keepdims=True)
         mean = (sums * may).sum(axis=1, keepdims=True) / np.maximum(may.sum(axis=1), 1)[:, None]
         odds = np.clip(sums - mean, -WORD_LIMIT, WORD_LIMIT)
-        scores[owner[heads]] = np.where(some, np.where(may, odds, -WORD_LIMIT), 0)
-        known = np.zeros(n, bool)
-        known[owner[heads]] = some[:, 0]
-        return scores, n_letters, known
-    return scores, n_letters, np.zeros(n, bool)
+        at = start + owner[heads]
+        scores[at] = np.where(some, np.where(may, odds, -WORD_LIMIT), 0)
+        known[at] = some[:, 0]
+    return scores, n_letters, known
 
 
 def one_language(scores: np.ndarray, switch: float) -> int | None:
@@ -193,33 +196,43 @@ def one_language(scores: np.ndarray, switch: float) -> int | None:
 
 
 def viterbi(many: list[np.ndarray], switch: float) -> list[np.ndarray]:
-    """Best labels of several documents, word after word for all of them at once."""
+    """Best labels of several documents, word after word for all of them at once.
+
+    Documents stand by falling length; step t holds the documents that have a word t. What must
+    be remembered is one bit per word and language, and one language per word.
+    """
     order = sorted(range(len(many)), key=lambda i: -len(many[i]))
     lengths = np.array([len(many[i]) for i in order])
     states = many[0].shape[1]
+    active = len(many) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")
+    begins = np.concatenate(([0], np.cumsum(active)))
+    steps = np.zeros((begins[-1], states), np.float32)
+    for k, i in enumerate(order):
+        steps[begins[: lengths[k]] + k] = many[i]
+    stayed = np.ones((begins[-1], states), bool)
+    came = np.zeros(begins[-1], np.int16)
     total = np.zeros((len(many), states))
-    stayed, came = [], []
-    for t in range(lengths[0]):
-        active = int(np.searchsorted(-lengths, -t, side="left"))
-        now = total[:active]
-        best = now.argmax(axis=1)
-        jump = now[np.arange(active), best] - switch
-        stay = now >= jump[:, None] if t else np.ones((active, states), bool)
-        stayed.append(stay)
-        came.append(best.astype(np.int16))
-        step = np.stack([many[order[k]][t] for k in range(active)])
-        total[:active] = np.where(stay, now, jump[:, None]) + step
-    labels = [np.zeros(n, np.int16) for n in lengths]
-    state = total.argmax(axis=1)
-    for t in range(lengths[0] - 1, -1, -1):
-        active = len(came[t])
-        for k in range(active):
-            labels[k][t] = state[k]
-            if not stayed[t][k, state[k]]:
-                state[k] = came[t][k]
+    rows = np.arange(len(many))
+    for t, (begin, n) in enumerate(zip(begins.tolist(), active.tolist(), strict=False)):
+        now = total[:n]
+        if t:
+            best = now.argmax(axis=1)
+            jump = (now[rows[:n], best] - switch)[:, None]
+            stay = now >= jump
+            stayed[begin : begin + n], came[begin : begin + n] = stay, best
+            now = np.where(stay, now, jump)
+        total[:n] = now + steps[begin : begin + n]
+    labels = np.zeros(begins[-1], np.int16)
+    state = total.argmax(axis=1).astype(np.int16)
+    for t in range(len(active) - 1, -1, -1):
+        begin, n = begins[t], active[t]
+        now = state[:n]
+        labels[begin : begin + n] = now
+        kept = stayed[begin : begin + n][rows[:n], now]
+        state[:n] = np.where(kept, now, came[begin : begin + n])
     out: list[np.ndarray] = [None] * len(many)
     for k, i in enumerate(order):
-        out[i] = labels[k]
+        out[i] = labels[begins[: lengths[k]] + k]
     return out
 
 
