@@ -7,10 +7,12 @@ import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketbars.operators.indicators import indicators
 from marketbars.operators.messages import classify_messages
-from marketbars.plans.registry import QUERIES, bars_of
+from marketbars.plans import jobs
+from marketbars.plans.registry import LATE_FROM, LATE_UNTIL, QUERIES, bars_of
 from marketbars.schemas import CADENCES, INTRADAY
 from marketbars.session import build_session, work_dir
 from marketbars.sources import fixtures as fx
@@ -72,6 +74,24 @@ def ingest_seconds(spark: SparkSession, messages: DataFrame) -> float:
     return round(min(times), 3)
 
 
+def merge_seconds(spark: SparkSession) -> tuple[float, float]:
+    """One late afternoon merged into a filled final table, and the same by a full refresh."""
+    tables = Tables(work_dir(spark, "bench"), INTRADAY)
+    tables.create(spark)
+    bars = bars_of(spark, SF_DIR, INTRADAY)
+    late = F.col("timestamp").between(F.lit(LATE_FROM), F.lit(LATE_UNTIL))
+    seconds = []
+    for batch, rows in enumerate((bars.filter(~late), bars.filter(late))):
+        messages = fx.messages(rows, INTRADAY).withColumn("position", F.struct(F.lit(0)))
+        ingest_batch(messages, tables, f"bench-{batch}")
+        start = time.perf_counter()
+        jobs.refresh_outstanding(spark, tables)
+        seconds.append(time.perf_counter() - start)
+    start = time.perf_counter()
+    jobs.refresh(spark, tables)
+    return round(seconds[1], 3), round(time.perf_counter() - start, 3)
+
+
 def best(run) -> float:
     """Every column of every row is computed, nothing is stored."""
     times = []
@@ -101,6 +121,7 @@ def main() -> None:
     messages = staged_messages(spark)
     seconds["staged_classify_messages"] = best(lambda: classify_messages(messages, INTRADAY))
     seconds["staged_ingest_batch"] = ingest_seconds(spark, messages)
+    seconds["staged_merge_late"], seconds["staged_refresh_full"] = merge_seconds(spark)
     spark.stop()
     print(
         json.dumps(
