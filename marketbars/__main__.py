@@ -40,6 +40,7 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--topic-dir", help="folder of JSON lines used instead of Kafka")
     parser.add_argument("--offsets", help="checkpoint folder of the ingest query")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="stamp of refreshed rows")
+    parser.add_argument("--run-id", help="a rerun under the same name replaces its rejects")
     parser.add_argument("--symbols", default=",".join(DEFAULT_SYMBOLS), help="list, or 'all'")
     options = parser.parse_args(arguments)
     given = {**vars(options), "topic": options.servers or options.topic_dir}
@@ -65,7 +66,8 @@ def main(arguments: list[str] | None = None) -> None:
     tables.create(spark)
     if options.job == "extract":
         landed = read_landed(spark, options.landed)
-        counts = {"messages_sent": jobs.extract_delta(landed, tables, send, symbols)}
+        sent = jobs.extract_delta(landed, tables, send, symbols, options.run_id)
+        counts = {"messages_sent": sent}
     elif options.job == "ingest":
         counts = jobs.ingest(receive(), tables, options.offsets)
     elif options.job == "merge":
@@ -81,7 +83,15 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         landed = read_landed(spark, options.landed)
         counts = jobs.run(
-            spark, tables, landed, send, receive, options.offsets, options.as_of, symbols
+            spark,
+            tables,
+            landed,
+            send,
+            receive,
+            options.offsets,
+            options.as_of,
+            symbols,
+            options.run_id,
         )
     print(json.dumps(counts))
 

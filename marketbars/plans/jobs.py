@@ -29,10 +29,12 @@ def extract_delta(
     tables: Tables,
     send: Callable[[DataFrame], None],
     symbols=DEFAULT_SYMBOLS,
+    run_id: str | None = None,
 ) -> int:
     """Send the landed bars that staging lacks; returns the number of messages sent.
 
-    Unusable responses go to quarantine with a reason. ``symbols=None`` takes all symbols.
+    Unusable responses go to quarantine with a reason; a rerun under the same ``run_id``
+    replaces them instead of adding them again. ``symbols=None`` takes all symbols.
     """
     cadence, spark = tables.cadence, landed.sparkSession
     if symbols is not None:
@@ -50,7 +52,7 @@ def extract_delta(
         rejected = delta.rejected_documents(classified).unionByName(
             delta.rejected_entries(classified, cadence)
         )
-        tables.write(rejected, "quarantine", f"extract-{uuid.uuid4().hex}")
+        tables.write(rejected, "quarantine", f"extract-{run_id or uuid.uuid4().hex}")
     finally:
         classified.unpersist()
     return sent
@@ -164,10 +166,11 @@ def run(
     checkpoint: str,
     as_of: datetime | Column | None = None,
     symbols=DEFAULT_SYMBOLS,
+    run_id: str | None = None,
 ) -> dict[str, int]:
     """One scheduled run: extract, ingest, merge what is new. Scheduling is left to the caller."""
     tables.create(spark)
-    sent = extract_delta(landed, tables, send, symbols)
+    sent = extract_delta(landed, tables, send, symbols, run_id)
     totals = ingest(receive(), tables, checkpoint)
     affected = refresh_outstanding(spark, tables, as_of)
     return {

@@ -289,6 +289,16 @@ def test_nothing_usable_landed(spark, tmp_path, envelopes):
     assert len(world.rows("quarantine")) == len(envelopes)
 
 
+def test_a_rerun_replaces_its_rejects(spark, tmp_path):
+    world = World(spark, tmp_path, INTRADAY)
+    world.tables.create(spark)
+    path = land(tmp_path / "landed", [{"symbol": "A", "status": 500, "body": "{}"}])
+    landed = landed_source.read_landed(spark, path)
+    for run_id in ("r1", "r1", "r2"):
+        jobs.extract_delta(landed, world.tables, lambda messages: None, None, run_id)
+    assert [r[2] for r in world.rows("quarantine")] == ["http_status"] * 2
+
+
 def test_bare_bodies(spark, tmp_path):
     folder = tmp_path / "bodies" / "symbol=A"
     folder.mkdir(parents=True)
