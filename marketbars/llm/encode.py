@@ -37,7 +37,8 @@ class WordEncoder:
     """Ids of texts by a tokenizer that never joins what white space parts.
 
     Such a tokenizer gives a text the ids of its words, one after the other, so that it is only
-    asked for words not met before. If it also lower-cases and parts letters from punctuation
+    asked for words not met before. Any other (``parts``: probed, not assumed) is asked for whole
+    texts. If it also lower-cases and parts letters from punctuation
     (``folds``: probed, not assumed), plain words go straight to its model, without the capital
     and the full stop. ``tests/llm`` compares all this with encoding whole texts.
     """
@@ -49,7 +50,8 @@ class WordEncoder:
         self.model = self.tokenizer.model.tokenize
         self.octets = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.memory = memory
-        self.folds = self._folds()
+        self.parts = self._parts()
+        self.folds = self.parts and self._folds()
         self.known = Words(self._word)
         self.ends: dict[str, bytes] = {}
 
@@ -62,6 +64,10 @@ class WordEncoder:
         ids = [piece.id for piece in self.model(spelt)]
         return PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
 
+    def _parts(self) -> bool:
+        probe = "The quick, brown\tfox  jumps\n over\u00a0the 12 lazy dogs. "
+        return self._whole(probe) == b"".join(map(self._whole, probe.split()))
+
     def _folds(self) -> bool:
         return all(
             self._whole(word.title() + end) == self._part(word) + (self._part(end) if end else b"")
@@ -88,7 +94,7 @@ class WordEncoder:
         if not text:
             return b""
         # Python takes these four for white space, a tokenizer does not.
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        if not self.parts or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             return self._whole(text)
         if len(self.known) > self.memory:
             # Words met lately stay at hand; those not met for two generations are forgotten.

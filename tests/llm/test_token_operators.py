@@ -47,10 +47,15 @@ def test_ids_equal_those_of_whole_texts(special, memory):
             assert np.frombuffer(got, "<u4").tolist() == reference(text, special)
 
 
-def test_another_tokenizer_is_not_folded():
+def test_a_tokenizer_that_joins_over_white_space_gets_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = encode.WordEncoder(path)
-    assert not encoder.folds
+    assert not encoder.parts and not encoder.folds
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = False
+    for text, got in zip(TEXTS, encoder.encode(TEXTS), strict=True):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == ids
 
 
 # --- token-id files ----------------------------------------------------------------------
