@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate
+from math import ceil, lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +19,7 @@ from marketbars.session import work_dir
 
 # A block is what one slot takes from one source.
 BLOCK_WORDS = 4096
-# Weights are whole numbers of quanta; a schedule repeats after as many slots.
+# Slots of a round at least; each round has whole quanta of its own.
 QUANTA = 1000
 # Sources with a lane of their own: the largest. The others share one lane, none is left out.
 MOST_SOURCES = 200
@@ -78,7 +83,7 @@ class Stretch:
 
 
 def phases(blocks: dict[str, int], quanta: dict[str, int]) -> list[Stretch]:
-    """The schedule until all blocks are placed.
+    """The schedule until all blocks are placed, by whole weights; ``exact_phases`` takes any.
 
     When a source is used up the others go on in proportion to their quanta. The period's
     pattern is worked out once per phase, whatever the number of blocks.
@@ -110,6 +115,162 @@ def phases(blocks: dict[str, int], quanta: dict[str, int]) -> list[Stretch]:
     return found
 
 
+def in_windows(
+    windows: dict[str, list[tuple[int, int]]], first: int, stop: int
+) -> dict[str, list[int]] | None:
+    """The slot of every block, earliest deadline first; None if one misses its window."""
+    waiting = [(w[0][0], w[0][1], k, 0) for k, w in windows.items() if w]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, str, int]] = []
+    slots: dict[str, list[int]] = {k: [] for k in windows}
+    for slot in range(first, stop):
+        while waiting and waiting[0][0] <= slot:
+            _, due, k, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, k, i))
+        if not ready or ready[0][0] <= slot:
+            return None
+        _, k, i = heapq.heappop(ready)
+        slots[k].append(slot)
+        if i + 1 < len(windows[k]):
+            heapq.heappush(waiting, (*windows[k][i + 1], k, i + 1))
+    return slots
+
+
+@dataclass(frozen=True)
+class Phase:
+    """``length`` slots in which the same sources are left, cut into rounds.
+
+    Source k's share of a slot is exactly ``parts[k] / whole``; ``used[k]`` of its blocks lie in
+    earlier phases, and ``last`` is used up at the end.
+    """
+
+    number: int
+    offset: int
+    length: int
+    slots: int
+    parts: dict[str, int]
+    whole: int
+    used: dict[str, int]
+    last: str
+
+    @property
+    def rounds(self) -> int:
+        return max(1, self.length // self.slots)
+
+    def start(self, turn: int) -> int:
+        return self.length if turn == self.rounds else turn * self.slots
+
+    def given(self, turn: int) -> dict[str, int]:
+        """Blocks before a round: the exact shares, with the largest remainders rounded up.
+
+        No round gives a source less than none: with ``slots`` of at least one over its share,
+        the lower number behind a round is the higher one before it, or more.
+        """
+        t = self.start(turn)
+        found = {k: a * t // self.whole for k, a in self.parts.items()}
+        ends = turn == self.rounds
+
+        def rank(k):
+            return not (ends and k == self.last), -(self.parts[k] * t % self.whole), k
+
+        # Only remainders are rounded up, and there are more of them than blocks missing.
+        open_ = [k for k in found if self.parts[k] * t % self.whole]
+        for k in sorted(open_, key=rank)[: t - sum(found.values())]:
+            found[k] += 1
+        return found
+
+    def blocks(self, turn: int) -> list[tuple[str, int, int, int, int, int]]:
+        """Source, block, phase, release, deadline and slot of each block of a round."""
+        before, after = self.given(turn), self.given(turn + 1)
+        first, stop = self.start(turn), self.start(turn + 1)
+        windows = {
+            k: [
+                (
+                    max(first, i * self.whole // a),
+                    min(stop, -(-(i + 1) * self.whole // a)),
+                )
+                for i in range(before[k], after[k])
+            ]
+            for k, a in self.parts.items()
+        }
+        placed = in_windows(windows, first, stop)
+        if placed is None:
+            # The whole quanta of the round always fit, at less than one block more.
+            quanta = {k: len(w) for k, w in windows.items() if w}
+            n = stop - first
+            windows = {
+                k: [(first + i * n // a, first - (-(i + 1) * n // a)) for i in range(a)]
+                for k, a in quanta.items()
+            }
+            placed = {k: [first + t for t in slots] for k, slots in pattern(quanta).items()}
+        return [
+            (
+                k,
+                self.used[k] + before[k] + i,
+                self.number,
+                self.offset + windows[k][i][0],
+                self.offset + windows[k][i][1],
+                self.offset + slot,
+            )
+            for k, slots in placed.items()
+            for i, slot in enumerate(slots)
+        ]
+
+
+def exact_phases(
+    blocks: dict[str, int], weights: dict[str, float], quanta: int = QUANTA
+) -> list[Phase]:
+    """The schedule until all blocks are placed, by the weights as they are.
+
+    Block i of a source of share w is released at floor(i / w) and due at ceil((i + 1) / w), so
+    that at any time a source is less than one block from its exact share of the phase's slots,
+    however many there are. A round in which these windows cannot all be met keeps its number of
+    blocks, and the bound is one block behind it and two inside. A phase ends when a source is
+    used up. Sources of no weight follow when all others are used up.
+    """
+    left = {k: n for k, n in blocks.items() if n}
+    used = dict.fromkeys(left, 0)
+    found: list[Phase] = []
+    offset = 0
+    while left:
+        exact = {k: Fraction(weights[k]) for k in left if weights[k] > 0}
+        exact = exact or dict.fromkeys(left, Fraction(1))
+        common = lcm(*(w.denominator for w in exact.values()))
+        parts = {k: int(w * common) for k, w in exact.items()}
+        whole = sum(parts.values())
+        last = min(parts, key=lambda k: (Fraction(left[k], parts[k]), k))
+        length = left[last] * whole // parts[last]
+        slots = max(quanta, ceil(Fraction(whole, min(parts.values()))))
+        phase = Phase(len(found), offset, length, slots, parts, whole, dict(used), last)
+        found.append(phase)
+        for k, n in phase.given(phase.rounds).items():
+            used[k] += n
+            left[k] -= n
+            if not left[k]:
+                del left[k]
+        offset += length
+    return found
+
+
+def placed_blocks(spark, plan: list[Phase]) -> DataFrame:
+    """lane, block, phase, release, deadline and slot of all blocks: a row for each, in Spark."""
+    schema = "lane string, block bigint, phase int, release bigint, deadline bigint, slot bigint"
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    names = ["lane", "block", "phase", "release", "deadline", "slot"]
+    ends = list(accumulate(p.rounds for p in plan))
+
+    def run(batches):
+        for batch in batches:
+            for turn in batch.column("id").to_pylist():
+                n = bisect_right(ends, turn)
+                columns = zip(*plan[n].blocks(turn - (ends[n - 1] if n else 0)), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
+                )
+
+    return spark.range(ends[-1] if ends else 0).mapInArrow(run, schema)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
@@ -129,7 +290,8 @@ def schedule(
 ) -> DataFrame:
     """One row per different (doc_id, text, source): its block, its window and its slot.
 
-    Documents of a source follow each other by a hash; every ``block_words`` words of the source
+    Blocks are placed by the exact weights, see ``exact_phases``; ``quanta`` is the slots of a
+    round. Documents of a source follow each other by a hash; every ``block_words`` words of the source
     make a block, and a document belongs to the block its first word lies in. ``weights`` gives
     the target share of sources by name; without it they go by the square root of their words.
     Sources not named, and those beyond ``most_sources``, share the lane ``rest`` (named, it has
@@ -186,13 +348,8 @@ def schedule(
     by_lane = sums.groupBy("lane").agg(F.sum("amount").alias("amount"))
     lanes = {r["lane"]: r["amount"] for r in by_lane.collect()}
     blocks = {k: max(1, -(-n // block_words)) for k, n in lanes.items()}
-    plan = phases(blocks, quanta_of({k: shares[k] for k in sorted(lanes)}, quanta))
-    # Lanes x phases rows, at most most_sources squared, with one period's slots each.
-    schema = (
-        "lane string, phase int, first bigint, stop bigint, offset bigint, period bigint, "
-        "quanta bigint, slots array<bigint>"
-    )
-    placed = spark.createDataFrame([tuple(vars(s).values()) for s in plan], schema)
+    plan = exact_phases(blocks, {k: shares[k] for k in sorted(lanes)}, quanta)
+    placed = placed_blocks(spark, plan)
     of_lane = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     last_block = F.element_at(of_lane, F.col("lane")) - 1 if blocks else F.lit(0)
     inside = W.partitionBy("lane", "bucket").orderBy("key", "doc_id", "text_key", "source")
@@ -208,12 +365,7 @@ def schedule(
             F.least(F.floor(F.col("start") / block_words), last_block).cast("bigint"),
         )
     )
-    found = numbered.join(F.broadcast(placed), "lane").filter(
-        (F.col("block") >= F.col("first")) & (F.col("block") < F.col("stop"))
-    )
-    i = F.col("block") - F.col("first")
-    round_, turn = F.floor(i / F.col("quanta")), i % F.col("quanta")
-    return found.select(
+    return numbered.join(placed, ["lane", "block"]).select(
         "doc_id",
         "text_key",
         "source",
@@ -223,9 +375,9 @@ def schedule(
         "phase",
         "block",
         "start",
-        (F.col("offset") + F.floor(i * F.col("period") / F.col("quanta"))).alias("release"),
-        (F.col("offset") + F.ceil((i + 1) * F.col("period") / F.col("quanta"))).alias("deadline"),
-        (F.col("offset") + round_ * F.col("period") + F.get("slots", turn.cast("int"))).alias("slot"),
+        "release",
+        "deadline",
+        "slot",
     )
 
 

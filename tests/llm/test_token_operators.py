@@ -3,6 +3,7 @@
 import collections
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -196,6 +197,56 @@ def test_quanta_are_whole_and_near():
     assert mixing.quanta_of({}) == {}
 
 
+def test_blocks_keep_to_the_unrounded_weights():
+    rng = random.Random(4)
+    given = {"thirds": dict.fromkeys("abc", 1.0), "small": {"a": 1.0, "b": 0.0003, "c": 0.7}}
+    given |= {str(n): {f"s{i}": rng.random() ** 2 + 0.001 for i in range(n)} for n in (2, 9, 40)}
+    for weights in given.values():
+        total = sum(map(Fraction, weights.values()))
+        plan = mixing.exact_phases({k: 3_000_000 for k in weights}, weights)
+        first = plan[0]
+        # Some early rounds, and the last ones of a phase of millions of blocks.
+        for turn in (0, 1, first.rounds // 2, first.rounds - 1):
+            taken = first.given(turn)
+            for k, *_, slot in sorted(first.blocks(turn), key=lambda b: b[-1]):
+                taken[k] += 1
+                for j in weights:
+                    assert abs(taken[j] - Fraction(weights[j]) / total * (slot + 1)) < 1
+        assert sum(p.length for p in plan) == 3_000_000 * len(weights)
+
+
+def test_every_block_is_placed_once_by_exact_weights():
+    rng = random.Random(5)
+    for _ in range(30):
+        weights = {f"s{i}": rng.choice([0, rng.random() + 0.01]) for i in range(rng.randint(1, 9))}
+        blocks = {k: rng.randint(0, 200) for k in weights}
+        rows = [
+            b
+            for p in mixing.exact_phases(blocks, weights, 20)
+            for turn in range(p.rounds)
+            for b in p.blocks(turn)
+        ]
+        assert sorted((k, i) for k, i, *_ in rows) == sorted(
+            (k, i) for k, n in blocks.items() for i in range(n)
+        )
+        assert sorted(b[-1] for b in rows) == list(range(len(rows)))
+        assert all(release <= slot < due for *_, release, due, slot in rows)
+        for k in blocks:
+            assert [b[1] for b in sorted(rows, key=lambda b: b[-1]) if b[0] == k] == list(
+                range(blocks[k])
+            )
+
+
+def test_equal_weights_do_not_drift(spark):
+    # Ten slots to a round: rounded weights of 4, 3 and 3 would put "a" 20 blocks ahead.
+    docs = frame(spark, [row(i, "w", "en", "abc"[i % 3]) for i in range(900)])
+    options = {"weights": dict.fromkeys("abc", 1), "block_words": 1, "quanta": 10}
+    taken = collections.Counter()
+    for r in sorted(mixing.mix(docs, **options).collect(), key=lambda r: r.slot):
+        taken[r.source] += 1
+        assert max(abs(taken[k] - (r.slot + 1) / 3) for k in "abc") < 1
+
+
 def sources(n=300):
     rng = random.Random(6)
     return [
