@@ -23,6 +23,26 @@ _SECRET = "token|secret|password|passwd|api[_-]?key|access[_-]?key|auth|bearer"
 # Every entity begins where no letter or digit stands before: one test rules most places out.
 _BEGIN = r"(?<![\p{L}\p{N}_])"
 _END = r"(?![\p{L}\p{N}_])"
+# Phones, the first that fits: bracketed or parted area code and two groups; behind a country code
+# also longer or more groups, or none; pairs of two digits; ten or eleven digits in a row.
+_PHONES = "|".join(
+    (
+        r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+        r"\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?|\d{1,5}[ .-])\d{2,4}(?:[ .-]\d{2,4}){2,4}(?!\d)",
+        r"\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?|\d{1,5}[ .-])\d{3,5}[ .-]\d{3,5}(?!\d)",
+        r"\+\d{1,3}[ .-]?\(0\)[ .-]?\d{1,5}(?:[ .-]\d{2,8}){1,4}(?!\d)",
+        r"\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?|\d{1,5}[ .-])\d{5,8}(?!\d)",
+        r"\+\d{1,3}[ .-]\d{7,12}(?!\d)",
+        r"\+[1-9]\d{7,14}(?![.,]?\d)",
+        r"\(\d{2,5}\)[ .-]?\d{3}(?:[ .-]\d{2}){2}(?!\d)",
+        r"\(0\d{1,4}\)[ .-]?\d{5,8}(?!\d)",
+        r"\([2-9]\d{2}\)[ .-]?\d{7}(?!\d)",
+        r"(?<!\d[.,/-])0[1-9](?:[ .-]\d{2}){4}(?![ .,/-]?\d)",
+        r"(?<!\d[.,/-])(?<!(?i:isbn)(?:-10)?:? ?)(?:[2-9]\d{9}|0[1-9]\d{8,9})(?![.,/-]?\d)",
+    )
+)
+# Country codes are read from the left, as no code begins another.
+_COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})"
 # What is tested first, the entity, what must not follow; tried in this order at each beginning.
 PATTERNS = {
     "email": ("", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", ""),
@@ -37,12 +57,13 @@ PATTERNS = {
     "ip": (r"(?<!\d\.)", rf"(?:{_OCTET}\.){{3}}{_OCTET}", r"(?!\.?\d)"),
     "ssn": (r"(?<!\d-)", r"\d{3}-\d{2}-\d{4}", r"(?![\d-])"),
     "iban": ("", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
-    "card": (r"(?<!\d-)", r"[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?:\d{3})?", r"(?![\d-])"),
-    "phone": (
-        r"(?=[+(\d])(?<!\+)",
-        r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}",
-        r"(?!\d)",
+    # Groups of four, or 4-6-5 and 4-6-4.
+    "card": (
+        r"(?<!\d-)",
+        r"(?:[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,4}(?:\d{3})?|3\d{3}[ -]\d{6}[ -]\d{4,5})",
+        r"(?![\d-])",
     ),
+    "phone": (r"(?=[+(\d])(?<!\+)", rf"(?:{_PHONES})", r"(?!\d)"),
     "name": (
         rf"(?=[{''.join(sorted({n[0] for n in MALE + FEMALE + MEN + WOMEN}))}])",
         rf"(?:(?:{_TITLES})\.? {_UPPER}(?: {_UPPER})?|(?:{_GIVEN}) {_UPPER})",
@@ -88,8 +109,10 @@ def canonical(kind: Column, value: Column) -> Column:
     """One spelling for all mentions: digits of numbers, e-mail and name without case or title."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     bare = F.regexp_replace(value, rf"^(?:{_TITLES})\.? ", "")
+    abroad = (kind == "phone") & F.startswith(value, F.lit("+"))
     return (
-        F.when(kind.isin(*DIGITS_ONLY), digits)
+        F.when(abroad, F.concat(F.lit("+"), digits))
+        .when(kind.isin(*DIGITS_ONLY), digits)
         .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
         .when(kind.isin("email"), F.lower(value))
         .when(kind == "name", F.concat(gender(value), F.lit(":"), F.lower(bare)))
@@ -151,7 +174,9 @@ def core(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     tail = F.regexp_extract(canon, r"(\.[a-z]{2,})$", 1)
     octet = lambda i: F.conv(F.substr(digest, F.lit(2 * i + 1), F.lit(2)), 16, 10).cast("int")
     octets = [(octet(i) % 223 + 1).cast("string") for i in range(4)]
-    number = _redrawn(canon, digest, keep=F.greatest(F.length(canon) - 10, F.lit(0)))
+    country = F.length(F.regexp_extract(canon, _COUNTRY, 0))
+    keep = F.when(country > 0, country).otherwise(F.greatest(F.length(canon) - 10, F.lit(0)))
+    number = _redrawn(canon, digest, keep=keep)
     body = _redrawn(F.left(canon, F.length(canon) - 1), digest, keep=F.lit(1))
     sex = F.left(canon, F.lit(1))
     given = F.lower(F.regexp_extract(canon, rf"(?i)^.:({_GIVEN}) ", 1))
@@ -181,6 +206,7 @@ def _pick(digest: Column, names: list[str]) -> Column:
 
 def rendered(kind: Column, value: Column, made: Column) -> Column:
     """The surrogate as this mention writes it: its separators, its case, its title."""
+    made = F.when(kind == "phone", F.ltrim(made, F.lit("+"))).otherwise(made)
     digits = F.transform(
         F.filter(F.split(value, ""), lambda c: c != ""),
         lambda c, i: F.when(

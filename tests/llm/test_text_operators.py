@@ -299,6 +299,67 @@ def test_decoys_and_clean_texts_stay(spark):
     assert {(r.doc_id, r.text, r.n_entities) for r in got if not r.text} == {(3, None, 0), (4, "", 0)}
 
 
+NUMBERS = (
+    "+15551234567",
+    "5551234567",
+    "0612345678",
+    "(555)123-4567",
+    "(555) 1234567",
+    "+1 (555)123-4567",
+    "+1 (988) 555-2485",
+    "+49 30 12345678",
+    "+49 (30) 12345678",
+    "+49 (0)30 12345678",
+    "(030) 12345678",
+    "06 12 34 56 78",
+    "06.12.34.56.78",
+    "+33 6 12 34 56 78",
+    "+33612345678",
+    "+7 (495) 123-45-67",
+    "(495) 123-45-67",
+    "+44 20 7946 0958",
+    "+55 11 91234-5678",
+    "+91 98765 43210",
+    "+420 123456789",
+    "3782 822463 10005",
+    "3782-822463-10005",
+    "3056 930902 5904",
+)
+
+
+def test_numbers_of_all_usual_forms_go(spark):
+    rows = [row(i, f"call {n}, or ({n}) today") for i, n in enumerate(NUMBERS)]
+    got = {r.doc_id: r for r in surrogates.pseudonymised(frame(spark, rows), "k").collect()}
+    for i, n in enumerate(NUMBERS):
+        one = re.fullmatch(r"call (.*), or \((.*)\) today", got[i].text)
+        assert one and one[1] == one[2] != n, (n, got[i].text)
+        assert re.sub(r"\d", "9", one[1]) == re.sub(r"\d", "9", n) and got[i].n_entities == 2
+        code = re.match(r"\+(1|7|33|49|44|55|91|420)", n)
+        assert not code or one[1].startswith(code[0]), (n, one[1])
+        kept = [a == b for a, b in zip(n, one[1], strict=True) if a.isdigit()]
+        assert sum(kept) < len(kept) - 3
+        if n[0] == "3":
+            assert luhn(re.sub(r"\D", "", one[1]))
+
+
+def test_numbers_that_are_no_phone_or_card_stay(spark):
+    decoys = (
+        "3782 822463 10006",
+        "at 1700000000 or 1700000000123",
+        "ISBN 0306406152 and ISBN-10: 2306406152",
+        "pi 3.5551234567 and 5551234567.25 and 1,5551234567",
+        "+12345678.90 or +12.5 or +100 2021",
+        "on 06 12 2021 or 06.12.34 or 2021-06-12 12:34:56",
+        "06 12 34 56 and 1 2 3 4 5 6 7 8 9",
+        "id a5551234567 and 55512345678901 and 555123456",
+        "(see 12) 34 and (2021) 12",
+    )
+    got = surrogates.pseudonymised(frame(spark, [row(i, t) for i, t in enumerate(decoys)]), "k")
+    assert {r.doc_id: (r.text, r.n_entities) for r in got.collect()} == {
+        i: (t, 0) for i, t in enumerate(decoys)
+    }
+
+
 def test_surrogates_agree_across_documents(spark):
     rows = [row(i, f"mail a.b@c.example.com {i} and 10.0.0.{i}") for i in range(1, 40)]
     rows += [rows[0], row(None, rows[3][1]), row(2, "other text x@y.org")]
