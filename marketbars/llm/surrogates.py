@@ -205,7 +205,10 @@ def _pick(digest: Column, names: list[str]) -> Column:
 
 
 def rendered(kind: Column, value: Column, made: Column) -> Column:
-    """The surrogate as this mention writes it: its separators, its case, its title."""
+    """The surrogate as this mention writes it: its separators, its case, its title.
+
+    What a lengthened surrogate has beyond the mention's digits or letters follows behind them.
+    """
     made = F.when(kind == "phone", F.ltrim(made, F.lit("+"))).otherwise(made)
     digits = F.transform(
         F.filter(F.split(value, ""), lambda c: c != ""),
@@ -232,9 +235,13 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
         ).otherwise(c),
     )
     title = F.regexp_extract(value, rf"^(?:{_TITLES})\.? ", 0)
+    used = F.when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(
+        F.regexp_replace(value, "[^0-9]", "")
+    )
+    beyond = F.substr(made, F.length(used) + 1)
     return (
-        F.when(kind.isin(*DIGITS_ONLY), F.array_join(digits, ""))
-        .when(kind == "iban", F.array_join(spaced, ""))
+        F.when(kind.isin(*DIGITS_ONLY), F.concat(F.array_join(digits, ""), beyond))
+        .when(kind == "iban", F.concat(F.array_join(spaced, ""), beyond))
         .when(kind == "email", F.array_join(cased, ""))
         .when(kind == "name", F.concat(title, F.initcap(F.substr(made, F.lit(3)))))
         .when(kind != NONE, made)

@@ -396,6 +396,17 @@ def test_a_format_too_narrow_still_gives_distinct_ones(spark):
     assert len(set(made)) == 10 and not {r[1] for r in rows} & set(made)
 
 
+@pytest.mark.parametrize("kind, plus", [("ssn", ""), ("phone", ""), ("phone", "+1"), ("card", ""), ("iban", "DE")])
+def test_a_format_too_narrow_is_distinct_in_the_text(spark, kind, plus):
+    rows = [(kind, f"{plus}{i}{i if kind == 'card' else ''}") for i in range(10)]
+    entities = spark.createDataFrame(rows, "kind string, canon string")
+    made = surrogates.distinct_surrogates(entities, "k").withColumn(
+        "text", surrogates.rendered(F.col("kind"), F.col("canon"), F.col("core"))
+    )
+    texts = [r.text for r in made.collect()]
+    assert len(set(texts)) == 10 and not {r[1] for r in rows} & set(texts)
+
+
 def test_surrogates_of_odd_rows_and_an_empty_table(spark):
     assert surrogates.pseudonymised(clashing(frame(spark, ODD)), "k").count() == len(ODD)
     assert surrogates.pseudonymised(frame(spark, []), "k").collect() == []
