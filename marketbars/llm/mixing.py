@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import free_names, text_key
+from marketbars.llm.common import free_names, stored, text_key
 from marketbars.session import work_dir
 
 # A block is what one slot takes from one source.
 BLOCK_WORDS = 4096
 # Slots of a round at least; each round has whole quanta of its own.
 QUANTA = 1000
-# Sources with a lane of their own: the largest. The others share one lane, none is left out.
+# Sources with a lane of their own: those named, or else the largest. All others share one lane,
+# in which they are mixed to their own weights.
 MOST_SOURCES = 200
 TEMPER = 0.5
 # Rows numbered by one window at most, on average.
@@ -280,6 +281,35 @@ def lane_of(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
+def _rest(rows: DataFrame, shared: DataFrame, buckets: int) -> DataFrame:
+    """Rows of the lane of all other sources, in an order that mixes those to their weights.
+
+    A row's turn is the middle of its words among its source's, over the source's weight. In that
+    order all sources are at the same turn at any time, each within one row of its weight times
+    that turn, whatever their number; used up ones drop out and the others go on in proportion.
+    """
+    amount = F.col("n_words") * F.col("copies")
+    sums = rows.groupBy("name", "bucket").agg(F.sum(amount).alias("amount"))
+    earlier = W.partitionBy("name").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    bases = sums.select(
+        "name", "bucket", F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("base")
+    )
+    inside = W.partitionBy("name", "bucket").orderBy("key", "doc_id", "text_key", "source")
+    running = F.sum(amount).over(inside.rowsBetween(W.unboundedPreceding, -1))
+    # A weight of 0: behind all others, as ``exact_phases`` has it.
+    pace = F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1e-300))
+    turned = (
+        rows.drop("turn")
+        .join(bases, ["name", "bucket"])
+        .join(shared.select("name", "weight"), "name")
+        .withColumn("turn", (F.col("base") + F.coalesce(running, F.lit(0)) + amount / 2) / pace)
+    )
+    order = ["turn", "key", "doc_id", "text_key", "source"]
+    dealt = turned.repartitionByRange(buckets + 1, *order)
+    # Stored by the caller: bounds drawn again would be others.
+    return dealt.withColumn("bucket", F.spark_partition_id().cast("bigint")).select(*rows.columns)
+
+
 def schedule(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -293,9 +323,11 @@ def schedule(
     Blocks are placed by the exact weights, see ``exact_phases``; ``quanta`` is the slots of a
     round. Documents of a source follow each other by a hash; every ``block_words`` words of the source
     make a block, and a document belongs to the block its first word lies in. ``weights`` gives
-    the target share of sources by name; without it they go by the square root of their words.
-    Sources not named, and those beyond ``most_sources``, share the lane ``rest`` (named, it has
-    that weight; else the least named weight). ``copies`` counts repeated rows, which share the
+    the target share of sources by name, all of which get lanes of their own; without it they go
+    by the square root of their words, the ``most_sources`` largest in lanes of their own. All
+    others share the lane ``rest``, which has the sum of their weights (a source not named has the
+    least named weight; ``rest`` named, they have that weight together), and are mixed to their
+    weights inside it, see ``_rest``. ``copies`` counts repeated rows, which share the
     first one's block. A null source is a source of its own; a null text has no words. An empty
     table gives no rows.
     """
@@ -317,29 +349,31 @@ def schedule(
         "key", F.xxhash64("doc_id", "text_key", F.lit(SEED))
     )
     amount = F.sum(F.col("n_words") * F.col("copies"))
+    by_name = rows.groupBy("name").agg(amount.alias("amount"))
     # As many rows as there are lanes at most.
-    largest = {
-        r["name"]: r["amount"]
-        for r in rows.groupBy("name")
-        .agg(amount.alias("amount"))
-        .orderBy(F.desc("amount"), "name")
-        .limit(most_sources)
-        .collect()
-    }
     if weights is not None:
         wanted = {f"={k}": w for k, w in weights.items() if k != REST}
-        named = sorted(k for k in largest if k in wanted)
-        shares = {k: wanted[k] for k in named}
-        shares[REST] = weights.get(REST, min(weights.values(), default=1.0))
+        own = by_name.filter(F.col("name").isin(list(wanted)))
+        shares = {r["name"]: wanted[r["name"]] for r in own.collect()}
+        each = F.lit(float(min(weights.values(), default=1.0)))
     else:
-        named = sorted(largest)
-        shares = {k: max(1, largest[k]) ** TEMPER for k in named}
-        shares[REST] = min(shares.values(), default=1.0)
+        own = by_name.orderBy(F.desc("amount"), "name").limit(most_sources)
+        shares = {r["name"]: max(1, r["amount"]) ** TEMPER for r in own.collect()}
+        each = F.greatest(F.col("amount"), F.lit(1)) ** TEMPER
+    named = sorted(shares)
+    shared = by_name.filter(~F.col("name").isin(named)).withColumn("weight", each)
+    rest = shared.agg(F.sum("weight").alias("weight"), F.count("*").alias("n")).first()
+    shares[REST] = rest["weight"] or 0.0
+    if weights is not None and REST in weights:
+        shares[REST] = weights[REST]
     lane = F.when(F.col("name").isin(named), F.col("name")).otherwise(REST)
     total = rows.count()
     bits = max(0, (total // max(1, window_rows)).bit_length())
     bucket = F.shiftrightunsigned("key", 64 - bits).cast("bigint") if bits else F.lit(0)
-    laned = rows.withColumn("lane", lane).withColumn("bucket", bucket)
+    laned = rows.withColumn("lane", lane).withColumn("bucket", bucket).withColumn("turn", F.lit(0.0))
+    if rest["n"] > 1:
+        mixed_rest = _rest(laned.filter(F.col("lane") == REST), shared, total // max(1, window_rows))
+        laned = laned.filter(F.col("lane") != REST).unionByName(stored(mixed_rest, f"{folder}-rest"))
     sums = laned.groupBy("lane", "bucket").agg(amount.alias("amount"))
     earlier = W.partitionBy("lane").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     bases = sums.select(
@@ -352,7 +386,7 @@ def schedule(
     placed = placed_blocks(spark, plan)
     of_lane = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     last_block = F.element_at(of_lane, F.col("lane")) - 1 if blocks else F.lit(0)
-    inside = W.partitionBy("lane", "bucket").orderBy("key", "doc_id", "text_key", "source")
+    inside = W.partitionBy("lane", "bucket").orderBy("turn", "key", "doc_id", "text_key", "source")
     running = F.sum(F.col("n_words") * F.col("copies")).over(
         inside.rowsBetween(W.unboundedPreceding, -1)
     )

@@ -291,6 +291,43 @@ def test_named_weights_and_the_rest(spark):
     assert len({r.lane for r in few}) == 3 and len(few) == 300
 
 
+@pytest.mark.parametrize("window_rows", [20_000, 30])
+def test_sources_beyond_the_largest_keep_to_their_weights(spark, window_rows):
+    # Beside two large sources, those of the rest: of 100, 25 and 4 one-word documents.
+    sizes = {"big": 400, "large": 225, "a": 100, "b": 25, "c": 4}
+    names = [k for k, n in sizes.items() for _ in range(n)]
+    docs = frame(spark, [row(i, "w", "en", k) for i, k in enumerate(names)])
+    options = {"block_words": 1, "quanta": 10, "window_rows": window_rows, "most_sources": 2}
+    got = sorted(mixing.schedule(docs, **options).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in got] == list(range(len(names)))
+    assert {r.lane for r in got} == {"=big", "=large", "rest"}
+    # Square roots: 20, 15, 10, 5 and 2 of 52, until "c" of 4 is used up by turn 2, after 104.
+    taken = collections.Counter()
+    for r in got[:100]:
+        taken[r.source] += 1
+        assert all(
+            abs(taken[k] - (r.slot + 1) * n**0.5 / 52) < 3 for k, n in sizes.items()
+        ), (r.slot, taken)
+    order = [r.source for r in got if r.lane == "rest"]
+    seen = collections.Counter()
+    for k in order[:80]:
+        seen[k] += 1
+        assert abs(seen["a"] / 10 - seen["b"] / 5) <= 0.3
+
+
+def test_named_sources_have_lanes_however_many_there_are(spark):
+    docs = frame(spark, [row(i, "w " * 5, "en", f"s{i % 9}") for i in range(90)])
+    weights = {f"s{i}": i + 1 for i in range(6)}
+    got = mixing.schedule(docs, weights=weights, block_words=5, most_sources=2).collect()
+    assert {r.lane for r in got} == {f"=s{i}" for i in range(6)} | {"rest"}
+    # Three sources not named, of the least weight each: 3 of 24 slots go to the rest.
+    assert sum(r.lane == "rest" for r in got if r.slot < 24) == 3
+    named = mixing.schedule(docs, weights=weights | {"rest": 21}, block_words=5).collect()
+    assert sum(r.lane == "rest" for r in named if r.slot < 24) == 12
+    one = mixing.schedule(docs, most_sources=0, block_words=5).collect()
+    assert {r.lane for r in one} == {"rest"} and len(one) == 90
+
+
 def test_mixing_of_an_empty_table(spark):
     assert mixing.mix(frame(spark, [])).collect() == []
     assert mixing.mixed(frame(spark, [])).collect() == []
