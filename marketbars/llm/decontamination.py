@@ -15,8 +15,14 @@ MASKS = ("1111011", "111010011")
 # Words of an aligned stretch, and the share of them that must be equal.
 STRETCH = 13
 SHARE = 0.8
-# Shorter benchmark items are everyday phrases and match nothing.
+# Items of at least so many words are looked up by the masks above.
 LEAST_WORDS = max(map(len, MASKS))
+# Items shorter than a stretch are looked up by these as well: from seven words on, with as many
+# substitutions as the share allows, a place is left where a mask meets none (tests/llm tries all).
+SHORT_MASKS = ("10111", "1111")
+LEAST_SHORT = 7
+# Still shorter items must occur whole; those of fewer words are everyday phrases, not judged.
+LEAST_WHOLE = 4
 # Item words that are verified at once.
 PIECE = 64
 # Benchmark seeds that may be broadcast (about 50 bytes each); beyond, the join shuffles.
@@ -82,6 +88,14 @@ def _laid(hits: DataFrame, stretch: int, masks) -> DataFrame:
     ).drop("words", "item")
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return (
+        benchmark.select("item_id", words_of(F.col("text")).alias("item"))
+        .distinct()
+        .withColumn("item_key", F.xxhash64("item_id", "item"))
+    )
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -98,16 +112,41 @@ def leaks(
     equal words. ``first_word`` and ``last_word`` bound the hits in the document, in words of
     letters and digits; ``n_equal`` is the best stretch's count.
 
-    Null and empty texts, documents too short for a mask, and items of fewer than nine words
-    match nothing. Repeated rows of either table give one row per pair. A null doc_id or item_id
-    is reported as null. An empty table gives no rows; other columns are not read.
+    Items of 7 words up to a stretch are looked up by ``SHORT_MASKS`` too, which miss none; what
+    the masks find already stays as they report it. Items of 4 to 6 words must occur whole.
+    Null and empty texts and items of fewer than four words match nothing. Repeated rows of
+    either table give one row per pair. A null doc_id or item_id is reported as null. An empty
+    table gives no rows; other columns are not read.
     """
-    items = (
-        benchmark.select("item_id", words_of(F.col("text")).alias("item"))
-        .filter(F.size("item") >= max(map(len, masks)))
-        .distinct()
-        .withColumn("item_key", F.xxhash64("item_id", "item"))
-    )
+    items = _items(benchmark)
+    size = F.size("item")
+    long = items.filter(size >= max(map(len, masks)))
+    found = _found(docs, long, masks, stretch, share, broadcast_seeds)
+    # Documents are read again only for lengths that the benchmark holds.
+    brief = items.filter((size >= LEAST_WHOLE) & (size < stretch))
+    lengths = {r["n"] for r in brief.select(size.alias("n")).distinct().collect()}
+    more = []
+    if any(n >= LEAST_SHORT for n in lengths):
+        some = brief.filter(size >= LEAST_SHORT)
+        more.append(_found(docs, some, SHORT_MASKS, stretch, share, broadcast_seeds))
+    for n in sorted(n for n in lengths if n < LEAST_SHORT):
+        whole = brief.filter(size == n)
+        more.append(_found(docs, whole, ("1" * n,), stretch, 1.0, broadcast_seeds))
+    if not more:
+        return found
+    ranked = found.withColumn("rank", F.lit(0))
+    for other in more:
+        ranked = ranked.unionByName(other.withColumn("rank", F.lit(1)))
+    keys = ["doc_id", "text_key", "item_id"]
+    extent = F.struct(*[c for c in found.columns if c not in keys])
+    best = ranked.groupBy(*keys).agg(F.min_by(extent, F.struct("rank", extent)).alias("best"))
+    return best.select(*keys, "best.*")
+
+
+def _found(
+    docs: DataFrame, items: DataFrame, masks, stretch: int, share: float, broadcast_seeds: int
+) -> DataFrame:
+    """What ``leaks`` returns, for items looked up by ``masks``."""
     probes = _placed(items, "item", "item_at", "seed", masks)
     rows = docs.select(
         "doc_id", text_key().alias("text_key"), words_of(F.col("text")).alias("words")

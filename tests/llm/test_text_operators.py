@@ -78,6 +78,37 @@ def test_leaks_of_long_and_short_items(spark):
     assert {(r.first_word, r.last_word) for r in got if r.doc_id == 1} == {(2, 31)}
 
 
+@pytest.mark.parametrize("length", range(dc.LEAST_SHORT, dc.STRETCH))
+def test_short_masks_find_all_that_the_share_allows(length):
+    allowed = next(m for m in range(length) if length - m - 1 < length * dc.SHARE)
+    spans = [
+        {start + i for i, bit in enumerate(mask) if bit == "1"}
+        for mask in dc.SHORT_MASKS
+        for start in range(length - len(mask) + 1)
+    ]
+    for changed in itertools.combinations(range(length), allowed):
+        assert any(not set(changed) & span for span in spans)
+
+
+@pytest.mark.parametrize("limit", [dc.BROADCAST_SEEDS, 0])
+def test_leaks_of_items_below_a_stretch(spark, limit):
+    # Every item of 4 to 12 words, once whole and with each number of words changed anywhere.
+    bench, rows, want = [], [], set()
+    for n in range(1, dc.STRETCH):
+        words = [f"q{n}w{i}" for i in range(n)]
+        bench.append((n, " ".join(words)))
+        for changes in range(4):
+            for changed in itertools.combinations(range(n), changes):
+                text = [("x" if i in changed else w) for i, w in enumerate(words)]
+                rows.append(row(len(rows), "a b " + " ".join(text) + " c"))
+                least = n if n < dc.LEAST_SHORT else n * dc.SHARE
+                if n >= dc.LEAST_WHOLE and n - changes >= least:
+                    want.add((len(rows) - 1, n, n - changes))
+    got = dc.leaks(frame(spark, rows), items(spark, bench), broadcast_seeds=limit).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_equal) for r in got) == sorted(want)
+    assert {n for _, n, _ in want} == set(range(4, dc.STRETCH))
+
+
 def test_leaks_of_empty_tables(spark):
     bench, docs = items(spark, [(1, PROSE)]), frame(spark, [row(1, PROSE)])
     assert dc.contaminated(frame(spark, []), bench).collect() == []
