@@ -14,8 +14,8 @@ from marketbars.session import work_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter are in no language, and go."""
-    return language.known_language(docs)
+    """Documents without any letter in a script of a learned language are in none, and go."""
+    return language.known_language(docs, learned_scripts=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

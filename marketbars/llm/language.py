@@ -286,17 +286,28 @@ def _judge(model: Model, switch: float):
     return judge
 
 
-def known_language(docs: DataFrame, switch: float = SWITCH, most: int = TRAIN_DOCS) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language; columns as in ``docs``.
-
-    Rejected are texts without letters and null texts (all texts, if no language is learned).
+def known_language(
+    docs: DataFrame,
+    switch: float = SWITCH,
+    most: int = TRAIN_DOCS,
+    learned_scripts: bool = False,
+) -> DataFrame:
+    """The rows of ``docs`` whose text has a language; columns as in ``docs``.
+
+    Rejected are texts without letters and null texts (all texts, if no language is learned);
+    with ``learned_scripts`` also texts without a letter in a script of any learned language,
+    whose score is 0.
     """
     model = train(docs, most)
 
     def run(batches):
         judge = _judge(model, switch)
         for part in slices(batches):
-            yield part.filter(pa.array([row[0] != UNKNOWN for row in judge(part)]))
+            kept = [
+                lang != UNKNOWN and (score > 0 or not learned_scripts)
+                for lang, score, _ in judge(part)
+            ]
+            yield part.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

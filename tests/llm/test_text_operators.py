@@ -223,6 +223,15 @@ def test_language_without_labels(spark):
 # --- quality -----------------------------------------------------------------------------
 
 
+def test_texts_in_no_learned_script_go(spark):
+    foreign = ["日本語の文章です", "שלום לכם", "日本語 12 !"]
+    rows = corpus() + [row(10_000 + i, t, None) for i, t in enumerate(foreign)]
+    rows += [row(20_000, f"{foreign[0]} und {TEXTS['de']}", None)]
+    pipeline = pytest.importorskip("corpus_pipeline")
+    kept = {r.doc_id for r in pipeline.identify_language(spark, frame(spark, rows), "").collect()}
+    assert kept == {r[0] for r in corpus()} | {20_000}
+
+
 def brute_quality(text):
     text = text or ""
     words = split(text)
