@@ -104,8 +104,32 @@ SELECT doc_id, item_id, min(first)::INT AS first_word,
 FROM scored WHERE n_equal >= ceil(width * {dc.SHARE}) GROUP BY doc_id, item_id
 """
 
+URLS = r"""
+WITH rules (host, path, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+places AS (SELECT DISTINCT host, path FROM parts),
+best AS (
+  SELECT * FROM (
+    SELECT p.host, p.path, r.host || r.path AS rule, r.verdict,
+      row_number() OVER (PARTITION BY p.host, p.path
+        ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS place
+    FROM places p JOIN rules r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+  WHERE place = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (host, path)
+"""
+
 ORACLE = {
     "op2_decontamination": LEAKS,
     "op7_substring_dedup": SUBSTRING,
     "op8_line_dedup": LINES,
+    "op13_url_filters": URLS,
 }
