@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketbars.llm.alignment import align
 from marketbars.llm.decontamination import contaminated
 from marketbars.llm.language import predict
 from marketbars.llm.linechunks import dedup_lines
@@ -21,18 +22,29 @@ from marketbars.llm.simhash import near_duplicates
 from marketbars.llm.superkmers import dedup
 from marketbars.llm.surrogates import pseudonymised
 from marketbars.llm.tokenfile import token_files
+from marketbars.llm.urlrules import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 __all__ = ["ORACLE", "QUERIES"]
 
 TOKENIZER = "word_bpe_49k.json"
+# The two tokenizers whose tokens are aligned.
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Ends a document in flat files: <|endoftext|> of that vocabulary.
 FLAT_END = 49407
 # Ends a document in token-id files.
 FILE_END = 1
 # Whoever knows the key can tell which surrogate an entity has; set your own.
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "public test key")
+# Host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
 
 
 def tokenizer() -> str:
@@ -94,6 +106,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer(), FILE_END)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_LEVEL),
+        public_tokenizers.path(PIECES),
+        written=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)),
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -105,4 +132,6 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_token_files": op10_token_files,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_url_filters": op13_url_filters,
 }
