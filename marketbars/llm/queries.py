@@ -23,6 +23,7 @@ from marketbars.llm.superkmers import dedup
 from marketbars.llm.surrogates import pseudonymised
 from marketbars.llm.tokenfile import token_files
 from marketbars.llm.urlrules import judge
+from marketbars.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +107,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer(), FILE_END)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = align(
         table(spark, sf_dir, "documents"),
@@ -117,7 +122,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    names = "host", "path", "verdict"
+    rules = [
+        F.struct(*(F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)))
+        for rule in URL_RULES
+    ]
+    rules = spark.range(1).select(F.inline(F.array(*rules)))
     return judge(table(spark, sf_dir, "pages"), rules)
 
 
@@ -132,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_token_files": op10_token_files,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_token_alignment": op12_token_alignment,
     "op13_url_filters": op13_url_filters,
 }
