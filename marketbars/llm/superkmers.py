@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import struct
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
 from marketbars.llm.common import byte_texts, map_slices, slices, stored, text_key
 from marketbars.session import work_dir
@@ -26,6 +27,11 @@ DIGEST = ["high", "low"]
 LAST = (1 << 63) - 1
 
 
+def digest(words: bytes) -> bytes:
+    """128 bits of a cryptographic hash: equal only for equal words."""
+    return hashlib.blake2b(words, digest_size=16).digest()
+
+
 def order_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
 
@@ -96,7 +102,7 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
             )
             runs = zip(document.tolist(), first.tolist(), count.tolist(), strict=True)
             digests = b"".join(
-                xxh3_128_digest(joined[d][places[d][f] : places[d][f + n + window - 1] - 1])
+                digest(joined[d][places[d][f] : places[d][f + n + window - 1] - 1])
                 for d, f, n in runs
             )
             halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
@@ -254,8 +260,8 @@ def _cut_out(joined: DataFrame, window: int) -> DataFrame:
             first, n, mini = r["first"], r["n"], r["mini"]
             if r["crowded"]:
                 for s in range(first, first + n):
-                    digest = xxh3_128_digest(b" ".join(found[s : s + window]))
-                    yield mini, key, mark, s, 1, 0, *struct.unpack("<qq", digest), None
+                    halves = digest(b" ".join(found[s : s + window]))
+                    yield mini, key, mark, s, 1, 0, *struct.unpack("<qq", halves), None
             else:
                 packed = b" ".join(found[first : first + n + window - 1])
                 yield mini, key, mark, first, n, r["lead"], None, None, packed
@@ -274,6 +280,28 @@ def _cut_out(joined: DataFrame, window: int) -> DataFrame:
     return joined.select("id", "text_key", "text", "runs").mapInArrow(run, CUT)
 
 
+def later_copies(keyed: DataFrame, window: int, folder: str) -> DataFrame:
+    """id, text_key, start and stop of the whole texts that a smaller id has word for word.
+
+    All windows of such a text start under the smaller id too, so that it is settled as a whole.
+    Texts shorter than a window have none.
+    """
+    words = F.trim(F.regexp_replace("text", r"[ \t-\r]+", " "))
+    blanks = F.length(words) - F.length(F.replace(words, F.lit(" ")))
+    texts = keyed.select("id", "text_key", words.alias("words"), (blanks + 1).alias("stop"))
+    texts = texts.filter(F.col("stop") >= window).select(
+        "id", "text_key", F.unhex(F.sha2("words", 256)).alias("sha"), "stop"
+    )
+    texts = stored(texts, f"{folder}/texts")
+    first = texts.groupBy("sha").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    first = stored(first.filter("least < most").select("sha", "least"), f"{folder}/first")
+    late = texts.join(first, "sha").filter("id > least")
+    spans = late.select(
+        "id", "text_key", F.lit(0).cast("bigint").alias("start"), F.col("stop").cast("bigint")
+    )
+    return stored(spans.distinct(), f"{folder}/copies")
+
+
 def _judged(rows: DataFrame, folder: str) -> DataFrame:
     """Rows with the least id that has the same words, by their hash."""
     least = stored(rows.groupBy(*DIGEST).agg(F.min("id").alias("least")), folder)
@@ -298,7 +326,8 @@ def dedup(
 
     Removed is every word covered by a window of ``window`` words that also starts in a document
     with a smaller doc_id, judged on the whole input. Consecutive windows with the same minimiser
-    are one super-k-mer. Minimisers met under one id only cannot repeat and go no further. The
+    are one super-k-mer. Whole texts that a smaller id has word for word are settled first and send
+    none. Minimisers met under one id only cannot repeat and go no further. The
     super-k-mers of the others are cut out as packed strings, dealt by minimiser, and their
     windows sorted. Buckets of over ``bucket`` super-k-mers are aggregated before: of equal ones,
     by a 128-bit hash of their words, only those with the least id need sorting, all windows of
@@ -313,7 +342,10 @@ def dedup(
     spark = docs.sparkSession
     folder = work_dir(spark, "super-kmers")
     keyed = docs.select("doc_id", order_id().alias("id"), text_key().alias("text_key"), "text")
-    rows = stored(super_kmers(keyed, window, size), f"{folder}/all")
+    keys = ["id", "text_key"]
+    copies = later_copies(keyed, window, folder)
+    rows = super_kmers(keyed.join(copies, keys, "left_anti"), window, size)
+    rows = stored(rows, f"{folder}/all")
     shared = (
         rows.groupBy("mini")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("held"))
@@ -322,7 +354,6 @@ def dedup(
     )
     shared = stored(shared, f"{folder}/shared")
     found = stored(rows.join(shared, "mini"), f"{folder}/found")
-    keys = ["id", "text_key"]
     wanted = [*keys, "first", "n", "lead", "mini", "crowded"]
     runs, marks = found.filter(~F.col("crowded")).select(*wanted), None
     if not found.filter("crowded").isEmpty():
@@ -339,6 +370,7 @@ def dedup(
     ordinary = sorted_windows(
         packed.repartition("mini").sortWithinPartitions("mini"), window, chunk
     )
+    ordinary = ordinary.unionByName(copies)
     marks = ordinary if marks is None else marks.unionByName(ordinary)
     single = cut.filter(F.col("packed").isNull()).drop("packed")
     if not single.isEmpty():

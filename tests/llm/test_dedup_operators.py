@@ -184,6 +184,42 @@ def test_boundaries_resist_shifts():
     assert len(plain & again) > 0.8 * len(plain)
 
 
+@pytest.mark.parametrize("bucket", [5, 100_000])
+def test_large_groups_of_exact_and_of_near_copies(spark, bucket):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    exact, near = rng.choices(vocabulary, k=80), rng.choices(vocabulary, k=80)
+    rows = [row(100 + i, rng.choice([" ", "\n", " \t"]).join(exact)) for i in range(60)]
+    for i in range(60):
+        other = list(near)
+        other[rng.randrange(80)] = f"x{i % 3}"
+        rows.append(row(300 + i, " ".join(other)))
+    # Copies within one document, under one id, without an id, and too short for a window.
+    rows += [row(90, " ".join(exact[20:60])), row(91, " ".join(exact + exact)), row(92, "a b")]
+    rows += [row(92, " ".join(exact)), row(None, " ".join(near)), row(93, "a b")]
+    rows += [row(None, " ".join(exact))] * 2
+    rng.shuffle(rows)
+    got = superkmers.dedup(frame(spark, rows), window=10, size=3, bucket=bucket, chunk=50)
+    found = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect())
+    assert found == brute_windows(rows, 10)
+
+
+def test_only_the_first_of_equal_texts_sends_super_k_mers(spark, monkeypatch):
+    seen = []
+    cut = superkmers.super_kmers
+
+    def watched(docs, *args):
+        seen.extend(r.id for r in docs.select("id").collect())
+        return cut(docs, *args)
+
+    monkeypatch.setattr(superkmers, "super_kmers", watched)
+    rows = [row(i, PROSE + " " * i) for i in range(40)] + [row(50, "one two")]
+    got = {r.doc_id: r.n_removed for r in superkmers.dedup(frame(spark, rows)).collect()}
+    n_words = len(PROSE.split())
+    assert got == {0: 0, 50: 0} | {i: n_words for i in range(1, 40)}
+    assert sorted(seen) == [0, 50]
+
+
 @pytest.mark.parametrize(
     "operator", [simhash.near_duplicates, simhash.keep_one, superkmers.dedup, linechunks.dedup_lines]
 )
