@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketbars.llm.common import kind_of, map_slices, stored
-from marketbars.llm.encode import Words
+from marketbars.llm.encode import PACK
 from marketbars.session import work_dir
 
-# Stretches of each of two generations that a worker remembers.
-MEMORY = 250_000
-# Bytes of text whose tokens are sorted at once; longer documents are sorted in pieces.
-LAP = 1_000_000
+# Stretches that a worker remembers, beside those of the documents at hand.
+MEMORY = 500_000
+# Stretches whose tokens are sorted at once; longer documents are sorted in pieces.
+LAP = 200_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 OTHER = WHITE.replace(r"\t-\r ", r"\t\x0b-\r")
 # From a blank or line feed behind other signs up to the next such place.
@@ -50,11 +50,11 @@ class ByteLevel:
         plain = rules.get("normalizer") is None and rules["model"]["type"] == "BPE"
         self.cuts = plain and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
 
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     # The tokenizer cuts between a sign and the white space behind it: stretches are whole texts.
-    whole = stretch = ids
+    stretches = whole
 
 
 def _byte_level_octets(vocabulary: dict[str, int]) -> list[bytes]:
@@ -86,16 +86,17 @@ class Pieces:
         # No piece goes on over a blank, or holds a line feed beside other signs.
         self.cuts = not any(self.BLANK in n.lstrip(self.BLANK) or "\n" in n for n in names)
 
-    def whole(self, text: str) -> list[int]:
-        return self.model.encode(text[1:], num_threads=1)
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode([text[1:] for text in texts], num_threads=1)
 
-    def stretch(self, text: str) -> list[int]:
+    def stretches(self, texts: list[str]) -> list[list[int]]:
         # Behind a line feed, so that blanks at the start and end count like any others.
-        return self.model.encode("\n" + text, num_threads=1)[2:]
+        found = self.model.encode(["\n" + text for text in texts], num_threads=1)
+        return [ids[2:] for ids in found]
 
 
 class Pair:
-    """Ids of both tokenizers for a text with a blank before it.
+    """Ids of both tokenizers for texts with a blank before them.
 
     If both are known to cut texts into the same stretches, and do so with a probe, stretches are
     asked for once and remembered; otherwise each text is one stretch. ``tests/llm`` compares
@@ -106,11 +107,11 @@ class Pair:
         self.a, self.b = ByteLevel(a), Pieces(b)
         self.memory = memory
         self.cuts = self.a.cuts and self.b.cuts and self._probed()
-        self.known = Words(self._stretch)
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _probed(self) -> bool:
         return all(
-            side.whole(PROBE) == [i for s in STRETCH(PROBE) for i in side.stretch(s)]
+            side.whole([PROBE])[0] == [i for ids in side.stretches(STRETCH(PROBE)) for i in ids]
             for side in (self.a, self.b)
         )
 
@@ -121,23 +122,31 @@ class Pair:
             or b"".join(map(self.b.octets.__getitem__, b)) != octets
         ):
             return None
-        return np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()
+        return packed(a), packed(b)
 
-    def _stretch(self, text: str) -> tuple[bytes, bytes] | None:
-        return self._packed(text, self.a.stretch(text), self.b.stretch(text))
-
-    def ids(self, text: str | None) -> list[tuple[bytes, bytes]]:
-        """Packed ids of both for every stretch; none if the bytes of either are not the text's."""
-        if not text:
-            return []
-        text = " " + text
+    def encode(self, texts: list[str | None]) -> list[list[tuple[bytes, bytes]]]:
+        """Packed ids of both for every stretch of every text; none for a text whose bytes either
+        does not give back."""
+        spaced = [" " + text if text else None for text in texts]
         if not self.cuts:
-            found = [self._packed(text, self.a.whole(text), self.b.whole(text))]
+            whole = [text for text in spaced if text]
+            sides = zip(whole, self.a.whole(whole), self.b.whole(whole), strict=True)
+            ids = iter([self._packed(*side) for side in sides])
+            found = [[next(ids)] if text else [] for text in spaced]
         else:
+            cut = [STRETCH(text) if text else [] for text in spaced]
+            met = set(itertools.chain.from_iterable(cut))
+            new = list(met.difference(self.known))
+            sides = zip(new, self.a.stretches(new), self.b.stretches(new), strict=True)
+            self.known.update((side[0], self._packed(*side)) for side in sides)
+            found = [[*map(self.known.__getitem__, stretches)] for stretches in cut]
             if len(self.known) > self.memory:
-                self.known = Words(self._stretch, older=dict(self.known))
-            found = [*map(self.known.__getitem__, STRETCH(text))]
-        return [] if None in found else found
+                self.known = {text: self.known[text] for text in met}
+        return [[] if None in ids else ids for ids in found]
+
+
+def packed(ids: list[int]) -> bytes:
+    return PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<i4").tobytes()
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -217,18 +226,13 @@ class Lap:
 
 
 def _laps(texts: list[list[tuple[bytes, bytes]]], most: int):
-    """Lists of (document, A's ids, B's ids, last piece?) of up to about ``most`` ids' bytes."""
+    """Lists of (document, A's ids, B's ids, last piece?) with up to about ``most`` stretches."""
     held, size = [], 0
     for row, found in enumerate(texts):
-        at = 0
-        while at < len(found):
-            begin = at
-            while at < len(found) and (at == begin or size < most):
-                size += len(found[at][0]) + len(found[at][1])
-                at += 1
-            part = found[begin:at]
-            a, b = (b"".join(s[i] for s in part) for i in (0, 1))
-            held.append((row, a, b, at == len(found)))
+        for at in range(0, len(found), most):
+            part = found[at : at + most]
+            held.append((row, *map(b"".join, zip(*part, strict=True)), at + most >= len(found)))
+            size += len(part)
             if size >= most:
                 yield held
                 held, size = [], 0
@@ -266,11 +270,11 @@ def blocks(docs: DataFrame, a: str, b: str, lap: int = LAP) -> DataFrame:
         work = Lap(pair)
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [pair.ids(text) for text in part.column("text").to_pylist()]
+            texts = pair.encode(part.column("text").to_pylist())
             counts = np.zeros((4, len(texts)), np.int64)
             written: list[list[bytes]] = [[] for _ in texts]
             keys, owners, numbers = [], [], []
-            for pieces in _laps(texts, lap * 2):
+            for pieces in _laps(texts, lap):
                 rows = np.array([p[0] for p in pieces])
                 found, groups, linked, of = work([p[1:] for p in pieces])
                 for total, more in zip(counts, found, strict=True):
