@@ -25,7 +25,6 @@ NEEDS = {
     "ingest": ("topic", "offsets"),
     "refresh": (),
     "merge": (),
-    "compact": (),
     "run": ("landed", "topic", "offsets"),
 }
 
@@ -73,11 +72,6 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.job == "merge":
         affected = jobs.refresh_outstanding(spark, tables, options.as_of)
         counts = {"rows_affected": affected}
-    elif options.job == "compact":
-        counts = {"periods_compacted": jobs.compact(spark, tables)}
-        counts["folders_removed"] = sum(
-            tables.remove_dead(spark, layer) for layer in ("staging", "final")
-        )
     elif options.job == "refresh":
         counts = {"rows_affected": jobs.refresh(spark, tables, options.as_of)}
     else:

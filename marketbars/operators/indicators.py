@@ -40,6 +40,10 @@ def by_symbol(bars: DataFrame) -> DataFrame:
 # --- daily -----------------------------------------------------------------------------
 
 
+# Rows of the two price frames and of the volume frame.
+SHORT, LONG, VOLUMES = 50, 200, 20
+
+
 def daily_indicators(bars: DataFrame) -> DataFrame:
     """Add daily change and the 50 / 200-row price and 20-row volume averages.
 
@@ -80,30 +84,20 @@ def daily_indicators(bars: DataFrame) -> DataFrame:
 # --- intraday --------------------------------------------------------------------------
 
 
-def intraday_indicators(
-    bars: DataFrame, touched: DataFrame | None = None, max_group: int = GROUP_ROWS
-) -> DataFrame:
+def intraday_indicators(bars: DataFrame, max_group: int = GROUP_ROWS) -> DataFrame:
     """Add previous close, change against it, and the whole-day VWAP.
 
     The previous close runs across days; the VWAP is one value per symbol and day.
-    ``touched`` (symbol, day) limits the result to those days, still computed over all bars.
     """
-    if touched is not None:
-        priced = _by_slice(bars, touched, max_group)
-    elif (hot := hot_groups(bars, ["symbol"], max_group)) is None:
+    if (hot := hot_groups(bars, ["symbol"], max_group)) is None:
         priced = _by_symbol(bars)
     else:
         # Only the few large series are cut into slices.
-        sliced = _by_slice(bars.join(hot, "symbol", "left_semi"), None, max_group)
+        sliced = _by_slice(bars.join(hot, "symbol", "left_semi"), max_group)
         whole = _by_symbol(bars.join(hot, "symbol", "left_anti"))
         wanted = [*bars.columns, "prev_close", "vwap"]
         priced = whole.select(*wanted).unionByName(sliced.select(*wanted))
-    return priced.select(
-        *bars.columns,
-        "prev_close",
-        exact.pct_change(F.col("close_price"), F.col("prev_close")).alias("price_change_pct"),
-        "vwap",
-    )
+    return _with_change(priced, bars.columns)
 
 
 def _traded() -> Column:
@@ -180,11 +174,117 @@ def _slice_edges(sliced: DataFrame) -> DataFrame:
     )
 
 
-def _by_slice(bars: DataFrame, touched: DataFrame | None, max_group: int) -> DataFrame:
+def day_rows(bars: DataFrame, days: DataFrame, max_group: int = GROUP_ROWS) -> DataFrame:
+    """Add previous close, change and VWAP to all bars of some symbol-days.
+
+    ``days`` (symbol, stretch, n_bars, amount, volume, before_close) has what is known of them:
+    traded totals, and the close before each. Only days of over ``max_group`` bars are cut into
+    slices.
+    """
+    known = days.select(
+        "symbol",
+        F.col("stretch").alias(_DAY),
+        "before_close",
+        exact.weighted_price(F.col("amount"), F.col("volume")).alias("vwap"),
+        (F.col("n_bars") > max_group).alias("_crowded"),
+    )
+    dated = bars.withColumn(_DAY, F.to_date("timestamp")).join(known, ["symbol", _DAY])
+    whole = Window.partitionBy("symbol", _DAY).orderBy("timestamp")
+    inside = F.lag("close_price").over(whole)
+    priced = dated.filter("NOT _crowded").withColumn("_inside", inside)
+    if not known.filter("_crowded").isEmpty():
+        sliced = with_slices(dated.filter("_crowded"), max_group)
+        part = Window.partitionBy(*SLICE_KEYS).orderBy("timestamp")
+        carried = Window.partitionBy("symbol", _DAY).orderBy(_PART)
+        last = sliced.groupBy(*SLICE_KEYS).agg(F.max_by("close_price", "timestamp").alias("_last"))
+        last = last.withColumn("_carried", F.lag("_last").over(carried)).drop("_last")
+        hot = (
+            sliced.withColumn("_inside", F.lag("close_price").over(part))
+            .join(last, SLICE_KEYS)
+            .withColumn("_inside", F.coalesce("_inside", "_carried"))
+        )
+        priced = priced.unionByName(hot.select(*priced.columns))
+    return _with_change(
+        priced.withColumn("prev_close", F.coalesce("_inside", "before_close")), bars.columns
+    )
+
+
+def first_rows(bars: DataFrame, days: DataFrame) -> DataFrame:
+    """The same for the first bar of a day, whose previous close is another day's last.
+
+    ``days`` (symbol, timestamp, amount, volume, before_close) names the bar.
+    """
+    known = days.select(
+        "symbol",
+        "timestamp",
+        F.col("before_close").alias("prev_close"),
+        exact.weighted_price(F.col("amount"), F.col("volume")).alias("vwap"),
+    )
+    return _with_change(bars.join(known, ["symbol", "timestamp"]), bars.columns)
+
+
+def _with_change(priced: DataFrame, columns: list[str]) -> DataFrame:
+    change = exact.pct_change(F.col("close_price"), F.col("prev_close"))
+    return priced.select(*columns, "prev_close", change.alias("price_change_pct"), "vwap")
+
+
+def frame_rows(bars: DataFrame) -> DataFrame:
+    """Add the daily indicators to the bars of some months of a series, marking ``late`` ones.
+
+    ``bars`` carries, from the sums of the months before its own, rows_before, amount_before and
+    volume_before. A frame's sum is the running sum at the row less the one where the frame
+    begins; both are looked up by row number, so that months between need not be there. Only rows
+    that a late one can change are kept.
+    """
+    month = Window.partitionBy("symbol", "stretch").orderBy("date")
+    so_far = month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    close, volume = F.col("close_price"), F.col("volume").cast("decimal(19,0)")
+    running = by_symbol(bars).select(
+        "*",
+        (F.col("rows_before") + F.row_number().over(month)).alias("_row"),
+        (F.col("amount_before") + F.sum(exact.cents(close)).over(so_far)).alias("_closes"),
+        (F.col("volume_before") + F.sum(volume).over(so_far)).alias("_volumes"),
+    )
+    series = Window.partitionBy("symbol").orderBy("_row")
+
+    def at(column: str, back: int) -> Column:
+        return F.first(column).over(series.rangeBetween(-back, -back))
+
+    ever = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = running.select(
+        "*",
+        at("close_price", 1).alias("_before"),
+        F.coalesce(at("_closes", SHORT), F.lit(0)).alias("_short"),
+        F.coalesce(at("_closes", LONG), F.lit(0)).alias("_long"),
+        F.coalesce(at("_volumes", VOLUMES), F.lit(0)).alias("_volumes_short"),
+        F.max(F.when(F.col("late"), F.col("_row"))).over(ever).alias("_late"),
+    ).filter(F.col("_row") - F.col("_late") < LONG)
+
+    def rows(n: int) -> Column:
+        return F.least(F.col("_row"), F.lit(n))
+
+    def cents(total: Column) -> Column:
+        return total.cast("bigint")
+
+    closes, volumes = F.col("_closes"), F.col("_volumes")
+    names = [c for c in bars.columns if c not in _FROM_SUMS]
+    return placed.select(
+        *names,
+        exact.pct_change(close, F.col("_before")).alias("price_change_pct_daily"),
+        exact.mean_price(cents(closes - F.col("_short")), rows(SHORT)).alias("moving_avg_50d"),
+        exact.mean_price(cents(closes - F.col("_long")), rows(LONG)).alias("moving_avg_200d"),
+        exact.mean_volume(volumes - F.col("_volumes_short"), rows(VOLUMES)).alias(
+            "volume_avg_20d"
+        ),
+    )
+
+
+_FROM_SUMS = ("stretch", "rows_before", "amount_before", "volume_before", "late")
+
+
+def _by_slice(bars: DataFrame, max_group: int) -> DataFrame:
     sliced = with_slices(bars, max_group)
     edges = _slice_edges(sliced)
-    if touched is not None:
-        sliced = sliced.join(touched.withColumnRenamed("day", _DAY), ["symbol", _DAY], "left_semi")
     inside = Window.partitionBy(*SLICE_KEYS).orderBy("timestamp")
     return (
         sliced.withColumn("_inside", F.lag("close_price").over(inside))
@@ -220,7 +320,12 @@ def bar_columns(bars: DataFrame, cadence: Cadence) -> DataFrame:
 
 def analytics(bars: DataFrame, cadence: Cadence, as_of: Column, **options) -> DataFrame:
     """Final-table rows for all given bars, stamped with ``as_of``."""
-    rows = bar_columns(indicators(bars, cadence, **options), cadence)
+    return shaped(indicators(bars, cadence, **options), cadence, as_of)
+
+
+def shaped(rows: DataFrame, cadence: Cadence, as_of: Column) -> DataFrame:
+    """Bars with their indicators as final-table rows."""
+    rows = bar_columns(rows, cadence)
     rows = generated_columns(rows, cadence).withColumn(
         "last_refreshed", as_of.cast(T.TimestampNTZType())
     )

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
-from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +16,11 @@ from marketbars.operators.indicators import analytics
 from marketbars.operators.metrics import observed
 from marketbars.operators.reach import reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
+from marketbars.operators.sums import Sums, corrected, periods_of, stretch_sums
 from marketbars.operators.upsert import affected_rows, upsert
 from marketbars.schemas import DEFAULT_SYMBOLS, moment
 from marketbars.session import ensure_checkpoint_dir
-from marketbars.sources.tables import FINAL, MERGED, RETIRED, STAGED, Tables
+from marketbars.sources.tables import FINAL, MERGED, SUMS, State, Tables
 from marketbars.streaming.ingest import stream_ingest
 
 
@@ -63,20 +63,26 @@ def refresh(
     tables: Tables,
     as_of: datetime | Column | None = None,
     max_group: int = GROUP_ROWS,
+    state: State | None = None,
 ) -> int:
-    """Recompute the analytics of all staged bars and merge them; returns affected rows.
+    """Recompute the analytics and sums of all staged bars and merge them; returns affected rows.
 
     The explicit repair; scheduled runs merge what is outstanding (``refresh_outstanding``).
     """
-    options = {"max_group": max_group} if tables.cadence.name == "intraday" else {}
-    staged, final = tables.live(spark, "staging"), tables.live(spark, "final")
-    if not staged:
+    cadence, state = tables.cadence, state or tables.state(spark)
+    if not state.staging:
         return 0
-    bars = tables.read_folders(spark, "staging", staged)
+    options = {"max_group": max_group} if cadence.name == "intraday" else {}
+    bars = tables.read_folders(spark, "staging", state.staging)
     bars = bars.select(*tables.schema("staging").fieldNames())
-    rows = analytics(bars, tables.cadence, _stamp(as_of), **options)
-    periods = {period for period, _ in staged + final}
-    return _merge(spark, rows, tables, periods, {batch for _, batch in staged})
+    rows = analytics(bars, cadence, _stamp(as_of), **options)
+    staged = {period for period, _ in state.staging}
+    version = f"v-{uuid.uuid4().hex}"
+    tables.write(stretch_sums(bars, cadence), "sums", version)
+    periods = staged | set(state.versions(FINAL))
+    sums = {cadence.sums_period_of(period) for period in staged}
+    merged = {batch for _, batch in state.staging}
+    return _merge(spark, rows, tables, state, version, periods, sums, merged)
 
 
 def refresh_batches(
@@ -85,18 +91,51 @@ def refresh_batches(
     batches: list[str],
     as_of: datetime | Column | None = None,
     max_group: int = GROUP_ROWS,
+    state: State | None = None,
 ) -> int:
     """Merge only the analytics that the named ingest batches can have changed.
 
-    Values equal a full refresh; untouched rows also keep their ``last_refreshed``.
+    Batches that wait for their first merge are taken along, since the stored sums must count all
+    staged bars or none of a batch. Values equal a full refresh; untouched rows also keep their
+    ``last_refreshed``.
     """
-    wanted = set(batches)
-    arrived = tables.read(spark, "staging", where=lambda _, batch: batch in wanted)
-    read = partial(tables.read_bars, spark)
-    rows = reached_analytics(read, arrived, tables.cadence, _stamp(as_of), max_group)
+    cadence, state = tables.cadence, state or tables.state(spark)
+    if state.versions(FINAL) and not state.versions(SUMS):
+        return refresh(spark, tables, as_of, max_group, state)
+    new = set(state.outstanding)
+    wanted = new | set(batches)
+    if not any(batch in wanted for _, batch in state.staging):
+        return 0
     ensure_checkpoint_dir(spark)
-    rows = rows.checkpoint()
-    return _merge(spark, rows, tables, tables.periods_of(rows), wanted)
+
+    def staged(of: set[str]) -> DataFrame:
+        return tables.read(spark, "staging", lambda _, batch: batch in of, state)
+
+    arrived = staged(wanted)
+    change = touched = stretch_sums(staged(new), cadence).checkpoint()
+    if wanted != new:
+        touched = stretch_sums(arrived, cadence).checkpoint()
+    # The sums of the periods in question with what arrived: written now, in force once merged.
+    version, fresh = f"v-{uuid.uuid4().hex}", set(periods_of(change, cadence))
+    stored = tables.read(spark, "sums", lambda period, _: period in fresh, state)
+    if fresh:
+        tables.write(corrected(stored, change, cadence), "sums", version)
+    folders = state.versions(SUMS) | dict.fromkeys(fresh, version)
+
+    def read_sums(periods: Iterable[date]) -> DataFrame:
+        found = tables.read_folders(spark, "sums", [(p, folders[p]) for p in periods])
+        return found.select(*tables.schema("sums").fieldNames())
+
+    def read_bars(periods: Iterable[date]) -> DataFrame:
+        wanted = set(periods)
+        return tables.read(spark, "staging", lambda period, _: period in wanted, state)
+
+    sums = Sums(sorted(folders), read_sums)
+    rows = reached_analytics(
+        read_bars, sums, arrived, cadence, _stamp(as_of), max_group, touched
+    ).checkpoint()
+    periods = tables.periods_of(rows)
+    return _merge(spark, rows, tables, state, version, periods, fresh, wanted)
 
 
 def refresh_outstanding(
@@ -109,38 +148,12 @@ def refresh_outstanding(
 
     The first merge of a table takes everything.
     """
-    batches = tables.outstanding(spark)
-    if not batches:
-        return 0
-    if not tables.live(spark, "final"):
-        return refresh(spark, tables, as_of, max_group)
-    return refresh_batches(spark, tables, batches, as_of, max_group)
-
-
-def compact(spark: SparkSession, tables: Tables, most: int = 1) -> int:
-    """Join the merged batches of every period that has more than ``most`` of them.
-
-    Returns the number of periods rewritten. No row changes; old folders stay until
-    ``Tables.remove_dead``.
-    """
-    outstanding = set(tables.outstanding(spark))
-    by_period: dict[date, list[str]] = {}
-    for period, batch in tables.live(spark, "staging"):
-        if batch not in outstanding:
-            by_period.setdefault(period, []).append(batch)
-    old = [(p, b) for p, batches in by_period.items() if len(batches) > most for b in batches]
-    if not old:
+    state = tables.state(spark)
+    if not state.outstanding:
         return 0
-    batch = f"compact-{uuid.uuid4().hex}"
-    tables.write(tables.read_folders(spark, "staging", old), "staging", batch)
-    periods = sorted({p for p, _ in old})
-    tables.commit(
-        spark,
-        [(MERGED, None, batch)]
-        + [(STAGED, p, batch) for p in periods]
-        + [(RETIRED, p, b) for p, b in old],
-    )
-    return len(periods)
+    if not state.versions(FINAL):
+        return refresh(spark, tables, as_of, max_group, state)
+    return refresh_batches(spark, tables, state.outstanding, as_of, max_group, state)
 
 
 def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) -> DataFrame:
@@ -191,18 +204,26 @@ def _merge(
     spark: SparkSession,
     rows: DataFrame,
     tables: Tables,
+    state: State,
+    version: str,
     periods: set[date],
+    sums: set[date],
     batches: set[str],
 ) -> int:
-    """Write a new version of the ``periods`` that ``rows`` reach, then put it in force."""
-    version, affected = f"v-{uuid.uuid4().hex}", 0
+    """Write a new version of the ``periods`` that ``rows`` reach, then put it in force.
+
+    One commit does so for final rows and sums, and names the batches that both now count.
+    """
+    affected = 0
     if periods:
-        target = tables.read(spark, "final", where=lambda period, _: period in periods)
+        target = tables.read(spark, "final", lambda period, _: period in periods, state)
         merged, counted = observed(upsert(target, rows, tables.cadence), affected=affected_rows())
         tables.write(merged, "final", version)
         affected = counted.get["affected"] or 0
     tables.commit(
         spark,
-        [(FINAL, p, version) for p in sorted(periods)] + [(MERGED, None, b) for b in sorted(batches)],
+        [(FINAL, p, version) for p in sorted(periods)]
+        + [(SUMS, p, version) for p in sorted(sums)]
+        + [(MERGED, None, b) for b in sorted(batches)],
     )
     return affected

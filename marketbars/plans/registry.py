@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,7 @@ from marketbars.operators.constraints import constraint_violations
 from marketbars.operators.dedupe import first_write_wins
 from marketbars.operators.indicators import analytics, bar_columns, generated_columns, indicators
 from marketbars.operators.reach import Reader, reached_analytics
+from marketbars.operators.sums import sums_of
 from marketbars.operators.upsert import upsert
 from marketbars.plans import jobs
 from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence, moment
@@ -433,9 +434,8 @@ def upsert_guard_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reader_of(bars: DataFrame, cadence: Cadence) -> Reader:
     """Period-wise reading of bars that are not stored by period."""
 
-    def read(since: date | None, until: date | None) -> DataFrame:
-        rows = bars if since is None else bars.filter(cadence.period() >= F.lit(since))
-        return rows if until is None else rows.filter(cadence.period() < F.lit(until))
+    def read(periods: Iterable[date]) -> DataFrame:
+        return bars.filter(cadence.period().isin(*periods))
 
     return read
 
@@ -446,7 +446,11 @@ def late_bar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = _time(INTRADAY).between(_at(INTRADAY, LATE_FROM), _at(INTRADAY, LATE_UNTIL))
     before = analytics(bars.filter(~late), INTRADAY, moment(FIRST_RUN))
     reached = reached_analytics(
-        reader_of(bars, INTRADAY), bars.filter(late), INTRADAY, moment(SECOND_RUN)
+        reader_of(bars, INTRADAY),
+        sums_of(bars, INTRADAY),
+        bars.filter(late),
+        INTRADAY,
+        moment(SECOND_RUN),
     )
     return upsert(before, reached, INTRADAY).drop("last_refreshed", "action")
 
@@ -457,7 +461,11 @@ def late_bar_repair_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.trunc("date", "month") == F.lit(STAGED_UNTIL["daily"]).cast("date")
     before = analytics(bars.filter(~late), DAILY, moment(FIRST_RUN))
     reached = reached_analytics(
-        reader_of(bars, DAILY), bars.filter(late), DAILY, moment(SECOND_RUN)
+        reader_of(bars, DAILY),
+        sums_of(bars, DAILY),
+        bars.filter(late),
+        DAILY,
+        moment(SECOND_RUN),
     )
     return upsert(before, reached, DAILY).drop("last_refreshed", "action")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,6 +48,8 @@ class Cadence:
     analytics_table: str
     # Storage partition of a bar: its day (intraday) or the first of its month (daily).
     period_unit: str
+    # Storage partition of the sums over such a day or month: its month or its year.
+    sums_unit: str
 
     @property
     def keys(self) -> list[str]:
@@ -59,11 +61,16 @@ class Cadence:
         day = F.to_date(time)
         return day if self.period_unit == "day" else F.trunc(day, self.period_unit)
 
-    def lookback(self, day: date) -> date:
-        """Start of the periods searched first for bars just before ``day``."""
-        if self.period_unit == "day":
-            return day - timedelta(days=7)
-        return (day - timedelta(days=62)).replace(day=1)
+    def stretch(self) -> Column:
+        """What bars are summed over: the period they are stored in."""
+        return self.period()
+
+    def sums_period(self, stretch: Column | None = None) -> Column:
+        """Storage partition (a DATE) of the sums over a stretch."""
+        return F.trunc(F.col("stretch") if stretch is None else stretch, self.sums_unit)
+
+    def sums_period_of(self, stretch: date) -> date:
+        return stretch.replace(day=1) if self.sums_unit == "month" else date(stretch.year, 1, 1)
 
     def _bar_fields(self, prices: tuple[str, ...]) -> list[T.StructField]:
         return [
@@ -77,6 +84,22 @@ class Cadence:
     def staging_schema(self) -> T.StructType:
         return T.StructType(self._bar_fields(PRICE_COLUMNS))
 
+    @property
+    def sums_schema(self) -> T.StructType:
+        """Sums over a symbol's stretch: price x volume (intraday) or closes (daily), in cents."""
+        return T.StructType(
+            [
+                T.StructField("symbol", T.StringType()),
+                T.StructField("stretch", T.DateType()),
+                T.StructField("n_bars", T.LongType()),
+                T.StructField("amount", T.DecimalType(38, 0)),
+                T.StructField("volume", T.DecimalType(38, 0)),
+                T.StructField("first_time", self.time_type),
+                T.StructField("last_time", self.time_type),
+                T.StructField("last_close", PRICE),
+            ]
+        )
+
     @property
     def raw_schema(self) -> T.StructType:
         return T.StructType(
@@ -123,6 +146,7 @@ INTRADAY = Cadence(
     bars_table="stock_prices_5min",
     analytics_table="intraday_analytics",
     period_unit="day",
+    sums_unit="month",
 )
 DAILY = Cadence(
     name="daily",
@@ -133,6 +157,7 @@ DAILY = Cadence(
     bars_table="stock_prices_daily",
     analytics_table="daily_analytics",
     period_unit="month",
+    sums_unit="year",
 )
 CADENCES = {c.name: c for c in (INTRADAY, DAILY)}
 

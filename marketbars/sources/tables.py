@@ -1,11 +1,11 @@
-"""The stored tables: raw, staging and final per cadence, plus quarantine and a log.
+"""The stored tables: raw, staging, final and sums per cadence, plus quarantine and a log.
 
 Layout below one root folder, Parquet, partitioned by ``period`` (day of an intraday bar,
 month of a daily bar) and ``batch``, so that ingest and merge only read and write the periods
 they touch. Writing a batch again replaces exactly its own files, which makes a replay
 harmless.
 
-The log says which (period, batch) folders of staging and final are live. A merge writes a
+The log says which (period, batch) folders of staging, final and sums are live. A merge writes a
 new version of the periods it touches beside the old one, and one appended log file then puts
 all of them in force: readers see the old or the new version, and no path is overwritten while
 it is read. Readers open the live folders by name; nothing else is listed.
@@ -17,6 +17,7 @@ import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +26,49 @@ from pyspark.sql import types as T
 from marketbars.schemas import QUARANTINE_SCHEMA, Cadence
 
 PERIOD, BATCH = "period", "batch"
-LAYERS = ("raw", "staging", "final", "latest", "quarantine")
-# Log entries: a staged folder, a folder merged into others, a final version, a merged batch,
-# a version of the last staged times.
-STAGED, RETIRED, FINAL, MERGED, LATEST = "staged", "retired", "final", "merged", "latest"
+LAYERS = ("raw", "staging", "final", "sums", "latest", "quarantine")
+# Log entries: a staged folder, a final version, a version of the sums, a merged batch, a version
+# of the last staged times.
+STAGED, FINAL, SUMS, MERGED, LATEST = "staged", "final", "sums", "merged", "latest"
 LOG_SCHEMA = "kind string, period date, batch string, at bigint"
 
 Folder = tuple[date, str]
 
 
+@dataclass(frozen=True)
+class State:
+    """What the log says at one moment: its entries, each with the time it was last written."""
+
+    entries: list[tuple[str, date | None, str, int]]
+
+    def of(self, kind: str) -> list[tuple[date | None, str, int]]:
+        return [entry[1:] for entry in self.entries if entry[0] == kind]
+
+    @cached_property
+    def staging(self) -> list[Folder]:
+        return sorted((period, batch) for period, batch, _ in self.of(STAGED))
+
+    def versions(self, kind: str) -> dict[date, str]:
+        """The newest version of every period."""
+        newest = sorted(self.of(kind), key=lambda entry: entry[2])
+        return {period: batch for period, batch, _ in newest}
+
+    @cached_property
+    def outstanding(self) -> list[str]:
+        """Staged batches that no merge has covered yet."""
+        merged = {batch for _, batch, _ in self.of(MERGED)}
+        return sorted({batch for _, batch in self.staging} - merged)
+
+    @cached_property
+    def latest(self) -> str | None:
+        newest = max(self.of(LATEST), key=lambda entry: entry[2], default=None)
+        return newest and newest[1]
+
+    def live(self, layer: str) -> list[Folder]:
+        """Folders in force: a few per period, and periods are bounded by the calendar."""
+        return self.staging if layer == "staging" else sorted(self.versions(layer).items())
+
+
 @dataclass(frozen=True)
 class Tables:
     """Paths and schemas of one cadence's tables."""
@@ -46,6 +81,7 @@ class Tables:
             "raw": f"raw/{self.cadence.bars_table}",
             "staging": f"staging/{self.cadence.bars_table}",
             "final": f"final/{self.cadence.analytics_table}",
+            "sums": f"sums/{self.cadence.bars_table}",
             "latest": f"latest/{self.cadence.bars_table}",
             "quarantine": f"quarantine/{self.cadence.bars_table}",
             "log": f"log/{self.cadence.bars_table}",
@@ -57,6 +93,7 @@ class Tables:
             "raw": self.cadence.raw_schema,
             "staging": self.cadence.staging_schema,
             "final": self.cadence.final_schema,
+            "sums": self.cadence.sums_schema,
             "latest": T.StructType(
                 [
                     T.StructField("symbol", T.StringType()),
@@ -86,9 +123,11 @@ class Tables:
 
     # --- the log -------------------------------------------------------------------------
 
-    def log(self, spark: SparkSession) -> DataFrame:
-        """All entries in one task: a few short rows per batch and merge."""
-        return spark.read.schema(LOG_SCHEMA).parquet(self.path("log")).coalesce(1)
+    def state(self, spark: SparkSession) -> State:
+        """The log, read once: a few short rows per batch and merge."""
+        log = spark.read.schema(LOG_SCHEMA).parquet(self.path("log"))
+        newest = log.groupBy("kind", PERIOD, BATCH).agg(F.max("at"))
+        return State([tuple(r) for r in newest.collect()])
 
     def commit(self, spark: SparkSession, entries: Iterable[tuple[str, date | None, str]]) -> None:
         """Append entries in one file: all of them count, or none. One writer at a time."""
@@ -99,31 +138,18 @@ class Tables:
             frame.write.mode("append").parquet(self.path("log"))
 
     def live(self, spark: SparkSession, layer: str) -> list[Folder]:
-        """Folders in force: a few per period, and periods are bounded by the calendar."""
-        log = self.log(spark)
-        if layer == "final":
-            newest = log.filter(F.col("kind") == FINAL).groupBy(PERIOD)
-            found = newest.agg(F.max_by(BATCH, "at").alias(BATCH))
-        else:
-            gone = log.filter(F.col("kind") == RETIRED).select(PERIOD, BATCH)
-            staged = log.filter(F.col("kind") == STAGED).select(PERIOD, BATCH).distinct()
-            found = staged.join(gone, [PERIOD, BATCH], "left_anti")
-        return sorted((r[PERIOD], r[BATCH]) for r in found.collect())
+        return self.state(spark).live(layer)
 
     def outstanding(self, spark: SparkSession) -> list[str]:
-        """Staged batches that no merge has covered yet."""
-        log = self.log(spark)
-        merged = log.filter(F.col("kind") == MERGED).select(BATCH)
-        staged = log.filter(F.col("kind") == STAGED).select(BATCH).distinct()
-        return sorted(r[BATCH] for r in staged.join(merged, BATCH, "left_anti").collect())
+        return self.state(spark).outstanding
 
-    def latest(self, spark: SparkSession) -> DataFrame:
+    def latest(self, spark: SparkSession, state: State | None = None) -> DataFrame:
         """Last staged time of every symbol, as the newest batch left it: one row per symbol."""
         names = self.schema("latest").fieldNames()
-        newest = self.log(spark).filter(F.col("kind") == LATEST).agg(F.max_by(BATCH, "at")).head()
-        if newest[0] is None:
+        newest = (state or self.state(spark)).latest
+        if newest is None:
             return spark.createDataFrame([], self.schema("latest"))
-        path = f"{self.path('latest')}/{BATCH}={newest[0]}"
+        path = f"{self.path('latest')}/{BATCH}={newest}"
         return spark.read.schema(self.schema("latest")).parquet(path).select(*names)
 
     # --- rows ----------------------------------------------------------------------------
@@ -133,13 +159,15 @@ class Tables:
         spark: SparkSession,
         layer: str,
         where: Callable[[date, str], bool] | None = None,
+        state: State | None = None,
     ) -> DataFrame:
-        """Rows of a layer in table columns; of staging and final only folders ``where`` takes."""
+        """Rows of a layer in table columns; of versioned layers only folders ``where`` takes."""
         names = self.schema(layer).fieldNames()
-        if layer not in ("staging", "final"):
+        if layer not in ("staging", "final", "sums"):
             rows = spark.read.schema(self._stored(layer)).parquet(self.path(layer))
             return rows.select(*names)
-        folders = [f for f in self.live(spark, layer) if where is None or where(*f)]
+        live = (state or self.state(spark)).live(layer)
+        folders = [f for f in live if where is None or where(*f)]
         return self.read_folders(spark, layer, folders).select(*names)
 
     def read_folders(self, spark: SparkSession, layer: str, folders: list[Folder]) -> DataFrame:
@@ -152,16 +180,7 @@ class Tables:
     def folder(self, layer: str, folder: Folder) -> str:
         return f"{self.path(layer)}/{PERIOD}={folder[0].isoformat()}/{BATCH}={folder[1]}"
 
-    def read_bars(self, spark: SparkSession, since: date | None, until: date | None) -> DataFrame:
-        """Staged bars of the periods in [since, until); other periods are not read."""
-        return self.read(
-            spark,
-            "staging",
-            lambda period, _: (since is None or period >= since)
-            and (until is None or period < until),
-        )
-
-    def arrange(self, rows: DataFrame, batch: str) -> DataFrame:
+    def arrange(self, rows: DataFrame, batch: str, layer: str = "staging") -> DataFrame:
         """Rows as they are stored: with period and batch, rebalanced and sorted.
 
         The rebalance hint lets adaptive execution merge small and split large partitions,
@@ -169,9 +188,12 @@ class Tables:
         by key: that compresses well and lets scans skip row groups of other symbols. The
         sort starts with the partition columns, so it is the one the writer needs anyway.
         """
-        dealt = rows.withColumn(PERIOD, self.cadence.period()).hint("rebalance", F.col(PERIOD))
+        sums = layer == "sums"
+        period = self.cadence.sums_period() if sums else self.cadence.period()
+        keys = ["symbol", "stretch"] if sums else self.cadence.keys
+        dealt = rows.withColumn(PERIOD, period).hint("rebalance", F.col(PERIOD))
         dealt = dealt.withColumn(BATCH, F.lit(batch))
-        return dealt.sortWithinPartitions(PERIOD, BATCH, *self.cadence.keys)
+        return dealt.sortWithinPartitions(PERIOD, BATCH, *keys)
 
     def write(self, rows: DataFrame, layer: str, batch: str, arranged: bool = False) -> None:
         """Replace the folders of ``batch`` that ``rows`` covers; all others stay as they are.
@@ -184,7 +206,7 @@ class Tables:
         elif arranged:
             stored = rows.select(*columns, PERIOD, BATCH)
         else:
-            stored = self.arrange(rows.select(*columns), batch)
+            stored = self.arrange(rows.select(*columns), batch, layer)
         (
             stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -196,16 +218,3 @@ class Tables:
         """The periods of ``rows``: years 1 to 9999, so bounded by the calendar."""
         period = self.cadence.period().alias(PERIOD)
         return {r[0] for r in rows.select(period).distinct().collect()}
-
-    def remove_dead(self, spark: SparkSession, layer: str) -> int:
-        """Delete the folders of staging or final that are logged but no longer in force.
-
-        For when no reader of an older version is left. Returns how many there were.
-        """
-        kind = FINAL if layer == "final" else STAGED
-        logged = self.log(spark).filter(F.col("kind") == kind).select(PERIOD, BATCH).distinct()
-        dead = {tuple(r) for r in logged.collect()} - set(self.live(spark, layer))
-        for folder in sorted(dead):
-            path = spark._jvm.org.apache.hadoop.fs.Path(self.folder(layer, folder))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        return len(dead)

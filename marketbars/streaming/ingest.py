@@ -35,9 +35,9 @@ def ingest_batch(
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     totals = message_totals(classified).head().asDict()
     bars = good_bars(classified, cadence, position="position")
-    periods = tables.periods_of(bars)
+    periods, state = tables.periods_of(bars), tables.state(spark)
     staged = tables.read(
-        spark, "staging", where=lambda period, name: period in periods and name != batch
+        spark, "staging", lambda period, name: period in periods and name != batch, state
     )
     marked = mark_duplicates(bars, staged, cadence.keys, "position", max_group).persist(
         StorageLevel.MEMORY_AND_DISK
@@ -60,7 +60,7 @@ def ingest_batch(
         # From here on the bars count, for readers, the next merge and the next extract.
         if periods:
             version = f"{batch}-{uuid.uuid4().hex}"
-            newest = tables.latest(spark).unionByName(latest_per_symbol(accepted, cadence))
+            newest = tables.latest(spark, state).unionByName(latest_per_symbol(accepted, cadence))
             newest = newest.groupBy("symbol").agg(F.max("last_update").alias("last_update"))
             tables.write(newest, "latest", version)
             staged_now = [(STAGED, period, batch) for period in periods]

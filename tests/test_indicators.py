@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import random
 from decimal import Decimal
@@ -20,7 +21,8 @@ from marketbars.operators.indicators import (
     intraday_indicators,
     with_slices,
 )
-from marketbars.operators.reach import latest_bars, reached_analytics
+from marketbars.operators.reach import reached_analytics
+from marketbars.operators.sums import blocks_needed, corrected, neighbours, stretch_sums, sums_of
 from marketbars.plans.registry import reader_of as reader
 from marketbars.schemas import DAILY, INTRADAY, moment
 
@@ -183,7 +185,12 @@ def test_reached_rows_equal_full_recompute_intraday(spark, max_group):
     frame = intraday_frame(spark, rows)
     late = rows[:7]
     reached = reached_analytics(
-        reader(frame, INTRADAY), intraday_frame(spark, late), INTRADAY, F.lit(None), max_group
+        reader(frame, INTRADAY),
+        sums_of(frame, INTRADAY),
+        intraday_frame(spark, late),
+        INTRADAY,
+        F.lit(None),
+        max_group,
     ).drop("last_refreshed")
     full = analytics(frame, INTRADAY, F.lit(None)).drop("last_refreshed")
     before = analytics(intraday_frame(spark, rows[7:]), INTRADAY, F.lit(None)).drop(
@@ -202,7 +209,11 @@ def test_reached_rows_equal_full_recompute_daily(spark):
     frame = daily_frame(spark, rows)
     late = rows[:3]
     reached = reached_analytics(
-        reader(frame, DAILY), daily_frame(spark, late), DAILY, F.lit(None)
+        reader(frame, DAILY),
+        sums_of(frame, DAILY),
+        daily_frame(spark, late),
+        DAILY,
+        F.lit(None),
     )
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     stale = {
@@ -222,7 +233,11 @@ def test_reached_daily_rows_of_long_and_sparse_series(spark):
     frame = daily_frame(spark, rows)
     late = [dense[880], dense[890], sparse[98]]
     reached = reached_analytics(
-        reader(frame, DAILY), daily_frame(spark, late), DAILY, F.lit(None)
+        reader(frame, DAILY),
+        sums_of(frame, DAILY),
+        daily_frame(spark, late),
+        DAILY,
+        F.lit(None),
     ).collect()
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     assert sorted((r.symbol, r.date) for r in reached) == sorted(
@@ -231,27 +246,125 @@ def test_reached_daily_rows_of_long_and_sparse_series(spark):
     assert all(full[r.symbol, r.date] == r for r in reached)
 
 
-def test_latest_bars_looks_back_only_for_missing_symbols(spark):
+def watched(sums, asked):
+    def read(periods):
+        asked.append(sorted(periods))
+        return sums.read(periods)
+
+    return dataclasses.replace(sums, read=read)
+
+
+def touched_of(spark, pairs):
+    return spark.createDataFrame(pairs, "symbol string, stretch date")
+
+
+def test_neighbours_are_sought_further_only_for_symbols_without_near_ones(spark):
+    days = {"NEAR": [0, 1, 2, 40, 400], "FAR": [0, 900], "LONE": [300], "EDGE": [0, 30, 60]}
     rows = [
-        bar("NEW", TIME0, 1),
-        bar("NEW", TIME0 + dt.timedelta(days=40), 2),
-        bar("OLD", TIME0, 3),
-        bar("OLD", TIME0 + dt.timedelta(days=1), 4),
-        bar("OTHER", TIME0, 5),
+        bar(s, TIME0 + dt.timedelta(days=d, minutes=m), d + m, 10 + m)
+        for s, of in days.items()
+        for d in of
+        for m in (0, 5)
     ]
-    frame = intraday_frame(spark, rows)
     asked = []
+    sums = watched(sums_of(intraday_frame(spark, rows), INTRADAY), asked)
+    day = {d: DAY0 + dt.timedelta(days=d) for of in days.values() for d in of}
+
+    def found(*pairs):
+        asked.clear()
+        touched = touched_of(spark, [(s, day[d]) for s, d in pairs])
+        return {
+            (r.symbol, r.stretch): (
+                r.n_bars,
+                r.before_close,
+                r.behind and (r.behind.stretch, r.behind.first_time, int(r.behind.volume)),
+            )
+            for r in neighbours(sums, touched, INTRADAY).collect()
+        }
+
+    def behind(d):
+        return (day[d], TIME0 + dt.timedelta(days=d), 25)
+
+    assert found(("NEAR", 1)) == {("NEAR", day[1]): (2, D("5.00"), behind(2))}
+    # January and February of the first year are enough.
+    assert asked == [[DAY0, dt.date(2024, 2, 1)]]
+    # A month nearby without bars of the symbol: wider and wider, for this symbol only.
+    assert found(("FAR", 0), ("NEAR", 40), ("EDGE", 60)) == {
+        ("FAR", day[0]): (2, None, behind(900)),
+        ("NEAR", day[40]): (2, D("7.00"), behind(400)),
+        ("EDGE", day[60]): (2, D("35.00"), None),
+    }
+    assert 1 < len(asked) <= 5
+    assert found(("LONE", 300), ("FAR", 900), ("NEAR", 400)) == {
+        ("LONE", day[300]): (2, None, None),
+        ("FAR", day[900]): (2, D("5.00"), None),
+        ("NEAR", day[400]): (2, D("45.00"), None),
+    }
+
 
-    def read(since, until):
-        asked.append((since, until))
-        return reader(frame, INTRADAY)(since, until)
-
-    symbols = spark.createDataFrame([("NEW",), ("OLD",), ("NEVER",)], "symbol string")
-    since = DAY0 + dt.timedelta(days=30)
-    found = latest_bars(read, symbols, INTRADAY, since)
-    assert sorted(tuple(r) for r in found.collect()) == [rows[1], rows[3]]
-    assert asked == [(since, None), (None, since)]
-    asked.clear()
-    found = latest_bars(read, symbols.filter("symbol = 'NEW'"), INTRADAY, since)
-    assert [tuple(r) for r in found.collect()] == [rows[1]]
-    assert asked == [(since, None)]
+def test_sums_are_corrected_by_what_arrives(spark):
+    for rows, frame, cadence in (
+        (random_intraday(seed=9, rows=150), intraday_frame, INTRADAY),
+        (random_daily(seed=9, days=150), daily_frame, DAILY),
+    ):
+        whole = stretch_sums(frame(spark, rows), cadence)
+        parts = [stretch_sums(frame(spark, rows[i::3]), cadence) for i in range(3)]
+        once = corrected(corrected(parts[2], parts[0], cadence), parts[1], cadence)
+        assert sorted(once.collect()) == sorted(whole.collect())
+        types = [(f.name, f.dataType) for f in cadence.sums_schema]
+        assert [(f.name, f.dataType) for f in once.schema] == types
+
+
+def daily_series(symbol, days):
+    return [bar(symbol, DAY0 + dt.timedelta(days=i), i % 37 + 1, i) for i in days]
+
+
+def test_months_between_the_edges_of_frames_are_not_read(spark):
+    rows = daily_series("DENSE", range(1500)) + daily_series("SPARSE", range(0, 1500, 40))
+    sums = sums_of(daily_frame(spark, rows), DAILY)
+
+    def months(symbol, index):
+        day = DAY0 + dt.timedelta(days=index)
+        touched = touched_of(spark, [(symbol, day.replace(day=1))])
+        got = blocks_needed(sums, touched, DAILY, (20, 50, 200)).collect()
+        return sorted(r.stretch for r in got), {r.stretch: r for r in got}
+
+    # The newest bar: its month, and where its frames of 20, 50 and 200 rows begin.
+    wanted, found = months("DENSE", 1499)
+    assert len(wanted) <= 8
+    first = next(r for r in rows if r[1] == min(wanted))
+    base = found[min(wanted)]
+    for stretch, block in found.items():
+        # Counted and added up from one place for all months of a symbol.
+        between = [r for r in rows[:1500] if first[1] <= r[1] < stretch]
+        assert block.rows_before - base.rows_before == len(between)
+        assert block.amount_before - base.amount_before == sum(100 * r[5] for r in between)
+        assert block.volume_before - base.volume_before == sum(r[6] for r in between)
+    # A bar in the middle: nothing behind the 199 rows that it reaches.
+    wanted, _ = months("DENSE", 700)
+    reach = DAY0 + dt.timedelta(days=700 + 31 + 199 + 31)
+    assert max(wanted) <= reach and min(wanted) >= DAY0 + dt.timedelta(days=700 - 31 - 231 - 31)
+    # Few bars a month: the frames go back to the start of the series.
+    assert len(months("SPARSE", 1480)[0]) > 8
+
+
+@pytest.mark.parametrize(
+    "late", [[1499], [700], [3], [0], [100, 101, 900], [1200, 1450], [250, 449, 450, 451]]
+)
+def test_a_late_daily_bar_reaches_199_rows(spark, late):
+    rows = daily_series("A", range(1500)) + daily_series("B", range(0, 4000, 9))
+    frame = daily_frame(spark, rows)
+    arrived = [rows[i] for i in late] + [rows[1500 + i % 440] for i in late]
+    got = {
+        (r.symbol, r.date): r
+        for r in reached_analytics(
+            reader(frame, DAILY), sums_of(frame, DAILY), daily_frame(spark, arrived), DAILY,
+            F.lit(None),
+        ).collect()
+    }
+    full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
+    assert all(full[k] == v for k, v in got.items())
+    reached = set()
+    for series_, at in ((rows[:1500], late), (rows[1500:], [i % 440 for i in late])):
+        reached |= {(r[0], r[1]) for i in at for r in series_[i : i + 200]}
+    assert set(got) == reached

@@ -3,15 +3,18 @@ import json
 
 import pytest
 from helpers import brute_daily, brute_intraday, document, fields
+from pyspark.sql import functions as F
 
 from marketbars.__main__ import main
 from marketbars.operators.metrics import bars_per_symbol, message_totals
 from marketbars.operators.messages import classify_messages
+from marketbars.operators.sums import stretch_sums
 from marketbars.plans import jobs
 from marketbars.schemas import DAILY, INTRADAY
 from marketbars.sources import landed as landed_source
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
+from marketbars.streaming.ingest import ingest_batch
 
 RUN1, RUN2, RUN3 = (dt.datetime(2025, 2, 1, h) for h in (10, 11, 12))
 
@@ -226,27 +229,102 @@ def test_a_merge_touches_only_its_periods(spark, tmp_path):
     second = dict(world.tables.live(spark, "final"))
     changed = {p for p in second if first[p] != second[p]}
     assert changed == {days[2].date(), days[3].date()}
-    assert world.tables.remove_dead(spark, "final") == 2
     assert len(world.rows("final")) == 13
 
 
-def test_compaction_changes_no_row(spark, tmp_path, hours):
+def sums_of_staging(world):
+    bars = world.tables.read(world.spark, "staging")
+    return sorted(map(tuple, stretch_sums(bars, world.cadence).collect()))
+
+
+@pytest.mark.parametrize("cadence", [INTRADAY, DAILY])
+def test_sums_follow_every_merge(spark, tmp_path, hours, cadence, monkeypatch):
+    world = World(spark, tmp_path, cadence)
+    world.tables.create(spark)
+    start = dt.datetime(2025, 1, 27, 9)
+    times = [start + dt.timedelta(hours=13 * i) for i in range(24)]
+    if cadence is DAILY:
+        times = [(start + dt.timedelta(days=5 * i)).date() for i in range(24)]
+
+    def put(batch, some, symbols=("A", "B")):
+        name = "timestamp" if cadence is INTRADAY else "date"
+        lines = [
+            (json.dumps({"symbol": s, name: t, "data": {t: f}}),)
+            for s in symbols
+            for t, f in series(times).items()
+            if t in {str(x) for x in some}
+        ]
+        frame = spark.createDataFrame(lines, "value string")
+        ingest_batch(frame.withColumn("position", F.struct(F.lit(0))), world.tables, batch)
+
+    def check():
+        assert sorted(world.rows("sums")) == sums_of_staging(world)
+        brute = brute_intraday if cadence is INTRADAY else brute_daily
+        columns = (9, 10, 11) if cadence is INTRADAY else (8, 9, 10, 11)
+        final = {r[:2]: tuple(r[c] for c in columns) for r in world.rows("final")}
+        assert final == brute(world.rows("staging"))
+
+    put("b0", times[::2])
+    assert jobs.refresh_outstanding(spark, world.tables, RUN1) == 24
+    check()
+    put("b1", times[5:12])
+    put("b2", times[20:], symbols=("C", "A"))
+    jobs.refresh_outstanding(spark, world.tables, RUN2)
+    check()
+    # A merge that fails leaves the sums as they were; merging a batch again adds nothing.
+    put("b3", times[12:])
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, "commit", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.refresh_outstanding(spark, world.tables, RUN2)
+    put("b4", times[:5])
+    jobs.refresh_batches(spark, world.tables, ["b1", "b4"], RUN3)
+    check()
+    assert jobs.refresh_batches(spark, world.tables, ["b3"], RUN3) == 0
+    check()
+
+
+def test_a_table_without_sums_is_refreshed_as_a_whole(spark, tmp_path, hours, monkeypatch):
+    world = World(spark, tmp_path, INTRADAY)
+    stage(world, "a.json", hours[:30])
+    commit = Tables.commit
+
+    def before_there_were_sums(self, spark, entries):
+        commit(self, spark, [e for e in entries if e[0] != "sums"])
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, "commit", before_there_were_sums)
+        jobs.refresh_outstanding(spark, world.tables, RUN1)
+    assert world.rows("sums") == []
+    stage(world, "b.json", hours[30:])
+    assert jobs.refresh_outstanding(spark, world.tables, RUN2) == 60
+    assert sorted(world.rows("sums")) == sums_of_staging(world)
+
+
+def test_a_late_bar_opens_its_day_and_the_next_one_with_bars(spark, tmp_path, monkeypatch):
     world = World(spark, tmp_path, INTRADAY)
-    for i in range(4):
-        stage(world, f"{i}.json", hours[i::4])
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=100 * i) for i in range(12)]
+    for i, day in enumerate(days):
+        stage(world, f"{i}.json", [day, day + dt.timedelta(hours=1)])
     jobs.refresh_outstanding(spark, world.tables, RUN1)
-    stage(world, "b.json", hours[:10], symbol="B")
-    before = sorted(world.rows("staging"))
-    assert jobs.compact(spark, world.tables) == 2
-    assert sorted(world.rows("staging")) == before
-    # Batches not merged yet are left alone; the joined one needs no merge.
-    assert len(world.tables.outstanding(spark)) == 1
-    assert len(world.tables.live(spark, "staging")) == 3
-    assert world.tables.remove_dead(spark, "staging") == 8
-    assert sorted(world.rows("staging")) == before
+    stage(world, "late.json", [days[4] + dt.timedelta(hours=2)])
+    opened = []
+    read = Tables.read_folders
+
+    def watched(self, spark, layer, folders):
+        opened.extend((layer, period) for period, _ in folders)
+        return read(self, spark, layer, folders)
+
+    monkeypatch.setattr(Tables, "read_folders", watched)
     jobs.refresh_outstanding(spark, world.tables, RUN2)
-    assert len(world.rows("final")) == 70
-    assert jobs.compact(spark, world.tables) == 1
+    day, next_ = days[4].date(), days[5].date()
+    assert {p for layer, p in opened if layer == "staging"} == {day, next_}
+    assert {p for layer, p in opened if layer == "final"} == {day, next_}
+    final = {r.timestamp: r for r in world.tables.read(spark, "final").collect()}
+    changed = {t for t, r in final.items() if r.last_refreshed == RUN2}
+    late = days[4] + dt.timedelta(hours=2)
+    assert changed == {days[4], days[4] + dt.timedelta(hours=1), late, days[5]}
+    assert final[days[5]].prev_close == final[late].close
 
 
 def test_sending_may_run_no_job(spark, tmp_path, hours):
