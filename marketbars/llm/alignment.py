@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketbars.llm.common import kind_of, map_slices, stored
-from marketbars.llm.encode import PACK
 from marketbars.session import work_dir
 
 # Stretches that a worker remembers, beside those of the documents at hand.
-MEMORY = 500_000
+MEMORY = 600_000
 # Stretches whose tokens are sorted at once; longer documents are sorted in pieces.
 LAP = 200_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -115,14 +114,25 @@ class Pair:
             for side in (self.a, self.b)
         )
 
-    def _packed(self, text: str, a: list[int], b: list[int]) -> tuple[bytes, bytes] | None:
-        octets = text.encode()
-        if (
-            b"".join(map(self.a.octets.__getitem__, a)) != octets
-            or b"".join(map(self.b.octets.__getitem__, b)) != octets
-        ):
-            return None
-        return packed(a), packed(b)
+    def _packed(self, texts: list[str], a: list[list[int]], b: list[list[int]]):
+        """Packed ids of both sides for every text; None where bytes differ from the text's."""
+        octets = [text.encode() for text in texts]
+        sides = []
+        for known, ids in ((self.a.octets, a), (self.b.octets, b)):
+            flat = [*itertools.chain.from_iterable(ids)]
+            ends = [4 * n for n in itertools.accumulate(map(len, ids), initial=0)]
+            spelt = [known[i] for i in flat]
+            lengths = np.cumsum([0, *map(len, spelt)])[np.array(ends, np.int64) // 4]
+            alike = b"".join(spelt) == b"".join(octets)
+            if not alike or np.diff(lengths).tolist() != [*map(len, octets)]:
+                good = [b"".join(known[i] for i in x) == o for x, o in zip(ids, octets, strict=True)]
+            else:
+                good = itertools.repeat(True)
+            buffer = np.array(flat, "<i4").tobytes()
+            sides.append((good, [buffer[x:y] for x, y in itertools.pairwise(ends)]))
+        (good_a, a), (good_b, b) = sides
+        pairs = zip(a, b, strict=True)
+        return [p if x and y else None for p, x, y in zip(pairs, good_a, good_b, strict=False)]
 
     def encode(self, texts: list[str | None]) -> list[list[tuple[bytes, bytes]]]:
         """Packed ids of both for every stretch of every text; none for a text whose bytes either
@@ -130,25 +140,21 @@ class Pair:
         spaced = [" " + text if text else None for text in texts]
         if not self.cuts:
             whole = [text for text in spaced if text]
-            sides = zip(whole, self.a.whole(whole), self.b.whole(whole), strict=True)
-            ids = iter([self._packed(*side) for side in sides])
+            ids = iter(self._packed(whole, self.a.whole(whole), self.b.whole(whole)))
             found = [[next(ids)] if text else [] for text in spaced]
         else:
             cut = [STRETCH(text) if text else [] for text in spaced]
-            met = set(itertools.chain.from_iterable(cut))
-            new = list(met.difference(self.known))
-            sides = zip(new, self.a.stretches(new), self.b.stretches(new), strict=True)
-            self.known.update((side[0], self._packed(*side)) for side in sides)
+            new = list(set(itertools.chain.from_iterable(cut)).difference(self.known))
+            made = self._packed(new, self.a.stretches(new), self.b.stretches(new))
+            self.known.update(zip(new, made, strict=True))
             found = [[*map(self.known.__getitem__, stretches)] for stretches in cut]
             if len(self.known) > self.memory:
-                self.known = {text: self.known[text] for text in met}
+                # Those met first go first; what is frequent comes back at once.
+                for text in [*itertools.islice(self.known, len(self.known) - self.memory * 2 // 3)]:
+                    del self.known[text]
         return [[] if None in ids else ids for ids in found]
 
 
-def packed(ids: list[int]) -> bytes:
-    return PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<i4").tobytes()
-
-
 _PAIRS: dict[tuple[str, str], Pair] = {}
 
 
