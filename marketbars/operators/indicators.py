@@ -174,36 +174,37 @@ def _slice_edges(sliced: DataFrame) -> DataFrame:
     )
 
 
-def day_rows(bars: DataFrame, days: DataFrame, max_group: int = GROUP_ROWS) -> DataFrame:
+def day_rows(bars: DataFrame, days: DataFrame, max_group: int | None = None) -> DataFrame:
     """Add previous close, change and VWAP to all bars of some symbol-days.
 
     ``days`` (symbol, stretch, n_bars, amount, volume, before_close) has what is known of them:
-    traded totals, and the close before each. Only days of over ``max_group`` bars are cut into
-    slices.
+    traded totals, and the close before each. Days of over ``max_group`` bars are cut into slices;
+    without it there are none.
     """
     known = days.select(
         "symbol",
         F.col("stretch").alias(_DAY),
+        "n_bars",
         "before_close",
         exact.weighted_price(F.col("amount"), F.col("volume")).alias("vwap"),
-        (F.col("n_bars") > max_group).alias("_crowded"),
     )
     dated = bars.withColumn(_DAY, F.to_date("timestamp")).join(known, ["symbol", _DAY])
     whole = Window.partitionBy("symbol", _DAY).orderBy("timestamp")
     inside = F.lag("close_price").over(whole)
-    priced = dated.filter("NOT _crowded").withColumn("_inside", inside)
-    if not known.filter("_crowded").isEmpty():
-        sliced = with_slices(dated.filter("_crowded"), max_group)
+    crowded = F.lit(False) if max_group is None else F.col("n_bars") > max_group
+    priced = dated.filter(~crowded).withColumn("_inside", inside)
+    if max_group is not None:
+        sliced = with_slices(dated.filter(crowded), max_group)
         part = Window.partitionBy(*SLICE_KEYS).orderBy("timestamp")
         carried = Window.partitionBy("symbol", _DAY).orderBy(_PART)
         last = sliced.groupBy(*SLICE_KEYS).agg(F.max_by("close_price", "timestamp").alias("_last"))
         last = last.withColumn("_carried", F.lag("_last").over(carried)).drop("_last")
-        hot = (
+        cut = (
             sliced.withColumn("_inside", F.lag("close_price").over(part))
             .join(last, SLICE_KEYS)
             .withColumn("_inside", F.coalesce("_inside", "_carried"))
         )
-        priced = priced.unionByName(hot.select(*priced.columns))
+        priced = priced.unionByName(cut.select(*priced.columns))
     return _with_change(
         priced.withColumn("prev_close", F.coalesce("_inside", "before_close")), bars.columns
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketbars.session import ensure_checkpoint_dir
@@ -25,7 +25,16 @@ def hot_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | Non
     return None if hot.isEmpty() else small_side(hot)
 
 
+def json_bytes() -> Column:
+    """Aggregate: size of all rows as JSON text."""
+    return F.sum(F.octet_length(F.to_json(F.struct("*"))))
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """Mark a materialised side for broadcast only when its measured size allows it."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).head()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    return sized_side(df, df.agg(json_bytes()).head()[0])
+
+
+def sized_side(df: DataFrame, size: int | None) -> DataFrame:
+    """The same for a side that is known to be no larger than ``size``."""
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df

@@ -16,7 +16,7 @@ from marketbars.operators.indicators import analytics
 from marketbars.operators.metrics import observed
 from marketbars.operators.reach import reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
-from marketbars.operators.sums import Sums, corrected, periods_of, stretch_sums
+from marketbars.operators.sums import Sums, Touched, corrected, stretch_sums
 from marketbars.operators.upsert import affected_rows, upsert
 from marketbars.schemas import DEFAULT_SYMBOLS, moment
 from marketbars.session import ensure_checkpoint_dir
@@ -112,11 +112,13 @@ def refresh_batches(
         return tables.read(spark, "staging", lambda _, batch: batch in of, state)
 
     arrived = staged(wanted)
-    change = touched = stretch_sums(staged(new), cadence).checkpoint()
+    change = stretch_sums(staged(new), cadence).checkpoint()
+    fresh_ones = touched = Touched.of(change)
     if wanted != new:
-        touched = stretch_sums(arrived, cadence).checkpoint()
+        touched = Touched.of(stretch_sums(arrived, cadence).checkpoint())
     # The sums of the periods in question with what arrived: written now, in force once merged.
-    version, fresh = f"v-{uuid.uuid4().hex}", set(periods_of(change, cadence))
+    version = f"v-{uuid.uuid4().hex}"
+    fresh = {cadence.sums_period_of(day) for day in fresh_ones.dates}
     stored = tables.read(spark, "sums", lambda period, _: period in fresh, state)
     if fresh:
         tables.write(corrected(stored, change, cadence), "sums", version)
@@ -131,11 +133,12 @@ def refresh_batches(
         return tables.read(spark, "staging", lambda period, _: period in wanted, state)
 
     sums = Sums(sorted(folders), read_sums)
-    rows = reached_analytics(
+    reached = reached_analytics(
         read_bars, sums, arrived, cadence, _stamp(as_of), max_group, touched
-    ).checkpoint()
-    periods = tables.periods_of(rows)
-    return _merge(spark, rows, tables, state, version, periods, fresh, wanted)
+    )
+    return _merge(
+        spark, reached.rows, tables, state, version, reached.periods, fresh, wanted
+    )
 
 
 def refresh_outstanding(

@@ -22,6 +22,7 @@ from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
+from marketbars.streaming.ingest import ingest_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,7 @@ SECOND_RUN = datetime(2025, 1, 31, 13, 0)
 STAGED_UNTIL = {"intraday": "2024-01-20 00:00:00", "daily": "1998-01-01"}
 # The upsert's target ends here, its source starts at STAGED_UNTIL.
 TARGET_UNTIL = {"intraday": "2024-01-25 00:00:00", "daily": "2000-01-01"}
+LATE_MONTH = "1995-03-01"
 LATE_FROM, LATE_UNTIL = "2024-01-10 12:00:00", "2024-01-10 18:00:00"
 TRACKED = ("click", "purchase", "view")
 UNSTAGED = {"intraday": "signup", "daily": "S1"}
@@ -452,7 +454,7 @@ def late_bar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         INTRADAY,
         moment(SECOND_RUN),
     )
-    return upsert(before, reached, INTRADAY).drop("last_refreshed", "action")
+    return upsert(before, reached.rows, INTRADAY).drop("last_refreshed", "action")
 
 
 def late_bar_repair_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -467,7 +469,44 @@ def late_bar_repair_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         DAILY,
         moment(SECOND_RUN),
     )
-    return upsert(before, reached, DAILY).drop("last_refreshed", "action")
+    return upsert(before, reached.rows, DAILY).drop("last_refreshed", "action")
+
+
+def merged_late(spark: SparkSession, sf_dir: str, cadence: Cadence) -> Tables:
+    """Tables in which some bars arrive after the first merge, and are merged by a second."""
+    tables = Tables(work_dir(spark, f"late-{cadence.name}"), cadence)
+    tables.create(spark)
+    bars = bars_of(spark, sf_dir, cadence)
+    for late, as_of in ((False, FIRST_RUN), (True, SECOND_RUN)):
+        arrived = bars.filter(arrives_late(cadence) == late)
+        messages = fx.messages(arrived, cadence)
+        ingest_batch(messages.withColumn("position", F.struct(F.lit(0))), tables, f"late-{late}")
+        jobs.refresh_outstanding(spark, tables, as_of)
+    return tables
+
+
+def arrives_late(cadence: Cadence) -> Column:
+    """One afternoon, or one month of some symbols."""
+    if cadence.name == "intraday":
+        return _time(cadence).between(_at(cadence, LATE_FROM), _at(cadence, LATE_UNTIL))
+    late = F.trunc("date", "month") == F.lit(LATE_MONTH).cast("date")
+    return late & (F.length("symbol") == 2)
+
+
+def _late_merge(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The final table: rows that no late bar reaches keep their stamp."""
+        return merged_late(spark, sf_dir, cadence).read(spark, "final")
+
+    return query
+
+
+def _late_sums(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The stored sums, corrected by what came late."""
+        return merged_late(spark, sf_dir, cadence).read(spark, "sums")
+
+    return query
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,5 +560,9 @@ QUERIES: dict[str, Query] = {
     "upsert_guard_edge": upsert_guard_edge,
     "late_bar_repair": late_bar_repair,
     "late_bar_repair_daily": late_bar_repair_daily,
+    "late_merge_intraday": _late_merge(INTRADAY),
+    "late_merge_daily": _late_merge(DAILY),
+    "late_sums_intraday": _late_sums(INTRADAY),
+    "late_sums_daily": _late_sums(DAILY),
     "run_metrics": run_metrics,
 }

@@ -22,7 +22,14 @@ from marketbars.operators.indicators import (
     with_slices,
 )
 from marketbars.operators.reach import reached_analytics
-from marketbars.operators.sums import blocks_needed, corrected, neighbours, stretch_sums, sums_of
+from marketbars.operators.sums import (
+    Touched,
+    blocks_needed,
+    corrected,
+    neighbours,
+    stretch_sums,
+    sums_of,
+)
 from marketbars.plans.registry import reader_of as reader
 from marketbars.schemas import DAILY, INTRADAY, moment
 
@@ -191,7 +198,7 @@ def test_reached_rows_equal_full_recompute_intraday(spark, max_group):
         INTRADAY,
         F.lit(None),
         max_group,
-    ).drop("last_refreshed")
+    ).rows.drop("last_refreshed")
     full = analytics(frame, INTRADAY, F.lit(None)).drop("last_refreshed")
     before = analytics(intraday_frame(spark, rows[7:]), INTRADAY, F.lit(None)).drop(
         "last_refreshed"
@@ -214,7 +221,7 @@ def test_reached_rows_equal_full_recompute_daily(spark):
         daily_frame(spark, late),
         DAILY,
         F.lit(None),
-    )
+    ).rows
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     stale = {
         (r.symbol, r.date): r
@@ -238,7 +245,7 @@ def test_reached_daily_rows_of_long_and_sparse_series(spark):
         daily_frame(spark, late),
         DAILY,
         F.lit(None),
-    ).collect()
+    ).rows.collect()
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     assert sorted((r.symbol, r.date) for r in reached) == sorted(
         (r[0], r[1]) for r in dense[880:] + sparse[98:]
@@ -255,7 +262,7 @@ def watched(sums, asked):
 
 
 def touched_of(spark, pairs):
-    return spark.createDataFrame(pairs, "symbol string, stretch date")
+    return Touched.of(spark.createDataFrame(pairs, "symbol string, stretch date"))
 
 
 def test_neighbours_are_sought_further_only_for_symbols_without_near_ones(spark):
@@ -360,7 +367,7 @@ def test_a_late_daily_bar_reaches_199_rows(spark, late):
         for r in reached_analytics(
             reader(frame, DAILY), sums_of(frame, DAILY), daily_frame(spark, arrived), DAILY,
             F.lit(None),
-        ).collect()
+        ).rows.collect()
     }
     full = {(r.symbol, r.date): r for r in analytics(frame, DAILY, F.lit(None)).collect()}
     assert all(full[k] == v for k, v in got.items())
