@@ -1,11 +1,58 @@
-"""First write wins: the table key accepts a bar once, later copies are set aside."""
+"""First write wins: the table key accepts a bar once, later copies are set aside.
+
+Staged keys that no incoming bar can meet are left out before anything is shuffled: bounds of the
+incoming keys are pushed into the scan of staging, and what they let through is filtered by the
+incoming keys themselves, map-side, while those are few enough to be sent to all tasks.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date
+from typing import Any
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketbars.operators.skew import GROUP_ROWS, hot_groups, small_side
+from marketbars.operators.skew import GROUP_ROWS, hot_groups, sized_side, small_side
+from marketbars.schemas import Cadence
+
+
+@dataclass(frozen=True)
+class Arrival:
+    """What one pass over a batch tells of its keys: storage periods, bounds and size."""
+
+    periods: set[date]
+    bounds: dict[str, tuple[Any, Any]]
+    size: int
+
+
+def arrival(incoming: DataFrame, cadence: Cadence) -> Arrival:
+    """One job; periods are days or months of the years 1 to 9999, so bounded by the calendar."""
+    edges = [edge(key) for key in cadence.keys for edge in (F.min, F.max)]
+    size = F.sum(F.octet_length("symbol") + 8)
+    periods, size, *edges = incoming.agg(
+        F.collect_set(cadence.period()), size, *edges
+    ).first()
+    bounds = dict(zip(cadence.keys, zip(edges[::2], edges[1::2], strict=True), strict=True))
+    return Arrival(set(periods), bounds, size or 0)
+
+
+def known_keys(staged: DataFrame, incoming: DataFrame, keys: list[str], came: Arrival) -> DataFrame:
+    """The staged keys that incoming bars can meet.
+
+    All between the bounds of the incoming ones; only those that do meet one while the incoming
+    keys are small enough to be broadcast.
+    """
+    found = staged.select(*keys)
+    for key, (low, high) in came.bounds.items():
+        if low is None:
+            return found.limit(0)
+        kind = incoming.schema[key].dataType
+        found = found.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    mine = incoming.select(*keys)
+    side = sized_side(mine, came.size)
+    return found if side is mine else found.join(side, keys, "left_semi")
 
 
 def mark_duplicates(
@@ -14,16 +61,19 @@ def mark_duplicates(
     keys: list[str],
     position: str,
     max_group: int = GROUP_ROWS,
+    came: Arrival | None = None,
 ) -> DataFrame:
     """Add ``duplicate``: True for a bar whose key is staged or came earlier in the batch.
 
     ``position`` orders the batch. Staged keys take part as rows ranked before every
-    incoming one, so one exchange settles both questions. A key with more than
+    incoming one, so one exchange settles both questions; given what ``came``, only staged keys
+    that it can meet do. A key with more than
     ``max_group`` copies is spread over as many tasks as its copies need; its first position,
     found by a partially aggregated MIN, then decides instead of the rank inside a task.
     """
     names = incoming.columns
-    known = staged.select(*keys, F.lit(True).alias("_staged"))
+    known = staged if came is None else known_keys(staged, incoming, keys, came)
+    known = known.select(*keys, F.lit(True).alias("_staged"))
     rows = incoming.withColumn("_staged", F.lit(False)).unionByName(
         known, allowMissingColumns=True
     )
@@ -61,7 +111,8 @@ def first_write_wins(
     keys: list[str],
     position: str,
     max_group: int = GROUP_ROWS,
+    came: Arrival | None = None,
 ) -> DataFrame:
     """The incoming bars the table accepts."""
-    marked = mark_duplicates(incoming, staged, keys, position, max_group)
+    marked = mark_duplicates(incoming, staged, keys, position, max_group, came)
     return marked.filter(~F.col("duplicate")).drop("duplicate")

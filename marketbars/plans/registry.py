@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketbars.operators import delta, metrics
 from marketbars.operators import messages as msg
 from marketbars.operators.constraints import constraint_violations
-from marketbars.operators.dedupe import first_write_wins
+from marketbars.operators.dedupe import arrival, first_write_wins, known_keys
 from marketbars.operators.indicators import analytics, bar_columns, generated_columns, indicators
 from marketbars.operators.reach import Reader, reached_analytics
 from marketbars.operators.sums import sums_of
@@ -240,12 +240,23 @@ def stage_first_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = bars.withColumn("position", F.struct(F.lit(1).alias("send"), "event_id"))
     resent = again.withColumn("position", F.struct(F.lit(2).alias("send"), "event_id"))
     staged = bars.filter(_time(INTRADAY) < _at(INTRADAY, STAGED_UNTIL["intraday"]))
+    batch = resent.unionByName(sent)
     accepted = first_write_wins(
-        resent.unionByName(sent), staged, INTRADAY.keys, "position"
+        batch, staged, INTRADAY.keys, "position", came=arrival(batch, INTRADAY)
     )
     return accepted.select(*INTRADAY.staging_schema.fieldNames())
 
 
+def staged_keys_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all staged keys, those that a batch of some symbols and days is compared with."""
+    bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
+    staged = bars.filter(F.col("event_id") % 3 != 0)
+    until = _at(INTRADAY, STAGED_UNTIL["intraday"])
+    days = _time(INTRADAY).between(_at(INTRADAY, LATE_FROM), until)
+    batch = bars.filter(days & F.col("symbol").isin(*TRACKED))
+    return known_keys(staged, batch, INTRADAY.keys, arrival(batch, INTRADAY))
+
+
 def stage_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the batch are copies of one key; only the copy sent first is accepted."""
     bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
@@ -542,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "message_totals": message_totals,
     "raw_audit_json": raw_audit_json,
     "stage_first_write_wins": stage_first_write_wins,
+    "staged_keys_compared": staged_keys_compared,
     "stage_hot_key": stage_hot_key,
     "stream_ingest_intraday": _stream(INTRADAY),
     "stream_ingest_daily": _stream(DAILY),

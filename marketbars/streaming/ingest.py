@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketbars.functions.documents import bar_message
-from marketbars.operators.dedupe import mark_duplicates
+from marketbars.operators.dedupe import arrival, mark_duplicates
 from marketbars.operators.delta import latest_per_symbol
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
 from marketbars.operators.metrics import message_totals
@@ -35,11 +35,11 @@ def ingest_batch(
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     totals = message_totals(classified).head().asDict()
     bars = good_bars(classified, cadence, position="position")
-    periods, state = tables.periods_of(bars), tables.state(spark)
+    came, state = arrival(bars, cadence), tables.state(spark)
     staged = tables.read(
-        spark, "staging", lambda period, name: period in periods and name != batch, state
+        spark, "staging", lambda period, name: period in came.periods and name != batch, state
     )
-    marked = mark_duplicates(bars, staged, cadence.keys, "position", max_group).persist(
+    marked = mark_duplicates(bars, staged, cadence.keys, "position", max_group, came).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     # Raw and staging hold the same rows: dealt and sorted once for both.

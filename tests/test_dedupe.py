@@ -1,12 +1,14 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from helpers import TIME0, bar, intraday_frame
 from pyspark.sql import functions as F
 
 from marketbars.operators.constraints import constraint_violations
-from marketbars.operators.dedupe import first_write_wins, mark_duplicates
+from marketbars.operators import skew
+from marketbars.operators.dedupe import arrival, first_write_wins, known_keys, mark_duplicates
 from marketbars.schemas import INTRADAY
 
 
@@ -18,6 +20,49 @@ def batch(spark, rows):
     return spark.createDataFrame(rows, f"{schema}, position bigint")
 
 
+def stored_bars(spark, path, rows):
+    intraday_frame(spark, rows).write.parquet(path)
+    return spark.read.schema(INTRADAY.staging_schema).parquet(path)
+
+
+@pytest.mark.parametrize("limit", [skew.BROADCAST_BYTES, 0])
+def test_only_staged_keys_that_can_be_met_are_compared(spark, tmp_path, limit, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+    minutes = {s: range(60) for s in ("A", "B", "C", "D")}
+    rows = [bar(s, TIME0 + dt.timedelta(minutes=m), m) for s, of in minutes.items() for m in of]
+    staged = stored_bars(spark, str(tmp_path / "staged"), rows)
+    late = [("B", 10), ("B", 12), ("B", 99), ("C", 20), ("C", 20), ("Bx", 15)]
+    incoming = batch(
+        spark,
+        [(*bar(s, TIME0 + dt.timedelta(minutes=m), 1), i) for i, (s, m) in enumerate(late)],
+    )
+    came = arrival(incoming, INTRADAY)
+    assert came.periods == {TIME0.date()}
+    assert came.bounds["symbol"] == ("B", "C")
+    known = known_keys(staged, incoming, INTRADAY.keys, came)
+    found = sorted((r.symbol, (r.timestamp - TIME0).seconds // 60) for r in known.collect())
+    between = [(s, m) for s in ("B", "C") for m in range(10, 60)]
+    assert found == ([("B", 10), ("B", 12), ("C", 20)] if limit else between)
+    marked = mark_duplicates(incoming, staged, INTRADAY.keys, "position", came=came)
+    accepted = [r for r in marked.collect() if not r.duplicate]
+    assert sorted((r.symbol, r.position) for r in accepted) == [("B", 2), ("Bx", 5)]
+    # Bounds reach the scan, and the keys meet before the exchange of the window.
+    text = marked._sc._jvm.PythonSQLUtils.explainString(marked._jdf.queryExecution(), "formatted")
+    for pushed in ("GreaterThanOrEqual(symbol,B)", "LessThanOrEqual(symbol,C)"):
+        assert pushed in text
+    assert re.search(r"PushedFilters: [^\n]*GreaterThanOrEqual\(timestamp,", text)
+    assert ("LeftSemi" in text) == bool(limit)
+
+
+def test_nothing_arrived(spark):
+    staged = intraday_frame(spark, [bar("A", TIME0, 1)])
+    nothing = batch(spark, [])
+    came = arrival(nothing, INTRADAY)
+    assert (came.periods, came.size) == (set(), 0)
+    assert known_keys(staged, nothing, INTRADAY.keys, came).collect() == []
+    assert mark_duplicates(nothing, staged, INTRADAY.keys, "position", came=came).collect() == []
+
+
 @pytest.mark.parametrize("max_group", [10**6, 5])
 def test_first_copy_wins_and_staged_keys_are_taken(spark, max_group):
     rng = random.Random(3)
