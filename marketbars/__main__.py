@@ -18,6 +18,7 @@ from marketbars.session import build_session
 from marketbars.sources import topics
 from marketbars.sources.landed import read_landed
 from marketbars.sources.tables import Tables
+from marketbars.streaming.redrive import redrive
 
 # Options each job needs.
 NEEDS = {
@@ -25,6 +26,7 @@ NEEDS = {
     "ingest": ("topic", "offsets"),
     "refresh": (),
     "merge": (),
+    "redrive": (),
     "run": ("landed", "topic", "offsets"),
 }
 
@@ -72,6 +74,8 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.job == "merge":
         affected = jobs.refresh_outstanding(spark, tables, options.as_of)
         counts = {"rows_affected": affected}
+    elif options.job == "redrive":
+        counts = redrive(spark, tables, run_id=options.run_id)
     elif options.job == "refresh":
         counts = {"rows_affected": jobs.refresh(spark, tables, options.as_of)}
     else:

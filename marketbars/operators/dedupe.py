@@ -48,8 +48,9 @@ def known_keys(staged: DataFrame, incoming: DataFrame, keys: list[str], came: Ar
     for key, (low, high) in came.bounds.items():
         if low is None:
             return found.limit(0)
-        kind = incoming.schema[key].dataType
-        found = found.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+        # As text: a zone-free time stays what it is, whatever zone driver and session are in.
+        edges = [F.lit(str(edge)).cast(incoming.schema[key].dataType) for edge in (low, high)]
+        found = found.filter(F.col(key).between(*edges))
     mine = incoming.select(*keys)
     side = sized_side(mine, came.size)
     return found if side is mine else found.join(side, keys, "left_semi")

@@ -23,6 +23,7 @@ from marketbars.sources import fixtures as fx
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
 from marketbars.streaming.ingest import ingest_batch
+from marketbars.streaming.redrive import redrive, retries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,6 +297,41 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 
+def redrive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The defective messages tried again four times, one kind of defect mended; copies by fate."""
+    base = work_dir(spark, "redrive")
+    topics.write_files(defective_messages(spark, sf_dir), f"{base}/topic")
+    tables = Tables(f"{base}/tables", INTRADAY)
+    jobs.ingest(topics.stream_files(spark, f"{base}/topic"), tables, f"{base}/offsets")
+    for attempt in range(4):
+        redrive(
+            spark,
+            tables,
+            mend=lambda value: F.replace(value, F.lit('"4. other"'), F.lit('"4. close"')),
+            run_id=str(attempt),
+        )
+    found = retries(spark, tables).groupBy("status", "reason", "attempts")
+    return found.agg(F.sum("copies").alias("copies"))
+
+
+def redriven_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is staged once one kind of defect is mended: the good messages and the mended ones."""
+    base = work_dir(spark, "redriven")
+    tables = Tables(f"{base}/tables", INTRADAY)
+    tables.create(spark)
+    messages = defective_messages(spark, sf_dir)
+    messages = messages.select("value", F.struct("event_id").alias("position"))
+    ingest_batch(messages, tables, "first")
+    for run_id in ("a", "a", "b"):
+        redrive(
+            spark,
+            tables,
+            mend=lambda value: F.replace(value, F.lit('"4. other"'), F.lit('"4. close"')),
+            run_id=run_id,
+        )
+    return tables.read(spark, "staging")
+
+
 def _scheduled_run(cadence: Cadence) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Landed documents through extract, ingest and refresh into the final table."""
@@ -558,6 +594,8 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_intraday": _stream(INTRADAY),
     "stream_ingest_daily": _stream(DAILY),
     "stream_quarantine": stream_quarantine,
+    "redrive_quarantine": redrive_quarantine,
+    "redriven_staging": redriven_staging,
     "scheduled_run_intraday": _scheduled_run(INTRADAY),
     "scheduled_run_daily": _scheduled_run(DAILY),
     "scheduled_run_second_intraday": _second_run(INTRADAY),

@@ -182,3 +182,13 @@ QUARANTINE_SCHEMA = T.StructType(
         T.StructField("reason", T.StringType()),
     ]
 )
+
+# Every time a rejected message was tried again: how often by then, and why it was rejected again
+# (NULL: it was accepted).
+ATTEMPTS_SCHEMA = T.StructType(
+    [
+        T.StructField("message_id", T.StringType()),
+        T.StructField("attempt", T.IntegerType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)

@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketbars.schemas import QUARANTINE_SCHEMA, Cadence
+from marketbars.schemas import ATTEMPTS_SCHEMA, QUARANTINE_SCHEMA, Cadence
 
 PERIOD, BATCH = "period", "batch"
-LAYERS = ("raw", "staging", "final", "sums", "latest", "quarantine")
+LAYERS = ("raw", "staging", "final", "sums", "latest", "quarantine", "attempts")
+# Layers without periods.
+UNDATED = ("latest", "quarantine", "attempts")
 # Log entries: a staged folder, a final version, a version of the sums, a merged batch, a version
 # of the last staged times.
 STAGED, FINAL, SUMS, MERGED, LATEST = "staged", "final", "sums", "merged", "latest"
@@ -85,6 +87,7 @@ class Tables:
             "sums": f"sums/{self.cadence.bars_table}",
             "latest": f"latest/{self.cadence.bars_table}",
             "quarantine": f"quarantine/{self.cadence.bars_table}",
+            "attempts": f"attempts/{self.cadence.bars_table}",
             "log": f"log/{self.cadence.bars_table}",
         }
         return f"{self.root.rstrip('/')}/{names[layer]}"
@@ -102,10 +105,11 @@ class Tables:
                 ]
             ),
             "quarantine": QUARANTINE_SCHEMA,
+            "attempts": ATTEMPTS_SCHEMA,
         }[layer]
 
     def partitions(self, layer: str) -> list[str]:
-        return [BATCH] if layer in ("latest", "quarantine") else [PERIOD, BATCH]
+        return [BATCH] if layer in UNDATED else [PERIOD, BATCH]
 
     def create(self, spark: SparkSession) -> None:
         """Create missing tables, empty; existing ones stay untouched."""
@@ -165,11 +169,17 @@ class Tables:
         layer: str,
         where: Callable[[date, str], bool] | None = None,
         state: State | None = None,
+        not_batch: str | None = None,
     ) -> DataFrame:
-        """Rows of a layer in table columns; of versioned layers only folders ``where`` takes."""
+        """Rows of a layer in table columns; of versioned layers only folders ``where`` takes.
+
+        Of the others all, or all but those of one batch.
+        """
         names = self.schema(layer).fieldNames()
         if layer not in ("staging", "final", "sums"):
             rows = spark.read.schema(self._stored(layer)).parquet(self.path(layer))
+            if not_batch is not None:
+                rows = rows.filter(F.col(BATCH) != not_batch)
             return rows.select(*names)
         live = (state or self.state(spark)).live(layer)
         folders = [f for f in live if where is None or where(*f)]
@@ -206,7 +216,7 @@ class Tables:
         ``arranged`` rows come from ``arrange`` and are not dealt and sorted again.
         """
         columns = self.schema(layer).fieldNames()
-        if layer in ("latest", "quarantine"):
+        if layer in UNDATED:
             stored = rows.select(*columns).withColumn(BATCH, F.lit(batch))
         elif arranged:
             stored = rows.select(*columns, PERIOD, BATCH)

@@ -20,18 +20,24 @@ from marketbars.sources.tables import LATEST, PERIOD, STAGED, Tables
 
 
 def ingest_batch(
-    messages: DataFrame, tables: Tables, batch: str, max_group: int = GROUP_ROWS
+    messages: DataFrame,
+    tables: Tables,
+    batch: str,
+    max_group: int = GROUP_ROWS,
+    keep_rejected: bool = True,
 ) -> dict[str, int]:
     """Store one batch of ``value`` / ``position`` rows; returns its message counts.
 
+    Rejected messages go to quarantine, unless their keeper says that they are there already.
+
     All three outputs are derived from the same input and replace only the files of
     ``batch``. A replay after a failure between two writes therefore completes the missing
     one, and bars staged by the failed attempt do not count as duplicates.
     """
     cadence, spark = tables.cadence, messages.sparkSession
     # Row ids grow along a split, so lines of one file keep their order.
-    arrival = F.struct("position.*", F.monotonically_increasing_id().alias("row"))
-    messages = messages.select("value", arrival.alias("position"))
+    order = F.struct("position.*", F.monotonically_increasing_id().alias("row"))
+    messages = messages.select("value", order.alias("position"))
     classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
     totals = message_totals(classified).head().asDict()
     bars = good_bars(classified, cadence, position="position")
@@ -53,7 +59,9 @@ def ingest_batch(
             bar_message(cadence).alias("value"),
             F.lit("duplicate_key").alias("reason"),
         )
-        rejected = rejected_messages(classified, "message").unionByName(copies)
+        rejected = copies
+        if keep_rejected:
+            rejected = rejected_messages(classified, "message").unionByName(copies)
         tables.write(rejected, "quarantine", batch)
         tables.write(accepted, "staging", batch, arranged=True)
         periods = sorted(r[0] for r in accepted.select(PERIOD).distinct().collect())
