@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.operators import delta, metrics
+from marketbars.operators import delivery, delta, metrics
 from marketbars.operators import messages as msg
 from marketbars.operators.constraints import constraint_violations
 from marketbars.operators.dedupe import arrival, first_write_wins, known_keys
@@ -332,6 +332,45 @@ def redriven_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, "staging")
 
 
+def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars as messages with the columns of a Kafka reader, and the batch that reads them.
+
+    Four partitions, offsets in order of event number. Of 97 events one is never delivered, one in
+    fifty is delivered twice, the second time with the next batch, and seven in a row out of every
+    400 come only with the next batch.
+    """
+    bars = fx.intraday_bars(spark, sf_dir, extra=("event_id",))
+    number = F.col("event_id")
+    rows = fx.messages(bars, INTRADAY, "event_id", "timestamp").filter(number % 97 != 13)
+    batch = F.floor(number / 1000) + F.when(number % 400 < 7 * 4, 1).otherwise(0)
+    batches = F.when(number % 50 == 7, F.array(batch, batch + 1)).otherwise(F.array(batch))
+    return rows.select(
+        F.col("value").cast("binary").alias("value"),
+        (number % 4).cast("int").alias("partition"),
+        F.floor(number / 4).alias("offset"),
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
+        F.explode(batches).alias("batch"),
+    )
+
+
+def delivery_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lost, repeated and late ranges of the offsets that the rows of a topic came with."""
+    rows = topics.kafka_rows(topic_rows(spark, sf_dir), "batch")
+    return delivery.delivery_audit(
+        rows.select("position.partition", "position.offset", "batch"), chunk=64
+    )
+
+
+def topic_rows_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows ingested batch by batch: every bar that was delivered, once."""
+    tables = Tables(work_dir(spark, "topic-rows"), INTRADAY)
+    tables.create(spark)
+    rows = topics.kafka_rows(topic_rows(spark, sf_dir), "batch")
+    for odd in (0, 1):
+        ingest_batch(rows.filter(F.col("batch") % 2 == odd).drop("batch"), tables, f"read-{odd}")
+    return tables.read(spark, "staging")
+
+
 def _scheduled_run(cadence: Cadence) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Landed documents through extract, ingest and refresh into the final table."""
@@ -594,6 +633,8 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_intraday": _stream(INTRADAY),
     "stream_ingest_daily": _stream(DAILY),
     "stream_quarantine": stream_quarantine,
+    "delivery_audit": delivery_audit,
+    "topic_rows_staged": topic_rows_staged,
     "redrive_quarantine": redrive_quarantine,
     "redriven_staging": redriven_staging,
     "scheduled_run_intraday": _scheduled_run(INTRADAY),

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from marketbars.schemas import Cadence
 
 
-def kafka_rows(rows: DataFrame) -> DataFrame:
-    """Kafka's columns as ``value`` and ``position``.
+def kafka_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """Kafka's columns as ``value`` and ``position``; ``keep`` names further ones to carry along.
 
     Time of arrival first: original and correction of one bar may lie in different partitions.
     Then the partition as a number and the offset, which orders a partition's messages.
     """
     position = F.struct(F.col("timestamp").alias("arrived"), F.col("partition"), F.col("offset"))
-    return rows.select(F.col("value").cast("string").alias("value"), position.alias("position"))
+    value = F.col("value").cast("string")
+    return rows.select(value.alias("value"), position.alias("position"), *keep)
 
 
 def kafka_options(cadence: Cadence, servers: str) -> dict[str, str]:
