@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marketbars.operators.messages import CONTROL
@@ -36,16 +36,21 @@ def bars_per_symbol(bars: DataFrame) -> DataFrame:
     )
 
 
-def message_totals(classified: DataFrame) -> DataFrame:
-    """One row: messages seen, processed, rejected, and bars they carried."""
+def total_columns() -> dict[str, Column]:
+    """Aggregates over classified messages: seen, processed, rejected, and the bars they carried."""
     good = F.col("reason").isNull()
     control = F.coalesce(F.col("reason") == CONTROL, F.lit(False))
-    return classified.agg(
-        F.count("*").alias("n_messages"),
-        F.count_if(~control).alias("n_processed"),
-        F.count_if(~good & ~control).alias("n_rejected"),
-        F.coalesce(F.sum(F.when(good, F.size("bars"))), F.lit(0)).alias("n_bars"),
-    )
+    return {
+        "n_messages": F.count(F.lit(1)),
+        "n_processed": F.count_if(~control),
+        "n_rejected": F.count_if(~good & ~control),
+        "n_bars": F.coalesce(F.sum(F.when(good, F.size("bars"))), F.lit(0)),
+    }
+
+
+def message_totals(classified: DataFrame) -> DataFrame:
+    """One row: messages seen, processed, rejected, and bars they carried."""
+    return classified.agg(*[a.alias(name) for name, a in total_columns().items()])
 
 
 def observed(df: DataFrame, **aggregates) -> tuple[DataFrame, Observation]:

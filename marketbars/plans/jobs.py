@@ -18,7 +18,7 @@ from marketbars.operators.reach import reached_analytics
 from marketbars.operators.skew import GROUP_ROWS, small_side
 from marketbars.operators.sums import Sums, Touched, corrected, stretch_sums
 from marketbars.operators.upsert import affected_rows, upsert
-from marketbars.schemas import DEFAULT_SYMBOLS, moment
+from marketbars.schemas import DEFAULT_SYMBOLS, RUNS_SCHEMA, moment
 from marketbars.session import ensure_checkpoint_dir
 from marketbars.sources.tables import FINAL, MERGED, SUMS, State, Tables
 from marketbars.streaming.ingest import stream_ingest
@@ -58,6 +58,39 @@ def extract_delta(
     return sent
 
 
+def extract_stream(
+    landed: DataFrame,
+    tables: Tables,
+    send: Callable[[DataFrame], None],
+    checkpoint: str,
+    symbols=DEFAULT_SYMBOLS,
+) -> int:
+    """Send the new bars of all responses landed since the last call; returns messages sent.
+
+    ``landed`` is a stream of landed responses. What has been extracted is remembered in
+    ``checkpoint``: no folder is named by the caller or read twice. Each batch looks up the last
+    staged times as they are when it starts. A batch that died is done again under its own name:
+    its rejects are replaced, its messages sent again (ingest takes a bar once).
+    """
+    spark, sent = landed.sparkSession, []
+    tables.create(spark)
+
+    def extract(batch: DataFrame, batch_id: int) -> None:
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the batch does not know its streaming query")
+        sent.append(extract_delta(batch, tables, send, symbols, f"{query}-{batch_id}"))
+
+    (
+        landed.writeStream.foreachBatch(extract)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return sum(sent)
+
+
 def refresh(
     spark: SparkSession,
     tables: Tables,
@@ -166,10 +199,25 @@ def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) ->
 
 
 def ingest(messages: DataFrame, tables: Tables, checkpoint: str) -> dict[str, int]:
-    """Store what the topic holds now; returns message counts summed over its batches."""
+    """Store what the topic holds now; returns message counts summed over its batches.
+
+    The counts of every batch, taken while it was stored, are kept in the ``runs`` table, with the
+    time that the stream's progress reports for it.
+    """
+    spark, counted = messages.sparkSession, {}
+    tables.create(spark)
+    query = stream_ingest(messages, tables, checkpoint, on_batch=counted.__setitem__)
+    query.awaitTermination()
+    seconds = {
+        f"{query.id}-{p['batchId']}": p["batchDuration"] / 1000 for p in query.recentProgress
+    }
+    rows = [(name, *totals.values(), seconds.get(name)) for name, totals in counted.items()]
+    if rows:
+        # A row per batch of one run.
+        tables.write(spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1), "runs", f"{query.runId}")
     totals: Counter[str] = Counter()
-    tables.create(messages.sparkSession)
-    stream_ingest(messages, tables, checkpoint, on_batch=totals.update).awaitTermination()
+    for of in counted.values():
+        totals.update(of)
     return dict(totals)
 
 
@@ -184,9 +232,17 @@ def run(
     symbols=DEFAULT_SYMBOLS,
     run_id: str | None = None,
 ) -> dict[str, int]:
-    """One scheduled run: extract, ingest, merge what is new. Scheduling is left to the caller."""
+    """One scheduled run: extract, ingest, merge what is new. Scheduling is left to the caller.
+
+    ``landed`` are the responses of this run, or a stream of all responses (``landed`` beside the
+    ingest's ``checkpoint`` then remembers what was extracted).
+    """
     tables.create(spark)
-    sent = extract_delta(landed, tables, send, symbols, run_id)
+    if landed.isStreaming:
+        offsets = f"{checkpoint.rstrip('/')}-landed"
+        sent = extract_stream(landed, tables, send, offsets, symbols)
+    else:
+        sent = extract_delta(landed, tables, send, symbols, run_id)
     totals = ingest(receive(), tables, checkpoint)
     affected = refresh_outstanding(spark, tables, as_of)
     return {

@@ -20,6 +20,7 @@ from marketbars.plans import jobs
 from marketbars.schemas import DAILY, INTRADAY, PRICE, Cadence, moment
 from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
+from marketbars.sources import landed as landed_source
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
 from marketbars.streaming.ingest import ingest_batch
@@ -155,18 +156,46 @@ def validate_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _staged(spark: SparkSession, sf_dir: str, cadence: Cadence) -> DataFrame:
+    return bars_of(spark, sf_dir, cadence).filter(
+        (_time(cadence) < _at(cadence, STAGED_UNTIL[cadence.name]))
+        & (F.col("symbol") != UNSTAGED[cadence.name])
+    )
+
+
 def _delta(cadence: Cadence) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = bars_of(spark, sf_dir, cadence).filter(
-            (_time(cadence) < _at(cadence, STAGED_UNTIL[cadence.name]))
-            & (F.col("symbol") != UNSTAGED[cadence.name])
-        )
+        staged = _staged(spark, sf_dir, cadence)
         sent = delta.delta_messages(landed(spark, sf_dir, cadence), staged, cadence)
         return msg.parse_messages(sent, cadence).drop("raw_data")
 
     return query
 
 
+def _extract_stream(cadence: Cadence) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Documents landing in two arrivals, extracted by a stream; what was sent."""
+        base = work_dir(spark, f"extract-{cadence.name}")
+        tables = Tables(f"{base}/tables", cadence)
+        tables.create(spark)
+        staged = fx.messages(_staged(spark, sf_dir, cadence), cadence)
+        ingest_batch(staged.withColumn("position", F.struct(F.lit(0))), tables, "staged")
+        documents = landed(spark, sf_dir, cadence)
+        for odd in (0, 1):
+            arrived = documents.filter(F.col("page") % 2 == odd)
+            arrived.select("symbol", "status", "body").write.mode("append").json(f"{base}/landed")
+            jobs.extract_stream(
+                landed_source.stream_landed(spark, f"{base}/landed"),
+                tables,
+                lambda messages: topics.write_files(messages, f"{base}/topic"),
+                f"{base}/offsets",
+                symbols=None,
+            )
+        return msg.parse_messages(topics.read_files(spark, f"{base}/topic"), cadence).drop("raw_data")
+
+    return query
+
+
 # --- messages --------------------------------------------------------------------------
 
 
@@ -371,6 +400,18 @@ def topic_rows_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, "staging")
 
 
+def ingest_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream of several batches, as the run table keeps them."""
+    base = work_dir(spark, "run-table")
+    messages = defective_messages(spark, sf_dir)
+    topics.write_files(messages.repartition(3, "event_id"), f"{base}/topic")
+    tables = Tables(f"{base}/tables", INTRADAY)
+    jobs.ingest(topics.stream_files(spark, f"{base}/topic", 1), tables, f"{base}/offsets")
+    names = ("n_messages", "n_processed", "n_rejected", "n_bars")
+    sums = [F.sum(name).alias(name) for name in names]
+    return tables.read(spark, "runs").agg(F.count_distinct("ingested").alias("n_batches"), *sums)
+
+
 def _scheduled_run(cadence: Cadence) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Landed documents through extract, ingest and refresh into the final table."""
@@ -633,6 +674,9 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_intraday": _stream(INTRADAY),
     "stream_ingest_daily": _stream(DAILY),
     "stream_quarantine": stream_quarantine,
+    "extract_stream_intraday": _extract_stream(INTRADAY),
+    "extract_stream_daily": _extract_stream(DAILY),
+    "ingest_run_table": ingest_run_table,
     "delivery_audit": delivery_audit,
     "topic_rows_staged": topic_rows_staged,
     "redrive_quarantine": redrive_quarantine,

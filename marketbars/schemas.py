@@ -192,3 +192,15 @@ ATTEMPTS_SCHEMA = T.StructType(
         T.StructField("reason", T.StringType()),
     ]
 )
+
+# What a batch of messages held; seconds are NULL where the stream no longer tells them.
+RUNS_SCHEMA = T.StructType(
+    [
+        T.StructField("ingested", T.StringType()),
+        T.StructField("n_messages", T.LongType()),
+        T.StructField("n_processed", T.LongType()),
+        T.StructField("n_rejected", T.LongType()),
+        T.StructField("n_bars", T.LongType()),
+        T.StructField("seconds", T.DoubleType()),
+    ]
+)

@@ -16,6 +16,12 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDED_SCHEMA).json(path)
 
 
+def stream_landed(spark: SparkSession, path: str, max_bytes: int = 10_000_000_000) -> DataFrame:
+    """Envelopes from JSON lines as they land, about ``max_bytes`` of files per batch."""
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("maxBytesPerTrigger", max_bytes)
+    return reader.json(path)
+
+
 def read_landed_bodies(spark: SparkSession, path: str) -> DataFrame:
     """One bare response body per file; the file's folder ``symbol=...`` names the symbol."""
     schema = "value string, symbol string"

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketbars.schemas import ATTEMPTS_SCHEMA, QUARANTINE_SCHEMA, Cadence
+from marketbars.schemas import ATTEMPTS_SCHEMA, QUARANTINE_SCHEMA, RUNS_SCHEMA, Cadence
 
 PERIOD, BATCH = "period", "batch"
-LAYERS = ("raw", "staging", "final", "sums", "latest", "quarantine", "attempts")
+LAYERS = ("raw", "staging", "final", "sums", "latest", "quarantine", "attempts", "runs")
 # Layers without periods.
-UNDATED = ("latest", "quarantine", "attempts")
+UNDATED = ("latest", "quarantine", "attempts", "runs")
 # Log entries: a staged folder, a final version, a version of the sums, a merged batch, a version
 # of the last staged times.
 STAGED, FINAL, SUMS, MERGED, LATEST = "staged", "final", "sums", "merged", "latest"
@@ -88,6 +88,7 @@ class Tables:
             "latest": f"latest/{self.cadence.bars_table}",
             "quarantine": f"quarantine/{self.cadence.bars_table}",
             "attempts": f"attempts/{self.cadence.bars_table}",
+            "runs": f"runs/{self.cadence.bars_table}",
             "log": f"log/{self.cadence.bars_table}",
         }
         return f"{self.root.rstrip('/')}/{names[layer]}"
@@ -106,6 +107,7 @@ class Tables:
             ),
             "quarantine": QUARANTINE_SCHEMA,
             "attempts": ATTEMPTS_SCHEMA,
+            "runs": RUNS_SCHEMA,
         }[layer]
 
     def partitions(self, layer: str) -> list[str]:

@@ -14,7 +14,7 @@ from marketbars.functions.documents import bar_message
 from marketbars.operators.dedupe import arrival, mark_duplicates
 from marketbars.operators.delta import latest_per_symbol
 from marketbars.operators.messages import classify_messages, good_bars, rejected_messages
-from marketbars.operators.metrics import message_totals
+from marketbars.operators.metrics import observed, total_columns
 from marketbars.operators.skew import GROUP_ROWS
 from marketbars.sources.tables import LATEST, PERIOD, STAGED, Tables
 
@@ -38,8 +38,9 @@ def ingest_batch(
     # Row ids grow along a split, so lines of one file keep their order.
     order = F.struct("position.*", F.monotonically_increasing_id().alias("row"))
     messages = messages.select("value", order.alias("position"))
-    classified = classify_messages(messages, cadence).persist(StorageLevel.MEMORY_AND_DISK)
-    totals = message_totals(classified).head().asDict()
+    # Counted while the first action fills the cache: no pass of its own.
+    classified, totals = observed(classify_messages(messages, cadence), **total_columns())
+    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     bars = good_bars(classified, cadence, position="position")
     came, state = arrival(bars, cadence), tables.state(spark)
     staged = tables.read(
@@ -77,7 +78,7 @@ def ingest_batch(
         accepted.unpersist()
         marked.unpersist()
         classified.unpersist()
-    return totals
+    return dict(totals.get)
 
 
 def stream_ingest(
@@ -85,11 +86,11 @@ def stream_ingest(
     tables: Tables,
     checkpoint: str,
     max_group: int = GROUP_ROWS,
-    on_batch: Callable[[dict[str, int]], None] = lambda totals: None,
+    on_batch: Callable[[str, dict[str, int]], None] = lambda batch, totals: None,
 ) -> StreamingQuery:
     """Ingest everything the topic holds now, then stop.
 
-    ``on_batch`` receives the message counts of every stored batch.
+    ``on_batch`` receives name and message counts of every stored batch.
 
     Offsets live in ``checkpoint``: the next start resumes behind the last finished batch.
     Batch names start with the query's id, so a new checkpoint never overwrites old batches.
@@ -100,7 +101,8 @@ def stream_ingest(
         query = context.getLocalProperty("sql.streaming.queryId")
         if not query:
             raise RuntimeError("the batch does not know its streaming query")
-        on_batch(ingest_batch(batch, tables, f"{query}-{batch_id}", max_group))
+        name = f"{query}-{batch_id}"
+        on_batch(name, ingest_batch(batch, tables, name, max_group))
 
     return (
         messages.writeStream.foreachBatch(store)

@@ -377,6 +377,63 @@ def test_a_rerun_replaces_its_rejects(spark, tmp_path):
     assert [r[2] for r in world.rows("quarantine")] == ["http_status"] * 2
 
 
+def test_landed_responses_are_extracted_once_as_they_come(spark, tmp_path, hours):
+    world = World(spark, tmp_path, INTRADAY)
+    folder = tmp_path / "landed"
+    folder.mkdir()
+
+    def put(name, envelopes):
+        (folder / name).write_text("".join(json.dumps(e) + "\n" for e in envelopes))
+
+    def run(as_of):
+        return jobs.run(
+            spark,
+            world.tables,
+            landed_source.stream_landed(spark, str(folder), 1000),
+            send=lambda messages: topics.write_files(messages, world.topic),
+            receive=lambda: topics.stream_files(spark, world.topic),
+            checkpoint=str(tmp_path / "offsets"),
+            as_of=as_of,
+            symbols=("A", "B"),
+        )
+
+    put("1.json", [envelope("A", hours[29], series(hours[:30])), envelope("X", hours[0], {})])
+    put("2.json", [{"symbol": "B", "status": 500, "body": "{}"}])
+    assert run(RUN1) == counts(30, 30, 30)
+    assert run(RUN2) == counts(0, 0, 0)
+    put("3.json", [envelope("A", hours[39], series(hours[:40]))])
+    put("4.json", [envelope("B", hours[39], series(hours[:40]))])
+    assert run(RUN2)["messages_sent"] == 50
+    assert len(world.rows("staging")) == 80
+    assert [r[2] for r in world.rows("quarantine")] == ["http_status"]
+    # Each batch of messages is counted as it is stored.
+    runs = world.tables.read(spark, "runs").collect()
+    assert sum(r.n_bars for r in runs) == 80 and all(r.seconds > 0 for r in runs)
+
+
+def test_a_died_extract_batch_is_done_again(spark, tmp_path, hours):
+    world = World(spark, tmp_path, INTRADAY)
+    folder = land(tmp_path / "landed", [envelope("A", hours[-1], series(hours)), {"symbol": "A"}])
+    sent = []
+
+    def extract(send):
+        return jobs.extract_stream(
+            landed_source.stream_landed(spark, folder), world.tables, send,
+            str(tmp_path / "offsets"), symbols=None,
+        )
+
+    def dying(messages):
+        sent.append(messages.count())
+        raise OSError("the broker is gone")
+
+    with pytest.raises(Exception, match="the broker is gone"):
+        extract(dying)
+    assert extract(lambda messages: sent.append(messages.count())) == 60
+    assert sent == [60, 60]
+    assert [r[2] for r in world.rows("quarantine")] == ["http_status"]
+    assert extract(lambda messages: sent.append(-1)) == 0
+
+
 def test_bare_bodies(spark, tmp_path):
     folder = tmp_path / "bodies" / "symbol=A"
     folder.mkdir(parents=True)
