@@ -383,7 +383,8 @@ def schedule(
     lanes = {r["lane"]: r["amount"] for r in by_lane.collect()}
     blocks = {k: max(1, -(-n // block_words)) for k, n in lanes.items()}
     plan = exact_phases(blocks, {k: shares[k] for k in sorted(lanes)}, quanta)
-    placed = placed_blocks(spark, plan)
+    # Written first: a join then knows how large it is, and shuffles what is too large to send.
+    placed = stored(placed_blocks(spark, plan), f"{folder}-placed")
     of_lane = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     last_block = F.element_at(of_lane, F.col("lane")) - 1 if blocks else F.lit(0)
     inside = W.partitionBy("lane", "bucket").orderBy("turn", "key", "doc_id", "text_key", "source")

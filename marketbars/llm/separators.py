@@ -11,21 +11,33 @@ from pyspark.sql import functions as F
 
 from marketbars.llm.common import fresh_file, kind_of, open_folder, slices
 from marketbars.llm.encode import encoder
+from marketbars.llm.tokenfile import id_width
 from marketbars.session import ensure_checkpoint_dir, work_dir
 
 # Ids of one block; a block is what one step of a task reads.
 BLOCK_IDS = 4_000_000
 
 
+def width_of(tokenizer: str, end_id: int) -> int:
+    """Bytes that hold every id of the tokenizer, and the end."""
+    vocabulary = encoder(tokenizer, special_as_text=True).tokenizer.get_vocab()
+    return id_width(max(*vocabulary.values(), end_id) + 1)
+
+
 def flat_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, width: int = 2
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, width: int | None = None
 ) -> DataFrame:
     """Write ids of whole documents one after the other, each ended by ``end_id``.
 
+    An id takes ``width`` bytes: as many as the vocabulary needs, unless it is given. An id that
+    does not fit is an error.
+
     Returns, apart from the files, which document is the how-manieth of which file. Special
     strings in a text are ordinary text, so that ``end_id`` stands for ends alone.
     """
     spark = docs.sparkSession
+    width = width or width_of(tokenizer, end_id)
+    most = (1 << 8 * width) - 1
     parts = f"{folder}/flat"
     system, path = open_folder(parts)
     system.create_dir(path, recursive=True)
@@ -40,6 +52,8 @@ def flat_files(
                 out = system.open_output_stream(path)
             for data in encode(part.column("text").to_pylist()):
                 ids = np.append(np.frombuffer(data, "<u4"), end_id)
+                if ids.max() > most:
+                    raise ValueError(f"id {ids.max()} does not fit {width} bytes")
                 out.write(ids.astype(f"<u{width}").tobytes())
             rows = np.arange(at, at + part.num_rows)
             at += part.num_rows
@@ -178,6 +192,7 @@ def document_token_counts(docs: DataFrame, tokenizer: str, end_id: int) -> DataF
     table gives no row; other columns are not read.
     """
     spark: SparkSession = docs.sparkSession
-    order = flat_files(docs, work_dir(spark, "flat-tokens"), tokenizer, end_id)
-    counted = token_counts(order, end_id)
+    width = width_of(tokenizer, end_id)
+    order = flat_files(docs, work_dir(spark, "flat-tokens"), tokenizer, end_id, width)
+    counted = token_counts(order, end_id, width)
     return order.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "start", "ended")

@@ -111,6 +111,30 @@ def test_ids_must_be_integers(spark):
 # --- separator scan ----------------------------------------------------------------------
 
 
+def test_a_vocabulary_beyond_two_bytes(spark, tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    words = {f"w{i}": i for i in range(70_001)} | {"[unk]": 70_001, "[end]": 70_002}
+    made = Tokenizer(models.WordLevel(words, unk_token="[unk]"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "words.json")
+    made.save(path)
+    # 70002 modulo 65536 is 4466: in two bytes, w4466 would end a document.
+    rows = [row(1, "w4466 w70000 w4464"), row(2, "w4466"), row(3, None), row(4, "w5 other")]
+    assert separators.width_of(path, 70_002) == 4
+    counted = separators.document_token_counts(frame(spark, rows), path, 70_002).collect()
+    assert {r.doc_id: r.n_tokens for r in counted} == {1: 3, 2: 1, 3: 0, 4: 2}
+    folder = work_dir(spark, "narrow")
+    with pytest.raises(Exception, match="does not fit 2 bytes"):
+        separators.flat_files(frame(spark, rows), folder, path, 70_002, width=2)
+
+
+def test_placed_blocks_are_measured_before_they_are_joined(spark):
+    docs = frame(spark, [row(i, "a b c " * 50, source=str(i % 3)) for i in range(60)])
+    files = mixing.schedule(docs, block_words=10).inputFiles()
+    assert any("-placed/" in file for file in files)
+
+
 def stored(spark, arrays, width):
     folder = work_dir(spark, "flat")
     system, path = separators.open_folder(folder)
