@@ -44,9 +44,11 @@ def by_symbol(bars: DataFrame) -> DataFrame:
 SHORT, LONG, VOLUMES = 50, 200, 20
 
 
-def daily_indicators(bars: DataFrame) -> DataFrame:
+def daily_indicators(bars: DataFrame, gathered: bool = False) -> DataFrame:
     """Add daily change and the 50 / 200-row price and 20-row volume averages.
 
+    Series that lie together already (``gathered``) are not shuffled.
+
     Frames count rows, not days, and average whatever rows exist. A frame of n rows is the
     running sum here minus the running sum n rows back: work per row does not grow with n.
     """
@@ -54,7 +56,7 @@ def daily_indicators(bars: DataFrame) -> DataFrame:
     so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close = F.col("close_price")
 
-    running = by_symbol(bars).select(
+    running = (bars if gathered else by_symbol(bars)).select(
         "*",
         F.lag(close).over(series).alias("_before"),
         F.row_number().over(series).alias("_row"),
@@ -84,12 +86,17 @@ def daily_indicators(bars: DataFrame) -> DataFrame:
 # --- intraday --------------------------------------------------------------------------
 
 
-def intraday_indicators(bars: DataFrame, max_group: int = GROUP_ROWS) -> DataFrame:
+def intraday_indicators(
+    bars: DataFrame, max_group: int = GROUP_ROWS, gathered: bool = False
+) -> DataFrame:
     """Add previous close, change against it, and the whole-day VWAP.
 
-    The previous close runs across days; the VWAP is one value per symbol and day.
+    The previous close runs across days; the VWAP is one value per symbol and day. Series that
+    lie together already (``gathered``) are neither counted nor shuffled.
     """
-    if (hot := hot_groups(bars, ["symbol"], max_group)) is None:
+    if gathered:
+        priced = _by_symbol(bars, gathered)
+    elif (hot := hot_groups(bars, ["symbol"], max_group)) is None:
         priced = _by_symbol(bars)
     else:
         # Only the few large series are cut into slices.
@@ -111,9 +118,9 @@ def _volume() -> Column:
     return F.col("volume").cast("decimal(19,0)")
 
 
-def _by_symbol(bars: DataFrame) -> DataFrame:
+def _by_symbol(bars: DataFrame, gathered: bool = False) -> DataFrame:
     # Ordering by day and time sorts once for both windows.
-    dated = by_symbol(bars).withColumn(_DAY, F.to_date("timestamp"))
+    dated = (bars if gathered else by_symbol(bars)).withColumn(_DAY, F.to_date("timestamp"))
     series = Window.partitionBy("symbol").orderBy(_DAY, "timestamp")
     whole_day = Window.partitionBy("symbol", _DAY)
     return dated.select(
@@ -301,7 +308,7 @@ def _by_slice(bars: DataFrame, max_group: int) -> DataFrame:
 def indicators(bars: DataFrame, cadence: Cadence, **options) -> DataFrame:
     if cadence.name == "intraday":
         return intraday_indicators(bars, **options)
-    return daily_indicators(bars)
+    return daily_indicators(bars, **options)
 
 
 def generated_columns(rows: DataFrame, cadence: Cadence) -> DataFrame:

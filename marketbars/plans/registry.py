@@ -22,6 +22,7 @@ from marketbars.session import work_dir
 from marketbars.sources import fixtures as fx
 from marketbars.sources import landed as landed_source
 from marketbars.sources import topics
+from marketbars.sources.bucketed import bucketed_analytics, bucketed_upsert, write_bucketed
 from marketbars.sources.tables import Tables
 from marketbars.streaming.ingest import ingest_batch
 from marketbars.streaming.redrive import redrive, retries
@@ -42,6 +43,9 @@ UNSTAGED = {"intraday": "signup", "daily": "S1"}
 PAGE = 500
 # Small enough to send the test tables through the hot-group paths.
 HOT_GROUP = 50
+# Some of the symbols have more bars than this, before or after the split of the upsert.
+HOT_BUCKET = 130
+BUCKETS = 8
 
 
 def bars_of(spark: SparkSession, sf_dir: str, cadence: Cadence, *extra: str) -> DataFrame:
@@ -538,6 +542,28 @@ def _upsert(cadence: Cadence) -> Query:
     return query
 
 
+def _bucketed_upsert(cadence: Cadence, **options) -> Query:
+    """The same from bars and a target that are kept by symbol, in buckets."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = work_dir(spark, f"bucketed-{cadence.name}")
+        bars = bars_of(spark, sf_dir, cadence)
+        sides = []
+        for name, part, as_of in (
+            ("old", _time(cadence) < _at(cadence, TARGET_UNTIL[cadence.name]), FIRST_RUN),
+            ("new", _time(cadence) >= _at(cadence, STAGED_UNTIL[cadence.name]), SECOND_RUN),
+        ):
+            stored = write_bucketed(
+                bars.filter(part), cadence, f"{base}/{name}", BUCKETS, **options
+            )
+            sides.append(bucketed_analytics(stored, cadence, moment(as_of), **options))
+        old, new = sides
+        target = write_bucketed(old.rows(), cadence, f"{base}/final", BUCKETS, **options)
+        return bucketed_upsert(target, new, cadence)
+
+    return query
+
+
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert(INTRADAY)(spark, sf_dir).groupBy("action").agg(F.count("*").alias("n"))
 
@@ -691,6 +717,9 @@ QUERIES: dict[str, Query] = {
     "constraint_check": constraint_check,
     "upsert_intraday": _upsert(INTRADAY),
     "upsert_daily": _upsert(DAILY),
+    "bucketed_upsert_intraday": _bucketed_upsert(INTRADAY),
+    "bucketed_upsert_daily": _bucketed_upsert(DAILY),
+    "bucketed_upsert_hot_symbols": _bucketed_upsert(INTRADAY, max_group=HOT_BUCKET),
     "upsert_counts": upsert_counts,
     "upsert_guard_edge": upsert_guard_edge,
     "late_bar_repair": late_bar_repair,

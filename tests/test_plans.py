@@ -1,14 +1,22 @@
 """The physical plans the queries are meant to have."""
 
+import datetime as dt
 import re
 
 import pytest
+from helpers import DAY0, TIME0, bar, daily_frame, intraday_frame
 from pyspark.sql import functions as F
 
-from marketbars.operators.indicators import daily_indicators, intraday_indicators
+from marketbars.operators.indicators import analytics, daily_indicators, intraday_indicators
 from marketbars.operators.upsert import upsert
 from marketbars.plans.registry import QUERIES
-from marketbars.schemas import DAILY, INTRADAY
+from marketbars.schemas import DAILY, INTRADAY, moment
+from marketbars.sources.bucketed import (
+    CO_LOCATED,
+    bucketed_analytics,
+    bucketed_upsert,
+    write_bucketed,
+)
 
 
 @pytest.fixture(scope="module")
@@ -66,10 +74,61 @@ def test_upsert_shuffles_each_side_once(staged, spark):
     assert count(text, "Exchange") == 2
 
 
+# Queries that run jobs of their own before they have a plan.
+SLOW = ("stream", "scheduled", "late", "extract", "ingest_run", "redriv", "topic_rows", "delivery")
+
+
 @pytest.mark.parametrize(
-    "name", sorted(n for n in QUERIES if not n.startswith(("stream", "scheduled", "late")))
+    "name", sorted(n for n in QUERIES if not n.startswith(SLOW))
 )
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for forbidden in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert forbidden not in text
+
+
+@pytest.fixture()
+def co_located(spark):
+    """Joins may use what lies by symbol, and small sides are not broadcast."""
+    given = {**CO_LOCATED, "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in given}
+    for key, value in given.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_bucketed_bars_are_not_shuffled(spark, tmp_path, co_located):
+    rows = [bar(f"S{s}", DAY0 + dt.timedelta(days=i), s + i) for s in range(6) for i in range(9)]
+    bars = write_bucketed(daily_frame(spark, rows), DAILY, str(tmp_path / "bars"), 4)
+    assert bars.hot is None
+    fresh = bucketed_analytics(bars, DAILY, moment(dt.datetime(2025, 1, 2)))
+    assert count(plan(fresh.buckets), "Exchange") == 0
+    old = analytics(daily_frame(spark, rows[:40]), DAILY, moment(dt.datetime(2025, 1, 1)))
+    target = write_bucketed(old, DAILY, str(tmp_path / "final"), 4)
+    merged = bucketed_upsert(target, fresh, DAILY)
+    assert count(plan(merged), "Exchange") == 0
+    assert {r.action: r["count"] for r in merged.groupBy("action").count().collect()} == {
+        "update": 40,
+        "insert": 14,
+    }
+
+
+def test_a_hot_symbol_is_kept_out_of_the_buckets(spark, tmp_path, co_located):
+    rows = [bar("HOT", TIME0 + dt.timedelta(minutes=i), i) for i in range(40)]
+    rows += [bar(s, TIME0 + dt.timedelta(minutes=i), i) for s in ("A", "B") for i in range(5)]
+    frame = intraday_frame(spark, rows)
+    bars = write_bucketed(frame, INTRADAY, str(tmp_path / "bars"), 4, max_group=10)
+    assert {r.symbol for r in bars.buckets.collect()} == {"A", "B"}
+    assert bars.hot.count() == 40
+    fresh = bucketed_analytics(bars, INTRADAY, moment(TIME0), max_group=10)
+    assert count(plan(fresh.buckets), "Exchange") == 0
+    whole = analytics(frame, INTRADAY, moment(TIME0))
+    assert sorted(fresh.rows().collect()) == sorted(whole.collect())
+    # Hot on one side of a merge only.
+    old = analytics(frame.filter("symbol <> 'HOT' OR minute(timestamp) < 33"), INTRADAY, F.lit(None))
+    target = write_bucketed(old, INTRADAY, str(tmp_path / "final"), 4)
+    merged = bucketed_upsert(target, fresh, INTRADAY)
+    plain = upsert(old, whole, INTRADAY)
+    assert sorted(merged.collect(), key=str) == sorted(plain.collect(), key=str)
