@@ -41,23 +41,39 @@ WITH numbered AS (
     unnest(range(0, len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM numbered),
-rolled AS (SELECT *, ({_weights}) % {lc.AVERAGE} = 0 AS ends FROM hashed),
+rolled AS (SELECT *, ({_weights}) % {lc.JOIN} <> 0 AS ends FROM hashed),
 parted AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM rolled),
 chunks AS (
-  SELECT doc_id, chunk, min(i) AS start, count(*) AS n,
-    string_agg(line, chr(10) ORDER BY i) AS body
+  SELECT doc_id, chunk, min(i) AS start, string_agg(line, chr(10) ORDER BY i) AS body
   FROM parted GROUP BY doc_id, chunk),
+placed AS (
+  SELECT doc_id, start,
+    first_value(doc_id) OVER (PARTITION BY body ORDER BY doc_id, start) AS of_doc,
+    first_value(start) OVER (PARTITION BY body ORDER BY doc_id, start) AS of_start
+  FROM chunks WHERE regexp_matches(body, '[^\x20\x09-\x0D]')),
 late AS (
-  SELECT doc_id, chunk FROM (
-    SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS copy FROM chunks
-    WHERE n >= {lc.LEAST_LINES} AND regexp_matches(body, '[^\x20\x09-\x0D]'))
-  WHERE copy > 1),
+  SELECT doc_id, start, of_doc, start - of_start AS shift FROM placed
+  WHERE doc_id <> of_doc OR start <> of_start),
+beside AS (
+  SELECT d.doc_id, p.of_doc, p.shift, d.i,
+    d.i - row_number() OVER (PARTITION BY d.doc_id, p.of_doc, p.shift ORDER BY d.i) AS run
+  FROM (SELECT DISTINCT doc_id, of_doc, shift FROM late) p
+  JOIN numbered d ON d.doc_id = p.doc_id
+  JOIN numbered o ON o.doc_id = p.of_doc AND o.i = d.i - p.shift AND o.line = d.line),
+runs AS (
+  SELECT doc_id, of_doc, shift, run, min(i) AS low, max(i) AS high FROM beside
+  GROUP BY doc_id, of_doc, shift, run HAVING count(*) >= {lc.LEAST_LINES}),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS i
+  FROM (SELECT DISTINCT r.doc_id, low, high FROM runs r JOIN late l
+    ON r.doc_id = l.doc_id AND r.of_doc = l.of_doc AND r.shift = l.shift
+      AND l.start BETWEEN low AND high) a),
 kept AS (
-  SELECT doc_id, count(*) AS n_lines, count(late.chunk) AS n_removed,
-    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (late.chunk IS NULL), '') AS body
-  FROM parted LEFT JOIN late USING (doc_id, chunk) GROUP BY doc_id)
+  SELECT doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone.i IS NULL), '') AS body
+  FROM numbered LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
   sha256(body) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
