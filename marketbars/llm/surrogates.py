@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +15,13 @@ from marketbars.session import ensure_checkpoint_dir, work_dir
 # Titles and a few given names that tell a gender.
 MALE = "Mr Herr Señor Sr Monsieur господин".split()
 FEMALE = "Mrs Ms Miss Frau Señora Sra Madame Mme госпожа".split()
+NEUTRAL = "Dr Prof Professor Professorin Doctor Doktor".split()
 MEN = "James John Robert Michael David Thomas Peter Paul Hans Karl Jean Pierre Juan Carlos".split()
 WOMEN = "Mary Anna Linda Susan Sarah Emma Julia Laura Maria Ursula Marie Claire Carmen Lucia".split()
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _UPPER = r"[\p{Lu}][\p{L}'’-]+"
-_TITLES = "|".join(MALE + FEMALE)
+_TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 _GIVEN = "|".join(MEN + WOMEN)
 _SECRET = "token|secret|password|passwd|api[_-]?key|access[_-]?key|auth|bearer"
 # Every entity begins where no letter or digit stands before: one test rules most places out.
@@ -55,6 +59,13 @@ PATTERNS = {
         _END,
     ),
     "ip": (r"(?<!\d\.)", rf"(?:{_OCTET}\.){{3}}{_OCTET}", r"(?!\.?\d)"),
+    # Eight groups, or fewer around a double colon, with a figure among them.
+    "ip6": (
+        r"(?<![:.])(?=[0-9A-Fa-f:]*\d)",
+        r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})",
+        r"(?![:\p{L}\p{N}_])",
+    ),
     "ssn": (r"(?<!\d-)", r"\d{3}-\d{2}-\d{4}", r"(?![\d-])"),
     "iban": ("", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?", _END),
     # Groups of four, or 4-6-5 and 4-6-4.
@@ -65,8 +76,9 @@ PATTERNS = {
     ),
     "phone": (r"(?=[+(\d])(?<!\+)", rf"(?:{_PHONES})", r"(?!\d)"),
     "name": (
-        rf"(?=[{''.join(sorted({n[0] for n in MALE + FEMALE + MEN + WOMEN}))}])",
-        rf"(?:(?:{_TITLES})\.? {_UPPER}(?: {_UPPER})?|(?:{_GIVEN}) {_UPPER})",
+        rf"(?=[{''.join(sorted({n[0] for n in MALE + FEMALE + NEUTRAL + MEN + WOMEN}))}])",
+        rf"(?:(?:{_TITLES})\.? (?:(?:{_TITLES})\.? )?(?:\p{{Lu}}\. )?{_UPPER}(?: {_UPPER}){{0,2}}"
+        rf"|(?:{_GIVEN}) (?:\p{{Lu}}\. )?{_UPPER}(?: {_UPPER})?)",
         "",
     ),
 }
@@ -92,6 +104,8 @@ ALPHABETS = (
 NONE = "none"
 # Rounds in which colliding surrogates are drawn anew in the entity's own format.
 ATTEMPTS = 6
+# Surrogates that one task draws.
+DRAWN = 2000
 
 
 def kind_of(value: Column) -> Column:
@@ -106,25 +120,62 @@ def kind_of(value: Column) -> Column:
 
 
 def canonical(kind: Column, value: Column) -> Column:
-    """One spelling for all mentions: digits of numbers, e-mail and name without case or title."""
+    """One spelling for all mentions: digits of numbers, addresses without case."""
     digits = F.regexp_replace(value, "[^0-9]", "")
-    bare = F.regexp_replace(value, rf"^(?:{_TITLES})\.? ", "")
     abroad = (kind == "phone") & F.startswith(value, F.lit("+"))
     return (
         F.when(abroad, F.concat(F.lit("+"), digits))
         .when(kind.isin(*DIGITS_ONLY), digits)
         .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
-        .when(kind.isin("email"), F.lower(value))
-        .when(kind == "name", F.concat(gender(value), F.lit(":"), F.lower(bare)))
+        .when(kind.isin("email", "ip6"), F.lower(value))
         .otherwise(value)
     )
 
 
-def gender(value: Column) -> Column:
-    def begins(words: list[str]) -> Column:
-        return F.regexp_like(value, F.lit(rf"^(?:{'|'.join(words)})(?![\p{{L}}])"))
+def title_of(name: Column) -> Column:
+    return F.regexp_extract(name, rf"^(?:(?:{_TITLES})\.? )*", 0)
+
+
+def words_of(name: Column) -> Column:
+    """The words of a name behind its titles."""
+    return F.split(F.substr(name, F.length(title_of(name)) + 1), " ")
+
+
+def known_names(key: str) -> dict[str, str]:
+    """Given names by others of the same gender: all moved on by the same keyed number of places,
+    so that no two become one and none stays."""
+    number = int.from_bytes(hashlib.sha256(f"{key}\x00given".encode()).digest()[:8], "big")
+    found = {}
+    for names in (MEN, WOMEN):
+        step = 1 + number % (len(names) - 1)
+        found |= {n.lower(): names[(i + step) % len(names)].lower() for i, n in enumerate(names)}
+    return found
+
+
+def parts_of(kind: Column, value: Column, key: str) -> Column:
+    """What is replaced by itself: kind, canon and, where the key alone tells it, core.
+
+    Names go word by word, so that a surname has one surrogate in full names, behind titles and
+    alone; known given names and initials are moved on in their lists.
+    """
+    given = F.create_map(*[F.lit(x) for pair in known_names(key).items() for x in pair])
+    number = hashlib.sha256(f"{key}\x00initial".encode()).digest()[0]
+    alphabet = string.ascii_lowercase
+    step = 1 + number % 25
+    moved = alphabet[step:] + alphabet[:step]
+
+    def word(w: Column) -> Column:
+        low = F.lower(w)
+        initial = F.when(F.regexp_like(w, F.lit(r"^\p{Lu}\.$")), F.translate(low, alphabet, moved))
+        return F.struct(
+            F.lit("word").alias("kind"),
+            low.alias("canon"),
+            F.coalesce(F.element_at(given, low), initial).alias("core"),
+        )
 
-    return F.when(begins(MALE + MEN), "m").otherwise("f")
+    none = F.lit(None).cast("string")
+    whole = F.struct(kind.alias("kind"), canonical(kind, value).alias("canon"), none.alias("core"))
+    return F.when(kind == "name", F.transform(words_of(value), word)).otherwise(F.array(whole))
 
 
 def _draw(digest: Column, place: Column, letters: str) -> Column:
@@ -178,13 +229,6 @@ def core(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
     keep = F.when(country > 0, country).otherwise(F.greatest(F.length(canon) - 10, F.lit(0)))
     number = _redrawn(canon, digest, keep=keep)
     body = _redrawn(F.left(canon, F.length(canon) - 1), digest, keep=F.lit(1))
-    sex = F.left(canon, F.lit(1))
-    given = F.lower(F.regexp_extract(canon, rf"(?i)^.:({_GIVEN}) ", 1))
-    other = F.when(sex == "m", _pick(digest, MEN)).otherwise(_pick(digest, WOMEN))
-    rest = F.substr(canon, F.length(given) + 3)
-    named = F.concat(
-        sex, F.lit(":"), F.when(given != "", other).otherwise(""), _redrawn(rest, digest)
-    )
     return (
         F.when(kind == "email", F.concat(F.left(drawn, F.length(drawn) - F.length(tail)), tail))
         .when(kind == "ip", F.array_join(F.array(*octets), "."))
@@ -193,19 +237,31 @@ def core(kind: Column, canon: Column, key: str, attempt: Column) -> Column:
         .when(kind == "key", _redrawn(canon, digest, keep=F.lit(4)))
         .when(kind == "secret", _redrawn(canon, digest, keep=F.lit(4)))
         .when(kind == "iban", _redrawn(canon, digest, keep=F.lit(2)))
-        .when(kind == "hex", _redrawn(canon, digest, hexadecimal=True))
-        .when(kind == "name", named)
+        .when(kind.isin("hex", "ip6"), _redrawn(canon, digest, hexadecimal=True))
         .otherwise(drawn)
     )
 
 
-def _pick(digest: Column, names: list[str]) -> Column:
-    place = F.conv(F.substr(digest, F.lit(121), F.lit(4)), 16, 10).cast("int") % len(names)
-    return F.lower(F.element_at(F.array(*map(F.lit, names)), place + 1))
+def cased(model: Column, made: Column) -> Column:
+    """``made`` with capitals where ``model`` has them; behind its end if it has nothing else."""
+    capitals = (F.length(model) > 1) & (model == F.upper(model))
+    letters = F.filter(F.split(made, ""), lambda c: c != "")
+
+    def one(c: Column, i: Column) -> Column:
+        upper = F.regexp_like(F.substr(model, i + 1, F.lit(1)), F.lit(r"\p{Lu}"))
+        return F.when(upper | ((i >= F.length(model)) & capitals), F.upper(c)).otherwise(c)
+
+    return F.array_join(F.transform(letters, one), "")
+
+
+def rendered_name(value: Column, made: Column) -> Column:
+    """A name's titles, and its words' surrogates in the case of the words."""
+    words = F.zip_with(words_of(value), made, cased)
+    return F.concat(title_of(value), F.array_join(words, " "))
 
 
 def rendered(kind: Column, value: Column, made: Column) -> Column:
-    """The surrogate as this mention writes it: its separators, its case, its title.
+    """The surrogate as this mention writes it: its separators, its case.
 
     What a lengthened surrogate has beyond the mention's digits or letters follows behind them.
     """
@@ -228,13 +284,6 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
             ),
         ).otherwise(c),
     )
-    cased = F.transform(
-        F.filter(F.split(made, ""), lambda c: c != ""),
-        lambda c, i: F.when(
-            F.regexp_like(F.substr(value, i + 1, F.lit(1)), F.lit(r"\p{Lu}")), F.upper(c)
-        ).otherwise(c),
-    )
-    title = F.regexp_extract(value, rf"^(?:{_TITLES})\.? ", 0)
     used = F.when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(
         F.regexp_replace(value, "[^0-9]", "")
     )
@@ -242,8 +291,7 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
     return (
         F.when(kind.isin(*DIGITS_ONLY), F.concat(F.array_join(digits, ""), beyond))
         .when(kind == "iban", F.concat(F.array_join(spaced, ""), beyond))
-        .when(kind == "email", F.array_join(cased, ""))
-        .when(kind == "name", F.concat(title, F.initcap(F.substr(made, F.lit(3)))))
+        .when(kind.isin("email", "ip6"), cased(value, made))
         .when(kind != NONE, made)
     )
 
@@ -257,6 +305,9 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """
     spark = entities.sparkSession
     ensure_checkpoint_dir(spark)
+    # Few bytes, but much work each: dealt by their number, not by their size.
+    entities = entities.checkpoint()
+    entities = entities.repartition(entities.count() // DRAWN + 1, "canon")
     real = entities.select("kind", F.col("canon").alias("core"))
     held = entities.withColumn("attempt", F.lit(0)).withColumn(
         "core", core(F.col("kind"), F.col("canon"), key, F.col("attempt"))
@@ -294,11 +345,13 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """All rows of ``docs`` with surrogates for private entities; adds ``n_entities``.
 
-    Detected are e-mail addresses, access keys and tokens, IPv4 addresses, card numbers with a
-    right check digit, phone, social security and account numbers, and names behind a title or a known given name. A surrogate
-    depends on the key and the entity alone, so that all mentions in all documents agree, however
-    they are written; it keeps the entity's type, length, separators, script and case, the title
-    and gender of names, the country code of numbers and a card's valid check digit.
+    Detected are e-mail addresses, access keys and tokens, IP addresses, card numbers with a
+    right check digit, phone, social security and account numbers, and names behind a title or a
+    known given name. A surrogate depends on the key and the entity alone, so that all mentions in
+    all documents agree, however they are written; names agree word by word, so that a person's
+    surname is the same with and without given name. Surrogates keep the entity's type, length,
+    separators, script and case, the titles of names and the gender of known given names, the
+    country code of numbers and a card's valid check digit.
 
     Texts without entities, null and empty ones stay as they are (0 entities). Equal rows get
     equal results. Only documents with an entity are shuffled; an entity that a third of all
@@ -325,17 +378,28 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("place", "value"),
     ).distinct()
     kind = kind_of(F.col("value"))
-    typed = (
-        mentions.withColumn("kind", kind)
-        .withColumn("canon", canonical(F.col("kind"), F.col("value")))
+    typed = mentions.withColumn("kind", kind)
+    parts = typed.select(
+        "*", F.posexplode(parts_of(F.col("kind"), F.col("value"), key)).alias("part", "of")
     )
+    unknown = (F.col("kind") != NONE) & F.col("of.core").isNull()
     made = distinct_surrogates(
-        typed.filter(F.col("kind") != NONE).select("kind", "canon").distinct(), key
+        parts.filter(unknown).select("of.kind", "of.canon").distinct(), key
+    ).withColumnsRenamed({"kind": "of_kind", "canon": "of_canon"})
+    drawn = parts.join(
+        made,
+        unknown & (F.col("of.kind") == F.col("of_kind")) & (F.col("of.canon") == F.col("of_canon")),
+        "left",
     )
-    given = F.coalesce(rendered(F.col("kind"), F.col("value"), F.col("core")), F.col("value"))
+    one = F.struct("part", F.coalesce("of.core", "core").alias("core"))
+    mention = ["id", "text_key", "place", "value", "kind"]
+    cores = F.transform(F.sort_array(F.collect_list(one)), lambda x: x["core"])
+    whole = drawn.groupBy(*mention).agg(cores.alias("cores"))
+    given = F.when(F.col("kind") == "name", rendered_name(F.col("value"), F.col("cores")))
+    given = given.otherwise(rendered(F.col("kind"), F.col("value"), F.col("cores")[0]))
+    given = F.coalesce(given, F.col("value"))
     replaced = (
-        typed.join(made, ["kind", "canon"], "left")
-        .select("id", "text_key", "kind", F.struct("place", given.alias("given")).alias("one"))
+        whole.select("id", "text_key", "kind", F.struct("place", given.alias("given")).alias("one"))
         .groupBy("id", "text_key")
         .agg(
             F.transform(F.array_sort(F.collect_set("one")), lambda x: x["given"]).alias("given"),

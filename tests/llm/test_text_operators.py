@@ -414,6 +414,58 @@ def test_surrogates_agree_across_documents(spark):
     assert {r.text for r in other}.isdisjoint({r.text for r in one})
 
 
+def test_a_person_has_one_name_however_mentioned(spark):
+    rows = [
+        row(1, "Mr John Smith met Mr Smith, then John Smith; Dr Smith and Mr J. Smith left."),
+        row(2, "Mr JOHN SMITH and Dr. Maria Garcia Lopez, Professor Ahmed Khan, Dr Patel"),
+        row(3, "Prof. Dr. Müller-Lüdenscheidt, Mrs O'Brien, Mary Smith, Peter Smith, Paul Smith"),
+        row(4, "Smith alone is no entity, nor is Doctor or Dr, the Prof of them."),
+    ]
+    got = {r.doc_id: r for r in surrogates.pseudonymised(frame(spark, rows), "k").collect()}
+    assert [got[i].n_entities for i in (1, 2, 3, 4)] == [5, 4, 5, 0]
+    one = re.fullmatch(
+        r"Mr (\w+) (\w+) met Mr (\w+), then (\w+) (\w+); Dr (\w+) and Mr ([A-Z])\. (\w+) left\.",
+        got[1].text,
+    )
+    given, surname = one[1], one[2]
+    assert {one[i] for i in (2, 3, 5, 6, 8)} == {surname} and one[4] == given
+    assert surname != "Smith" and re.fullmatch("[A-Z][a-z]{4}", surname)
+    assert given in surrogates.MEN and given != "John" and one[7] != "J"
+    two = re.fullmatch(
+        r"Mr ([A-Z]+) ([A-Z]+) and Dr\. (\w+) (\w+) (\w+), Professor (\w+) (\w+), Dr (\w+)",
+        got[2].text,
+    )
+    assert (two[1], two[2]) == (given.upper(), surname.upper())
+    assert two[3] in surrogates.WOMEN and two[3] != "Maria"
+    assert not {"Garcia", "Lopez", "Ahmed", "Khan", "Patel"} & set(two.groups())
+    three = re.fullmatch(
+        r"Prof\. Dr\. (\S+), Mrs (\S+), (\w+) (\w+), (\w+) (\w+), (\w+) (\w+)", got[3].text
+    )
+    assert re.fullmatch(r"[A-Z]\w{5}-[A-Z]\w+", three[1]) and three[1] != "Müller-Lüdenscheidt"
+    assert re.fullmatch(r"[A-Z]'[A-Z][a-z]{4}", three[2])
+    assert {three[4], three[6], three[8]} == {surname}
+    assert three[3] in surrogates.WOMEN and len({three[5], three[7], given}) == 3
+    assert got[4].text == rows[3][1]
+
+
+def test_given_names_stay_apart(spark):
+    for key in ("k", "another", "x" * 40):
+        moved = surrogates.known_names(key)
+        assert sorted(moved.values()) == sorted(moved) and all(a != b for a, b in moved.items())
+
+
+def test_long_addresses(spark):
+    rows = [
+        row(1, "from 2001:db8:85a3:0:0:8a2e:370:7334 and 2001:DB8::1, fe80::1ff:fe23:4567:890a."),
+        row(2, "at 12:30:45 call std::vector, Abc::def, a::b, 1:2:3 or ::1 and 10:20"),
+    ]
+    got = {r.doc_id: r for r in surrogates.pseudonymised(frame(spark, rows), "k").collect()}
+    assert got[1].n_entities == 3 and got[2].n_entities == 0 and got[2].text == rows[1][1]
+    old, new = (re.findall(r"[0-9A-Fa-f]*:[0-9A-Fa-f:]+", t) for t in (rows[0][1], got[1].text))
+    shape = lambda t: re.sub(r"\d", "9", re.sub("[a-f]", "a", re.sub("[A-F]", "A", t)))
+    assert [shape(t) for t in old] == [shape(t) for t in new] and not set(old) & set(new)
+
+
 def test_collisions_are_drawn_again(spark):
     # Three hundred two-letter local parts under one short domain: many first draws collide.
     letters = "abcdefghijklmnopqrstuvwxyz"
