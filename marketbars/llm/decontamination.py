@@ -21,7 +21,8 @@ LEAST_WORDS = max(map(len, MASKS))
 # substitutions as the share allows, a place is left where a mask meets none (tests/llm tries all).
 SHORT_MASKS = ("10111", "1111")
 LEAST_SHORT = 7
-# Still shorter items must occur whole; those of fewer words are everyday phrases, not judged.
+# Still shorter items must occur whole. Those of fewer words are everyday phrases: they are looked
+# up and reported where it is asked for, and take no document away.
 LEAST_WHOLE = 4
 # Item words that are verified at once.
 PIECE = 64
@@ -103,6 +104,7 @@ def leaks(
     stretch: int = STRETCH,
     share: float = SHARE,
     broadcast_seeds: int = BROADCAST_SEEDS,
+    least_whole: int = LEAST_WHOLE,
 ) -> DataFrame:
     """(doc_id, text_key, item_id) of benchmark passages found in documents, with their extent.
 
@@ -113,8 +115,8 @@ def leaks(
     letters and digits; ``n_equal`` is the best stretch's count.
 
     Items of 7 words up to a stretch are looked up by ``SHORT_MASKS`` too, which miss none; what
-    the masks find already stays as they report it. Items of 4 to 6 words must occur whole.
-    Null and empty texts and items of fewer than four words match nothing. Repeated rows of
+    the masks find already stays as they report it. Items of ``least_whole`` to 6 words must occur
+    whole. Null and empty texts and items of fewer words match nothing. Repeated rows of
     either table give one row per pair. A null doc_id or item_id is reported as null. An empty
     table gives no rows; other columns are not read.
     """
@@ -123,7 +125,7 @@ def leaks(
     long = items.filter(size >= max(map(len, masks)))
     found = _found(docs, long, masks, stretch, share, broadcast_seeds)
     # Documents are read again only for lengths that the benchmark holds.
-    brief = items.filter((size >= LEAST_WHOLE) & (size < stretch))
+    brief = items.filter((size >= max(1, least_whole)) & (size < stretch))
     lengths = {r["n"] for r in brief.select(size.alias("n")).distinct().collect()}
     more = []
     if any(n >= LEAST_SHORT for n in lengths):
@@ -201,9 +203,12 @@ def _found(
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item found in it; see ``leaks``."""
-    found = leaks(docs, benchmark)
+def contaminated(docs: DataFrame, benchmark: DataFrame, least_whole: int = 1) -> DataFrame:
+    """One row per document and benchmark item found in it, items of one word included.
+
+    A report: see ``leaks``. Which of it takes documents away is up to ``without_leaks``.
+    """
+    found = leaks(docs, benchmark, least_whole=least_whole)
     return found.groupBy("doc_id", "item_id").agg(
         F.min("first_word").alias("first_word"),
         F.max("last_word").alias("last_word"),
@@ -212,10 +217,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found; columns as in ``docs``."""
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, least_whole: int = LEAST_WHOLE
+) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item of ``least_whole`` words or more is found.
+
+    Columns as in ``docs``.
+    """
     id_name, text_name = free_names(docs, "found_id", "found_text")
-    found = leaks(docs, benchmark).select(
+    found = leaks(docs, benchmark, least_whole=least_whole).select(
         F.col("doc_id").alias(id_name), F.col("text_key").alias(text_name)
     )
     marked = docs.withColumn(text_name + "_of", text_key())

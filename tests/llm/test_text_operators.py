@@ -109,6 +109,17 @@ def test_leaks_of_items_below_a_stretch(spark, limit):
     assert {n for _, n, _ in want} == set(range(4, dc.STRETCH))
 
 
+def test_items_of_a_few_words_are_reported_and_take_nothing_away(spark):
+    rows = [row(1, "one, TWO three"), row(2, "two of three"), row(3, "none"), row(4, None)]
+    bench = items(spark, [(1, "two"), (2, "two three"), (3, "one two three"), (4, "..."), (5, "no")])
+    docs = frame(spark, rows)
+    got = {(r.doc_id, r.item_id): r for r in dc.contaminated(docs, bench).collect()}
+    assert set(got) == {(1, 1), (1, 2), (1, 3), (2, 1)}
+    assert (got[1, 2].first_word, got[1, 2].last_word, got[1, 2].n_equal) == (1, 2, 2)
+    assert dc.without_leaks(docs, bench).count() == 4
+    assert [r.doc_id for r in dc.without_leaks(docs, bench, least_whole=2).collect()] == [2, 3, 4]
+
+
 def test_leaks_of_empty_tables(spark):
     bench, docs = items(spark, [(1, PROSE)]), frame(spark, [row(1, PROSE)])
     assert dc.contaminated(frame(spark, []), bench).collect() == []
