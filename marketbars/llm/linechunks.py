@@ -223,9 +223,10 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, join: int = JOIN) -> DataFram
         *keys, "of_id", "of_key", "shift", "n_lines", "found.start", "found.stop"
     ).withColumnsRenamed({"start": "starts", "stop": "stops"})
     asked = stored(asked, f"{folder}/asked")
-    # Of rows equal in id and text, one text answers.
+    # Of rows equal in id and text, one text answers. Written, so that a join of its own can split
+    # what many copies ask of one text.
     texts = keyed.select(*keys, "text").join(asked.select(*keys).distinct(), keys, "left_semi")
-    texts = texts.dropDuplicates(keys)
+    texts = stored(texts.dropDuplicates(keys), f"{folder}/texts")
     answers = stored(_answers(asked.join(texts, keys)), f"{folder}/answers")
     found = F.struct("first", "body", "starts", "stops")
     met = answers.groupBy(*keys).agg(F.collect_list(found).alias("met"))
