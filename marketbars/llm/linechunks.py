@@ -202,11 +202,11 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, join: int = JOIN) -> DataFram
     folder = work_dir(spark, "line-chunks")
     keyed = docs.select("doc_id", order_id().alias("id"), text_key().alias("text_key"), "text")
     keys = ["id", "text_key"]
-    # Rows equal in id and text have equal chunks; one of each is enough.
-    rows = stored(_listed(keyed, roll, join), f"{folder}/all").distinct()
+    rows = stored(_listed(keyed, roll, join), f"{folder}/all")
     place = F.struct("id", "text_key", "start")
-    met = rows.groupBy("hash").agg(F.count("*").alias("held"), F.min(place).alias("at"))
-    met = stored(met.filter("held > 1").select("hash", "at"), f"{folder}/met")
+    # Rows equal in id and text have equal chunks at equal places: those are no copies.
+    met = rows.groupBy("hash").agg(F.min(place).alias("at"), F.max(place).alias("last"))
+    met = stored(met.filter("at <> last").select("hash", "at"), f"{folder}/met")
     late = rows.join(met, "hash").filter(place != F.col("at"))
     # Once for all chunks that lie at the same distance from their copies in the same text.
     asked = late.groupBy(
@@ -227,7 +227,7 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, join: int = JOIN) -> DataFram
     # what many copies ask of one text.
     texts = keyed.select(*keys, "text").join(asked.select(*keys).distinct(), keys, "left_semi")
     texts = stored(texts.dropDuplicates(keys), f"{folder}/texts")
-    answers = stored(_answers(asked.join(texts, keys)), f"{folder}/answers")
+    answers = _answers(asked.join(texts, keys))
     found = F.struct("first", "body", "starts", "stops")
     met = answers.groupBy(*keys).agg(F.collect_list(found).alias("met"))
     return _without(keyed.join(met, keys, "left"), docs.schema["doc_id"].dataType.simpleString())
