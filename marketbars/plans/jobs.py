@@ -198,7 +198,9 @@ def last_updates(spark: SparkSession, tables: Tables, classified: DataFrame) ->
     return tables.latest(spark).join(good, "symbol", "left_semi")
 
 
-def ingest(messages: DataFrame, tables: Tables, checkpoint: str) -> dict[str, int]:
+def ingest(
+    messages: DataFrame, tables: Tables, checkpoint: str, repeats_within: str | None = None
+) -> dict[str, int]:
     """Store what the topic holds now; returns message counts summed over its batches.
 
     The counts of every batch, taken while it was stored, are kept in the ``runs`` table, with the
@@ -206,7 +208,9 @@ def ingest(messages: DataFrame, tables: Tables, checkpoint: str) -> dict[str, in
     """
     spark, counted = messages.sparkSession, {}
     tables.create(spark)
-    query = stream_ingest(messages, tables, checkpoint, on_batch=counted.__setitem__)
+    query = stream_ingest(
+        messages, tables, checkpoint, on_batch=counted.__setitem__, repeats_within=repeats_within
+    )
     query.awaitTermination()
     seconds = {
         f"{query.id}-{p['batchId']}": p["batchDuration"] / 1000 for p in query.recentProgress

@@ -404,6 +404,24 @@ def topic_rows_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, "staging")
 
 
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bar sent, sent again as it was, and sent with another close; over a restart.
+
+    The staged rows, and how many messages reached the tables: each text once.
+    """
+    base = work_dir(spark, "repeats")
+    bars = fx.intraday_bars(spark, sf_dir)
+    again = bars.withColumn("close_price", (F.col("close_price") + 1).cast(PRICE))
+    tables = Tables(f"{base}/tables", INTRADAY)
+    for sent in (bars, bars.unionAll(again), again):
+        topics.write_files(fx.messages(sent, INTRADAY), f"{base}/topic")
+        stream = topics.stream_files(spark, f"{base}/topic")
+        jobs.ingest(stream, tables, f"{base}/offsets", repeats_within="1 hour")
+    reached = tables.read(spark, "runs").agg(F.sum("n_messages").alias("n_messages"))
+    n_messages = reached.first()[0]
+    return tables.read(spark, "staging").withColumn("n_messages", F.lit(n_messages))
+
+
 def ingest_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a stream of several batches, as the run table keeps them."""
     base = work_dir(spark, "run-table")
@@ -702,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "extract_stream_intraday": _extract_stream(INTRADAY),
     "extract_stream_daily": _extract_stream(DAILY),
+    "stream_repeats": stream_repeats,
     "ingest_run_table": ingest_run_table,
     "delivery_audit": delivery_audit,
     "topic_rows_staged": topic_rows_staged,

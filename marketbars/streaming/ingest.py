@@ -17,6 +17,7 @@ from marketbars.operators.messages import classify_messages, good_bars, rejected
 from marketbars.operators.metrics import observed, total_columns
 from marketbars.operators.skew import GROUP_ROWS
 from marketbars.sources.tables import LATEST, PERIOD, STAGED, Tables
+from marketbars.streaming.repeats import without_repeats
 
 
 def ingest_batch(
@@ -87,15 +88,21 @@ def stream_ingest(
     checkpoint: str,
     max_group: int = GROUP_ROWS,
     on_batch: Callable[[str, dict[str, int]], None] = lambda batch, totals: None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Ingest everything the topic holds now, then stop.
 
+    Messages that come again, word for word, ``repeats_within`` a time are dropped before they
+    are stored or counted (``without_repeats``); without it all go to the tables' key check.
+
     ``on_batch`` receives name and message counts of every stored batch.
 
     Offsets live in ``checkpoint``: the next start resumes behind the last finished batch.
     Batch names start with the query's id, so a new checkpoint never overwrites old batches.
     """
     context = messages.sparkSession.sparkContext
+    if repeats_within is not None:
+        messages = without_repeats(messages, repeats_within)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         query = context.getLocalProperty("sql.streaming.queryId")

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from helpers import DAY0, TIME0, message
@@ -217,3 +218,44 @@ def test_last_times_follow_every_batch(spark, tables, tmp_path):
     run_stream(spark, tables, topic, offsets)
     got = {r.symbol: str(r.last_update) for r in tables.latest(spark).collect()}
     assert got == {"A": times(5)[4], "B": times(9)[8], "C": times(2)[1]}
+
+
+def stateful(spark, tables, topic, offsets, within):
+    query = stream_ingest(
+        topics.stream_files(spark, str(topic)), tables, str(offsets), repeats_within=within
+    )
+    query.awaitTermination()
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+
+
+def test_repeats_are_dropped_before_they_are_stored(spark, tables, tmp_path):
+    topic, offsets = tmp_path / "topic", tmp_path / "offsets"
+    first = [message("A", t) for t in times(20)]
+    write_lines(topic, "a.json", first + first[:5] + ["[]", "[]"])
+    assert stateful(spark, tables, topic, offsets, "1 hour")[-1] == 21
+    assert len(rows(spark, tables, "staging")) == 20
+    assert reasons(spark, tables) == ["not_object"]
+    # A restart knows them still; another bar of a known key goes to the tables and loses there,
+    # and a bar far older than all others is taken.
+    other = message("A", times(1)[0], close="9.99")
+    old = message("A", "2001-01-01 09:30:00")
+    write_lines(topic, "b.json", [*first, "[]", other, old, other])
+    stateful(spark, tables, topic, offsets, "1 hour")
+    staged = rows(spark, tables, "staging")
+    assert len(staged) == 21 and {str(r[5]) for r in staged} == {"1.50"}
+    assert reasons(spark, tables) == ["duplicate_key", "not_object"]
+
+
+def test_the_state_of_repeats_shrinks_as_time_goes_on(spark, tables, tmp_path):
+    topic, offsets = tmp_path / "topic", tmp_path / "offsets"
+    sizes = []
+    for i in range(4):
+        write_lines(topic, f"{i}.json", [message("A", t) for t in times(30, start=30 * (i // 3))])
+        sizes += stateful(spark, tables, topic, offsets, "1 second")
+        time.sleep(1.5)
+    # What has been forgotten is found out by the tables.
+    assert len(rows(spark, tables, "staging")) == 60
+    assert set(reasons(spark, tables)) <= {"duplicate_key"}
+    assert max(sizes) <= 60
+    write_lines(topic, "last.json", ["{bad"])
+    assert stateful(spark, tables, topic, offsets, "1 second")[-1] < 30
