@@ -446,7 +446,7 @@ def test_pipeline_stages_on_odd_rows(spark, sf_dir):
 def test_queries_have_stable_columns():
     from marketbars.llm.queries import ORACLE, QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) < set(QUERIES)
 
 
