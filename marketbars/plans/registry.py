@@ -419,7 +419,9 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.ingest(stream, tables, f"{base}/offsets", repeats_within="1 hour")
     reached = tables.read(spark, "runs").agg(F.sum("n_messages").alias("n_messages"))
     n_messages = reached.first()[0]
-    return tables.read(spark, "staging").withColumn("n_messages", F.lit(n_messages))
+    return tables.read(spark, "staging").withColumn(
+        "n_messages", F.lit(n_messages).cast("bigint")
+    )
 
 
 def ingest_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
