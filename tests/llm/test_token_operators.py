@@ -450,7 +450,10 @@ def test_queries_have_stable_columns():
     assert set(ORACLE) < set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op7_substring_dedup", "op8_line_dedup"])
+SQL = ["op2_decontamination", "op7_substring_dedup", "op8_line_dedup", "op13_url_filters"]
+
+
+@pytest.mark.parametrize("name", SQL)
 def test_queries_against_sql(spark, sf_dir, name):
     from compare import connect, oracle_rows, spark_rows
 
