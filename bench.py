@@ -42,8 +42,6 @@ HEADLINE = (
     "upsert_daily",
     "upsert_intraday",
     "late_bar_repair",
-    "late_merge_intraday",
-    "late_merge_daily",
     "run_metrics",
 )
 
