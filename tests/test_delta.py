@@ -15,6 +15,7 @@ from marketbars.operators.delta import (
     tracked,
 )
 from marketbars.schemas import DAILY, INTRADAY, LANDED_SCHEMA
+from marketbars.sources import fixtures as fx
 
 LAST = "2025-01-31 13:00:00"
 GOOD = document(LAST, {LAST: fields()})
@@ -119,3 +120,19 @@ def test_tracked_symbols(spark):
     frame = spark.createDataFrame([("A",), ("B",), (None,)], "symbol string")
     assert [r.symbol for r in tracked(frame, ["A", "C"]).collect()] == ["A"]
     assert tracked(frame, []).filter(F.lit(True)).count() == 0
+
+
+def test_documents_keep_all_bars_of_one_time(spark):
+    later = TIME0 + dt.timedelta(minutes=5)
+    rows = [bar("A", TIME0, 1), bar("A", TIME0, 2), bar("A", TIME0, 2), bar("A", later, 3)]
+    page = F.lit(0).alias("page")
+    documents = fx.documents(intraday_frame(spark, rows), INTRADAY, page)
+    classified = classify_documents(documents.withColumn("status", F.lit(200)), INTRADAY)
+    found = document_entries(classified, INTRADAY).collect()
+    assert sorted((e.timestamp, e.fields["4. close"]) for e in found) == [
+        (TIME0, "1.00"),
+        (TIME0, "2.00"),
+        (TIME0, "2.00"),
+        (later, "3.00"),
+    ]
+    assert {e.last_refreshed for e in found} == {later}
