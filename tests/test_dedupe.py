@@ -108,3 +108,28 @@ def test_constraint_violations(spark):
     }
     empty = constraint_violations(intraday_frame(spark, []), INTRADAY).collect()
     assert all(r.violations == 0 for r in empty)
+
+
+@pytest.mark.parametrize("limit", [0, 64_000_000])
+def test_only_bars_met_again_are_ranked(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+    rows = [bar("A", TIME0 + dt.timedelta(minutes=i), i) for i in range(5)]
+    single = intraday_frame(spark, rows).withColumn("position", F.lit(0))
+    empty = intraday_frame(spark, [])
+    marked = mark_duplicates(single, empty, INTRADAY.keys, "position")
+    text = marked._sc._jvm.PythonSQLUtils.explainString(marked._jdf.queryExecution(), "simple")
+    assert "Window" not in text and "Exchange" not in text
+    assert marked.filter("duplicate").count() == 0
+    again = intraday_frame(spark, rows[:1]).withColumn("position", F.lit(1))
+    marked = mark_duplicates(
+        single.unionByName(again), intraday_frame(spark, rows[4:]), INTRADAY.keys, "position"
+    )
+    found = sorted((r.timestamp.minute - 30, r.position, r.duplicate) for r in marked.collect())
+    assert found == [
+        (0, 0, False),
+        (0, 1, True),
+        (1, 0, False),
+        (2, 0, False),
+        (3, 0, False),
+        (4, 0, True),
+    ]
