@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from marketbars.operators.delivery import delivery_audit
+from marketbars.sources import topics
 from marketbars.sources.topics import kafka_rows
 
 
@@ -62,3 +63,13 @@ def test_one_busy_partition_and_none(spark):
     assert len([r for r in found if r[0] == "lost"]) == 10
     assert sum(r[5] for r in found if r[0] == "delivered") == 991
     assert audit(spark, [], 64) == []
+
+
+def test_written_topics_are_compressed_and_read_in_order(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    texts = [f'{{"n":{i}}}' for i in range(50)]
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+    topics.write_files(frame, path)
+    files = [f.name for f in (tmp_path / "topic").glob("part-*")]
+    assert files and all(name.endswith(".lz4") for name in files)
+    assert [r.value for r in topics.read_files(spark, path).collect()] == texts
