@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from marketbars.operators.indicators import analytics, daily_indicators, intraday_indicators
 from marketbars.operators.upsert import upsert
-from marketbars.plans.registry import QUERIES
+from marketbars.plans.registry import QUERIES, kept_bars
 from marketbars.schemas import DAILY, INTRADAY, moment
 from marketbars.sources.bucketed import (
+    BUCKET_ROWS,
     CO_LOCATED,
     bucketed_analytics,
     bucketed_upsert,
+    buckets_for,
     write_bucketed,
 )
+from marketbars.sources.fixtures import daily_bars
 
 
 @pytest.fixture(scope="module")
@@ -132,3 +135,16 @@ def test_a_hot_symbol_is_kept_out_of_the_buckets(spark, tmp_path, co_located):
     merged = bucketed_upsert(target, fresh, INTRADAY)
     plain = upsert(old, whole, INTRADAY)
     assert sorted(merged.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(0, 8) == 8
+    assert buckets_for(8 * BUCKET_ROWS, 8) == 8
+    assert buckets_for(48 * BUCKET_ROWS + 1, 8) == 49
+
+
+def test_kept_bars_are_worked_out_once(spark, sf_dir, tmp_path):
+    bars = kept_bars(spark, sf_dir, DAILY, str(tmp_path))
+    text = plan(bars)
+    assert "Aggregate" not in text and "Exchange" not in text
+    assert sorted(bars.collect()) == sorted(daily_bars(spark, sf_dir).collect())
