@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,14 +91,27 @@ def redrive(
         "message_id", mend(F.col("value")).alias("value"), (F.col("attempts") + 1).alias("attempt")
     )
     tried = tried.checkpoint()
-    judged = classify_messages(tried, tables.cadence).select("message_id", "attempt", "reason")
+    # Judged once; of the bars only those of good messages are stored.
+    judged = classify_messages(tried, tables.cadence)
+    judged = judged.select("message_id", "attempt", "reason", "value")
+    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _stored(judged, tables, batch, most, max_group)
+    finally:
+        judged.unpersist()
+
+
+def _stored(
+    judged: DataFrame, tables: Tables, batch: str, most: int, max_group: int
+) -> dict[str, int]:
     counts = judged.agg(
         F.count("*").alias("n_retried"),
         F.count_if(F.col("reason").isNull()).alias("n_accepted"),
         F.count_if(F.col("reason").isNotNull() & (F.col("attempt") >= most)).alias("n_parked"),
     ).first()
     position = F.struct(F.col("message_id").alias("message"))
-    messages = tried.select("value", position.alias("position"))
+    good = judged.filter(F.col("reason").isNull())
+    messages = good.select("value", position.alias("position"))
     ingest_batch(messages, tables, batch, max_group, keep_rejected=False)
-    tables.write(judged, "attempts", batch)
+    tables.write(judged.drop("value"), "attempts", batch)
     return counts.asDict()

@@ -101,3 +101,17 @@ def test_nothing_to_try(spark, tables):
     # Copies of a stored bar are no fault of the message.
     assert redrive(spark, tables) == counts(0, 0)
     assert retries(spark, tables).collect() == []
+
+
+def test_only_good_messages_are_stored_again(spark, tables, monkeypatch):
+    put(spark, tables, "first", [BAD, HOPELESS])
+    stored = []
+
+    def store(messages, *args, **kwargs):
+        stored.extend(r.value for r in messages.collect())
+        return ingest_batch(messages, *args, **kwargs)
+
+    monkeypatch.setattr(module, "ingest_batch", store)
+    assert redrive(spark, tables, mended, "a") == counts(2, 1)
+    assert stored == [BAD.replace("?", "1")]
+    assert fate(spark, tables)[HOPELESS] == (1, 1, "bad_value", "waiting")
