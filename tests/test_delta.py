@@ -14,6 +14,7 @@ from marketbars.operators.delta import (
     rejected_entries,
     tracked,
 )
+from marketbars.plans.registry import QUERIES
 from marketbars.schemas import DAILY, INTRADAY, LANDED_SCHEMA
 from marketbars.sources import fixtures as fx
 
@@ -136,3 +137,28 @@ def test_documents_keep_all_bars_of_one_time(spark):
         (later, "3.00"),
     ]
     assert {e.last_refreshed for e in found} == {later}
+
+
+def test_documents_of_a_full_page_are_cut(spark):
+    times = [TIME0 + dt.timedelta(minutes=i // 3) for i in range(21)]
+    rows = [bar("A", t, i) for i, t in enumerate(times)] + [bar("B", TIME0, 50)]
+    frame = intraday_frame(spark, rows)
+    documents = fx.documents(frame, INTRADAY, F.lit(0).alias("page"), most=5)
+    assert documents.columns == ["symbol", "page", "body"]
+    held = sorted((r.symbol, r.body.count('"4. close"')) for r in documents.collect())
+    assert held == [("A", 1), ("A", 5), ("A", 5), ("A", 5), ("A", 5), ("B", 1)]
+    classified = classify_documents(documents.withColumn("status", F.lit(200)), INTRADAY)
+    found = document_entries(classified, INTRADAY).collect()
+    closes = sorted((e.symbol, e.timestamp, float(e.fields["4. close"])) for e in found)
+    assert closes == sorted((r[0], r[1], float(r[5])) for r in rows)
+    assert {(e.symbol, e.last_refreshed) for e in found} == {("A", times[-1]), ("B", TIME0)}
+
+
+def test_pages_of_repeated_events_are_counted_once(spark, tmp_path):
+    event = ["5500L AS event_id", f"timestamp '{TIME0}' AS ts", "1L AS user_id"]
+    event += ["'view' AS event_type", "1.5D AS value", "'{\"k\": 3}' AS props"]
+    copies = spark.range(2 * fx.DOCUMENT_BARS + 1).selectExpr(*event)
+    copies.write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES["validate_api"](spark, str(tmp_path)).collect() == [("http_status", 1)]
+    landed_bars = QUERIES["land_api_intraday"](spark, str(tmp_path))
+    assert landed_bars.count() == 2 * fx.DOCUMENT_BARS + 1
