@@ -48,7 +48,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.model = self.tokenizer.model.tokenize
-        self.octets = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        octets = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # How the bytes of each western letter are written in the model's vocabulary.
+        self.spelling = {ord(c): octets(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
         self.memory = memory
         self.parts = self._parts()
         self.folds = self.parts and self._folds()
@@ -60,7 +62,7 @@ class WordEncoder:
 
     def _part(self, part: str) -> bytes:
         """The model's ids of lower-case letters alone, or of punctuation alone."""
-        spelt = part if part.isascii() else self.octets(part)[0][0]
+        spelt = part if part.isascii() else part.translate(self.spelling)
         ids = [piece.id for piece in self.model(spelt)]
         return PACK[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
 
@@ -76,11 +78,19 @@ class WordEncoder:
         )
 
     def _word(self, word: str) -> bytes:
-        if not self.folds or not (found := PLAIN(word)):
+        if not self.folds:
+            return self._whole(word)
+        if word.isascii() and word.isalpha():
+            letters, end = word, ""
+        elif found := PLAIN(word):
+            letters, end = found.groups()
+        else:
             return self._whole(word)
-        letters, end = found.groups()
         low = letters.lower()
-        ids = self._part(low) if low == word else self.known[low]
+        # Most such words never come bare: these are not remembered for it.
+        ids = None if low == word else self.known.get(low) or self.known.older.get(low)
+        if ids is None:
+            ids = self._part(low)
         if not end:
             return ids
         if end not in self.ends:
@@ -98,7 +108,8 @@ class WordEncoder:
             return self._whole(text)
         if len(self.known) > self.memory:
             # Words met lately stay at hand; those not met for two generations are forgotten.
-            self.known = Words(self._word, older=dict(self.known))
+            self.known.older = {}
+            self.known = Words(self._word, older=self.known)
         return b"".join(map(self.known.__getitem__, text.split()))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
