@@ -6,6 +6,7 @@ import pytest
 from helpers import DAY0, TIME0, message
 from pyspark.sql import functions as F
 
+from marketbars import session
 from marketbars.schemas import DAILY, INTRADAY
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
@@ -259,3 +260,21 @@ def test_the_state_of_repeats_shrinks_as_time_goes_on(spark, tables, tmp_path):
     assert max(sizes) <= 60
     write_lines(topic, "last.json", ["{bad"])
     assert stateful(spark, tables, topic, offsets, "1 second")[-1] < 30
+
+
+def test_cached_batches_have_few_rows(spark, tables, monkeypatch):
+    # By default a task that stores a cached partition holds up to a hundred batches of 4 MB.
+    setting, seen = session.CACHED_ROWS_SETTING, []
+    before = spark.conf.get(setting)
+    write = tables.write
+
+    def watched(*args, **options):
+        seen.append(int(spark.conf.get(setting)))
+        return write(*args, **options)
+
+    monkeypatch.setattr(Tables, "write", lambda self, *args, **options: watched(*args, **options))
+    messages = spark.createDataFrame([(message("A", t),) for t in times(3)], "value string")
+    ingest_batch(messages.withColumn("position", F.struct(F.lit(0))), tables, "first")
+    assert seen and max(seen) <= 1000
+    assert spark.conf.get(setting) == before
+    assert len(rows(spark, tables, "staging")) == 3
