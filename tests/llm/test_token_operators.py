@@ -113,6 +113,23 @@ def test_a_trained_dictionary_and_many_documents(spark):
         at += len(ids)
 
 
+def test_documents_reach_the_workers_by_few_rows(spark, monkeypatch):
+    docs, seen = frame(spark, [row(1, "a b"), row(2, "c")]), []
+    kind = type(docs.write)
+    write, setting = kind.parquet, tokenfile.BATCH_SETTING
+    before = spark.conf.get(setting)
+
+    def watched(self, path, *args, **options):
+        if path.endswith("/manifest"):
+            seen.append(int(spark.conf.get(setting)))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(kind, "parquet", watched)
+    assert tokenfile.token_files(docs, PATH, 1).count() == 2
+    assert len(seen) == 1 and seen[0] <= 1000
+    assert spark.conf.get(setting) == before
+
+
 def test_files_of_an_empty_table(spark):
     assert tokenfile.token_files(frame(spark, []), PATH, 1).collect() == []
 
