@@ -14,6 +14,7 @@ from marketbars.operators.delta import (
     rejected_entries,
     tracked,
 )
+from marketbars.operators.messages import classify_messages
 from marketbars.plans.registry import QUERIES
 from marketbars.schemas import DAILY, INTRADAY, LANDED_SCHEMA
 from marketbars.sources import fixtures as fx
@@ -162,3 +163,19 @@ def test_pages_of_repeated_events_are_counted_once(spark, tmp_path):
     assert QUERIES["validate_api"](spark, str(tmp_path)).collect() == [("http_status", 1)]
     landed_bars = QUERIES["land_api_intraday"](spark, str(tmp_path))
     assert landed_bars.count() == 2 * fx.DOCUMENT_BARS + 1
+
+
+def test_a_bar_without_a_time_is_rejected_alone(spark):
+    rows = [bar("A", TIME0, 1), bar("A", TIME0, 2), bar("B", TIME0, 3)]
+    timed = F.when(F.col("close_price") != 2, F.col("timestamp"))
+    frame = intraday_frame(spark, rows).withColumn("timestamp", timed)
+    documents = fx.documents(frame, INTRADAY, F.lit(0).alias("page"))
+    classified = classify_documents(documents.withColumn("status", F.lit(200)), INTRADAY)
+    found = document_entries(classified, INTRADAY).collect()
+    assert sorted((e.symbol, e.timestamp, e.fields["4. close"]) for e in found) == [
+        ("A", TIME0, "1.00"),
+        ("B", TIME0, "3.00"),
+    ]
+    assert [r.reason for r in rejected_entries(classified, INTRADAY).collect()] == ["bad_value"]
+    judged = classify_messages(fx.messages(frame, INTRADAY), INTRADAY).collect()
+    assert sorted(str(r.reason) for r in judged) == ["None", "None", "bad_value"]
