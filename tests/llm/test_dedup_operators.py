@@ -256,6 +256,40 @@ def test_only_the_first_of_equal_texts_sends_super_k_mers(spark, monkeypatch):
     assert sorted(seen) == [0, 50]
 
 
+def test_a_text_sends_equal_super_k_mers_once_with_their_places(spark):
+    round_texts = ["a b " * 200, "x " + "a b c " * 90, PROSE, " ".join([PROSE] * 3), "a b"]
+    docs = frame(spark, [row(i, t) for i, t in enumerate(round_texts)])
+    keyed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), "text")
+    rows = superkmers.super_kmers(keyed).collect()
+    assert len({(r.id, r.high, r.low) for r in rows}) == len(rows)
+    for i, text in enumerate(round_texts):
+        starts = sorted(p + k for r in rows if r.id == i for p in r.places for k in range(r.n))
+        assert starts == list(range(max(0, len(text.split()) - superkmers.WINDOW + 1)))
+    assert len([r for r in rows if r.id == 0]) <= 4
+
+
+@pytest.mark.parametrize("bucket", [0, 5, 100_000])
+def test_joined_rows_do_not_grow_with_repeats_in_a_text(spark, monkeypatch, bucket):
+    judged, joined = superkmers._judged, []
+
+    def watched(rows, folder):
+        found = judged(rows, folder)
+        joined[-1] += found.count()
+        return found
+
+    monkeypatch.setattr(superkmers, "_judged", watched)
+    for times in (20, 200):
+        joined.append(0)
+        rows = [row(i, f"s{i} {'a b ' * times}t{i} c d e f g h i j") for i in range(8)]
+        rows += [row(20, f"a b {'a b c ' * times}"), row(21, f"{'b c a ' * times} {'a b ' * 9}")]
+        got = superkmers.dedup(frame(spark, rows), window=10, size=3, bucket=bucket, chunk=9)
+        found = collections.Counter(
+            (r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()
+        )
+        assert found == brute_windows(rows, 10)
+    assert joined[0] == joined[1] and (joined[0] > 0) == (bucket < 100)
+
+
 @pytest.mark.parametrize(
     "operator", [simhash.near_duplicates, simhash.keep_one, superkmers.dedup, linechunks.dedup_lines]
 )
