@@ -23,6 +23,7 @@ BUCKET = 1000
 # Super-k-mers sorted together: whole buckets up to about so many.
 CHUNK = 20_000
 DIGEST = ["high", "low"]
+PLACES = "array<struct<first: int, last: int>>"
 # Stands for a null id: not smaller than any other.
 LAST = (1 << 63) - 1
 
@@ -85,7 +86,8 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
     super-k-mer of a text, and the 128-bit hash of its words in two halves.
 
     Where a text goes round in few words, one super-k-mer comes hundreds of times: it is one row
-    with all its places, in rising order.
+    with all its places, in rising order. Places that follow each other by at most a window are
+    held as one, by their first and last: any window of theirs covers all words between.
     """
 
     def make():
@@ -111,11 +113,13 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
             )
             halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
             order = np.lexsort((halves[:, 1], halves[:, 0], document))
-            marks = np.column_stack((document, halves))[order]
-            heads = np.flatnonzero(
-                np.append(np.ones(min(1, len(order)), bool), (marks[1:] != marks[:-1]).any(axis=1))
-            )
-            chosen = order[heads]
+            marks, place = np.column_stack((document, halves))[order], first[order]
+            edge = np.ones(min(1, len(order)), bool)
+            other = (marks[1:] != marks[:-1]).any(axis=1)
+            parted = other | (np.diff(place) > window)
+            heads, tails = np.append(edge, parted), np.append(parted, edge)
+            held = np.flatnonzero(np.append(edge, other)[heads])
+            chosen = order[heads][held]
             rows = pa.array(document[chosen])
             return pa.RecordBatch.from_arrays(
                 [
@@ -123,7 +127,11 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
                     part.column("text_key").take(rows),
                     pa.array(mini[chosen]),
                     pa.ListArray.from_arrays(
-                        np.append(heads, len(order)).astype(np.int32), first[order].astype(np.int32)
+                        pa.array(np.append(held, heads.sum()), pa.int32()),
+                        pa.StructArray.from_arrays(
+                            [pa.array(place[e], pa.int32()) for e in (heads, tails)],
+                            ["first", "last"],
+                        ),
                     ),
                     pa.array(count[chosen].astype(np.int16)),
                     pa.array(lead[chosen].astype(np.int16)),
@@ -138,7 +146,7 @@ def super_kmers(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) ->
     return map_slices(
         docs.select("id", "text_key", "text"),
         make,
-        "id bigint, text_key bigint, mini bigint, places array<int>, n smallint, lead smallint, "
+        f"id bigint, text_key bigint, mini bigint, places {PLACES}, n smallint, lead smallint, "
         "high bigint, low bigint",
     )
 
@@ -204,17 +212,14 @@ def repeated(
 
 
 def at_places(row: np.ndarray, begin: np.ndarray, end: np.ndarray, places: pa.ListArray):
-    """(row, from word, behind the last word) at all places of the rows, overlapping ones joined."""
+    """(row, from word, behind the last word) at all places of the rows."""
     ends = np.cumsum(places.value_lengths().to_numpy())
-    starts, flat = np.append(0, ends)[:-1], places.flatten().to_numpy().astype(np.int64)
+    starts, flat = np.append(0, ends)[:-1], places.flatten()
     many = (ends - starts)[row]
     which = np.repeat(np.arange(len(row)), many)
-    place = flat[np.arange(len(which)) - (np.cumsum(many) - many - starts[row])[which]]
-    start, stop = place + begin[which], place + end[which]
-    parted = (which[1:] != which[:-1]) | (start[1:] > stop[:-1])
-    edge = np.ones(min(1, len(which)), bool)
-    heads, tails = np.append(edge, parted), np.append(parted, edge)
-    return row[which[heads]], start[heads], stop[tails]
+    at = np.arange(len(which)) - (np.cumsum(many) - many - starts[row])[which]
+    first, last = (flat.field(f).to_numpy().astype(np.int64)[at] for f in ("first", "last"))
+    return row[which], first + begin[which], last + end[which]
 
 
 def sorted_windows(packed: DataFrame, window: int, chunk: int) -> DataFrame:
@@ -264,12 +269,13 @@ def sorted_windows(packed: DataFrame, window: int, chunk: int) -> DataFrame:
 # --- the whole table ---------------------------------------------------------------------
 
 CUT = (
-    "mini bigint, id bigint, text_key bigint, places array<int>, n smallint, lead smallint, "
+    f"mini bigint, id bigint, text_key bigint, places {PLACES}, n smallint, lead smallint, "
     "high bigint, low bigint, packed binary"
 )
+CUT_NAMES = ["mini", "id", "text_key", "places", "n", "lead", *DIGEST, "packed"]
 KINDS = (
     *(pa.int64(),) * 3,
-    pa.list_(pa.int32()),
+    pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])),
     *(pa.int16(),) * 2,
     *(pa.int64(),) * 2,
     pa.binary(),
@@ -283,17 +289,17 @@ def _cut_out(joined: DataFrame, window: int) -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [[]] * len(KINDS)
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, KINDS, strict=True)],
-            [field.split()[0] for field in CUT.split(", ")],
+            CUT_NAMES,
         )
 
     def cut(found: list[bytes], key: int, mark: int, runs: list[dict]):
         for r in runs:
             places, n, mini = r["places"], r["n"], r["mini"]
-            first = places[0]
+            first = places[0]["first"]
             if r["crowded"]:
                 for s in range(n):
                     halves = digest(b" ".join(found[first + s : first + s + window]))
-                    moved = [p + s for p in places]
+                    moved = [{end: at + s for end, at in p.items()} for p in places]
                     yield mini, key, mark, moved, 1, 0, *struct.unpack("<qq", halves), None
             else:
                 packed = b" ".join(found[first : first + n + window - 1])
@@ -348,7 +354,7 @@ def _span(start: Column, stop: Column) -> Column:
 def _covered(late: DataFrame, window: int) -> DataFrame:
     """id, text_key and the spans of all places of the rows."""
     more = (F.col("n") - 1 + window).cast("bigint")
-    spans = F.transform("places", lambda p: _span(p.cast("bigint"), p + more))
+    spans = F.transform("places", lambda p: _span(p["first"].cast("bigint"), p["last"] + more))
     return late.select("id", "text_key", spans.alias("spans"))
 
 

@@ -1,6 +1,7 @@
 """SimHash near-dedup, substring dedup, line dedup against brute force."""
 
 import collections
+import itertools
 import random
 
 import pytest
@@ -263,8 +264,16 @@ def test_a_text_sends_equal_super_k_mers_once_with_their_places(spark):
     rows = superkmers.super_kmers(keyed).collect()
     assert len({(r.id, r.high, r.low) for r in rows}) == len(rows)
     for i, text in enumerate(round_texts):
-        starts = sorted(p + k for r in rows if r.id == i for p in r.places for k in range(r.n))
-        assert starts == list(range(max(0, len(text.split()) - superkmers.WINDOW + 1)))
+        spans = [(p, r.n) for r in rows if r.id == i for p in r.places]
+        ends = {k for p, n in spans for e in p for k in range(e, e + n)}
+        between = {k for p, n in spans for k in range(p.first, p.last + n)}
+        windows = set(range(max(0, len(text.split()) - superkmers.WINDOW + 1)))
+        assert between == windows and ends <= windows
+        for r in rows:
+            held = r.places
+            assert all(p.first <= p.last for p in held)
+            assert all(q.first - p.last > superkmers.WINDOW for p, q in itertools.pairwise(held))
+    assert sum(len(r.places) for r in rows if r.id == 3) > len([r for r in rows if r.id == 3])
     assert len([r for r in rows if r.id == 0]) <= 4
 
 
