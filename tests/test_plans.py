@@ -148,3 +148,19 @@ def test_kept_bars_are_worked_out_once(spark, sf_dir, tmp_path):
     text = plan(bars)
     assert "Aggregate" not in text and "Exchange" not in text
     assert sorted(bars.collect()) == sorted(daily_bars(spark, sf_dir).collect())
+
+
+def test_messages_of_one_key_are_parsed_once(spark, tmp_path):
+    rows = [
+        (i, dt.datetime(2024, 1, 1, 9, i % 3), f"e{i % 2}", 1.25 * i, f'{{"k": {i}}}')
+        for i in range(12)
+    ]
+    schema = "event_id bigint, ts timestamp, event_type string, value double, props string"
+    events = spark.createDataFrame(rows, schema)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = QUERIES["stage_same_key_in_message"](spark, str(tmp_path))
+    text = plan(found, "extended")
+    assert "from_json" not in text and "get_json_object" not in text
+    # Six keys: on both paths the bar sent first, as its message spells it first.
+    got = sorted((r.symbol, r.timestamp.minute, float(r.close_price)) for r in found.collect())
+    assert got == sorted(2 * [(f"e{i % 2}", i % 3, 1.25 * i) for i in range(6)])
