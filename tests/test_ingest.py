@@ -5,6 +5,7 @@ import time
 import pytest
 from helpers import DAY0, TIME0, message
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from marketbars import session
 from marketbars.schemas import DAILY, INTRADAY
@@ -12,6 +13,7 @@ from marketbars.sources import topics
 from marketbars.sources.tables import Tables
 from marketbars.streaming import ingest
 from marketbars.streaming.ingest import ingest_batch, stream_ingest
+from marketbars.streaming.repeats import STATE_SETTINGS
 
 
 @pytest.fixture()
@@ -278,3 +280,32 @@ def test_cached_batches_have_few_rows(spark, tables, monkeypatch):
     assert seen and max(seen) <= 1000
     assert spark.conf.get(setting) == before
     assert len(rows(spark, tables, "staging")) == 3
+
+
+def test_the_state_of_repeats_lies_on_disk(spark, tables, tmp_path):
+    topic, offsets = tmp_path / "topic", tmp_path / "offsets"
+    write_lines(topic, "a.json", [message("A", t) for t in [*times(20), *times(5)]])
+    before = {setting: spark.conf.get(setting, None) for setting in STATE_SETTINGS}
+    query = stream_ingest(
+        topics.stream_files(spark, str(topic)), tables, str(offsets), repeats_within="1 hour"
+    )
+    query.awaitTermination()
+    state = query.recentProgress[0]["stateOperators"][0]
+    assert state["numRowsTotal"] == 20
+    assert any(name.startswith("rocksdb") for name in state["customMetrics"])
+    assert {setting: spark.conf.get(setting, None) for setting in STATE_SETTINGS} == before
+    assert len(rows(spark, tables, "staging")) == 20
+
+
+def test_a_batch_is_kept_in_files_that_go(spark, tables, tmp_path, monkeypatch):
+    cached = []
+    persist = DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda s, *a: cached.append(s) or persist(s, *a))
+    lines = [message("A", t) for t in [*times(3), times(1)[0]]]
+    frame = spark.createDataFrame([(line,) for line in [*lines, "[]"]], "value string")
+    ingest_batch(frame.withColumn("position", F.struct(F.lit(0))), tables, "first")
+    assert not cached
+    assert len(rows(spark, tables, "staging")) == 3
+    assert [r[:7] for r in rows(spark, tables, "raw")] == rows(spark, tables, "staging")
+    assert reasons(spark, tables) == ["duplicate_key", "not_object"]
+    assert list((tmp_path / "tables" / "scratch" / INTRADAY.bars_table).iterdir()) == []
