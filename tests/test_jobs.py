@@ -1,16 +1,21 @@
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from helpers import brute_daily, brute_intraday, document, fields
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
+from marketbars import session
 from marketbars.__main__ import main
+from marketbars.operators.indicators import analytics
 from marketbars.operators.metrics import bars_per_symbol, message_totals
 from marketbars.operators.messages import classify_messages
 from marketbars.operators.sums import stretch_sums
+from marketbars.operators.upsert import upsert
 from marketbars.plans import jobs
-from marketbars.schemas import DAILY, INTRADAY
+from marketbars.schemas import DAILY, INTRADAY, moment
 from marketbars.sources import landed as landed_source
 from marketbars.sources import topics
 from marketbars.sources.tables import Tables
@@ -483,3 +488,39 @@ def test_command_line(spark, tmp_path, hours, capsys):
     assert again == counts(0, 0, 0)
     with pytest.raises(SystemExit):
         main(["extract", *common, *topic])
+
+
+def test_documents_are_cached_by_few_and_without_the_text_of_good_ones(spark, tmp_path, monkeypatch):
+    # A task that caches holds up to a hundred batches; by default each has 4 MB of documents.
+    tables = Tables(str(tmp_path / "tables"), INTRADAY)
+    tables.create(spark)
+    time = dt.datetime(2024, 1, 31, 9, 30)
+    envelopes = [envelope(s, time, series([time])) for s in "AB"]
+    envelopes.append(envelope("C", time, series([time]), status=503))
+    landed = landed_source.read_landed(spark, land(tmp_path / "landed", envelopes))
+    before, rows, cached = spark.conf.get(session.CACHED_ROWS_SETTING), [], []
+    persist = DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda s, *a: cached.append(s) or persist(s, *a))
+
+    def send(messages):
+        rows.append(int(spark.conf.get(session.CACHED_ROWS_SETTING)))
+
+    assert jobs.extract_delta(landed, tables, send, symbols=None) == 2
+    assert rows == [session.CACHED_DOCUMENTS] and rows[0] <= 50
+    assert spark.conf.get(session.CACHED_ROWS_SETTING) == before
+    kept = {r.symbol: r.body for r in cached[0].collect()}
+    assert kept["A"] is None and kept["B"] is None and "Time Series" in kept["C"]
+    quarantine = tables.read(spark, "quarantine").collect()
+    assert [(r.reason, r.value) for r in quarantine] == [("http_status", kept["C"])]
+
+
+def test_a_merge_into_an_empty_table_joins_nothing(spark, tmp_path):
+    tables = Tables(str(tmp_path / "tables"), DAILY)
+    tables.create(spark)
+    row = ("A", dt.date(2024, 1, 1), *[Decimal("1.00")] * 4, 5)
+    bars = spark.createDataFrame([row], DAILY.staging_schema)
+    fresh = analytics(bars, DAILY, moment(RUN1))
+    merged = upsert(tables.read(spark, "final"), fresh, DAILY)
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    [got] = merged.collect()
+    assert (got.symbol, got.close, got.action) == ("A", Decimal("1.00"), "insert")
